@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from sampleprep.llm.chat_format import format_chats, gather, loss_text, parse
 from sampleprep.llm.common import table
 from sampleprep.llm.exact_dedup import exact_dedup
+from sampleprep.llm.language_id import fold_of, identify
+from sampleprep.llm.language_id import train as train_language
 from sampleprep.llm.mixing import mix_sources
 from sampleprep.llm.packing import pack
 from sampleprep.llm.simhash import near_duplicates
@@ -44,6 +46,13 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_language(docs.where(fold_of("doc_id", 4) != 2))
+    found = identify(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (fold_of("id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -73,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_simhash": op3_simhash,
     "op4_url_filter": op4_url_filter,
+    "op5_language_id": op5_language_id,
     "op9_mix_sources": op9_mix_sources,
     "op10_chat_format": op10_chat_format,
 }
