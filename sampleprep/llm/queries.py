@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from sampleprep.llm.chat_format import format_chats, gather, loss_text, parse
 from sampleprep.llm.common import table
 from sampleprep.llm.exact_dedup import exact_dedup
+from sampleprep.llm.html_text import extract
 from sampleprep.llm.language_id import fold_of, identify
 from sampleprep.llm.language_id import train as train_language
 from sampleprep.llm.mixing import mix_sources
 from sampleprep.llm.packing import pack
 from sampleprep.llm.simhash import near_duplicates
+from sampleprep.llm.toxicity import score as score_toxicity
+from sampleprep.llm.toxicity import train as train_toxicity
 from sampleprep.llm.url_filter import filter_urls, train
 
 #: Name of the tokenizer file; its folder comes from the installed public_tokenizers.
@@ -53,6 +56,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), (fold_of("id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 3) != 1).select("doc_id", "toxic")
+    found = score_toxicity(docs, train_toxicity(docs, docs.join(labels, "doc_id")))
+    return found.select(F.col("id").alias("doc_id"), (fold_of("id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -83,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
+    "op6_html_text": op6_html_text,
+    "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_chat_format": op10_chat_format,
 }
