@@ -43,7 +43,7 @@ def exact_dedup(
     norm = normalised(text_or_empty(text_col))
     read = docs.select(F.col(id_col).alias("id"), norm.alias("norm"))
     size, prefix = F.octet_length("norm"), F.xxhash64(F.substring("norm", 1, prefix_chars))
-    pairs = read.groupBy(size.alias("size"), prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    pairs = checkpointed(read.groupBy(size.alias("size"), prefix.alias("prefix")).agg(F.count("*").alias("n")))
     lengths = pairs.groupBy("size").agg(F.sum("n").alias("n")).where("n > 1").select("size")
     alike = pairs.join(lengths, "size", "left_semi").where("n > 1")
 
@@ -62,9 +62,12 @@ def exact_dedup(
     hashed = checkpointed(hashed.withColumn("row", F.monotonically_increasing_id()))
 
     left = hashed.where("maybe")
-    groups = left.groupBy("text_hash").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))).alias("first"),
-        F.count("*").alias("group_size"),
+    # with a copy of the groups, the join's sides have exchanges of their own, and Spark splits a large group's
+    groups = checkpointed(
+        left.groupBy("text_hash").agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))).alias("first"),
+            F.count("*").alias("group_size"),
+        )
     )
     grouped = left.join(groups, "text_hash").select(
         "id", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_hash"

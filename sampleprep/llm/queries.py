@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sampleprep.llm.bm25 import search
 from sampleprep.llm.chat_format import format_chats, gather, loss_text, parse
 from sampleprep.llm.common import table
 from sampleprep.llm.exact_dedup import exact_dedup
@@ -61,6 +62,14 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op7_topk_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each document whose id is divisible by 20, by its whole text."""
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    found = search(docs, asked, 10)
+    return found.select("query_id", F.col("id").alias("doc_id"), F.col("rank").cast("int").alias("rank"), "score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(fold_of("doc_id", 3) != 1).select("doc_id", "toxic")
@@ -99,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_language_id": op5_language_id,
     "op6_html_text": op6_html_text,
+    "op7_topk_bm25": op7_topk_bm25,
     "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_chat_format": op10_chat_format,
