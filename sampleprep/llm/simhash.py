@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleprep.llm.common import WORD, checkpointed, free_name
+from sampleprep.llm.common import WORD, checkpointed
 from sampleprep.llm.components import connected_components
 
 _WORDS = re.compile(WORD.encode())
@@ -125,14 +125,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = rooted.join(lowest, "root").select("fp", "component_id")
     return marked.join(labels, "fp").select("id", "fp", "component_id")
 
-
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One document of each component stays: the one with the smallest id, with all its columns.
-
-    Of repeated rows with that id one stays.
-    """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.count("*").alias("rows"))
-    name = free_name(docs, "__near_id")
-    kept = docs.join(keep.select(F.col("id").alias(name)).hint("shuffle_hash"), docs[id_col].eqNullSafe(F.col(name)), "left_semi")
-    return kept if keep.where("rows > 1").isEmpty() else kept.dropDuplicates([id_col])
