@@ -1,10 +1,713 @@
-"""Every registered query over the given tables, with its SQL."""
+"""Every registered query over the given tables, with its SQL.
+
+The tables hold no images, so image slots, placeholders and metadata are derived from their columns by expressions that both engines
+share. Every query reads its whole table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from sampleprep.functions import binary, classify, geom3d
+from sampleprep.functions import text as t
+from sampleprep.operators import nested, recon, shards, stats, validate
+from sampleprep.session import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+# ---- conversations -------------------------------------------------------------------------------------------------
+
+
+def conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """conv_id and its turns as (from, value); roles other than user and assistant keep their name, which has no sample role."""
+    rows = table(spark, sf, "conversations")
+    role = F.when(F.col("role") == "user", "human").when(F.col("role") == "assistant", "gpt").otherwise(F.col("role"))
+    turns = F.array_sort(F.collect_list(F.struct("turn", role.alias("from"), F.col("text").alias("value"))))
+    made = rows.groupBy("conv_id").agg(turns.alias("turns"))
+    return made.select("conv_id", F.transform("turns", lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value"))).alias("conversations"))
+
+
+_VALID = """
+    SELECT conv_id, count(*) AS n_turns,
+        bool_and(role = CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'assistant' END) AS valid
+    FROM conversations GROUP BY conv_id"""
+
+
+@query(_VALID)
+def turn_alternation(spark: SparkSession, sf: str) -> DataFrame:
+    made = conversations(spark, sf)
+    return made.select("conv_id", F.size("conversations").cast("long").alias("n_turns"), nested.is_valid(F.col("conversations")).alias("valid"))
+
+
+@query(f"SELECT count(*) AS seen, count(*) FILTER (WHERE valid) AS converted, count(*) FILTER (WHERE NOT valid) AS skipped FROM ({_VALID})")
+def skip_totals(spark: SparkSession, sf: str) -> DataFrame:
+    valid = nested.is_valid(F.col("conversations"))
+    return conversations(spark, sf).agg(F.count("*").alias("seen"), F.count_if(valid).alias("converted"), F.count_if(~valid).alias("skipped"))
+
+
+@query("SELECT conv_id, coalesce(min_by(text, turn) FILTER (WHERE role = 'user'), '') AS first_human FROM conversations GROUP BY conv_id")
+def first_human(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations(spark, sf).select("conv_id", t.first_human_text(F.col("conversations")).alias("first_human"))
+
+
+@query("""
+    WITH f AS (SELECT conv_id, coalesce(min_by(text, turn) FILTER (WHERE role = 'user'), '') AS x FROM conversations GROUP BY conv_id)
+    SELECT conv_id, CASE WHEN length(x) > 80 THEN left(x, 80) || '…' ELSE x END AS snippet FROM f""")
+def snippet(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations(spark, sf).select("conv_id", t.snippet(t.first_human_text(F.col("conversations")), 80).alias("snippet"))
+
+
+def samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid conversations as samples; each has conv_id % 4 images, one of them a PNG."""
+    made = conversations(spark, sf).where(nested.is_valid(F.col("conversations")))
+    sample_id = t.sample_id(F.concat(F.lit("talk"), (F.col("conv_id") % 5).cast("string")), F.col("conv_id").cast("string"), F.lit(0))
+    slots = F.filter(F.sequence(F.lit(0), F.lit(3)), lambda i: i < F.col("conv_id") % 4)
+    mime = lambda i: F.when(i == 2, binary.PNG).otherwise(binary.JPEG)
+    images = F.transform(
+        slots,
+        lambda i: F.struct(
+            t.member_name(sample_id, i, mime(i)).alias("relative_path"),
+            mime(i).alias("format"),
+            ((F.col("conv_id") * 37 + i * 11) % 2000).cast("int").alias("width"),
+            ((F.col("conv_id") * 53 + i * 7) % 1500).cast("int").alias("height"),
+        ),
+    )
+    category = classify.infer_category(t.first_human_text(F.col("conversations")), F.size(images))
+    made = made.select("conv_id", nested.sample(F.col("conversations"), images, sample_id, category).alias("s"))
+    return made.select("conv_id", "s.*")
+
+
+_SAMPLE_IDS = "SELECT conv_id, 'talk' || (conv_id % 5) || '__' || conv_id AS id FROM (SELECT DISTINCT conv_id FROM (" + _VALID + ") WHERE valid)"
+
+
+@query(f"""
+    SELECT conv_id, i AS place, id || '_0' || i || CASE WHEN i = 2 THEN '.png' ELSE '.jpg' END AS path
+    FROM ({_SAMPLE_IDS}), range(4) r(i) WHERE i < conv_id % 4""")
+def image_refs(spark: SparkSession, sf: str) -> DataFrame:
+    return samples(spark, sf).select("conv_id", F.posexplode(nested.image_paths(F.col("data"))).alias("place", "path")).withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"""
+    SELECT c.conv_id, c.turn, CASE WHEN c.turn = 0 THEN trim(regexp_replace(regexp_replace(c.text, ' +', ' ', 'g'), ' *\\n *', chr(10), 'g'), ' ' || chr(10)) ELSE c.text END AS text
+    FROM conversations c JOIN ({_VALID}) v USING (conv_id) WHERE v.valid""")
+def turn_text(spark: SparkSession, sf: str) -> DataFrame:
+    rows = samples(spark, sf).select("conv_id", F.posexplode("data").alias("turn", "x"))
+    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), nested.turn_text(F.col("x.content")).alias("text"))
+
+
+@query(f"""
+    SELECT id, true AS keys_ok, true AS roles_ok, true AS assistant_ok, true AS user_ok FROM ({_SAMPLE_IDS})""")
+def spec_check(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.check_samples(samples(spark, sf))
+
+
+# ---- identifiers and sources ---------------------------------------------------------------------------------------
+
+_SPELLINGS = ("matterport3d", "Matterpod_3D", " Matterpot-3d ", "EgoExo4D", "ego_exo 4d", "")
+_SOURCE_SQL = "CASE doc_id % 7 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SPELLINGS)) + " ELSE source END"
+_NORM_SQL = """CASE WHEN replace(replace(lower(raw), '_', '-'), ' ', '') IN ('matterport3d', 'matterpod3d', 'matterpot3d') THEN 'matterport3d'
+    WHEN replace(replace(lower(raw), '_', '-'), ' ', '') IN ('egoexo4d', 'ego-exo4d') THEN 'Ego-Exo4D'
+    WHEN raw = '' THEN 'unknown_source' ELSE raw END"""
+_NORMAL_SOURCES = f"SELECT doc_id, {_NORM_SQL} AS source FROM (SELECT doc_id, trim(coalesce(nullif({_SOURCE_SQL}, ''), 'unknown_source')) AS raw FROM documents)"
+
+
+def _spelled() -> Column:
+    found = F.col("source")
+    for i, s in enumerate(_SPELLINGS):
+        found = F.when(F.col("doc_id") % 7 == i, s).otherwise(found)
+    return found
+
+
+@query(_NORMAL_SOURCES)
+def source_norm(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", t.normalise_source(_spelled()).alias("source"))
+
+
+@query("""
+    WITH d AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'a/b ' || doc_id END AS raw_id, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE source END AS source FROM documents),
+    s AS (SELECT doc_id, coalesce(source, 'unknown_source') || '__' || CASE WHEN raw_id = '' THEN 'sample_' || (1000000000 + doc_id) ELSE raw_id END AS sample_id FROM d)
+    SELECT doc_id, sample_id, regexp_replace(sample_id, '[^A-Za-z0-9._-]+', '_', 'g')
+        || printf('_%02d', doc_id % 120) || CASE WHEN doc_id % 2 = 0 THEN '.png' ELSE '.jpg' END AS member FROM s""")
+def sample_ids(spark: SparkSession, sf: str) -> DataFrame:
+    doc = F.col("doc_id")
+    raw = F.when(doc % 5 == 0, "").otherwise(F.concat(F.lit("a/b "), doc.cast("string")))
+    made = t.sample_id(F.when(doc % 11 != 0, F.col("source")), raw, t.row_ordinal(F.lit(1), doc))
+    rows = table(spark, sf, "documents").select("doc_id", made.alias("sample_id"))
+    mime = F.when(doc % 2 == 0, binary.PNG).otherwise(binary.JPEG)
+    return rows.select("doc_id", "sample_id", t.member_name(F.col("sample_id"), (doc % 120).cast("int"), mime).alias("member"))
+
+
+@query("""
+    WITH d AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN source || '___' || doc_id WHEN 1 THEN source || '__x__' || doc_id ELSE source || '_' || doc_id END AS id FROM documents)
+    SELECT doc_id, CASE WHEN contains(id, '__') THEN split_part(id, '__', 1) ELSE 'unknown_source' END AS source FROM d""")
+def id_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    doc = F.col("doc_id").cast("string")
+    made = F.when(F.col("doc_id") % 3 == 0, F.concat("source", F.lit("___"), doc)).when(F.col("doc_id") % 3 == 1, F.concat("source", F.lit("__x__"), doc)).otherwise(F.concat("source", F.lit("_"), doc))
+    return table(spark, sf, "documents").select("doc_id", t.source_of_id(made).alias("source"))
+
+
+# ---- placeholders --------------------------------------------------------------------------------------------------
+
+_TOKENS_SQL = "CASE WHEN doc_id % 4 = 1 THEN '<image> ' || text ELSE replace(text, ' the ', ' <IMAGE id=1> ') END"
+_TOKEN_RE = r"(?i)\s*(?:<\|image(?:_pad)?\|>|<image(?:_pad)?(?:\s[^>]*)?>)\s*"
+_CLEAN_SQL = r"trim(regexp_replace(regexp_replace({0}, '[ \t\f\v]+', ' ', 'g'), ' *\n *', chr(10), 'g'), ' ' || chr(10))"
+
+
+def _tokened() -> Column:
+    return F.when(F.col("doc_id") % 4 == 1, F.concat(F.lit("<image> "), "text")).otherwise(F.replace(F.col("text"), F.lit(" the "), F.lit(" <IMAGE id=1> ")))
+
+
+@query(f"SELECT doc_id, {_CLEAN_SQL.format(f'''regexp_replace({_TOKENS_SQL}, '{_TOKEN_RE}', ' ', 'g')''')} AS text FROM documents")
+def token_strip(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", t.strip_tokens(_tokened()).alias("text"))
+
+
+@query(f"SELECT doc_id, lower(trim(regexp_replace(regexp_replace({_TOKENS_SQL}, '{_TOKEN_RE}', ' ', 'g'), '\\s+', ' ', 'g'))) AS question FROM documents")
+def question_norm(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", t.normalise_question(_tokened()).alias("question"))
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, string_split_regex({_TOKENS_SQL}, '{_TOKEN_RE}') AS c FROM documents)
+    SELECT doc_id, len(c)::BIGINT - 1 AS slots, len(list_filter(c, lambda x: x <> ''))::BIGINT AS texts, list_sum(list_transform(c, lambda x: length(x)))::BIGINT AS chars FROM d""")
+def token_segments(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", t.chunks(_tokened()).alias("c"))
+    return rows.select(
+        "doc_id",
+        (F.size("c") - 1).cast("long").alias("slots"),
+        F.size(F.filter("c", lambda x: x != "")).cast("long").alias("texts"),
+        F.aggregate("c", F.lit(0).cast("long"), lambda n, x: n + F.length(x)).alias("chars"),
+    )
+
+
+_LAYOUT = f"""
+    SELECT doc_id, source, text AS shown, len(c) - 1 AS slots, len(c) > 1 AND c[1] <> '' AS before_, len(list_filter(c[2:len(c) - 1], lambda x: x <> '')) > 0 AS between_
+    FROM (SELECT doc_id, source, text, list_transform(string_split_regex(text, '{_TOKEN_RE}'), lambda x: trim(x, ' ' || chr(10))) AS c FROM (SELECT doc_id, source, {_TOKENS_SQL} AS text FROM documents))"""
+
+
+@query(f"""
+    SELECT count(*) AS total, count(*) FILTER (WHERE slots = 0) AS without_placeholder, count(*) FILTER (WHERE slots > 0) AS with_placeholder,
+        count(*) FILTER (WHERE before_ OR between_) AS deviant FROM ({_LAYOUT})""")
+def layout_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.layout_audit(table(spark, sf, "documents").select("doc_id", "text"), _tokened())
+
+
+@query(f"""
+    SELECT doc_id, source, slots::BIGINT AS slots, concat_ws(',', CASE WHEN before_ THEN 'leading_text' END, CASE WHEN between_ THEN 'between_text' END) AS flags,
+        CASE WHEN length(shown) > 400 THEN left(shown, 400) || '…' ELSE shown END AS snippet
+    FROM ({_LAYOUT}) WHERE before_ OR between_ ORDER BY doc_id LIMIT 1""")
+def first_deviant(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", "source", _tokened().alias("text"))
+    return validate.first_deviant(rows, F.col("text"), ["doc_id"]).drop("text").withColumn("slots", F.col("slots").cast("long"))
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, string_split_regex({_TOKENS_SQL}, '{_TOKEN_RE}') AS c, {_TOKENS_SQL} AS raw FROM documents),
+    n AS (SELECT *, len(c) - 1 AS slots, len(c) - 1 + (doc_id % 3 = 0)::INT AS images FROM d),
+    p AS (
+        SELECT doc_id, 2 * i + 1 AS ord, 'text' AS type, {_CLEAN_SQL.format('c[i + 1]')} AS value FROM n, range(slots + 1) r(i) WHERE images = slots AND images > 0
+        UNION ALL SELECT doc_id, 2 * i AS ord, 'image' AS type, printf('d_%02d.jpg', i - 1) AS value FROM n, range(1, slots + 1) r(i) WHERE images = slots AND images > 0
+        UNION ALL SELECT doc_id, i AS ord, 'image' AS type, printf('d_%02d.jpg', i) AS value FROM n, range(images) r(i) WHERE NOT (images = slots AND images > 0)
+        UNION ALL SELECT doc_id, images AS ord, 'text' AS type, {_CLEAN_SQL.format(f'''regexp_replace(raw, '{_TOKEN_RE}', ' ', 'g')''')} AS value FROM n WHERE NOT (images = slots AND images > 0))
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord) - 1 AS place, type, value FROM p WHERE value <> ''""")
+def interleave_parts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", _tokened().alias("text"))
+    n = t.slot_count(F.col("text")) + F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0)
+    rows = rows.withColumn("n", n)
+    numbers = F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: i < F.col("n"))
+    images = F.transform(numbers, lambda i: F.struct(t.member_name(F.lit("d"), i, F.lit(binary.JPEG)).alias("relative_path"), F.lit(binary.JPEG).alias("format"), i.alias("width"), i.alias("height")))
+    parts = rows.select("doc_id", F.posexplode(nested.interleave(F.col("text"), images)).alias("place", "p"))
+    return parts.select("doc_id", F.col("place").cast("long").alias("place"), "p.type", F.coalesce("p.text.string", "p.image.relative_path").alias("value"))
+
+
+# ---- classification ------------------------------------------------------------------------------------------------
+
+_QUESTIONS = (
+    "Is the {0} bigger than the {1}?", "How many {0}s are there?", "What is the distance between the {0} and the {1} (in meters)?",
+    "Which of {0} and {1} is closer to the wall?", "Is the {0} from the first image visible in the second image?", "What is the height of the {0}?",
+    "Order the two {0} according to their depth from near to far.", "Is it on the left, the {0}?", "From the multi-view objects {0}, {1}, identify the one farthest from the door.",
+    "Find the 3D bounding box that encapsulates the {0} in this visual representation.", "Does the camera translate past the {0}?", "Tell me about the {0}.",
+    "Based on the 3D positions of the objects, which one is placed at a higher elevation?", "", "Out of the objects: {0}, which one is the largest in size?",
+)
+_QUESTION_SQL = f"CASE p_partkey % {len(_QUESTIONS)} " + " ".join(
+    "WHEN {} THEN {}".format(i, " || ".join(x for part in q.replace("{0}", "\0p_name\0").replace("{1}", "\0p_brand\0").split("\0") for x in [part if part in ("p_name", "p_brand") else f"'{part}'"])) for i, q in enumerate(_QUESTIONS)
+) + " END"
+
+
+def _questions() -> Column:
+    found = F.lit("")
+    for i, q in enumerate(_QUESTIONS):
+        parts = [F.col(p) if p in ("p_name", "p_brand") else F.lit(p) for p in q.replace("{0}", "\0p_name\0").replace("{1}", "\0p_brand\0").split("\0")]
+        found = F.when(F.col("p_partkey") % len(_QUESTIONS) == i, F.concat(*parts)).otherwise(found)
+    return found
+
+
+def _category_sql(q: str, n: str) -> str:
+    count = f"CASE WHEN {n} > 1 THEN 'multi_view' ELSE 'single_view' END"
+    views = {"multi": "'multi_view'", "single": "'single_view'", "count": count}
+    steps = [f"WHEN {q} = '' THEN 'unknown.' || {count}"]
+    for task, scope, pattern in classify.rule_patterns():
+        steps.append("WHEN regexp_matches({}, '{}') THEN '{}.' || {}".format(q, pattern.replace("'", "''"), task, views[scope]))
+    return f"CASE {' '.join(steps)} ELSE CASE WHEN {n} > 1 THEN 'camera_motion.multi_view' ELSE 'position.single_view' END END"
+
+
+_CLASSIFIED = f"SELECT p_partkey, p_brand AS source, n_images, {_category_sql('q', 'n_images')} AS category FROM (SELECT *, p_partkey % 3 AS n_images, lower(trim(regexp_replace({_QUESTION_SQL}, '\\s+', ' ', 'g'))) AS q FROM part)"
+
+
+def classified(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("source"), _questions().alias("q"), (F.col("p_partkey") % 3).alias("n_images"))
+    return rows.select("p_partkey", "source", "n_images", classify.infer_category(F.col("q"), F.col("n_images")).alias("category"))
+
+
+@query(f"SELECT p_partkey, category FROM ({_CLASSIFIED})")
+def classify_questions(spark: SparkSession, sf: str) -> DataFrame:
+    return classified(spark, sf).select("p_partkey", "category")
+
+
+_META_SQL = """CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN 'not json' WHEN event_id % 7 = 2 THEN '[{}, ' || replace(props, '"k"', '"label"') || ', {"task": "late"}]'
+    WHEN event_id % 7 = 3 THEN replace(props, '"k"', '"other"') WHEN event_id % 7 = 4 THEN '{"category": "", "ability": "see"}' ELSE replace(props, '"k"', '"task"') END"""
+
+
+def _resolved(spark: SparkSession, sf: str) -> DataFrame:
+    e, props = F.col("event_id") % 7, F.col("props")
+    key = lambda name: F.replace(props, F.lit('"k"'), F.lit(f'"{name}"'))
+    meta = F.when(e == 1, "not json").when(e == 2, F.concat(F.lit("[{}, "), key("label"), F.lit(', {"task": "late"}]'))).when(e == 3, key("other")).when(e == 4, '{"category": "", "ability": "see"}').when(e > 4, key("task"))
+    rows = table(spark, sf, "events").select("event_id", meta.alias("meta_info"))
+    field, value = classify.resolve_category(rows.columns, F.col("meta_info"), F.lit("position.single_view"))
+    return rows.select("event_id", field.alias("field"), value.alias("category"))
+
+
+_RESOLVED = f"""
+    SELECT event_id, CASE WHEN k = 2 THEN 'meta_info[].label' WHEN k = 4 THEN 'meta_info.ability' WHEN k > 4 THEN 'meta_info.task' ELSE 'inferred_subtask_from_prompt' END AS field,
+        CASE WHEN k = 2 THEN json_extract_string(m, '$[1].label') WHEN k = 4 THEN json_extract_string(m, '$.ability') WHEN k > 4 THEN json_extract_string(m, '$.task') ELSE 'position.single_view' END AS category
+    FROM (SELECT event_id, event_id % 7 AS k, CASE WHEN event_id % 7 IN (2, 4, 5, 6) THEN {_META_SQL} END AS m FROM events)"""
+
+
+@query(_RESOLVED)
+def category_resolution(spark: SparkSession, sf: str) -> DataFrame:
+    return _resolved(spark, sf)
+
+
+@query(f"SELECT min_by(field, event_id) AS category_field, count(*) AS rows FROM ({_RESOLVED})")
+def category_field(spark: SparkSession, sf: str) -> DataFrame:
+    return _resolved(spark, sf).agg(F.min_by("field", "event_id").alias("category_field"), F.count("*").alias("rows"))
+
+
+def _dist_sql(key: str, rows: str) -> str:
+    return f"SELECT {key}, count(*) AS n, round_even(count(*)::DOUBLE / sum(count(*)) OVER (), 6)::DOUBLE AS ratio FROM ({rows}) GROUP BY {key}"
+
+
+@query(_dist_sql("category", _CLASSIFIED))
+def category_dist(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.distribution(classified(spark, sf), "category")
+
+
+@query(_dist_sql("source", _NORMAL_SOURCES))
+def source_dist(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.distribution(source_norm(spark, sf), "source")
+
+
+@query(_dist_sql("n_images", f"SELECT n_images::BIGINT AS n_images FROM ({_CLASSIFIED})"))
+def image_count_hist(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.distribution(classified(spark, sf), "n_images")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS dimension, {c}::VARCHAR AS key, count(*) AS n, round_even(count(*)::DOUBLE / sum(count(*)) OVER (), 6)::DOUBLE AS ratio FROM ({_CLASSIFIED}) GROUP BY {c}" for c in ("category", "source", "n_images")))
+def all_dists(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.distributions(classified(spark, sf), "category", "source", "n_images")
+
+
+# ---- image geometry ------------------------------------------------------------------------------------------------
+
+_SLOTS = "SELECT l_shipmode_ AS source, w, h FROM (SELECT l_returnflag || '-' || l_linestatus AS l_shipmode_, (l_partkey * 3) % 2600 AS w, (l_suppkey * 37) % 2100 AS h FROM lineitem)"
+
+
+def _bucket_sql(value: str, bounds: tuple) -> str:
+    return "CASE WHEN NOT (w > 0 AND h > 0) THEN 'unknown' " + " ".join(f"WHEN {value} < {b} THEN '{label}'" for b, label in bounds[:-1]) + f" ELSE '{bounds[-1][1]}' END"
+
+
+_MP_SQL, _EDGE_SQL = _bucket_sql("(w * h)::DOUBLE / 1000000.0", stats.MEGAPIXELS), _bucket_sql("least(w, h)", stats.SHORT_EDGES)
+
+
+def image_slots(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem")
+    return rows.select(F.concat_ws("-", "l_returnflag", "l_linestatus").alias("source"), (F.col("l_partkey") * 3 % 2600).alias("width"), (F.col("l_suppkey") * 37 % 2100).alias("height"))
+
+
+def _ordered_buckets(dist: DataFrame, bounds: tuple) -> DataFrame:
+    order = F.array_position(F.array(*[F.lit(b) for b in stats.bucket_order(bounds)]), F.col("bucket"))
+    return dist.withColumn("place", order)
+
+
+def _order_sql(bounds: tuple) -> str:
+    return "list_position([" + ", ".join(f"'{b}'" for b in stats.bucket_order(bounds)) + "], bucket)::BIGINT"
+
+
+@query(f"SELECT *, {_order_sql(stats.MEGAPIXELS)} AS place FROM ({_dist_sql('bucket', f'SELECT {_MP_SQL} AS bucket FROM ({_SLOTS})')})")
+def mp_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = image_slots(spark, sf).select(stats.megapixel_bucket(F.col("width"), F.col("height")).alias("bucket"))
+    return _ordered_buckets(stats.distribution(rows, "bucket"), stats.MEGAPIXELS)
+
+
+@query(f"SELECT *, {_order_sql(stats.SHORT_EDGES)} AS place FROM ({_dist_sql('bucket', f'SELECT {_EDGE_SQL} AS bucket FROM ({_SLOTS})')})")
+def edge_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = image_slots(spark, sf).select(stats.short_edge_bucket(F.col("width"), F.col("height")).alias("bucket"))
+    return _ordered_buckets(stats.distribution(rows, "bucket"), stats.SHORT_EDGES)
+
+
+def _geometry_sql(scope: str, where: str) -> str:
+    base = f"SELECT source, w, h, {_MP_SQL} AS mp, {_EDGE_SQL} AS edge, (w > 0 AND h > 0) AS known FROM ({_SLOTS})"
+    ends = ", ".join(f"{f}(CASE WHEN known THEN {c} END) AS {n}_{f}" for c, n in (("w", "width"), ("h", "height")) for f in ("min", "max")) if where else ", ".join(f"NULL::BIGINT AS {n}" for n in ("width_min", "width_max", "height_min", "height_max"))
+    nulls = ", ".join(f"NULL::BIGINT AS {n}" for n in ("width_min", "width_max", "height_min", "height_max"))
+    parts = [f"SELECT {scope} AS scope, 'total' AS kind, NULL AS bucket, count(*) AS n, count(*) FILTER (WHERE NOT known) AS unknown, {ends} FROM b {where}"]
+    for kind, col in (("megapixel", "mp"), ("short_edge", "edge")):
+        group = f"{where}, {col}" if where else f"GROUP BY {col}"
+        parts.append(f"SELECT {scope} AS scope, '{kind}' AS kind, {col} AS bucket, count(*) AS n, count(*) FILTER (WHERE NOT known) AS unknown, {nulls} FROM b {group}")
+    return f"WITH b AS ({base}) " + " UNION ALL ".join(parts)
+
+
+@query(_geometry_sql("NULL::VARCHAR", "").replace("NULL::VARCHAR AS scope, ", ""))
+def resolution_global(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.geometry(image_slots(spark, sf)).where("scope is null").drop("scope")
+
+
+@query(_geometry_sql("source", "GROUP BY source"))
+def resolution_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.geometry(image_slots(spark, sf)).where("scope is not null")
+
+
+@query(f"""
+    WITH m AS (SELECT source, {_MP_SQL} AS bucket FROM ({_SLOTS})), s AS (SELECT source, count(*) AS total FROM m GROUP BY source ORDER BY total DESC, source LIMIT 3),
+    b AS (SELECT unnest([{', '.join(f"'{x}'" for x in stats.bucket_order(stats.MEGAPIXELS))}]) AS bucket)
+    SELECT s.source, b.bucket, (SELECT count(*) FROM m WHERE m.source = s.source AND m.bucket = b.bucket) AS n FROM s, b""")
+def heatmap_dense(spark: SparkSession, sf: str) -> DataFrame:
+    made = stats.geometry(image_slots(spark, sf)).where("kind = 'megapixel' and scope is not null").select(F.col("scope").alias("source"), "bucket", "n")
+    return stats.dense_heatmap(made, 3, stats.MEGAPIXELS)
+
+
+# ---- payloads ------------------------------------------------------------------------------------------------------
+
+_PAYLOAD_SQL = """CASE doc_id % 6 WHEN 0 THEN base64(encode('abc' || doc_id)) WHEN 1 THEN 'data:image/png;base64,' || base64(encode('x' || doc_id))
+    WHEN 2 THEN NULL WHEN 3 THEN '' WHEN 4 THEN 'abcde' ELSE '!' || base64(encode('zz' || doc_id)) || '!' END"""
+
+
+def _payloads() -> Column:
+    coded = lambda head: F.base64(F.encode(F.concat(F.lit(head), F.col("doc_id").cast("string")), "UTF-8"))
+    k = F.col("doc_id") % 6
+    return F.when(k == 0, coded("abc")).when(k == 1, F.concat(F.lit("data:image/png;base64,"), coded("x"))).when(k == 3, "").when(k == 4, "abcde").when(k == 5, F.concat(F.lit("!"), coded("zz"), F.lit("!")))
+
+
+@query("""
+    SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'abc' || doc_id WHEN 1 THEN 'x' || doc_id WHEN 5 THEN 'zz' || doc_id END AS payload FROM documents""")
+def slot_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", _payloads().alias("slot"))
+    return rows.select("doc_id", F.decode(binary.payload(F.col("slot"), rows.schema["slot"].dataType, data_url=True), "UTF-8").alias("payload"))
+
+
+@query("""
+    WITH s AS (SELECT doc_id, doc_id % 6 AS k FROM documents)
+    SELECT count(*) AS checked, count(*) FILTER (WHERE k IN (0, 1, 5) AND doc_id % 10 <> 0) AS ok, count(*) FILTER (WHERE k IN (2, 3, 4)) AS decode_failed,
+        count(*) FILTER (WHERE k IN (0, 1, 5) AND doc_id % 10 = 0) AS invalid FROM s""")
+def slot_validity(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", _payloads().alias("slot"))
+    decoded = binary.payload(F.col("slot"), rows.schema["slot"].dataType, data_url=True)
+    # stands in for an image decoder: texts that end in 0 can't be read
+    return stats.slot_validity(rows.select(decoded.alias("decoded"), (~F.endswith(F.decode(decoded, "UTF-8"), F.lit("0"))).alias("readable")))
+
+
+@query("""
+    WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 9 THEN NULL WHEN count(l_orderkey) = 0 THEN [] ELSE list(l_linenumber) END AS l FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey),
+    s AS (SELECT coalesce(len(l), 0) AS slots, CASE WHEN l IS NULL THEN 'unsupported' WHEN len(l) = 0 THEN 'empty_list' ELSE 'list_of_dict' END AS shape FROM o)
+    SELECT shape, CASE WHEN shape IS NULL THEN 1 ELSE 0 END::TINYINT AS overall, count(*) AS rows, sum(slots)::BIGINT AS slots, count(*) FILTER (WHERE slots = 0) AS without_slots, round_even(avg(slots), 6)::DOUBLE AS average
+    FROM s GROUP BY GROUPING SETS ((shape), ())""")
+def shape_census(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("path"))).alias("l"))
+    rows = table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    empty = F.array().cast(rows.schema["l"].dataType)
+    rows = rows.select(F.when(F.col("o_orderkey") % 10 != 9, F.coalesce("l", empty)).alias("images"))
+    slots, shape = binary.image_shape(F.col("images"), rows.schema["images"].dataType)
+    return stats.census(rows.select(slots.alias("slots"), shape.alias("shape"))).withColumn("overall", F.col("overall").cast("tinyint"))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (1 + l_partkey % 4000)::INTEGER AS width, (1 + l_suppkey % 3000)::INTEGER AS height,
+        CASE l_partkey % 5 WHEN 0 THEN 'L' WHEN 1 THEN 'RGB' WHEN 2 THEN 'RGBA' WHEN 3 THEN '1' END AS mode FROM lineitem""")
+def png_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    width, height, k = 1 + F.col("l_partkey") % 4000, 1 + F.col("l_suppkey") % 3000, F.col("l_partkey") % 5
+    depth = F.when(k == 3, "01").otherwise("08")
+    colour = F.when(k == 1, "02").when(k == 2, "06").when(k == 4, "03").otherwise("00")
+    size = lambda x: F.lpad(F.hex(x.cast("long")), 8, "0")
+    data = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), size(width), size(height), depth, colour, F.lit("000000")))
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", binary.png_header(data).alias("x"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "x.width", "x.height", "x.mode")
+
+
+# ---- shards and pages ----------------------------------------------------------------------------------------------
+
+_SHARD = 96
+_ASSIGNED = f"SELECT doc_id, source, ord AS ordinal, (ord // {_SHARD})::INTEGER AS shard_id, (ord % {_SHARD})::INTEGER AS line_idx FROM (SELECT doc_id, source, row_number() OVER (ORDER BY source, doc_id) - 1 AS ord FROM documents)"
+
+
+def assigned(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", "source")
+    return shards.assign_shards(shards.write_ordinals(rows, "source", "doc_id"), _SHARD)
+
+
+@query(_ASSIGNED)
+def shard_assign(spark: SparkSession, sf: str) -> DataFrame:
+    return assigned(spark, sf).select("doc_id", "source", "ordinal", "shard_id", "line_idx")
+
+
+_INDEX = f"SELECT shard_id, n, (sum(n) OVER (ORDER BY shard_id) - n)::BIGINT AS start, (sum(n) OVER (ORDER BY shard_id) - 1)::BIGINT AS \"end\" FROM (SELECT shard_id, count(*) AS n FROM ({_ASSIGNED}) GROUP BY shard_id)"
+
+
+def shard_table(spark: SparkSession, sf: str) -> DataFrame:
+    return shards.prefix_sums(shards.shard_counts(assigned(spark, sf), _SHARD, emit_trailing_empty=False), "shard_id", "n")
+
+
+@query(_INDEX)
+def shard_index(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_table(spark, sf)
+
+
+@query(f"SELECT doc_id, o AS ordinal, (o // {_SHARD})::INTEGER AS shard_id, o % {_SHARD} AS line_idx FROM (SELECT doc_id, (doc_id * 7) % (SELECT count(*) FROM documents) AS o FROM documents)")
+def ordinal_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id")
+    total = docs.agg(F.count("*").alias("total"))
+    asked = docs.join(F.broadcast(total)).select("doc_id", (F.col("doc_id") * 7 % F.col("total")).alias("ordinal"))
+    return shards.locate(asked, shard_table(spark, sf))
+
+
+@query(f"SELECT shard_id, n, (n % 16 = 0 OR shard_id = max(shard_id) OVER ()) AS size_ok FROM (SELECT shard_id, count(*) AS n FROM ({_ASSIGNED}) GROUP BY shard_id)")
+def shard_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.shard_sizes(shards.shard_counts(assigned(spark, sf), _SHARD, emit_trailing_empty=False))
+
+
+@query(f"""
+    WITH a AS (SELECT DISTINCT shard_id FROM ({_ASSIGNED}) WHERE doc_id % 5 <> 0), b AS (SELECT DISTINCT shard_id + (shard_id % 3 = 2)::INT * 1000 AS shard_id FROM ({_ASSIGNED}))
+    SELECT shard_id, a.shard_id IS NOT NULL AS has_text, b.shard_id IS NOT NULL AS has_archive FROM a FULL JOIN b USING (shard_id)""")
+def shard_pairing(spark: SparkSession, sf: str) -> DataFrame:
+    rows = assigned(spark, sf)
+    archives = rows.select((F.col("shard_id") + F.when(F.col("shard_id") % 3 == 2, 1000).otherwise(0)).alias("shard_id"))
+    return recon.pair_shards(rows.where("doc_id % 5 <> 0"), archives)
+
+
+@query("""
+    WITH f AS (SELECT i // 100 AS file_index, doc_id, row_number() OVER (PARTITION BY i // 100 ORDER BY doc_id) - 1 AS row_in_file FROM (SELECT doc_id, doc_id AS i FROM documents))
+    SELECT file_index::BIGINT AS file_index, row_in_file, doc_id FROM f ORDER BY file_index, row_in_file LIMIT 250""")
+def capped_scan(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 100).alias("file_index"))
+    rows = rows.withColumn("row_in_file", (F.row_number().over(W.partitionBy("file_index").orderBy("doc_id")) - 1).cast("long"))
+    return shards.capped(rows, 250).select("file_index", "row_in_file", "doc_id")
+
+
+@query(f"SELECT doc_id, ordinal FROM ({_ASSIGNED}) WHERE ordinal BETWEEN 30 AND 39")
+def page_seq(spark: SparkSession, sf: str) -> DataFrame:
+    return shards.page(assigned(spark, sf), 4).select("doc_id", "ordinal")
+
+
+@query(f"SELECT shard_id, line_idx, doc_id FROM ({_ASSIGNED}) WHERE source = 'src3' AND (shard_id > 0 OR line_idx > 5) ORDER BY shard_id, line_idx LIMIT 10")
+def page_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    rows = assigned(spark, sf).where(t.normalise_source(F.col("source")) == t.normalise_source(F.lit(" src3 ")))
+    return shards.filtered_page(rows, (0, 5)).select("shard_id", "line_idx", "doc_id")
+
+
+@query(f"""
+    WITH s AS ({_SAMPLE_IDS}), f AS (SELECT conv_id, min_by(text, turn) AS x FROM conversations GROUP BY conv_id)
+    SELECT conv_id FROM s WHERE conv_id % 5 = 2 AND conv_id % 4 > 1""")
+def browse_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rows = samples(spark, sf)
+    return rows.where(nested.matches(F.col("id"), F.col("category"), F.col("data"), want_source="talk2", images="multi")).select("conv_id")
+
+
+# ---- joins ---------------------------------------------------------------------------------------------------------
+
+_LINES = "SELECT l_orderkey, max_by(l_partkey, (l_suppkey, l_partkey, l_linenumber)) AS part, l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber"
+
+
+@query("SELECT l_orderkey, max(struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey)).a AS line, max(struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey)).b AS part FROM lineitem GROUP BY l_orderkey")
+def last_wins(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), "l_suppkey")
+    return recon.last_wins(rows, "l_orderkey", ["line", "part", "l_suppkey"], ["line", "part"])
+
+
+@query("SELECT count(*) - count(DISTINCT l_orderkey * 100 + l_linenumber) AS duplicates FROM lineitem")
+def duplicate_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return recon.duplicate_count(table(spark, sf, "lineitem").select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id")), "id")
+
+
+_REFERENCES = "SELECT DISTINCT 'o' || l_orderkey || '_' || l_linenumber || '.jpg' AS path FROM lineitem"
+_MEMBERS = "SELECT 'o' || l_orderkey || '_' || l_linenumber || '.jpg' AS name, max(l_suppkey % 9) AS size FROM lineitem WHERE l_partkey % 11 <> 0 GROUP BY ALL"
+
+
+@query(f"""
+    WITH j AS (SELECT path, size, size % 4 <> 3 AS ok FROM ({_REFERENCES}) LEFT JOIN ({_MEMBERS}) ON path = name),
+    c AS (SELECT count(*) AS checked, count(*) FILTER (WHERE size IS NULL) AS missing, count(*) FILTER (WHERE size = 0) AS empty, count(*) FILTER (WHERE size > 0 AND NOT ok) AS unreadable FROM j)
+    SELECT *, missing + empty + unreadable AS abnormal FROM c""")
+def missing_members(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem")
+    name = F.concat(F.lit("o"), "l_orderkey", F.lit("_"), "l_linenumber", F.lit(".jpg"))
+    size = F.col("l_suppkey") % 9
+    members = rows.where("l_partkey % 11 <> 0").select(F.lit(0).alias("shard_id"), name.alias("name"), size.alias("size"), (size % 4 != 3).alias("readable"))
+    return recon.check_references(rows.select(name.alias("path")).distinct(), members)
+
+
+@query("""
+    WITH s AS (SELECT o_orderkey AS k, 's__' || o_orderkey AS sample_id, 1 + o_orderkey % 3 AS n FROM orders),
+    g AS (SELECT k, sample_id, n, i::INTEGER AS slot FROM s, range(3) r(i) WHERE i < greatest(n, CASE WHEN k % 5 = 0 THEN 0 ELSE 2 END)),
+    e AS (SELECT *, (k % 5 <> 0 AND slot < 2) AS listed, CASE WHEN slot < n AND (k + slot) % 7 <> 0 THEN 1000 + k % 500 END AS src FROM g),
+    m AS (SELECT *, CASE WHEN listed OR k % 2 = 0 THEN '.jpg' WHEN k % 3 = 0 THEN '.png' ELSE '' END AS ext FROM e)
+    SELECT sample_id, slot, sample_id || '_0' || slot || CASE WHEN ext = '' THEN '.jpg' ELSE ext END AS image_id, src / 1024.0::DOUBLE AS source_kb,
+        CASE WHEN ext <> '' AND NOT (listed AND k % 2 = 1) THEN (900 + k % 700) / 1024.0::DOUBLE END AS output_kb,
+        CASE WHEN ext <> '' AND NOT (listed AND k % 2 = 1) THEN src / 1024.0::DOUBLE - (900 + k % 700) / 1024.0::DOUBLE END AS diff_kb FROM m""")
+def reconcile_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("s__"), k.cast("string")).alias("sample_id"))
+    sizes = F.filter(F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda i: F.struct(i.alias("i"), F.when((k + i) % 7 != 0, 1000 + k % 500).alias("v"))), lambda x: x["i"] < 1 + k % 3)
+    source = rows.select("sample_id", F.transform(sizes, lambda x: x["v"]).alias("sizes"))
+    name = lambda slot, mime: t.member_name(F.col("sample_id"), F.lit(slot), F.lit(mime))
+    outputs = rows.where(k % 5 != 0).select("sample_id", F.array(name(0, binary.JPEG), name(1, binary.JPEG)).alias("paths"))
+    jpg, png = rows.where(k % 2 == 0), rows.where((k % 2 != 0) & (k % 3 == 0))
+    size = (900 + k % 700).alias("size")
+    members = jpg.select(F.explode(F.array(*[name(i, binary.JPEG) for i in range(3)])).alias("name"), size).unionByName(png.select(F.explode(F.array(*[name(i, binary.PNG) for i in range(3)])).alias("name"), size))
+    return recon.reconcile(source, outputs, members)
+
+
+# ---- rankings ------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT p_type AS key, count(*) AS n FROM part GROUP BY p_type ORDER BY n DESC, key LIMIT 5")
+def topk_sources(spark: SparkSession, sf: str) -> DataFrame:
+    dist = table(spark, sf, "part").groupBy(F.col("p_type").alias("key")).agg(F.count("*").alias("n"))
+    return stats.top_k(dist, 5)
+
+
+@query("""
+    WITH d AS (SELECT p_brand AS key, count(*) AS n FROM part GROUP BY p_brand), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, key) AS k, count(*) OVER () AS keys FROM d),
+    g AS (SELECT CASE WHEN keys <= 6 OR k < 6 THEN key ELSE 'others' END AS key, sum(n)::BIGINT AS n FROM r GROUP BY 1)
+    SELECT key, n, (n / sum(n) OVER ())::DOUBLE AS share FROM g""")
+def topn_others(spark: SparkSession, sf: str) -> DataFrame:
+    dist = table(spark, sf, "part").groupBy(F.col("p_brand").alias("key")).agg(F.count("*").alias("n"))
+    return stats.top_with_rest(dist, 6).withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy()))
+
+
+@query("""
+    SELECT event_id, 'k' AS key, json_extract(props, '$.k')::BIGINT AS n FROM events""")
+def dist_parse(spark: SparkSession, sf: str) -> DataFrame:
+    number = F.regexp_extract("props", r"(-?\d+)", 1)
+    made = F.concat(F.lit('{"k": {"count": '), number, F.lit(', "ratio": 0.5}, "bad": 3, "worse": {"count": "x"}}'))
+    rows = table(spark, sf, "events").select("event_id", F.explode(stats.parse_distribution(made)).alias("e"))
+    return rows.select("event_id", "e.key", "e.n")
+
+
+# ---- geometry of boxes ---------------------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT conv_id, turn, CASE WHEN conv_id % 3 <> 0 THEN (40 + conv_id % 50)::DOUBLE + 0.25 END AS hfov, CASE WHEN conv_id % 3 <> 0 THEN (30 + turn)::DOUBLE END AS vfov,
+        CASE WHEN conv_id % 3 <> 0 THEN 256.0::DOUBLE END AS width, CASE WHEN conv_id % 3 <> 0 THEN 192.0::DOUBLE END AS height FROM conversations""")
+def camera_params(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    head = F.format_string("Horizontal HFOV = %d.25, and vertical fov, vfov=%d. Image width=256 and ", 40 + F.col("conv_id") % 50, 30 + F.col("turn"))
+    text = F.concat(head, F.when(F.col("conv_id") % 3 != 0, "height=192. ").otherwise("no more. "), "text")
+    rows = rows.select("conv_id", "turn", geom3d.camera(text).alias("c"))
+    return rows.select("conv_id", "turn", "c.hfov", "c.vfov", "c.width", "c.height")
+
+
+def _box_text() -> Column:
+    number = F.transform(F.slice("embedding", 1, 10), lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string"))
+    nine, eight = F.array_join(F.slice(number, 1, 9), ", "), F.array_join(F.slice(number, 1, 8), ", ")
+    k = F.col("vec_id") % 6
+    return (
+        F.when(k == 0, F.concat(F.lit('[{"label": "b'), "label", F.lit('", "bbox_3d": ['), nine, F.lit("]}]")))
+        .when(k == 1, F.concat(F.lit('{"bbox_3d": ['), nine, F.lit("]}")))
+        .when(k == 2, F.concat(F.lit("[{'label': 'q', 'bbox_3d': ["), F.array_join(number, ", "), F.lit("]}]")))
+        .when(k == 3, F.concat(F.lit('[{"label": "short", "bbox_3d": ['), eight, F.lit("]}]")))
+        .when(k == 4, F.lit("no boxes here"))
+        .otherwise(F.concat(F.lit('[{"label": "", "bbox_3d": ['), nine, F.lit(']}, {"label": "two", "bbox_3d": ['), nine, F.lit("]}]")))
+    )
+
+
+@query("""
+    WITH v AS (SELECT vec_id, label, vec_id % 6 AS k, list_transform(embedding[1:9], lambda x: round(x::DOUBLE * 1000)::DOUBLE + 0.0::DOUBLE) AS b FROM embeddings),
+    r AS (
+        SELECT vec_id, 0 AS place, CASE k WHEN 0 THEN 'b' || label WHEN 2 THEN 'q' ELSE 'object' END AS name, b FROM v WHERE k IN (0, 1, 2, 5)
+        UNION ALL SELECT vec_id, 1, 'two', b FROM v WHERE k = 5)
+    SELECT vec_id, place::BIGINT AS place, name, b[1] AS first, b[9] AS last, list_sum(b)::DOUBLE AS total FROM r""")
+def box_parse(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(geom3d.boxes(_box_text())).alias("place", "b"))
+    box = F.col("b.bbox_3d")
+    total = F.aggregate(box, F.lit(0.0), lambda s, x: s + x)
+    return rows.select("vec_id", F.col("place").cast("long").alias("place"), F.col("b.label").alias("name"), F.get(box, 0).alias("first"), F.get(box, 8).alias("last"), total.alias("total"))
+
+
+#: Width, height and angles of the stand-in camera.
+_CAM = (256.0, 192.0, 62.26, 48.74)
+_BOX_SQL = "SELECT vec_id, e[1] * 4 AS x, e[2] * 4 AS y, e[3] * 8 + 0.5 AS z, abs(e[4]) * 5 + 0.1 AS sx, abs(e[5]) * 5 + 0.1 AS sy, abs(e[6]) * 5 + 0.1 AS sz, e[7] * 3 AS roll, e[8] * 3 AS pitch, e[9] * 3 AS yaw FROM (SELECT vec_id, list_transform(embedding[1:9], lambda x: x::DOUBLE) AS e FROM embeddings)"
+_CORNERS_SQL = f"""
+    SELECT vec_id, i, x + (cos(yaw) * cos(roll) + sin(yaw) * sin(pitch) * sin(roll)) * lx + (sin(yaw) * sin(pitch) * cos(roll) - cos(yaw) * sin(roll)) * ly + sin(yaw) * cos(pitch) * lz AS cx,
+        y + cos(pitch) * sin(roll) * lx + cos(pitch) * cos(roll) * ly - sin(pitch) * lz AS cy,
+        z + (cos(yaw) * sin(pitch) * sin(roll) - sin(yaw) * cos(roll)) * lx + (sin(yaw) * sin(roll) + cos(yaw) * sin(pitch) * cos(roll)) * ly + cos(yaw) * cos(pitch) * lz AS cz
+    FROM (SELECT *, [-1, 1, 1, -1, -1, 1, 1, -1][i + 1] * sx / 2 AS lx, [-1, -1, 1, 1, -1, -1, 1, 1][i + 1] * sy / 2 AS ly, [-1, -1, -1, -1, 1, 1, 1, 1][i + 1] * sz / 2 AS lz FROM ({_BOX_SQL}), range(8) r(i))"""
+
+
+def _boxes(spark: SparkSession, sf: str) -> DataFrame:
+    e = [F.get("embedding", i).cast("double") for i in range(9)]
+    box = F.array(e[0] * 4, e[1] * 4, e[2] * 8 + 0.5, *[F.abs(e[i]) * 5 + 0.1 for i in (3, 4, 5)], *[e[i] * 3 for i in (6, 7, 8)])
+    w, h, hfov, vfov = _CAM
+    cam = F.struct(F.lit(hfov).alias("hfov"), F.lit(vfov).alias("vfov"), F.lit(w).alias("width"), F.lit(h).alias("height"))
+    return table(spark, sf, "embeddings").select("vec_id", box.alias("box"), cam.alias("cam")).withColumn("corners", geom3d.corners(F.col("box")))
+
+
+def _rounded(c: Column) -> Column:
+    return F.round(c, 3) + F.lit(0.0)
+
+
+@query(f"SELECT vec_id, i AS corner, round(cx, 3) + 0.0 AS x, round(cy, 3) + 0.0 AS y, round(cz, 3) + 0.0 AS z FROM ({_CORNERS_SQL})")
+def box_corners(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _boxes(spark, sf).select("vec_id", F.posexplode("corners").alias("corner", "c"))
+    return rows.select("vec_id", F.col("corner").cast("long").alias("corner"), *[_rounded(F.col(f"c.{k}")).alias(k) for k in "xyz"])
+
+
+def _project_sql(x: str, y: str, z: str) -> str:
+    w, h, hfov, vfov = _CAM
+    return f"CASE WHEN {z} > 1e-6 THEN {w}::DOUBLE / 2 / tan(radians({hfov}::DOUBLE) / 2) * ({x} / {z}) + {w}::DOUBLE / 2 END AS u, CASE WHEN {z} > 1e-6 THEN {h}::DOUBLE / 2 / tan(radians({vfov}::DOUBLE) / 2) * ({y} / {z}) + {h}::DOUBLE / 2 END AS v"
+
+
+@query(f"SELECT vec_id, i AS corner, round(u, 2) + 0.0 AS u, round(v, 2) + 0.0 AS v FROM (SELECT vec_id, i, {_project_sql('cx', 'cy', 'cz')} FROM ({_CORNERS_SQL}) WHERE cz > 0.01 OR cz < 0)")
+def box_project(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _boxes(spark, sf).select("vec_id", "cam", F.posexplode("corners").alias("corner", "c")).where("c.z > 0.01 or c.z < 0")
+    rows = rows.select("vec_id", F.col("corner").cast("long").alias("corner"), geom3d.project(F.col("c"), F.col("cam")).alias("p"))
+    return rows.select("vec_id", "corner", *[(F.round(f"p.{k}", 2) + F.lit(0.0)).alias(k) for k in "uv"])
+
+
+_EDGES_SQL = f"""
+    WITH c AS ({_CORNERS_SQL}), e AS (SELECT * FROM (VALUES {', '.join(f'({k}, {a}, {b})' for k, (a, b) in enumerate(geom3d.EDGES))}) t(edge, a, b)),
+    s AS (SELECT p.vec_id, e.edge, p.cx AS x0, p.cy AS y0, p.cz AS z0, q.cx AS x1, q.cy AS y1, q.cz AS z1 FROM e JOIN c p ON p.i = e.a JOIN c q ON q.i = e.b AND q.vec_id = p.vec_id)
+    SELECT vec_id, edge::INTEGER AS edge, (z0 < {geom3d.NEAR}) AS cut_start, (z1 < {geom3d.NEAR}) AS cut_end FROM s WHERE z0 >= {geom3d.NEAR} OR z1 >= {geom3d.NEAR}"""
+
+
+@query(_EDGES_SQL)
+def box_edges(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _boxes(spark, sf)
+    segments = rows.select("vec_id", "corners", F.explode(geom3d.edge_segments(F.col("corners"), F.col("cam"))).alias("s"))
+    ends = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in geom3d.EDGES])
+    z = lambda k: F.get("corners", F.get(ends, F.col("s.edge"))[k])["z"]
+    return segments.select("vec_id", "s.edge", (z("a") < geom3d.NEAR).alias("cut_start"), (z("b") < geom3d.NEAR).alias("cut_end"))
