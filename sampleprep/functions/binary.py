@@ -80,15 +80,14 @@ def jpeg_size(data: bytes | None) -> tuple[int, int] | None:
     return None
 
 
-@F.pandas_udf("width int, height int")
-def _jpeg_header(data: pd.Series) -> pd.DataFrame:
-    sizes = [jpeg_size(x) or (-1, -1) for x in data]
-    return pd.DataFrame(sizes, columns=["width", "height"])
+def _jpeg_headers(data: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([jpeg_size(x) or (-1, -1) for x in data], columns=["width", "height"])
 
 
 def geometry(data: Column) -> Column:
     """Struct format, width, height of an encoded image: PNG natively, JPEG by its frame header; -1 where unknown."""
-    png, jpeg = png_header(data), _jpeg_header(F.when(F.substring(data, 1, 2) == F.lit(_JPEG_MAGIC), data))
+    read = F.pandas_udf(_jpeg_headers, T.StructType([T.StructField(n, T.IntegerType()) for n in ("width", "height")]))
+    png, jpeg = png_header(data), read(F.when(F.substring(data, 1, 2) == F.lit(_JPEG_MAGIC), data))
     is_png = F.substring(data, 1, 8) == F.lit(_PNG_MAGIC)
     return F.struct(
         F.when(is_png, PNG).otherwise(JPEG).alias("format"),

@@ -23,7 +23,6 @@ def camera(text: Column) -> Column:
     return F.when(complete[0] & complete[1] & complete[2] & complete[3], F.struct(*[v.alias(k) for k, v in found.items()]))
 
 
-@F.pandas_udf(_BOXES)
 def _literal_boxes(text: pd.Series) -> pd.Series:
     """Boxes of Python literals that aren't JSON (tuples, None, True)."""
 
@@ -49,7 +48,7 @@ def boxes(text: Column, literals: bool = False) -> Column:
     """
     parsed = F.from_json(text, _BOXES)
     if literals:
-        parsed = F.coalesce(parsed, _literal_boxes(F.when(parsed.isNull(), text)))
+        parsed = F.coalesce(parsed, F.pandas_udf(_literal_boxes, _BOXES)(F.when(parsed.isNull(), text)))
     whole = F.filter(F.coalesce(parsed, F.array().cast(_BOXES)), lambda b: (F.size(b["bbox_3d"]) >= 9) & F.forall(F.slice(b["bbox_3d"], 1, 9), lambda v: v.isNotNull()))
     return F.transform(whole, lambda b: F.struct(F.coalesce(F.when(b["label"] != "", b["label"]), F.lit("object")).alias("label"), F.slice(b["bbox_3d"], 1, 9).alias("bbox_3d")))
 
