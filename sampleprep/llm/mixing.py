@@ -108,8 +108,8 @@ def mix_sources(
 def mixed_sequence(mixed: DataFrame) -> DataFrame:
     """All copies of mix_sources() in mixed order: range-sorted by finish time."""
     return (
-        mixed.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.greatest("copies", F.lit(1)))) - 1)
-        .where("copies > 0")
+        mixed.where("copies > 0")
+        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
         .withColumn("at", _order(F.col("epoch")))
         .orderBy("at")
         .select("id", "epoch", "size", "source", F.col("at.finish").alias("finish"))

@@ -190,7 +190,7 @@ class Decoder:
 def _may_hide(raw: bytes) -> bool:
     """False if _DISGUISED can match nothing in this text."""
     x = np.frombuffer(raw, dtype=np.uint8)
-    if len(x) < 3:
+    if len(x) < 2:
         return False
     kind = _KIND[x]
     letter, mark = kind == 1, kind == 2
