@@ -2,7 +2,8 @@
 
 The first pass reads each text once and shuffles only counts by (length, prefix hash), summed before the
 shuffle. What can still have a twin is put in a bitmap of fixed size, which is broadcast; the second pass
-computes the full hash only where the bitmap says so and groups by it. Texts are never shuffled. A false hit of
+computes the full hash only where the bitmap says so and groups by it. Texts are never shuffled. The counts by pair and the
+groups are copied, so that each is computed once and a large group's rows are split in the last join. A false hit of
 the bitmap costs one hash and one small row, never a wrong result, so results are exact at every size.
 
 Defined cases: null text is the empty text; all empty texts are one group; a null id sorts behind every other
