@@ -490,8 +490,7 @@ def shard_index(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT doc_id, o AS ordinal, (o // {_SHARD})::INTEGER AS shard_id, o % {_SHARD} AS line_idx FROM (SELECT doc_id, (doc_id * 7) % (SELECT count(*) FROM documents) AS o FROM documents)")
 def ordinal_lookup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id")
-    total = docs.agg(F.count("*").alias("total"))
-    asked = docs.join(F.broadcast(total)).select("doc_id", (F.col("doc_id") * 7 % F.col("total")).alias("ordinal"))
+    asked = docs.select("doc_id", (F.col("doc_id") * 7 % docs.agg(F.count("*")).scalar()).alias("ordinal"))
     return shards.locate(asked, shard_table(spark, sf))
 
 

@@ -36,8 +36,8 @@ def check_references(references: DataFrame, members: DataFrame, validate: bool =
     empty = ~missing & (F.col("m.size") == 0)
     bad = ~missing & ~empty & ~F.col("m.readable") if validate else F.lit(False)
     counts = joined.agg(F.count("*").alias("checked"), F.count_if(missing).alias("missing"), F.count_if(empty).alias("empty"), F.count_if(bad).alias("unreadable"))
-    some = members.limit(1).agg((F.count("*") > 0).alias("some"))
-    kept = counts.join(F.broadcast(some)).select(*[F.when(F.col("some"), F.col(c)).otherwise(F.lit(0)).cast("long").alias(c) for c in ("checked", "missing", "empty", "unreadable")])
+    some = members.limit(1).agg(F.count("*") > 0).scalar()
+    kept = counts.select(*[F.when(some, F.col(c)).otherwise(F.lit(0)).cast("long").alias(c) for c in ("checked", "missing", "empty", "unreadable")])
     return kept.withColumn("abnormal", F.col("missing") + F.col("empty") + F.col("unreadable"))
 
 

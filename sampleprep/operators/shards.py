@@ -7,17 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Columns file_index (files sorted by path) and row_in_file for a frame read from files.
+#: A list of files is broadcast up to this many (some 20 MB); a longer one is joined by shuffle.
+MOST_FILES = 200_000
 
-    The index comes from the driver's list of files, so it is as small as that.
-    """
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Columns file_index (files sorted by path) and row_in_file for a frame read from files."""
     files = sorted(df.inputFiles())
-    spark = df.sparkSession
-    index = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "path string, file_index int")
+    index = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)], "path string, file_index int")
+    index = index.select(F.regexp_replace("path", "^file:/+", "/").alias("__file"), "file_index")
     rows = df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("row_in_file"))
     key = F.regexp_replace("__path", "^file:/+", "/")
-    return rows.join(F.broadcast(index.select(F.regexp_replace("path", "^file:/+", "/").alias("__file"), "file_index")), key == F.col("__file")).drop("__path", "__file")
+    return rows.join(F.broadcast(index) if len(files) <= MOST_FILES else index, key == F.col("__file")).drop("__path", "__file")
 
 
 def prefix_sums(counts: DataFrame, key: str, n: str) -> DataFrame:
@@ -26,23 +27,28 @@ def prefix_sums(counts: DataFrame, key: str, n: str) -> DataFrame:
     return counts.select(key, n, (upto - F.col(n)).alias("start"), (upto - 1).alias("end"))
 
 
-def file_quotas(counts: DataFrame, cap: int) -> DataFrame:
-    """file_index and how many of its first rows a cap over all files, in order, lets through."""
-    sums = prefix_sums(counts, "file_index", "n")
-    return sums.select("file_index", F.least(F.col("n"), F.greatest(F.lit(0), F.lit(cap) - F.col("start"))).alias("quota"))
-
-
 def capped(df: DataFrame, cap: int) -> DataFrame:
-    """The first cap rows by (file_index, row_in_file): a quota per file, no sort."""
-    quotas = file_quotas(df.groupBy("file_index").agg(F.count("*").alias("n")), cap)
-    return df.join(F.broadcast(quotas), "file_index").where("row_in_file < quota").drop("quota")
+    """The first cap rows by (file_index, row_in_file): the file where the cap falls is found from row counts, nothing is sorted."""
+    sums = prefix_sums(df.groupBy("file_index").agg(F.count("*").alias("n")), "file_index", "n")
+    cut = sums.where(F.col("end") >= cap).orderBy("file_index").select("file_index", (F.lit(cap) - F.col("start")).alias("rows")).first()
+    if cut is None:
+        return df
+    return df.where((F.col("file_index") < cut.file_index) | (F.col("file_index") == cut.file_index) & (F.col("row_in_file") < cut.rows))
 
 
-def write_ordinals(df: DataFrame, group: str, order: str) -> DataFrame:
-    """ordinal over all rows by (group, order): a number inside each group plus the rows of the groups before it."""
-    counts = prefix_sums(df.groupBy(group).agg(F.count("*").alias("n")), group, "n").select(F.col(group).alias("__g"), "start")
-    inside = F.row_number().over(W.partitionBy(group).orderBy(order)) - 1
-    return df.withColumn("inside", inside).join(counts, F.col(group) == F.col("__g")).withColumn("ordinal", F.col("start") + F.col("inside")).drop("__g", "start", "inside")
+def write_ordinals(df: DataFrame, group: str, order: str, width: int = 1 << 16) -> DataFrame:
+    """ordinal over all rows by (group, order); order is a whole number.
+
+    Rows are numbered inside ranges of order that are width wide, and the ranges by their row counts, so a group of any size is
+    spread over tasks of at most width rows (as order is unique in a group).
+    """
+    ranged = df.withColumn("range_", F.floor(F.col(order) / width))
+    before = W.orderBy(group, "range_").rowsBetween(W.unboundedPreceding, -1)
+    counts = ranged.groupBy(group, "range_").agg(F.count("*").alias("n"))
+    starts = counts.select(F.col(group).alias("g_"), F.col("range_").alias("r_"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start_"))
+    joined = ranged.join(starts, ranged[group].eqNullSafe(F.col("g_")) & (F.col("range_") == F.col("r_")))
+    inside = F.row_number().over(W.partitionBy(group, "range_").orderBy(order)) - 1
+    return joined.withColumn("ordinal", F.col("start_") + inside).drop("g_", "r_", "start_", "range_")
 
 
 def assign_shards(ordered: DataFrame, shard_size: int) -> DataFrame:
@@ -68,17 +74,15 @@ def locate(ordinals: DataFrame, index: DataFrame) -> DataFrame:
     width = F.max(F.greatest(F.col("end") - F.col("start") + 1, F.lit(1))).over(W.partitionBy())
     bands = index.where("end >= start").withColumn("width", width)
     bands = bands.withColumn("band", F.explode(F.sequence(F.floor(F.col("start") / F.col("width")), F.floor(F.col("end") / F.col("width")))))
-    one = bands.agg(F.max("width").alias("w"))
-    asked = ordinals.join(F.broadcast(one)).withColumn("band", F.floor(F.col("ordinal") / F.col("w"))).drop("w")
+    asked = ordinals.withColumn("band", F.floor(F.col("ordinal") / bands.agg(F.max("width")).scalar()))
     found = asked.join(bands.drop("width", "n"), "band").where(F.col("ordinal").between(F.col("start"), F.col("end")))
     return found.select(*ordinals.columns, "shard_id", (F.col("ordinal") - F.col("start")).alias("line_idx"))
 
 
 def page(ordered: DataFrame, number: int, size: int = 10) -> DataFrame:
     """Rows of a page (from 1) by ordinal; numbers outside are moved to the first or last page."""
-    pages = ordered.agg(F.greatest(F.ceil((F.max("ordinal") + 1) / size), F.lit(1)).alias("pages"))
-    at = pages.select(F.greatest(F.lit(1), F.least(F.lit(number), F.col("pages"))).alias("at"))
-    return ordered.join(F.broadcast(at)).where((F.col("ordinal") >= (F.col("at") - 1) * size) & (F.col("ordinal") < F.col("at") * size)).drop("at")
+    at = ordered.agg(F.greatest(F.lit(1), F.least(F.lit(number), F.ceil((F.max("ordinal") + 1) / size)))).scalar()
+    return ordered.where((F.col("ordinal") >= (at - 1) * size) & (F.col("ordinal") < at * size))
 
 
 def filtered_page(rows: DataFrame, after: tuple[int, int] | None, size: int = 10) -> DataFrame:

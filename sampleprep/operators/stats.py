@@ -94,9 +94,8 @@ def top_with_rest(dist: DataFrame, most: int, rest: str = "others", key: str = "
     most = max(3, most)
     # the ranks come from the largest keys alone, so no window has to hold all keys
     head = ranked(dist, key, n).limit(most + 1).withColumn("rank", F.row_number().over(W.orderBy(F.desc(n), F.asc(key))))
-    over = head.where(F.col("rank") == most + 1).select(F.lit(True).alias("over"))
-    kept = head.where(F.col("rank") <= most).join(F.broadcast(over), how="left").where((F.col("rank") < most) | F.col("over").isNull()).select(key, n)
-    total = dist.agg(F.sum(n).alias("total")).join(F.broadcast(kept.agg(F.sum(n).alias("kept")))).select(F.lit(rest).alias(key), (F.col("total") - F.col("kept")).alias(n))
+    kept = head.where((F.col("rank") < most) | (F.col("rank") == most) & (head.agg(F.max("rank")).scalar() == most)).select(key, n)
+    total = dist.agg((F.sum(n) - kept.agg(F.sum(n)).scalar()).alias(n)).select(F.lit(rest).alias(key), n)
     return kept.unionByName(total.where(F.col(n) > 0))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sampleprep.functions import binary, classify
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats
+from sampleprep.session import ship
 from sampleprep.sources.shards import _open, read_members, read_samples, register
 
 
@@ -55,6 +56,7 @@ def build_samples(prepared: DataFrame) -> DataFrame:
 
     Slots are taken apart, measured and put together again by row, so that the one Python step sees payloads of JPEGs only.
     """
+    ship(prepared.sparkSession)
     valid = prepared.where("valid").withColumn("slots", encoded_images(prepared))
     one = valid.select("ordinal_", "sample_id", F.explode("slots").alias("s")).select("ordinal_", "sample_id", "s.i", "s.payload", binary.geometry(F.col("s.payload")).alias("g"))
     image = F.struct(t.member_name(F.col("sample_id"), F.col("i"), F.col("g.format")).alias("relative_path"), F.col("g.format").alias("format"), F.col("g.width").alias("width"), F.col("g.height").alias("height"))

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -24,3 +31,23 @@ def local_session(cpus: int | str = "*", partitions: int = 8, driver_memory: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of this application, once; they may run where it isn't installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    made = Path(tempfile.mkdtemp(prefix="sampleprep-")) / "sampleprep_package.zip"
+    with zipfile.ZipFile(made, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(made))
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """mapInArrow for functions of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)

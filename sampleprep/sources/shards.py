@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
+from sampleprep.session import ship
+
 _SHARD = re.compile(r"data_(\d+)\.(?:tar|jsonl)$")
 MEMBERS = "shard_id int, name string, size long, payload binary"
 
@@ -139,6 +141,7 @@ class TarShards(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(TarShards)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
