@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sampleprep.session import map_arrow
+
 _LETTER = re.compile(r"[^\W\d_]")
 WIDTHS = (2, 3, 4)
 
@@ -175,7 +177,7 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
                     results[k] = r
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in results], pa.string()), pa.array([r[1] for r in results], pa.float64())], ["id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, schema)
 
 
 def fold_of(id_col: str, folds: int) -> Column:
@@ -204,4 +206,4 @@ def keep_identified(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     names = docs.columns
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from sampleprep.llm.common import checkpointed
 from sampleprep.llm.tokens import WordTokens
+from sampleprep.session import map_arrow
 
 CAPACITY = 2048
 
@@ -134,14 +135,14 @@ def pack(
             members = pa.concat_arrays(members.chunks) if members.num_chunks != 1 else members.chunk(0)
             yield _merged(members, np.asarray(together.column("fill"), dtype=np.int64), capacity, nearly)
 
-    bins = checkpointed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(first, schema))
+    bins = checkpointed(map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), first, schema))
     done, left = [bins.where("done")], bins.where("not done")
     tasks, rows = bins.rdd.getNumPartitions(), left.count()
     while tasks > 1 and rows > 1:
         fewer = max(-(-tasks // fan_in), -(-rows // most_bins))
         if fewer >= tasks:
             break
-        bins = checkpointed(left.coalesce(fewer).mapInArrow(again, schema))
+        bins = checkpointed(map_arrow(left.coalesce(fewer), again, schema))
         done.append(bins.where("done"))
         left = bins.where("not done")
         rows, tasks = left.count(), fewer

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 
 from sampleprep.llm.common import WORD, checkpointed
 from sampleprep.llm.components import connected_components
+from sampleprep.session import map_arrow
 
 _WORDS = re.compile(WORD.encode())
 #: Triples of byte positions: any five of eight positions have three in one half.
@@ -60,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.array([fingerprint(t.as_py(), words, seed) for t in batch.column(1)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, schema)
 
 
 def _byte(fp: Column, i: int) -> Column:

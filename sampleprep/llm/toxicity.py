@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sampleprep.session import map_arrow
+
 #: Classes of characters: 0 a gap, 1 to 26 a to z, 27 any other.
 CLASSES, _OTHER, _ORDER = 28, 27, 4
 #: Letters that a digit or symbol may stand for.
@@ -97,7 +99,7 @@ def count_grams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         codes = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(counts[codes])], ["gram", "n"])
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    rows = map_arrow(docs.select(F.col(text_col).alias("text")), run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(CLASSES**_ORDER, np.int64)
     for r in rows:
         counts[r.gram] = r.n
@@ -283,7 +285,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     empty = {"model": model, "features": [], "weights": np.zeros(0), "bias": -30.0}
     if len(totals) < 2:
         return empty
-    counted = rows.mapInArrow(count, "feature string, ones long, zeros long").groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    counted = map_arrow(rows, count, "feature string, ones long, zeros long").groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     a, b = (F.col("ones") + 0.5) / (totals[1] + 1.0), (F.col("zeros") + 0.5) / (totals[0] + 1.0)
     # signed log-likelihood ratio of the feature among both labels
     both = (F.col("ones") + F.col("zeros") + 1.0) / (totals[0] + totals[1] + 2.0)
@@ -297,7 +299,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
             found = np.flatnonzero(_vectors([text], automaton, len(features))[0]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([found], pa.list_(pa.int32()))], ["label", "found"])
 
-    fitted = rows.mapInArrow(spot, "label int, found array<int>").groupBy("label", "found").agg(F.count("*").alias("n")).collect()
+    fitted = map_arrow(rows, spot, "label int, found array<int>").groupBy("label", "found").agg(F.count("*").alias("n")).collect()
     x = np.zeros((len(fitted), 2 * len(features)), np.float32)
     for i, r in enumerate(fitted):
         x[i, r.found] = 1
@@ -323,4 +325,4 @@ def score(docs: DataFrame, trained: dict, id_col: str = "doc_id", text_col: str
                         z[i] += weights[2 * k] + (weights[2 * k + 1] if n > 1 else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["id", "score"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, schema)
