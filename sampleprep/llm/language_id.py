@@ -122,7 +122,7 @@ def probabilities(x: np.ndarray, model: dict, tables: dict[str, np.ndarray], blo
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 4000, per_row: int = 3, length: int = 128) -> dict | None:
-    """Fit the network on per_row windows, at places given by a hash, of max_rows rows in the order of a hash.
+    """Fit the network on per_row windows, at places given by a hash, of about max_rows rows chosen by a hash of the id.
 
     max_rows bounds the sample that the driver gets (max_rows * per_row * length characters). None without labels.
     """
@@ -130,7 +130,10 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     span = F.greatest(F.length(text_col) - length, F.lit(0)) + 1
     cuts = F.array(*[F.substring(F.col(text_col), (F.pmod(F.xxhash64(mark, F.lit(k)), span.cast("long")) + 1).cast("int"), F.lit(length)) for k in range(per_row)])
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    rows = rows.select(mark.alias("mark"), F.col(lang_col).alias("lang"), cuts.alias("cuts")).orderBy("mark", "lang", "cuts").limit(max_rows).collect()
+    n = rows.count()
+    if n > max_rows:
+        rows = rows.where(F.shiftrightunsigned(mark, 33) < int(2**31 * max_rows / n))
+    rows = sorted(rows.select(mark.alias("mark"), F.col(lang_col).alias("lang"), cuts.alias("cuts")).collect())
     if not rows:
         return None
     net = ByteCNN(sorted({r.lang for r in rows}), length)
