@@ -122,7 +122,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = checkpointed(marked.groupBy("fp").agg(F.min("id").alias("low")))
     roots = connected_components(links(distinct.select("fp"), bits, most_postings))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    lowest = checkpointed(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
     labels = rooted.join(lowest, "root").select("fp", "component_id")
     return marked.join(labels, "fp").select("id", "fp", "component_id")
 
