@@ -589,6 +589,27 @@ def reconcile_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return recon.reconcile(source, outputs, members)
 
 
+@query(f"""
+    SELECT sample_id, slot, image_id || chr(9) || coalesce(printf('%.6f', source_kb), '') || chr(9) || coalesce(printf('%.6f', output_kb), '') || chr(9) || coalesce(printf('%.6f', diff_kb), '') AS line
+    FROM ({ORACLES['reconcile_sizes']})""")
+def size_report(spark: SparkSession, sf: str) -> DataFrame:
+    kb = [F.col(f"{k}_kb") for k in ("source", "output", "diff")]
+    return reconcile_sizes(spark, sf).select("sample_id", "slot", recon.report_line(F.col("image_id"), *kb).alias("line"))
+
+
+@query("""
+    WITH c AS (SELECT conv_id, min_by(text, turn) AS user_text, max_by(text, turn) AS last FROM conversations GROUP BY conv_id)
+    SELECT conv_id, CASE conv_id % 3 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END::BIGINT AS boxes, (conv_id % 3 > 0 AND conv_id % 2 = 0) AS shown FROM c""")
+def overlay_eligibility(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("user_text"))
+    k = F.col("conv_id")
+    user = F.concat(F.when(k % 2 == 0, "hfov=60, vfov = 45.5, width=256, HEIGHT=192. ").otherwise("hfov=60. "), F.translate("user_text", "=", " "))
+    nine = "[0, 0, 3, 1, 1, 1, 0.1, 0.2, 0.3]"
+    answer = F.when(k % 3 == 1, f"{{'bbox_3d': {nine}}}").when(k % 3 == 2, f'[{{"bbox_3d": {nine}}}, {{"bbox_3d": [1]}}, {{"label": "x", "bbox_3d": {nine}}}]').otherwise("none")
+    found = geom3d.overlay(user, answer)
+    return rows.select("conv_id", F.size(geom3d.boxes(answer)).cast("long").alias("boxes"), found.isNotNull().alias("shown"))
+
+
 # ---- rankings ------------------------------------------------------------------------------------------------------
 
 

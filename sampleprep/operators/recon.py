@@ -68,5 +68,5 @@ def reconcile(source: DataFrame, outputs: DataFrame, members: DataFrame, parity:
 
 
 def report_line(image: Column, *kilobytes: Column) -> Column:
-    """A tab-separated line with six places, blank for what is missing."""
-    return F.concat_ws("\t", image, *[F.when(k.isNull(), "").otherwise(F.format_string("%.6f", k)) for k in kilobytes])
+    """A tab-separated line with six places (ties to even), blank for what is missing."""
+    return F.concat_ws("\t", image, *[F.when(k.isNull(), "").otherwise(F.format_string("%.6f", F.bround(k, 6))) for k in kilobytes])

@@ -36,6 +36,11 @@ def capped(df: DataFrame, cap: int) -> DataFrame:
     return df.where((F.col("file_index") < cut.file_index) | (F.col("file_index") == cut.file_index) & (F.col("row_in_file") < cut.rows))
 
 
+def first_of_each_file(df: DataFrame, most: int) -> DataFrame:
+    """At most the first most rows of each file."""
+    return df.where(F.col("row_in_file") < most)
+
+
 def write_ordinals(df: DataFrame, group: str, order: str, width: int = 1 << 16) -> DataFrame:
     """ordinal over all rows by (group, order); order is a whole number.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,15 +113,15 @@ def metadata(prepared: DataFrame, samples: DataFrame, requested: int | None = No
     }
 
 
-def sample_images(samples: DataFrame) -> DataFrame:
-    """source, width, height of each image of the first user turns; the source as the id has it."""
-    rows = samples.select(t.normalise_source(t.source_of_id(F.coalesce("id", F.lit("")))).alias("source"), F.explode(nested.first_user_images(F.col("data"))).alias("i"))
+def sample_images(samples: DataFrame, normalise: Callable[[Column], Column] = t.normalise_source) -> DataFrame:
+    """source, width, height of each image of the first user turns; the source as the id has it, normalised."""
+    rows = samples.select(normalise(t.source_of_id(F.coalesce("id", F.lit("")))).alias("source"), F.explode(nested.first_user_images(F.col("data"))).alias("i"))
     return rows.select("source", F.coalesce("i.width", F.lit(-1)).alias("width"), F.coalesce("i.height", F.lit(-1)).alias("height"))
 
 
-def resolution_stats(samples: DataFrame) -> dict[str, Any]:
+def resolution_stats(samples: DataFrame, normalise: Callable[[Column], Column] = t.normalise_source) -> dict[str, Any]:
     """The geometry document: one aggregate over all images, of which a row for each source and bucket reaches the driver."""
-    found = stats.geometry(sample_images(samples)).orderBy(F.desc("n"), "bucket").collect()
+    found = stats.geometry(sample_images(samples, normalise)).orderBy(F.desc("n"), "bucket").collect()
 
     def block(scope: str | None) -> dict[str, Any]:
         total = next(r for r in found if r.scope == scope and r.kind == "total")
