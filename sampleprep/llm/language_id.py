@@ -26,6 +26,13 @@ _LETTER = re.compile(r"[^\W\d_]")
 WIDTHS = (2, 3, 4)
 
 
+def has_letter(text: str | None) -> bool:
+    if not text:
+        return False
+    found = _LETTER.search(text)
+    return bool(found) and (found[0].isalpha() or any(c.isalpha() for c in text))
+
+
 def windows_of(data: bytes, length: int) -> np.ndarray:
     """Rows of length bytes that hold all of data, the last one padded with spaces."""
     rows = max(1, -(-len(data) // length))
@@ -167,7 +174,7 @@ def identify(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
             size = 0
             for i, value in enumerate(batch.column(1)):
                 text = value.as_py()
-                if net is None or not text or not _LETTER.search(text):
+                if net is None or not has_letter(text):
                     continue
                 waiting.append((i, text))
                 size += len(text) // net["length"] + 1
@@ -201,7 +208,7 @@ def keep_identified(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
             keep = []
             for value in batch.column(at):
                 text = value.as_py()
-                if net is None or not text or not _LETTER.search(text):
+                if net is None or not has_letter(text):
                     keep.append(False)
                     continue
                 found = probabilities(windows_of(text.encode("utf-8", "replace").lower(), net["length"]), net, net["tables"])

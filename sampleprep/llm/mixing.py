@@ -119,8 +119,8 @@ def mixed_sequence(mixed: DataFrame) -> DataFrame:
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed documents with all their columns, a row for each copy."""
     mixed = mix_sources(docs, id_col, text_col, source_col, **options)
-    copies = mixed.where("copies > 0").groupBy(F.col("id").alias("__id"), F.coalesce("source", F.lit("")).alias("__source"), F.col("size").alias("__size")).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    copies = mixed.where("copies > 0").groupBy(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
-    joined = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies["__id"]) & (F.coalesce(docs[source_col], F.lit("")) == copies["__source"]) & (size == copies["__size"]))
+    joined = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies["__id"]) & docs[source_col].eqNullSafe(copies["__source"]) & (size == copies["__size"]))
     times = F.ceil(F.col("__copies") / F.col("__rows")).cast("int")
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), times))).select(docs.columns)

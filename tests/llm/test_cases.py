@@ -195,6 +195,11 @@ def test_language(spark, odd, empty, sf):
     assert held.where("lang = lang_pred").count() >= 0.97 * held.count()
 
 
+@pytest.mark.parametrize("text, found", [(None, False), ("", False), ("12 ²½ _-", False), ("² a", True), ("é", True), ("中", True)])
+def test_letters(text, found):
+    assert language_id.has_letter(text) is found
+
+
 def test_gradients():
     net = language_id.ByteCNN(["a", "b", "c"], length=12, dims=3, filters=4)
     net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
