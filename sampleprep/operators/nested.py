@@ -51,15 +51,18 @@ def interleave(text: Column, images: Column) -> Column:
     As many placeholders as images: each placeholder becomes its image, with the cleaned texts between them. Else all images, then
     the text without placeholders. Empty texts are left out.
     """
-    cut = t.chunks(text)
     shown = F.transform(images, image_part)
 
-    def chunk(c: Column, i: Column) -> Column:
-        before = F.slice(shown, F.greatest(i, F.lit(1)), F.when(i > 0, 1).otherwise(0))
-        return F.concat(before, _texts(t.clean_lines(c)))
+    def parts(cut: Column) -> Column:
+        def chunk(c: Column, i: Column) -> Column:
+            before = F.slice(shown, F.greatest(i, F.lit(1)), F.when(i > 0, 1).otherwise(0))
+            return F.concat(before, _texts(t.clean_lines(c)))
 
-    aligned = (F.size(images) > 0) & (F.size(cut) - 1 == F.size(images))
-    return F.when(aligned, F.flatten(F.transform(cut, chunk))).otherwise(F.concat(shown, _texts(t.strip_tokens(text))))
+        aligned = (F.size(images) > 0) & (F.size(cut) - 1 == F.size(images))
+        return F.when(aligned, F.flatten(F.transform(cut, chunk))).otherwise(F.concat(shown, _texts(t.clean_lines(F.array_join(cut, " ")))))
+
+    # one array element, so that the text is split once
+    return F.get(F.transform(F.array(t.chunks(text)), parts), 0)
 
 
 def turns(conversations: Column, images: Column) -> Column:
