@@ -252,10 +252,11 @@ def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, strength: float = 0.02, ag
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 12_000, max_features: int = 400) -> dict:
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 12_000, max_features: int = 400, weight: float = 2.0) -> dict:
     """The language model of all docs, and a classifier fitted on labelled (id, text, label).
 
-    max_rows bounds the labelled rows that the classifier is fitted on, in the order of a hash of the id.
+    max_rows bounds the labelled rows that the classifier is fitted on, chosen by a hash of the id. A row with label 1
+    counts weight times.
     """
     model = language_model(count_grams(docs, text_col))
     context = docs.sparkSession.sparkContext
@@ -303,7 +304,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     x = np.zeros((len(fitted), 2 * len(features)), np.float32)
     for i, r in enumerate(fitted):
         x[i, r.found] = 1
-    weights, bias = _fit(x, np.array([r.label for r in fitted]), np.array([r.n for r in fitted]))
+    weights, bias = _fit(x, np.array([r.label for r in fitted]), np.array([r.n * (weight if r.label else 1.0) for r in fitted]))
     return {"model": model, "features": features, "weights": weights, "bias": bias}
 
 
