@@ -84,9 +84,9 @@ def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, seed: int = 7,
 ) -> DataFrame:
-    """A row for each document: id, size, source, source_size, target, copies (0 to max_repeats) and place.
+    """A row for each document: id, size, source, source_size, target, weight, copies (0 to max_repeats).
 
-    place holds the finish time of the first copy; mixed_sequence() has all copies in their order.
+    words (of its shuffled source up to and with it), shuffle and row give the order; mixed_sequence() has all copies in it.
     """
     timed, total = finish_times(docs, id_col, text_col, source_col, seed, max_repeats, weights)
     timed = checkpointed(timed)
