@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+#: Bytes of rows that go to a Python worker at once; Spark's default of 64 MB costs several times that for each task.
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +50,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
-    """mapInArrow for functions of this package."""
+    """mapInArrow for functions of this package, with batches that keep long texts from filling an executor."""
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(function, schema)
