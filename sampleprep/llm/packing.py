@@ -32,7 +32,7 @@ CAPACITY = 2048
 
 @lru_cache(maxsize=2)
 def _tokens(path: str) -> WordTokens:
-    return WordTokens(path, keep=500_000)
+    return WordTokens(path, keep=250_000)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
