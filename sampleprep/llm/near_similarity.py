@@ -6,13 +6,14 @@ similarity. The index holds each distinct sketch under groups of positional byte
 tally of all their shared positional bytes.
 
 With 21 groups of 6 bytes, a pair of similarity 0.8 meets with probability 0.998, one of 0.9 with 1 - 1e-7. The tally
-over 252 bytes has a standard error of 0.025; slack (0.04) is taken off the threshold, so that few pairs just above it are missed.
+over 252 bytes has a standard error of 0.025 and only chooses candidates (slack of 0.1, four standard errors, is taken off);
+each candidate is then verified by the exact Jaccard similarity of the two sets of shingle hashes.
 
 A list of over most_postings is not paired: all of it is tallied against six leaders of the list. What is near none of
 them is indexed under its other 20 groups like any other. Work and rows are linear in the list. Links between two
 members that are near no common leader are then found only through those other groups.
 
-Defined cases: null text is empty; documents without words have one common sketch; texts with fewer words than a shingle are
+Defined cases: null text is empty; documents without words have one common set; texts with fewer words than a shingle are
 one shingle; a null id is kept in its group; an empty table gives no rows.
 """
 
@@ -23,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleprep.llm.common import WORD, checkpointed, free_name
+from sampleprep.llm.common import WORD, checkpointed, free_name, text_or_empty
 from sampleprep.llm.components import connected_components
 from sampleprep.llm.simhash import near_duplicates
 from sampleprep.session import map_arrow
@@ -39,30 +40,77 @@ _A = (_RNG.integers(0, 2**31, BYTES, dtype=np.uint32) << np.uint32(1)) | np.uint
 _X = _RNG.integers(0, 2**32, BYTES, dtype=np.uint32)
 
 
-def sketch(text: str | None, words: int = 5, block: int = 1024) -> bytes:
-    """One byte of the least hash of all shingles for each of BYTES hash functions."""
-    from xxhash import xxh32_intdigest
+_SHINGLES = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())])
+
+
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """The distinct hashes of all shingles, sorted."""
+    from xxhash import xxh64_intdigest
 
     found = _WORDS.findall((text or "").encode("utf-8", "replace").lower())
     if len(found) < words:
         found, words = [b" ".join(found)], 1
-    least = np.full(BYTES, 2**32 - 1, np.uint32)
     total = len(found) - words + 1
-    for at in range(0, total, block):
-        parts = [found[at + k : min(at + block, total) + k] for k in range(words)]
-        h = np.array([xxh32_intdigest(b" ".join(s)) for s in zip(*parts, strict=True)], dtype=np.uint32)
-        np.minimum(least, ((h[:, None] ^ _X) * _A).min(axis=0), out=least)
+    hashes = [xxh64_intdigest(b" ".join(s)) for s in zip(*(found[k : total + k] for k in range(words)), strict=True)]
+    return np.unique(np.array(hashes, dtype=np.uint64))
+
+
+def node_of(found: np.ndarray) -> int:
+    """One number for each distinct set of shingles."""
+    from xxhash import xxh64_intdigest
+
+    return int(np.uint64(xxh64_intdigest(found.tobytes())).view(np.int64))
+
+
+def sketch(found: np.ndarray, block: int = 1024) -> bytes:
+    """One byte of the least hash of all shingles for each of BYTES hash functions."""
+    least = np.full(BYTES, 2**32 - 1, np.uint32)
+    low = found.astype(np.uint32)
+    for at in range(0, len(low), block):
+        np.minimum(least, ((low[at : at + block, None] ^ _X) * _A).min(axis=0), out=least)
     return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("sketch", T.BinaryType())])
+    """id, mark (a hash of the text), node, size (shingles) and sketch of each row."""
+    fields = [("mark", T.LongType()), ("node", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType())]
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(n, t) for n, t in fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(node_of(x), len(x), sketch(x)) for x in (shingles(t.as_py(), words) for t in batch.column(2))]
+            node, size, drawn = zip(*made, strict=True) if made else ((), (), ())
+            columns = [batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(drawn, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return map_arrow(docs.select(F.col(id_col).alias("id"), _mark(text_col).alias("mark"), F.col(text_col).alias("text")), run, schema)
+
+
+def _mark(text_col: str) -> Column:
+    return F.xxhash64(text_or_empty(text_col))
+
+
+def _sets(docs: DataFrame, marks: DataFrame, text_col: str, words: int) -> DataFrame:
+    """node and shingles of the texts with these marks, once for each node."""
+    name = free_name(docs, "near_mark")
+    marks = checkpointed(marks.select(F.col("mark").alias(name)).distinct())
+    few = marks.count() <= 200_000
+    rows = docs.select(F.col(text_col).alias("text"), _mark(text_col).alias("mark")).join(F.broadcast(marks) if few else marks, F.col("mark") == F.col(name), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sketch(t.as_py(), words) for t in batch.column(1)], pa.binary())], ["id", "sketch"])
+            found = [shingles(t.as_py(), words) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], _SHINGLES.names)
+
+    return checkpointed(map_arrow(rows.select("text"), run, _SHINGLES).groupBy("node").agg(F.first("shingles").alias("shingles")))
+
 
-    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, schema)
+def alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """True if the Jaccard similarity of two sorted sets is similarity or more."""
+    if min(len(x), len(y)) + 1e-9 < similarity * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared + 1e-9 >= similarity * (len(x) + len(y) - shared)
 
 
 def _tallied(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
@@ -78,22 +126,41 @@ def _tallied(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     return map_arrow(both, run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, slack: float = 0.04, most_postings: int = 32) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of (a, b), those whose sets have this similarity."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = ([np.frombuffer(v.as_py(), dtype=np.uint64) for v in batch.column(k)] for k in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array([alike(p, q, similarity) for p, q in zip(x, y, strict=True)], pa.bool_()))
+
+    return map_arrow(both, run, "a long, b long")
+
+
+def similar_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, slack: float = 0.1, most_postings: int = 32
+) -> DataFrame:
     """id and component_id (the smallest id that links of this similarity reach) of each row."""
-    marked = checkpointed(sketches(docs, id_col, text_col, words).withColumn("node", F.xxhash64("sketch")))
-    nodes = checkpointed(marked.groupBy("node").agg(F.first("sketch").alias("sketch"), F.min("id").alias("low")))
+    marked = checkpointed(sketches(docs, id_col, text_col, words))
+    nodes = checkpointed(marked.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("size").alias("size"), F.first("mark").alias("mark"), F.min("id").alias("low")))
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * GROUP + 1, GROUP)) for k in range(GROUPS)])
     postings = nodes.select("node", F.explode(keys).alias("key"))
     mixed = [F.col("node").bitwiseXOR(F.lit(int(c))) for c in _RNG_LEADERS]
     lists = postings.groupBy("key").agg(F.count("*").alias("n"), *[F.min(m).alias(f"m{i}") for i, m in enumerate(mixed)]).where("n > 1")
     listed = checkpointed(postings.join(lists, "key"))
-    short = listed.where(F.col("n") <= most_postings)
+    short, long_lists = listed.where(F.col("n") <= most_postings), listed.where(F.col("n") > most_postings)
     a, b = short.select("key", F.col("node").alias("a")), short.select("key", F.col("node").alias("b"))
     pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b"))).select("a", "b")
     leaders = F.array(*[F.col(f"m{i}").bitwiseXOR(F.lit(int(c))) for i, c in enumerate(_RNG_LEADERS)])
-    led = listed.where(F.col("n") > most_postings).select(F.col("node").alias("a"), F.explode(leaders).alias("b")).where("a <> b")
+    led = long_lists.select(F.col("node").alias("a"), F.explode(leaders).alias("b")).where("a <> b")
     led = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = _tallied(pairs.unionByName(led).distinct(), nodes, int(np.ceil((similarity - slack) * BYTES)))
+    least = int(np.ceil((similarity - slack) * BYTES))
+    candidates = checkpointed(_tallied(pairs.unionByName(led).distinct(), nodes, least))
+    asked = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(docs, nodes.join(asked, "node", "left_semi"), text_col, words)
+    links = checkpointed(_verified(candidates, sets, similarity))
     roots = connected_components(links)
     rooted = nodes.select("node", "low").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rooted = rooted.select("node", "low", F.coalesce("root", "node").alias("root"))

@@ -95,6 +95,41 @@ def test_near_similarity(spark, odd, empty):
     assert {(r.id, r.component_id) for r in huge.collect()} == {(9, 4), (4, 4), (None, 4), (6, 6)}
 
 
+def _varied(rng, base, n, changes):
+    """n texts, each base with this many of its words changed, and their exact sets of shingles."""
+    texts = []
+    for _ in range(n):
+        words = [*base]
+        for k in rng.choice(len(words), changes, replace=False):
+            words[k] = f"n{rng.integers(10**9)}"
+        texts.append(words)
+    return texts
+
+
+def _exact_roots(texts, similarity=0.8):
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if root[a] != root[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_near_similarity_is_exact_at_the_threshold(spark):
+    rng = np.random.default_rng(12)
+    texts = []
+    for k in range(40):  # pairs of about 0.79 and of about 0.82
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        texts += [base, *_varied(rng, base, 1, 6 + k % 2)]
+    want = _exact_roots(texts)
+    assert 10 < sum(r != i for i, r in enumerate(want)) < 30
+    df = spark.createDataFrame(rows(*(" ".join(w) for w in texts)), SCHEMA)
+    got = {r.id: r.component_id for r in near_similarity.similar_groups(df).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_packing(odd, empty):
     got = packing.pack(odd, q.tokenizer_path(), flush=2).collect()
     by = defaultdict(list)

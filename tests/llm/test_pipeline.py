@@ -71,6 +71,23 @@ def test_near(steps):
         assert not [j for j, s in near[i] if s >= 0.85 and i in after and j in after]  # one of each pair stays at most
 
 
+def test_near_at_the_threshold(steps):
+    before, after = steps[0][2], set(ids(steps[0][3]))
+    sets, fps = {}, {}
+    for r in before:
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.text.lower())
+        sets[r.doc_id] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+        fps[r.doc_id] = simhash.fingerprint(r.text, 5)
+    linked, order = defaultdict(set), sorted(sets)
+    for k, b in enumerate(order):
+        for a in order[:k]:
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) or (fps[a] ^ fps[b]).bit_count() <= 3:
+                linked[a].add(b), linked[b].add(a)
+    for i in order:
+        assert i in after or linked[i], i
+        assert i not in after or not linked[i] & after, i
+
+
 def test_mixing_and_packing(steps):
     found, run = steps
     kept, mixed, packed = found[3], found[4], found[5]
