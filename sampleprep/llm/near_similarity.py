@@ -9,9 +9,9 @@ With 21 groups of 6 bytes, a pair of similarity 0.8 meets with probability 0.998
 over 252 bytes has a standard error of 0.025 and only chooses candidates (slack of 0.1, four standard errors, is taken off);
 each candidate is then verified by the exact Jaccard similarity of the two sets of shingle hashes.
 
-A list of over most_postings is not paired: all of it is tallied against six leaders of the list. What is near none of
-them is indexed under its other 20 groups like any other. Work and rows are linear in the list. Links between two
-members that are near no common leader are then found only through those other groups.
+A list of over most_postings is first tallied against six leaders. The components that verified links make are known
+then: where a list's members are in more than one, its members are dealt into blocks, and each pair of blocks is a task in which
+every pair of different components is tallied and verified, so each pair in a list is linked or in one component.
 
 Defined cases: null text is empty; documents without words have one common set; texts with fewer words than a shingle are
 one shingle; a null id is kept in its group; an empty table gives no rows.
@@ -139,8 +139,41 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return map_arrow(both, run, "a long, b long")
 
 
+def _in_blocks(listed: DataFrame, nodes: DataFrame, sets: DataFrame, links: DataFrame, similarity: float, least: int, rows: int, block_bytes: int) -> DataFrame:
+    """More links (a, b) inside the lists (key, node) whose members links leave in several components.
+
+    Blocks have about rows members and block_bytes of shingles. A pair of blocks gives at most one link for each of its members.
+    """
+    roots = connected_components(links).select(F.col("node").alias("n"), "root")
+    inside = listed.select("key", "node").join(nodes.select("node", "size", "sketch"), "node").join(roots, F.col("node") == F.col("n"), "left")
+    inside = inside.select("key", "node", "size", "sketch", F.coalesce("root", "node").alias("root"))
+    wanted = F.ceil(F.greatest(F.count("*") / rows, F.sum("size") * 8 / block_bytes)).cast("int").alias("blocks")
+    several = inside.groupBy("key").agg(wanted, F.min("root").alias("least_root"), F.max("root").alias("most_root")).where("least_root < most_root")
+    dealt = inside.join(several.select("key", "blocks"), "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = dealt.select("key", "node", "sketch", "root", "own", other).join(sets, "node")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "sketch", "root", "shingles")
+
+    def block_pair(key: tuple, made: pa.Table) -> pa.Table:
+        own, node, root = (made.column(n).to_numpy() for n in ("own", "node", "root"))
+        drawn = np.frombuffer(b"".join(made.column("sketch").to_pylist()), dtype=np.uint8).reshape(-1, BYTES)
+        found = [np.frombuffer(v.as_py(), dtype=np.uint64) for v in made.column("shingles")]
+        first, root, a, b = own == key[1].as_py(), root.copy(), [], []
+        one = key[1].as_py() == key[2].as_py()
+        for x in np.flatnonzero(first):
+            rest = np.flatnonzero((root != root[x]) & (np.arange(len(own)) > x if one else ~first))
+            for y in rest[(drawn[rest] == drawn[x]).sum(axis=1) >= least]:
+                if root[x] != root[y] and alike(found[x], found[y], similarity):
+                    a.append(min(node[x], node[y]))
+                    b.append(max(node[x], node[y]))
+                    root[root == root[y]] = root[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(block_pair, "a long, b long")
+
+
 def similar_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, slack: float = 0.1, most_postings: int = 32
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, slack: float = 0.1, most_postings: int = 32, block_rows: int = 1024, block_bytes: int = 32 << 20
 ) -> DataFrame:
     """id and component_id (the smallest id that links of this similarity reach) of each row."""
     marked = checkpointed(sketches(docs, id_col, text_col, words))
@@ -158,9 +191,11 @@ def similar_groups(
     led = led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     least = int(np.ceil((similarity - slack) * BYTES))
     candidates = checkpointed(_tallied(pairs.unionByName(led).distinct(), nodes, least))
-    asked = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct()
+    asked = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).unionByName(long_lists.select("node")).distinct()
     sets = _sets(docs, nodes.join(asked, "node", "left_semi"), text_col, words)
     links = checkpointed(_verified(candidates, sets, similarity))
+    if not long_lists.isEmpty():
+        links = links.unionByName(_in_blocks(long_lists, nodes, sets, links, similarity, least, block_rows, block_bytes))
     roots = connected_components(links)
     rooted = nodes.select("node", "low").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
     rooted = rooted.select("node", "low", F.coalesce("root", "node").alias("root"))

@@ -130,6 +130,20 @@ def test_near_similarity_is_exact_at_the_threshold(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_near_similarity_in_long_lists(spark):
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+    # 60 variants of one text, under 0.8 of each other but sharing index keys, and a copy of each at 0.9
+    apart = _varied(rng, base, 60, 12)
+    texts = apart + [_varied(rng, w, 1, 3)[0] for w in apart]
+    df = spark.createDataFrame(rows(*(" ".join(w) for w in texts)), SCHEMA)
+    want = _exact_roots(texts)
+    assert 20 < len(set(want)) < 62
+    for most, block in ((32, 1024), (2, 16)):
+        got = {r.id: r.component_id for r in near_similarity.similar_groups(df, most_postings=most, block_rows=block).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_packing(odd, empty):
     got = packing.pack(odd, q.tokenizer_path(), flush=2).collect()
     by = defaultdict(list)
