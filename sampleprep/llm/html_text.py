@@ -2,12 +2,12 @@
 
 Each page becomes a tree in which neighbouring siblings of the same kind are one node, so lists and runs of paragraphs
 do not blow it up. The trees of a host's pages are aligned by simple tree matching and merged into the host's wrapper,
-first in each task, then across tasks; merging keeps how many pages have a node and the texts that recur
-in it. Constant texts of a node are template; what varies is a slot. Of the slots, those in menus, headers, footers,
+first in each task, then across tasks. All pages are then aligned with their wrapper, and the distinct pages that have a
+node, and those that have a text in it, are counted exactly. Constant texts of a node are template; what varies is a slot. Of the slots, those in menus, headers, footers,
 sidebars, notices, adverts, forms, scripts and comments are set aside by their element, role or class; if the page has
 an article or main element, only its slots are content.
 
-Identical pages count once in a task, so a page copied many times does not turn into template; where
+Identical pages of a host count once, so a page copied many times does not turn into template; where
 all content of a page would be constant, it is kept.
 
 What meets in one task: for each host at most one wrapper of bounded size per task. Wrappers are joined to their pages by
@@ -61,11 +61,13 @@ _ASIDE_NAME = re.compile(
     re.IGNORECASE,
 )
 _ASIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-_TEXTS, _NODES = 8, 2000
+_NODES = 2000
+#: A text is template in a node that at least _LEAST pages have, if at least _SHARE of them have the text.
+_SHARE, _LEAST = 0.4, 4
 
 
 class Node:
-    """label; children; texts of its own blocks by checksum (at most _TEXTS of them); pages that have it."""
+    """label; children; pages that have its constant texts, by checksum; pages that have it."""
 
     __slots__ = ("label", "children", "texts", "pages")
 
@@ -222,11 +224,6 @@ def merge(wrapper: Node, other: Node, known: dict | None = None) -> None:
     """Add other to wrapper: counts of matching nodes are summed, other nodes are put in where they stand."""
     known = {} if known is None else known
     wrapper.pages += other.pages
-    for text, n in other.texts.items():
-        wrapper.texts[text] = wrapper.texts.get(text, 0) + n
-    if len(wrapper.texts) > _TEXTS:  # Misra-Gries: a text of over 1 / (_TEXTS + 1) of all stays
-        low = sorted(wrapper.texts.values(), reverse=True)[_TEXTS]
-        wrapper.texts = {t: n - low for t, n in wrapper.texts.items() if n > low}
     pairs = matching(wrapper.children, other.children, lambda x, y: similarity(x, y, known))
     for i, j in pairs:
         merge(wrapper.children[i], other.children[j], known)
@@ -254,7 +251,7 @@ def _checksum(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "replace"))
 
 
-def constant(node: Node, text: str, share: float = 0.4, least: int = 4) -> bool:
+def constant(node: Node, text: str, share: float = _SHARE, least: int = _LEAST) -> bool:
     """True if the text is template: enough pages with this node have it."""
     return node.pages >= least and node.texts.get(_checksum(text), 0) >= share * node.pages
 
@@ -295,10 +292,7 @@ def induce(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
                 if not page or key in seen:
                     continue
                 seen.add(key)
-                tree, blocks = parse(page)
-                for text, node, _, _ in blocks:
-                    node.texts.setdefault(_checksum(text), 1)
-                _add(wrappers, host, tree)
+                _add(wrappers, host, parse(page)[0])
         yield pa.RecordBatch.from_arrays([pa.array(list(wrappers), pa.string()), pa.array([json.dumps(w.to_list()) for w in wrappers.values()], pa.string())], ["host", "wrapper"])
 
     def together(key: tuple, rows: pa.Table) -> pa.Table:
@@ -311,13 +305,77 @@ def induce(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
     return parts.groupBy("host").applyInArrow(together, "host string, wrapper string")
 
 
+def _nodes(wrapper: Node) -> list[Node]:
+    """The nodes in the order of their start."""
+    return [wrapper, *(n for c in wrapper.children for n in _nodes(c))]
+
+
+def count_texts(joined: DataFrame) -> DataFrame:
+    """host, node (its place in the wrapper), text (checksum), n (distinct pages with it) and pages (those with the node) of all template texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[Node, dict[int, int]]] = {}
+        seen: set[tuple[str, int]] = set()
+        for batch in batches:
+            made: tuple[list, ...] = ([], [], [], [])
+            for host, page, html, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not html or (host, page) in seen:
+                    continue
+                seen.add((host, page))
+                if wrapper not in known:
+                    if len(known) >= 64:
+                        known.clear()
+                    root = Node.of(json.loads(wrapper))
+                    known[wrapper] = root, {id(n): k for k, n in enumerate(_nodes(root))}
+                root, places = known[wrapper]
+                tree, blocks = parse(html)
+                found: dict[int, Node] = {}
+                align(root, tree, found)
+                # -1 stands for the node itself
+                told = {(places[id(n)], -1) for n in found.values()}
+                told |= {(places[id(found[id(node)])], _checksum(text)) for text, node, _, _ in blocks if id(node) in found}
+                for node, text in told:
+                    for column, value in zip(made, (host, node, text, page), strict=True):
+                        column.append(value)
+            types = pa.string(), pa.int32(), pa.int64(), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(made, types, strict=True)], ["host", "node", "text", "page"])
+
+    told = map_arrow(joined.select("host", F.xxhash64("html").alias("page"), "html", "wrapper"), run, "host string, node int, text long, page long").distinct()
+    counts = checkpointed(told.groupBy("host", "node", "text").agg(F.count("*").alias("n")).where(f"n >= {_SHARE * _LEAST}"))
+    nodes = counts.where(f"text = -1 and n >= {_LEAST}").select("host", "node", F.col("n").alias("pages"))
+    return counts.where("text >= 0").join(nodes, ["host", "node"]).where(f"n >= {_SHARE} * pages")
+
+
+def with_texts(wrappers: DataFrame, counted: DataFrame) -> DataFrame:
+    """The wrappers with the counts of their template texts."""
+    told = counted.groupBy("host").agg(F.to_json(F.collect_list(F.array("node", "text", "n", "pages"))).alias("told"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for wrapper, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                root = Node.of(json.loads(wrapper))
+                nodes = _nodes(root)
+                for node, text, n, pages in json.loads(found or "[]"):
+                    nodes[node].texts[text], nodes[node].pages = n, pages
+                made.append(json.dumps(root.to_list()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], ["host", "wrapper"])
+
+    return map_arrow(wrappers.join(told, "host", "left").select("host", "wrapper", "told"), run, "host string, wrapper string")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 8 << 20) -> DataFrame:
     """page_id, url and text of each row."""
     host, _ = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
+
+    def joined(wrappers: DataFrame) -> DataFrame:
+        bytes_ = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
+        return rows.join(F.broadcast(wrappers) if bytes_ <= broadcast_bytes else wrappers, "host", "left")
+
     wrappers = checkpointed(induce(rows, "host", "html"))
-    bytes_ = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
-    joined = rows.join(F.broadcast(wrappers) if bytes_ <= broadcast_bytes else wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
+    wrappers = checkpointed(with_texts(wrappers, count_texts(joined(wrappers))))
+    told = joined(wrappers).select("page_id", "url", "html", "wrapper")
     schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,4 +391,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 texts.append(main_text(page.as_py(), known.get(made)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return map_arrow(joined, run, schema)
+    return map_arrow(told, run, schema)

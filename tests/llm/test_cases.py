@@ -302,6 +302,14 @@ def test_wrapper(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_wrapper_counts_all_texts(spark):
+    for n in (8, 12, 30):
+        blocks = lambda i: "".join(f"<p>story {i} part {k}</p>" for k in range(n))  # noqa: B023, E731
+        made = [(i, "http://h.org/p", f"<html><body><div>{blocks(i)}<p>Follow us on the channel</p></div></body></html>") for i in range(20)]
+        got = html_text.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()
+        assert {r.page_id: r.text for r in got} == {i: "\n".join(f"story {i} part {k}" for k in range(n)) for i in range(20)}
+
+
 def test_toxicity(spark, odd, empty, sf):
     docs, labels = q.table(spark, sf, "documents"), q.table(spark, sf, "labels")
     trained = toxicity.train(docs, docs.join(labels, "doc_id"))
