@@ -38,7 +38,7 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the shares of their sources, a row for each copy."""
+    """Documents in the shares of their sources, a row for each copy, in mixed order."""
     return apply_mix(docs)
 
 
@@ -56,7 +56,13 @@ STAGES = [
 ]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. A stage's copy is deleted when the next one's is written; the last copy stays, as the rows are read from it."""
     docs = table(spark, sf_dir, "documents")
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -65,9 +71,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = tempfile.mkdtemp(prefix="spark-pipeline-")
     folder = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            _delete(spark, f"{folder}/{k - 1}")
     return docs.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", F.lit(len(STAGES)).alias("stages"))
 
 
