@@ -1,8 +1,8 @@
 """Exact dedup by progressive refinement: length, then a prefix hash, then the full hash.
 
 The first pass reads each text once and shuffles only counts by (length, prefix hash), summed before the
-shuffle. What can still have a twin is put in a bitmap of fixed size, which is broadcast; the second pass
-computes the full hash only where the bitmap says so and groups by it. Texts are never shuffled. The counts by pair and the
+shuffle. What can still have a twin is put in a bitmap sized by its count (32 MB at most), which is broadcast; the second
+pass computes the full hash only where the bitmap says so and groups by it. Texts are never shuffled. The counts by pair and the
 groups are copied, so that each is computed once and a large group's rows are split in the last join. A false hit of
 the bitmap costs one hash and one small row, never a wrong result, so results are exact at every size.
 
@@ -15,12 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sampleprep.llm.common import checkpointed, free_name, text_or_empty
+from sampleprep.llm.common import bitmaps, checkpointed, filter_size, free_name, maybe_in, text_or_empty, without
 
 #: Runs that one space replaces, but for a single space, which stays what it is.
 _RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
-#: Bits of one bitmap of Spark's bitmap functions.
-_BITMAP = 8 * 4096
 
 
 def normalised(text: Column) -> Column:
@@ -28,39 +26,22 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, _RUNS, " ")
 
 
-def _bit(bitmap: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (position % 8).cast("int") + 1)) != 0
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64, hash_all: bool = False, filter_bits: int | None = None) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_hash, mark (a 64-bit hash of the normalised text).
 
-
-def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = 64, filter_bits: int = 1 << 23, hash_all: bool = False
-) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_hash.
-
-    filter_bits bounds the broadcast bitmap (1 MB by default). hash_all also gives the hash of texts that
-    have no twin; else it is null for those that the first two steps ruled out.
+    hash_all also gives text_hash of texts that have no twin; else it is null for those that the first two steps ruled out.
+    filter_bits: bits of the bitmap, by the number of possible twins if not given.
     """
     norm = normalised(text_or_empty(text_col))
     read = docs.select(F.col(id_col).alias("id"), norm.alias("norm"))
     size, prefix = F.octet_length("norm"), F.xxhash64(F.substring("norm", 1, prefix_chars))
     pairs = checkpointed(read.groupBy(size.alias("size"), prefix.alias("prefix")).agg(F.count("*").alias("n")))
     lengths = pairs.groupBy("size").agg(F.sum("n").alias("n")).where("n > 1").select("size")
-    alike = pairs.join(lengths, "size", "left_semi").where("n > 1")
-
-    def slot(size: Column, prefix: Column) -> Column:
-        return F.pmod(F.xxhash64(size, prefix), F.lit(filter_bits)) + 1
-
-    bitmaps = (
-        alike.select(slot(F.col("size"), F.col("prefix")).alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
-    )
-    probed = read.withColumn("slot", slot(size, prefix)).withColumn("bucket", F.bitmap_bucket_number("slot"))
-    probed = probed.join(F.broadcast(bitmaps), "bucket", "left")
-    maybe = F.coalesce(_bit(F.col("bitmap"), F.bitmap_bit_position("slot")), F.lit(False))
-    hashed = probed.select("id", maybe.alias("maybe"), F.sha2(F.when(maybe | F.lit(hash_all), F.col("norm")), 256).alias("text_hash"))
-    hashed = checkpointed(hashed.withColumn("row", F.monotonically_increasing_id()))
+    alike = checkpointed(pairs.join(lengths, "size", "left_semi").where("n > 1").select(F.xxhash64("size", "prefix").alias("hash")))
+    bits = filter_bits or filter_size(alike.count())
+    probed = maybe_in(read, F.xxhash64(size, prefix), bitmaps(alike, bits), bits, "maybe")
+    full = F.sha2(F.when(F.col("maybe") | F.lit(hash_all), F.col("norm")), 256)
+    hashed = checkpointed(probed.select("id", "maybe", full.alias("text_hash"), F.xxhash64("norm").alias("mark"), F.monotonically_increasing_id().alias("row")))
 
     left = hashed.where("maybe")
     # with a copy of the groups, the join's sides have exchanges of their own, and Spark splits a large group's
@@ -71,19 +52,23 @@ def exact_dedup(
         )
     )
     grouped = left.join(groups, "text_hash").select(
-        "id", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_hash"
+        "id", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_hash", "mark"
     )
     alone = hashed.where("not maybe").select(
-        "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_hash"
+        "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_hash", "mark"
     )
     return grouped.unionByName(alone)
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of repeated rows (same id, equal text) one stays."""
-    keep = exact_dedup(docs, id_col, text_col, hash_all=True).where("kept").select("id", "text_hash")
-    hash_name = free_name(docs, "text_hash")
-    rows = docs.withColumn(hash_name, F.sha2(normalised(text_or_empty(text_col)), 256))
-    kept = rows.join(keep.hint("shuffle_hash"), rows[id_col].eqNullSafe(keep["id"]) & (rows[hash_name] == keep["text_hash"]), "left_semi")
-    repeated = not docs.groupBy(id_col).count().where("count > 1").isEmpty()
-    return (kept.dropDuplicates([id_col, hash_name]) if repeated else kept).drop(hash_name)
+    """The rows that stay, with all their columns; of repeated rows (same id, equal text) one stays.
+
+    Full hashes are taken of possible twins only, and texts stay where they are: what moves are the dropped rows' ids.
+    """
+    dropped = checkpointed(exact_dedup(docs, id_col, text_col).where("not kept").select("id", "mark", F.col("id").eqNullSafe(F.col("keep_id")).alias("again")))
+    keys = {"id": F.col(id_col), "mark": F.xxhash64(normalised(text_or_empty(text_col)))}
+    kept = without(docs, dropped.where("not again"), keys)
+    if dropped.where("again").isEmpty():
+        return kept
+    name = free_name(docs, "mark")
+    return kept.withColumn(name, keys["mark"]).dropDuplicates([id_col, name]).drop(name)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sampleprep.llm.common import WORD, checkpointed, text_or_empty
+from sampleprep.llm.common import WORD, checkpointed, free_name, text_or_empty
 
 _SOURCE = ["no_source", "source"]
 
@@ -75,9 +75,10 @@ def finish_times(docs: DataFrame, id_col: str, text_col: str, source_col: str, s
     return joined.withColumn("words", words), total
 
 
-def _order(epoch: Column) -> Column:
-    finish = (F.col("words") + epoch * F.col("source_size")) / F.col("weight")
-    return F.struct(finish.alias("finish"), F.col("shuffle"), F.col("row"), epoch.alias("epoch"))
+def _order(epoch: Column, of: Column | None = None) -> Column:
+    """Finish time, shuffle, row and epoch of a copy; of: the struct that holds a document's columns, if not the row itself."""
+    words, source_size, weight, shuffle, row = (F.col(c) if of is None else of[c] for c in ("words", "source_size", "weight", "shuffle", "row"))
+    return F.struct(((words + epoch * source_size) / weight).alias("finish"), shuffle.alias("shuffle"), row.alias("row"), epoch.alias("epoch"))
 
 
 def mix_sources(
@@ -117,10 +118,19 @@ def mixed_sequence(mixed: DataFrame) -> DataFrame:
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mixed documents with all their columns, a row for each copy."""
-    mixed = mix_sources(docs, id_col, text_col, source_col, **options)
-    copies = mixed.where("copies > 0").groupBy(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    """The mixed documents with all their columns, a row for each copy, range-sorted by finish time: the mix as a sequence.
+
+    Of rows with the same id, source and size each takes the copies of one of them.
+    """
+    name, number = free_name(docs, "mixed"), free_name(docs, "number")
+    mixed = checkpointed(mix_sources(docs, id_col, text_col, source_col, **options).where("copies > 0"))
+    same = ["id", "source", "size"]
+    repeated = not mixed.groupBy(*same).count().where("count > 1").isEmpty()
+    count = (lambda keys, order: F.row_number().over(W.partitionBy(*keys).orderBy(order))) if repeated else (lambda keys, order: F.lit(1))
     size = F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long")
-    joined = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies["__id"]) & docs[source_col].eqNullSafe(copies["__source"]) & (size == copies["__size"]))
-    times = F.ceil(F.col("__copies") / F.col("__rows")).cast("int")
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), times))).select(docs.columns)
+    taken = mixed.withColumn("number", count(same, F.col("row"))).select(F.struct("*").alias(name))
+    rows = docs.withColumn(number, count([F.col(id_col), F.col(source_col), size], F.monotonically_increasing_id()))
+    met = rows[id_col].eqNullSafe(F.col(f"{name}.id")) & rows[source_col].eqNullSafe(F.col(f"{name}.source")) & (size == F.col(f"{name}.size")) & (F.col(number) == F.col(f"{name}.number"))
+    joined = rows.join(taken.hint("shuffle_hash"), met)
+    at = F.transform(F.sequence(F.lit(0), F.col(f"{name}.copies") - 1), lambda e: _order(e, F.col(name)))
+    return joined.withColumn(name, F.explode(at)).orderBy(name).select(docs.columns)

@@ -14,12 +14,11 @@ then: where a list's members are in more than one, its members are dealt into bl
 every pair of different components is tallied and verified, so each pair in a list is linked or in one component.
 
 Defined cases: null text is empty; documents without words have one common set; texts with fewer words than a shingle are
-one shingle; a null id is kept in its group; an empty table gives no rows.
+one shingle; a null id sorts behind every other; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleprep.llm.common import WORD, checkpointed, free_name, text_or_empty
+from sampleprep.llm.common import checkpointed, free_name, text_or_empty, without
 from sampleprep.llm.components import connected_components
-from sampleprep.llm.simhash import near_duplicates
+from sampleprep.llm.simhash import fingerprint_of, has_words, shingle_hashes
+from sampleprep.llm.simhash import links as simhash_links
 from sampleprep.session import map_arrow
 
-_WORDS = re.compile(WORD.encode())
 BYTES, GROUP, GROUPS, _LEADERS = 252, 6, 21, 6
 _RNG = np.random.default_rng(5)
 _A = (_RNG.integers(0, 2**31, BYTES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -45,14 +44,7 @@ _SHINGLES = T.StructType([T.StructField("node", T.LongType()), T.StructField("sh
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
     """The distinct hashes of all shingles, sorted."""
-    from xxhash import xxh64_intdigest
-
-    found = _WORDS.findall((text or "").encode("utf-8", "replace").lower())
-    if len(found) < words:
-        found, words = [b" ".join(found)], 1
-    total = len(found) - words + 1
-    hashes = [xxh64_intdigest(b" ".join(s)) for s in zip(*(found[k : total + k] for k in range(words)), strict=True)]
-    return np.unique(np.array(hashes, dtype=np.uint64))
+    return np.unique(shingle_hashes(text, words))
 
 
 def node_of(found: np.ndarray) -> int:
@@ -72,16 +64,21 @@ def sketch(found: np.ndarray, block: int = 1024) -> bytes:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, mark (a hash of the text), node, size (shingles) and sketch of each row."""
-    fields = [("mark", T.LongType()), ("node", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType())]
+    """id, mark (a hash of the text), fp (SimHash), node, size (shingles) and sketch of each row, from one reading of its text."""
+    fields = [("mark", T.LongType()), ("fp", T.LongType()), ("node", T.LongType()), ("size", T.LongType()), ("sketch", T.BinaryType())]
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(n, t) for n, t in fields)])
 
+    def made(text: str | None) -> tuple[np.uint64, int, int, bytes]:
+        hashes = shingle_hashes(text, words)
+        found = np.unique(hashes)
+        return np.uint64(fingerprint_of(hashes) if has_words(text) else 0), node_of(found), len(found), sketch(found)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [(node_of(x), len(x), sketch(x)) for x in (shingles(t.as_py(), words) for t in batch.column(2))]
-            node, size, drawn = zip(*made, strict=True) if made else ((), (), ())
-            columns = [batch.column(0), batch.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(drawn, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+            rows = [made(t.as_py()) for t in batch.column(2)]
+            fps = np.array([r[0] for r in rows], np.uint64).view(np.int64)
+            columns = [pa.array(fps), *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.binary())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], schema.names)
 
     return map_arrow(docs.select(F.col(id_col).alias("id"), _mark(text_col).alias("mark"), F.col(text_col).alias("text")), run, schema)
 
@@ -139,13 +136,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return map_arrow(both, run, "a long, b long")
 
 
-def _in_blocks(listed: DataFrame, nodes: DataFrame, sets: DataFrame, links: DataFrame, similarity: float, least: int, rows: int, block_bytes: int) -> DataFrame:
-    """More links (a, b) inside the lists (key, node) whose members links leave in several components.
+def _in_blocks(listed: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float, least: int, rows: int, block_bytes: int) -> DataFrame:
+    """More links (a, b) inside the lists (key, node) whose members are in several components, whose roots (node, root) are given.
 
     Blocks have about rows members and block_bytes of shingles. A pair of blocks gives at most one link for each of its members.
     """
-    roots = connected_components(links).select(F.col("node").alias("n"), "root")
-    inside = listed.select("key", "node").join(nodes.select("node", "size", "sketch"), "node").join(roots, F.col("node") == F.col("n"), "left")
+    inside = listed.select("key", "node").join(nodes.select("node", "size", "sketch"), "node").join(roots.select(F.col("node").alias("n"), "root"), F.col("node") == F.col("n"), "left")
     inside = inside.select("key", "node", "size", "sketch", F.coalesce("root", "node").alias("root"))
     wanted = F.ceil(F.greatest(F.count("*") / rows, F.sum("size") * 8 / block_bytes)).cast("int").alias("blocks")
     several = inside.groupBy("key").agg(wanted, F.min("root").alias("least_root"), F.max("root").alias("most_root")).where("least_root < most_root")
@@ -172,12 +168,27 @@ def _in_blocks(listed: DataFrame, nodes: DataFrame, sets: DataFrame, links: Data
     return dealt.groupBy("key", "i", "j").applyInArrow(block_pair, "a long, b long")
 
 
-def similar_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, slack: float = 0.1, most_postings: int = 32, block_rows: int = 1024, block_bytes: int = 32 << 20
+def _print_links(marked: DataFrame, bits: int) -> DataFrame:
+    """Links (a, b) between the nodes of equal fingerprints, and of those within bits by the SimHash operator's index."""
+    prints = checkpointed(marked.groupBy("fp").agg(F.min("node").alias("node"), F.max("node").alias("most")))
+    equal = marked.select("fp", F.col("node").alias("a")).join(prints.where("node < most").select("fp", F.col("node").alias("b")), "fp").where("a <> b").select("a", "b")
+    linked = simhash_links(prints.select("fp"), bits).withColumnsRenamed({"a": "x", "b": "y"})
+    for fp, node in (("x", "a"), ("y", "b")):
+        linked = linked.join(prints.select(F.col("fp").alias(fp), F.col("node").alias(node)), fp)
+    return equal.unionByName(linked.select("a", "b"))
+
+
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int | None = 3, similarity: float = 0.8,
+    slack: float = 0.1, most_postings: int = 32, block_rows: int = 1024, block_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """id and component_id (the smallest id that links of this similarity reach) of each row."""
+    """id, mark, and keep (the id and mark of the row that stays) of each row that is in a group of several.
+
+    Groups are what SimHash links (bits or fewer differing bits) and links of this similarity reach together; bits None leaves SimHash out.
+    """
     marked = checkpointed(sketches(docs, id_col, text_col, words))
-    nodes = checkpointed(marked.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("size").alias("size"), F.first("mark").alias("mark"), F.min("id").alias("low")))
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "mark")
+    nodes = checkpointed(marked.groupBy("node").agg(*[F.first(c).alias(c) for c in ("sketch", "size", "mark")], F.min(own).alias("low"), F.count("*").alias("rows")))
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sketch", k * GROUP + 1, GROUP)) for k in range(GROUPS)])
     postings = nodes.select("node", F.explode(keys).alias("key"))
     mixed = [F.col("node").bitwiseXOR(F.lit(int(c))) for c in _RNG_LEADERS]
@@ -193,33 +204,38 @@ def similar_groups(
     candidates = checkpointed(_tallied(pairs.unionByName(led).distinct(), nodes, least))
     asked = candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).unionByName(long_lists.select("node")).distinct()
     sets = _sets(docs, nodes.join(asked, "node", "left_semi"), text_col, words)
-    links = checkpointed(_verified(candidates, sets, similarity))
+
+    links = _verified(candidates, sets, similarity)
+    roots = connected_components(links if bits is None else links.unionByName(_print_links(marked, bits)))
     if not long_lists.isEmpty():
-        links = links.unionByName(_in_blocks(long_lists, nodes, sets, links, similarity, least, block_rows, block_bytes))
-    roots = connected_components(links)
-    rooted = nodes.select("node", "low").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
+        more = checkpointed(_in_blocks(long_lists, nodes, sets, roots, similarity, least, block_rows, block_bytes))
+        if not more.isEmpty():
+            # links between components, and the roots' roots
+            for end in ("a", "b"):
+                more = more.join(roots.select(F.col("node").alias("n"), "root"), F.col(end) == F.col("n"), "left").withColumn(end, F.coalesce("root", end)).select("a", "b")
+            again = connected_components(more).select(F.col("node").alias("n"), F.col("root").alias("upper"))
+            roots = roots.join(again, F.col("root") == F.col("n"), "left").select("node", F.coalesce("upper", "root").alias("root"))
+            roots = checkpointed(roots.unionByName(again.select(F.col("n").alias("node"), F.col("upper").alias("root"))).distinct())
+    rooted = nodes.select("node", "low", "rows").join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left").where("rows > 1 or root is not null")
     rooted = rooted.select("node", "low", F.coalesce("root", "node").alias("root"))
-    lowest = checkpointed(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
-    labels = rooted.join(lowest, "root").select("node", "component_id")
-    return marked.join(labels, "node").select("id", "component_id")
+    lowest = checkpointed(rooted.groupBy("root").agg(F.min("low").alias("keep")))
+    labels = rooted.join(lowest, "root").select("node", "keep")
+    return marked.select("id", "mark", "node").join(labels, "node").select("id", "mark", F.struct("keep.id", "keep.mark").alias("keep"))
 
 
 _RNG_LEADERS = [0, -1, *np.random.default_rng(6).integers(-(2**62), 2**62, _LEADERS - 2).tolist()]
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 3, similarity: float = 0.8) -> DataFrame:
-    """One document of each group stays, with all its columns: the one with the smallest id.
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 3, similarity: float = 0.8, **options) -> DataFrame:
+    """One row of each group stays, with all its columns: the one with the smallest id, null last, then by a hash of the text.
 
-    Groups are what SimHash links (bits or fewer differing bits) and links of this similarity reach together. Rows
-    with a null id stay; of repeated rows with one id one stays.
+    What is decided is a row (id and text), so rows of one id with different texts go and stay on their own; of repeated
+    rows (same id, equal text) one stays.
     """
-    groups = near_duplicates(docs, id_col, text_col, words, bits).select("id", "component_id")
-    groups = groups.unionByName(similar_groups(docs, id_col, text_col, words, similarity))
-    links = groups.where("id <> component_id").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-    name = free_name(docs, "near_id")
-    gone = connected_components(links).where("node <> root").select(F.col("node").alias(name))
-    kept = docs.join(gone.hint("shuffle_hash"), docs[id_col] == F.col(name), "left_anti")
-    repeated = not docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").isEmpty()
-    if not repeated:
+    grouped = checkpointed(near_groups(docs, id_col, text_col, words, bits, similarity, **options))
+    same = F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("mark") == F.col("keep.mark"))
+    kept = without(docs, grouped.where(~same), {"id": F.col(id_col), "mark": _mark(text_col)})
+    if grouped.where(same).groupBy("id", "mark").count().where("count > 1").isEmpty():
         return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    name = free_name(docs, "mark")
+    return kept.withColumn(name, _mark(text_col)).dropDuplicates([id_col, name]).drop(name)

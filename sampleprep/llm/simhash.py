@@ -35,21 +35,32 @@ _WORDS = re.compile(WORD.encode())
 _TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42, block: int = 1 << 16) -> int:
-    """Bit i is 1 if set in over half the XXH64 hashes of the word shingles, repeats included."""
+def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of all word shingles in order, repeats included; fewer words are one shingle; without words the hash of the empty one."""
     from xxhash import xxh64_intdigest
 
     found = _WORDS.findall((text or "").encode("utf-8", "replace").lower())
-    if not found:
-        return 0
     if len(found) < words:
         found, words = [b" ".join(found)], 1
-    total, ones = len(found) - words + 1, np.zeros(64, dtype=np.int64)
-    for at in range(0, total, block):
-        parts = [found[at + k : min(at + block, total) + k] for k in range(words)]
-        hashes = np.array([xxh64_intdigest(b" ".join(s), seed) for s in zip(*parts, strict=True)], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+    parts = zip(*(found[k : len(found) - words + 1 + k] for k in range(words)), strict=True)
+    return np.fromiter((xxh64_intdigest(b" ".join(s), seed) for s in parts), dtype="<u8", count=len(found) - words + 1)
+
+
+def fingerprint_of(hashes: np.ndarray, block: int = 1 << 16) -> int:
+    """Bit i is 1 if set in over half the hashes."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), block):
+        ones += np.unpackbits(hashes[at : at + block].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def has_words(text: str | None) -> bool:
+    return bool(text) and _WORDS.search(text.encode("utf-8", "replace")) is not None
+
+
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """The fingerprint of a text's word shingles; zero without words."""
+    return fingerprint_of(shingle_hashes(text, words, seed)) if has_words(text) else 0
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sampleprep.llm import bm25, chat_format, exact_dedup, html_text, language_id, mixing, near_similarity, packing, simhash, toxicity, url_filter
 from sampleprep.llm import queries as q
+from sampleprep.llm.common import without
 from sampleprep.llm.tokens import WordTokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, id long, row string, fp string, size string, text_hash string, node string, component_id string"
@@ -88,11 +89,33 @@ def test_near_similarity(spark, odd, empty):
     kept = near_similarity.drop_near(df)
     assert kept.columns == df.columns
     assert sorted(kept.collect(), key=lambda r: (r.doc_id is None, r.doc_id))[0].doc_id == 4
-    assert {r.doc_id for r in kept.collect()} == {4, 6, None}
-    assert {r.doc_id for r in near_similarity.drop_near(odd).collect()} == {1, 3, 7, None}
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 6]
+    assert sorted(r.doc_id for r in near_similarity.drop_near(odd).collect()) == [1, 3, 7]
     assert near_similarity.drop_near(empty).count() == 0
-    huge = near_similarity.similar_groups(df, most_postings=1)
-    assert {(r.id, r.component_id) for r in huge.collect()} == {(9, 4), (4, 4), (None, 4), (6, 6)}
+    assert sorted(r.doc_id for r in near_similarity.drop_near(df, most_postings=1).collect()) == [4, 6]
+
+
+def test_near_similarity_decides_by_row(spark):
+    """Rows of one id with different texts go and stay on their own; null ids take part."""
+    words = [" ".join(f"{k}w{i}" for i in range(60)) for k in "abc"]
+    near = words[0] + " end"
+    df = spark.createDataFrame(rows(words[0], near, words[1], words[2], words[2], ids=[1, 2, 2, None, None]), SCHEMA)
+    assert sorted(r.text for r in near_similarity.drop_near(df).collect()) == sorted(words)
+
+
+def test_rows_without_others(spark):
+    """The same rows stay whether the others are broadcast or met by a bitmap and a shuffle."""
+    df = spark.createDataFrame(rows("a", "b", "c", "a", ids=[1, 2, None, 3]), SCHEMA)
+    gone = spark.createDataFrame([(1, "a"), (None, "c"), (3, "x")], "k long, x string")
+    for most in (10, 0):
+        left = without(df, gone, {"k": F.col("doc_id"), "x": F.col("text")}, most)
+        assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [2, 3]
+
+
+def components(df, texts, **options):
+    """The smallest id of each text's group."""
+    found = {r.id: r.keep.id for r in near_similarity.near_groups(df, bits=None, **options).collect()}
+    return [found.get(i, i) for i in range(len(texts))]
 
 
 def _varied(rng, base, n, changes):
@@ -126,8 +149,7 @@ def test_near_similarity_is_exact_at_the_threshold(spark):
     want = _exact_roots(texts)
     assert 10 < sum(r != i for i, r in enumerate(want)) < 30
     df = spark.createDataFrame(rows(*(" ".join(w) for w in texts)), SCHEMA)
-    got = {r.id: r.component_id for r in near_similarity.similar_groups(df).collect()}
-    assert [got[i] for i in range(len(texts))] == want
+    assert components(df, texts) == want
 
 
 def test_near_similarity_in_long_lists(spark):
@@ -140,8 +162,7 @@ def test_near_similarity_in_long_lists(spark):
     want = _exact_roots(texts)
     assert 20 < len(set(want)) < 62
     for most, block in ((32, 1024), (2, 16)):
-        got = {r.id: r.component_id for r in near_similarity.similar_groups(df, most_postings=most, block_rows=block).collect()}
-        assert [got[i] for i in range(len(texts))] == want
+        assert components(df, texts, most_postings=most, block_rows=block) == want
 
 
 def test_packing(odd, empty):
@@ -188,7 +209,10 @@ def test_mixing(odd, empty):
     sequence = mixing.mixed_sequence(mixing.mix_sources(odd)).collect()
     assert [r.finish for r in sequence] == sorted(r.finish for r in sequence)
     assert len(sequence) == sum(r.copies for r in got)
-    assert mixing.apply_mix(odd).columns == odd.columns
+    whole = mixing.apply_mix(odd)
+    assert whole.columns == odd.columns
+    # repeated rows give their copies each, and the rows come in mixed order
+    assert whole.count() == sum(r.copies for r in got) and [r.doc_id for r in whole.collect()] == [r.id for r in sequence]
     assert mixing.mix_sources(empty).count() == 0 and mixing.apply_mix(empty).count() == 0
 
 
