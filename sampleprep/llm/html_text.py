@@ -1,21 +1,29 @@
 """Main text of HTML pages by wrapper induction.
 
-Each page becomes a tree in which neighbouring siblings of the same kind are one node, so lists and runs of paragraphs
-do not blow it up. The trees of a host's pages are aligned by simple tree matching and merged into the host's wrapper,
-first in each task, then across tasks. All pages are then aligned with their wrapper, and the distinct pages that have a
-node, and those that have a text in it, are counted exactly. Constant texts of a node are template; what varies is a slot. Of the slots, those in menus, headers, footers,
-sidebars, notices, adverts, forms, scripts and comments are set aside by their element, role or class; if the page has
-an article or main element, only its slots are content.
+Each page becomes a tree in which a node's children of the same kind (element and classes) are one node, so lists and runs of
+paragraphs do not blow it up and no two siblings are alike. A host's wrapper is the tree of the nodes that its pages
+share, with siblings in their mean order; it is counted by Spark: the distinct pages with each node, and with each text in it.
+A page is aligned with its host's wrapper by simple tree matching. As siblings differ in kind, the best matching of two lists of
+subtrees is their heaviest increasing subsequence, so an alignment takes n log n steps, by loops, at any depth.
+
+What the wrapper tells: a text is template if at least _SHARE of the distinct pages with its node have it; outside an article
+or main element, a node as a whole is template if half of its other texts return on other pages (rotating menus, notices, adverts).
+Everything else is a slot, and slots are content. Rules that stand beside it, for what varies too much or where a host has too few
+pages: blocks are set aside by element (nav, footer, aside, form, header outside an article and others), by role, if hidden, and by
+words in class or id (_ASIDE_NAME: adverts, comments, related links and others). If a page has an article or main element with
+content, only what is in it counts.
 
 Identical pages of a host count once, so a page copied many times does not turn into template; where
-all content of a page would be constant, it is kept.
+all content of a page would be template, it is kept.
 
-What meets in one task: for each host at most one wrapper of bounded size per task. Wrappers are joined to their pages by
+Size: a wrapper has nodes of at least _LEAST distinct pages and of _NODE_SHARE of its host's, so it has at most 1 / _NODE_SHARE times
+the nodes of a mean page, whatever the number of pages; nothing is cut by order or by task. Wrappers are joined to their pages by
 broadcast only if their measured size is below broadcast_bytes, else by a shuffle on the host.
 
 Defined cases: null or empty html gives the empty text; a null url counts as an empty host; broken
 markup is read as it comes (unclosed elements end with their block, stray end tags are ignored); an
-unended comment, script or style hides the rest; repeated rows are each extracted.
+unended comment, script or style hides the rest; repeated rows are each extracted; markup of any depth and lists of any length are
+read whole; other columns of the input, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -23,9 +31,10 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,32 +70,33 @@ _ASIDE_NAME = re.compile(
     re.IGNORECASE,
 )
 _ASIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-_NODES = 2000
 #: A text is template in a node that at least _LEAST pages have, if at least _SHARE of them have the text.
 _SHARE, _LEAST = 0.4, 4
+#: A node is template as a whole if at least _MANY pages have it and _RETURNS of its texts, but for template ones, are on at least _AGAIN pages each.
+_MANY, _RETURNS, _AGAIN = 8, 0.5, 2
+#: Share of a host's pages that a node of the wrapper is on at least.
+_NODE_SHARE = 0.01
+#: Rows that a task sums up before it passes them on.
+_HELD = 200_000
 
 
 class Node:
-    """label; children; pages that have its constant texts, by checksum; pages that have it."""
+    """kind (element and classes), path (a hash of the kinds from the root), place in the page's list of nodes, parent, children by kind."""
 
-    __slots__ = ("label", "children", "texts", "pages")
+    __slots__ = ("kind", "path", "place", "parent", "children")
 
-    def __init__(self, label: str) -> None:
-        self.label, self.children, self.texts, self.pages = label, [], {}, 1
+    def __init__(self, kind: str, parent: Node | None, place: int) -> None:
+        from xxhash import xxh64_intdigest
 
-    def to_list(self) -> list:
-        return [self.label, self.pages, [*map(list, self.texts.items())], [c.to_list() for c in self.children]]
+        self.kind, self.parent, self.place, self.children = kind, parent, place, {}
+        self.path = xxh64_intdigest(kind.encode("utf-8", "replace"), parent.path if parent else 0)
 
-    @classmethod
-    def of(cls, made: list) -> Node:
-        node = cls(made[0])
-        node.pages, node.texts, node.children = made[1], {k: n for k, n in made[2]}, [cls.of(c) for c in made[3]]
-        return node
 
-
-def parse(page: str) -> tuple[Node, list[tuple[str, Node, bool, bool]]]:
-    """The page's tree, and its blocks in order: text, node, whether it is set aside, whether it is in an article."""
-    root = Node("#")
+def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, bool, bool]]]:
+    """The nodes of the page's tree, parents first, and its blocks in order: text, node, whether it is set aside, whether it is in an article."""
+    root = Node("#", None, 0)
+    nodes = [root]
+    opened: Counter = Counter()
     stack: list[tuple[str, Node, bool, bool]] = [("#", root, False, False)]
     blocks: list[tuple[str, Node, bool, bool]] = []
     parts: list[str] = []
@@ -99,9 +109,14 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, bool, bool]]]:
                 _, node, aside, article = stack[-1]
                 blocks.append((text, node, aside, article))
 
+    def cut(upto: int) -> None:
+        for entry in stack[upto:]:
+            opened[entry[0]] -= 1
+        del stack[upto:]
+
     def close(upto: int) -> None:
         end_block()
-        del stack[upto:]
+        cut(upto)
 
     at, size = 0, len(page)
     while at < size:
@@ -115,12 +130,12 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, bool, bool]]]:
         name = token[2].lower()
         block = name in _BLOCK
         if token[1]:
-            found = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
+            found = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0) if opened[name] else 0
             if found and (block or not any(stack[k][0] in _BLOCK for k in range(found + 1, len(stack)))):
                 if block:
                     close(found)
                 else:
-                    del stack[found:]
+                    cut(found)
             elif block:
                 end_block()
             continue
@@ -141,9 +156,10 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, bool, bool]]]:
             # inline elements only carry whether they are set aside
             if attributes and _set_aside(name, attributes, stack[-1][3]) or name in _ASIDE:
                 end_block()
-                stack.append((name, _child(stack[-1][1], name, attributes), True, stack[-1][3]))
+                stack.append((name, _child(nodes, stack[-1][1], name, attributes), True, stack[-1][3]))
             else:
                 stack.append((name, stack[-1][1], stack[-1][2], stack[-1][3]))
+            opened[name] += 1
             continue
         end_block()
         open_p = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack[k][0] in _SCOPE), 0)
@@ -158,12 +174,13 @@ def parse(page: str) -> tuple[Node, list[tuple[str, Node, bool, bool]]]:
                     break
         _, parent, aside, article = stack[-1]
         while stack[-1][0] not in _BLOCK and len(stack) > 1:
-            stack.pop()
+            cut(len(stack) - 1)
             _, parent, aside, article = stack[-1]
         article_here = article or name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
-        stack.append((name, _child(parent, name, attributes), aside or _set_aside(name, attributes, article), article_here))
+        stack.append((name, _child(nodes, parent, name, attributes), aside or _set_aside(name, attributes, article), article_here))
+        opened[name] += 1
     end_block()
-    return root, blocks
+    return nodes, blocks
 
 
 def _set_aside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
@@ -175,211 +192,168 @@ def _set_aside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     return name not in ("html", "body", "main") and bool(named.strip()) and bool(_ASIDE_NAME.search(named))
 
 
-def _child(parent: Node, name: str, attributes: dict[str, str]) -> Node:
-    """The last child if it is of the same kind, else a new one."""
-    kind = attributes.get("class") or ""
-    label = f"{name}.{'.'.join(sorted(kind.split()))}" if kind else name
-    if parent.children and parent.children[-1].label == label:
-        return parent.children[-1]
-    parent.children.append(Node(label))
-    return parent.children[-1]
-
-
-def matching(a: list[Node], b: list[Node], score) -> list[tuple[int, int]]:
-    """Simple tree matching of two lists of subtrees in order: the pairs of the best alignment."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + (score(x, y) if x.label == y.label else 0))
-    pairs, i, j = [], len(a), len(b)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    return pairs[::-1]
-
-
-def similarity(a: Node, b: Node, known: dict) -> int:
-    """Nodes that two trees with the same root share in order."""
-    key = id(a), id(b)
-    if key not in known:
-        pairs = matching(a.children, b.children, lambda x, y: similarity(x, y, known))
-        known[key] = 1 + sum(similarity(a.children[i], b.children[j], known) for i, j in pairs)
-    return known[key]
-
-
-def align(wrapper: Node, page: Node, found: dict[int, Node], known: dict | None = None) -> None:
-    """found: for id() of each node of page that matches, the wrapper's node."""
-    known = {} if known is None else known
-    found[id(page)] = wrapper
-    for i, j in matching(wrapper.children, page.children, lambda x, y: similarity(x, y, known)):
-        align(wrapper.children[i], page.children[j], found, known)
-
-
-def merge(wrapper: Node, other: Node, known: dict | None = None) -> None:
-    """Add other to wrapper: counts of matching nodes are summed, other nodes are put in where they stand."""
-    known = {} if known is None else known
-    wrapper.pages += other.pages
-    pairs = matching(wrapper.children, other.children, lambda x, y: similarity(x, y, known))
-    for i, j in pairs:
-        merge(wrapper.children[i], other.children[j], known)
-    met = {j: i for i, j in pairs}
-    children, at = [], 0
-    for j, child in enumerate(other.children):
-        if j in met:
-            children += wrapper.children[at : met[j] + 1]
-            at = met[j] + 1
-        else:
-            children.append(child)
-    wrapper.children = children + wrapper.children[at:]
-
-
-def pruned(node: Node, least: int) -> Node:
-    node.children = [pruned(c, least) for c in node.children if c.pages > least]
-    return node
-
-
-def _size(node: Node) -> int:
-    return 1 + sum(map(_size, node.children))
-
-
-def _checksum(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "replace"))
-
-
-def constant(node: Node, text: str, share: float = _SHARE, least: int = _LEAST) -> bool:
-    """True if the text is template: enough pages with this node have it."""
-    return node.pages >= least and node.texts.get(_checksum(text), 0) >= share * node.pages
-
-
-def main_text(page: str | None, wrapper: Node | None) -> str:
-    root, blocks = parse(page or "")
-    found: dict[int, Node] = {}
-    if wrapper is not None:
-        align(wrapper, root, found)
-    open_blocks = [b for b in blocks if not b[2]]
-    if any(b[3] for b in open_blocks):
+def _child(nodes: list[Node], parent: Node, name: str, attributes: dict[str, str]) -> Node:
+    """The child of this kind, a new one if there is none."""
+    classes = attributes.get("class") or ""
+    kind = f"{name}.{'.'.join(sorted(classes.split()))}" if classes else name
+    found = parent.children.get(kind)
+    if found is None:
+        found = parent.children[kind] = Node(kind, parent, len(nodes))
+        nodes.append(found)
+    return found
+
+
+def _hash(text: str) -> int:
+    from xxhash import xxh64_intdigest
+
+    return xxh64_intdigest(text.encode("utf-8", "replace"))
+
+
+def heaviest_increasing(orders: list[float], weights: list[int]) -> list[int]:
+    """The places of the increasing subsequence of orders that weighs most: the best matching of two lists of subtrees of different kinds."""
+    if all(x < y for x, y in zip(orders, orders[1:], strict=False)):
+        return list(range(len(orders)))
+    ranks = {x: k + 1 for k, x in enumerate(sorted(set(orders)))}
+    # a Fenwick tree of the heaviest sequence that ends at or below each rank
+    best: list[tuple[int, int]] = [(0, -1)] * (len(ranks) + 1)
+    before: list[int] = []
+    for place, (order, weight) in enumerate(zip(orders, weights, strict=True)):
+        at, found = ranks[order] - 1, (0, -1)
+        while at:
+            found = max(found, best[at], key=lambda x: x[0])
+            at &= at - 1
+        before.append(found[1])
+        made, at = (found[0] + weight, place), ranks[order]
+        while at < len(best):
+            if made[0] > best[at][0]:
+                best[at] = made
+            at += at & -at
+    at, found = len(ranks), (0, -1)
+    while at:
+        found = max(found, best[at], key=lambda x: x[0])
+        at &= at - 1
+    chosen, place = [], found[1]
+    while place >= 0:
+        chosen.append(place)
+        place = before[place]
+    return chosen[::-1]
+
+
+def align(nodes: list[Node], wrapper: dict[int, tuple]) -> set[int]:
+    """The places of the page's nodes that simple tree matching gives a node of the wrapper (path: order and more)."""
+    weight, taken = [1] * len(nodes), [()] * len(nodes)
+    for node in reversed(nodes):
+        some = [c for c in node.children.values() if c.path in wrapper]
+        if some:
+            kept = heaviest_increasing([wrapper[c.path][0] for c in some], [weight[c.place] for c in some])
+            taken[node.place] = [some[k].place for k in kept]
+            weight[node.place] += sum(weight[p] for p in taken[node.place])
+    found = {0} if nodes[0].path in wrapper else set()
+    for node in nodes:
+        if node.place in found:
+            found.update(taken[node.place])
+    return found
+
+
+def is_template(told: tuple, text: str, in_article: bool) -> bool:
+    """told: order, whether the node is template as a whole, its template texts."""
+    return told[1] and not in_article or _hash(text) in told[2]
+
+
+def main_text(page: str | None, wrapper: dict[int, tuple] | None, hints: bool = True) -> str:
+    """hints False leaves out the rules that stand beside the wrapper."""
+    nodes, blocks = parse(page or "")
+    found = align(nodes, wrapper) if wrapper else set()
+    open_blocks = [b for b in blocks if not (hints and b[2])]
+    if hints and any(b[3] for b in open_blocks):
         open_blocks = [b for b in open_blocks if b[3]]
-    slots = [text for text, node, _, _ in open_blocks if id(node) not in found or not constant(found[id(node)], text)]
-    return "\n".join(slots or [b[0] for b in open_blocks])
-
+    slots = [b for b in open_blocks if b[1].place not in found or not is_template(wrapper[b[1].path], b[0], b[3])]
+    return "\n".join(b[0] for b in slots or open_blocks)
 
-def _add(wrappers: dict[str, Node], host: str, tree: Node) -> None:
-    if host not in wrappers:
-        wrappers[host] = tree
-        return
-    merge(wrappers[host], tree)
-    least = 1
-    while _size(wrappers[host]) > _NODES:
-        pruned(wrappers[host], least)
-        least *= 2
 
+def read_wrapper(made: str) -> dict[int, tuple]:
+    """path: order among its siblings, whether it is template as a whole, its template texts."""
+    return {x["node"] % 2**64: (x["order"], x["whole"], frozenset(t % 2**64 for t in x["texts"])) for x in json.loads(made)}
 
-def induce(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
-    """host and wrapper (JSON) of all pages' hosts, from all pages."""
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wrappers: dict[str, Node] = {}
-        seen: set[tuple[str, int, int]] = set()
-        for batch in batches:
-            for host, page in zip(batch.column(0), batch.column(1), strict=True):
-                host, page = host.as_py(), page.as_py() or ""
-                key = host, _checksum(page), len(page)
-                if not page or key in seen:
-                    continue
-                seen.add(key)
-                _add(wrappers, host, parse(page)[0])
-        yield pa.RecordBatch.from_arrays([pa.array(list(wrappers), pa.string()), pa.array([json.dumps(w.to_list()) for w in wrappers.values()], pa.string())], ["host", "wrapper"])
-
-    def together(key: tuple, rows: pa.Table) -> pa.Table:
-        wrappers: dict[str, Node] = {}
-        for made in sorted(rows.column("wrapper").to_pylist()):
-            _add(wrappers, key[0].as_py(), Node.of(json.loads(made)))
-        return pa.table({"host": pa.array(list(wrappers), pa.string()), "wrapper": pa.array([json.dumps(w.to_list()) for w in wrappers.values()], pa.string())})
+_COUNTED = "host string, node long, text long, pages double, orders double, told double"
 
-    parts = map_arrow(pages.select(F.col(host_col).alias("host"), F.col(html_col).alias("html")), fold, "host string, wrapper string")
-    return parts.groupBy("host").applyInArrow(together, "host string, wrapper string")
 
+def count_nodes(pages: DataFrame) -> DataFrame:
+    """host, node, text (null for the node itself), pages (distinct ones with it), orders and told (sums of the node's order and of its different texts) of pages (host, html)."""
+    keyed = pages.select("host", "html", F.xxhash64("html").alias("page"))
+    copies = checkpointed(keyed.groupBy("host", "page").count().where("count > 1").select(F.col("host").alias("h"), F.col("page").alias("p"), F.col("count").alias("copies")))
+    same = (F.col("host") == F.col("h")) & (F.col("page") == F.col("p"))
+    keyed = keyed.join(F.broadcast(copies) if copies.count() <= 500_000 else copies, same, "left").select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
 
-def _nodes(wrapper: Node) -> list[Node]:
-    """The nodes in the order of their start."""
-    return [wrapper, *(n for c in wrapper.children for n in _nodes(c))]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int, int | None], list[float]] = {}
 
+        def made() -> pa.RecordBatch:
+            host, node, text = ([k[i] for k in sums] for i in range(3))
+            values = np.array(list(sums.values()), float).reshape(-1, 3)
+            texts = pa.array(np.array([t or 0 for t in text], np.uint64).view(np.int64), mask=np.array([t is None for t in text], bool))
+            columns = [pa.array(host, pa.string()), pa.array(np.array(node, np.uint64).view(np.int64)), texts, *(pa.array(values[:, k]) for k in range(3))]
+            sums.clear()
+            return pa.RecordBatch.from_arrays(columns, ["host", "node", "text", "pages", "orders", "told"])
 
-def count_texts(joined: DataFrame) -> DataFrame:
-    """host, node (its place in the wrapper), text (checksum), n (distinct pages with it) and pages (those with the node) of all template texts."""
+        def add(key: tuple, *values: float) -> None:
+            held = sums.setdefault(key, [0.0, 0.0, 0.0])
+            for k, v in enumerate(values):
+                held[k] += v
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[Node, dict[int, int]]] = {}
-        seen: set[tuple[str, int]] = set()
         for batch in batches:
-            made: tuple[list, ...] = ([], [], [], [])
-            for host, page, html, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not html or (host, page) in seen:
+            for host, page, copies in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                host, page, share = host.as_py(), page.as_py(), 1 / copies.as_py()
+                if not page:
                     continue
-                seen.add((host, page))
-                if wrapper not in known:
-                    if len(known) >= 64:
-                        known.clear()
-                    root = Node.of(json.loads(wrapper))
-                    known[wrapper] = root, {id(n): k for k, n in enumerate(_nodes(root))}
-                root, places = known[wrapper]
-                tree, blocks = parse(html)
-                found: dict[int, Node] = {}
-                align(root, tree, found)
-                # -1 stands for the node itself
-                told = {(places[id(n)], -1) for n in found.values()}
-                told |= {(places[id(found[id(node)])], _checksum(text)) for text, node, _, _ in blocks if id(node) in found}
-                for node, text in told:
-                    for column, value in zip(made, (host, node, text, page), strict=True):
-                        column.append(value)
-            types = pa.string(), pa.int32(), pa.int64(), pa.int64()
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(made, types, strict=True)], ["host", "node", "text", "page"])
-
-    told = map_arrow(joined.select("host", F.xxhash64("html").alias("page"), "html", "wrapper"), run, "host string, node int, text long, page long").distinct()
-    counts = checkpointed(told.groupBy("host", "node", "text").agg(F.count("*").alias("n")).where(f"n >= {_SHARE * _LEAST}"))
-    nodes = counts.where(f"text = -1 and n >= {_LEAST}").select("host", "node", F.col("n").alias("pages"))
-    return counts.where("text >= 0").join(nodes, ["host", "node"]).where(f"n >= {_SHARE} * pages")
-
-
-def with_texts(wrappers: DataFrame, counted: DataFrame) -> DataFrame:
-    """The wrappers with the counts of their template texts."""
-    told = counted.groupBy("host").agg(F.to_json(F.collect_list(F.array("node", "text", "n", "pages"))).alias("told"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for wrapper, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                root = Node.of(json.loads(wrapper))
-                nodes = _nodes(root)
-                for node, text, n, pages in json.loads(found or "[]"):
-                    nodes[node].texts[text], nodes[node].pages = n, pages
-                made.append(json.dumps(root.to_list()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], ["host", "wrapper"])
-
-    return map_arrow(wrappers.join(told, "host", "left").select("host", "wrapper", "told"), run, "host string, wrapper string")
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 8 << 20) -> DataFrame:
-    """page_id, url and text of each row."""
+                nodes, blocks = parse(page)
+                texts = {(node.path, _hash(text)) for text, node, _, _ in blocks}
+                told = Counter(path for path, _ in texts)
+                add((host, nodes[0].path, None), share, 0.0, share * told[nodes[0].path])
+                for node in nodes:
+                    for k, child in enumerate(node.children.values()):
+                        add((host, child.path, None), share, share * (k + 0.5) / len(node.children), share * told[child.path])
+                for path, text in texts:
+                    add((host, path, text), share)
+                if len(sums) >= _HELD:
+                    yield made()
+        yield made()
+
+    parts = map_arrow(keyed, run, _COUNTED)
+    return parts.groupBy("host", "node", "text").agg(*[F.sum(c).alias(c) for c in ("pages", "orders", "told")])
+
+
+def induce(pages: DataFrame) -> DataFrame:
+    """host and wrapper (JSON) of all hosts of pages (host, html), from all pages."""
+    some = 1e-6  # sums of shares of copies are whole numbers but for rounding
+    counts = checkpointed(count_nodes(pages).where(f"text is null or pages > {_AGAIN - 1 + some}"))
+    nodes = counts.where("text is null")
+    hosts = nodes.groupBy("host").agg(F.max("pages").alias("all_pages"))
+    nodes = nodes.join(hosts, "host").where(F.col("pages") > F.greatest(F.lit(_LEAST), F.col("all_pages") * _NODE_SHARE) - some)
+    nodes = nodes.select("host", "node", F.col("pages").alias("node_pages"), F.round(F.col("orders") / F.col("pages"), 6).alias("order"), F.col("told").alias("node_told"))
+    texts = counts.where("text is not null").join(nodes, ["host", "node"])
+    constant = F.col("pages") > _SHARE * F.col("node_pages") - some
+    always, back = (F.coalesce(F.sum(F.when(c, F.col("pages"))), F.lit(0.0)) for c in (constant, ~constant))
+    texts = texts.groupBy("host", "node").agg(always.alias("always"), back.alias("back"), F.collect_list(F.when(constant, F.col("text"))).alias("texts"))
+    # of the texts that are not template by themselves, the share that returns
+    varying = F.col("node_told") - F.col("always")
+    whole = F.coalesce((F.col("node_pages") > _MANY - some) & (F.col("back") > _RETURNS * varying - some) & (varying > some), F.lit(False))
+    told = nodes.join(texts, ["host", "node"], "left").select("host", F.struct("node", "order", whole.alias("whole"), F.coalesce("texts", F.array().cast("array<bigint>")).alias("texts")).alias("x"))
+    return told.groupBy("host").agg(F.to_json(F.collect_list("x")).alias("wrapper"))
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 8 << 20, hints: bool = True) -> DataFrame:
+    """page_id, url and text of each row. hints False leaves out the rules that stand beside the wrapper."""
     host, _ = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
-
-    def joined(wrappers: DataFrame) -> DataFrame:
-        bytes_ = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
-        return rows.join(F.broadcast(wrappers) if bytes_ <= broadcast_bytes else wrappers, "host", "left")
-
-    wrappers = checkpointed(induce(rows, "host", "html"))
-    wrappers = checkpointed(with_texts(wrappers, count_texts(joined(wrappers))))
-    told = joined(wrappers).select("page_id", "url", "html", "wrapper")
+    wrappers = checkpointed(induce(rows.select("host", "html")))
+    bytes_ = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
+    told = rows.join(F.broadcast(wrappers) if bytes_ <= broadcast_bytes else wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
     schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, Node] = {}
+        known: dict[str, dict[int, tuple]] = {}
         for batch in batches:
             texts = []
             for page, made in zip(batch.column(2), batch.column(3), strict=True):
@@ -387,8 +361,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 if made is not None and made not in known:
                     if len(known) >= 64:
                         known.clear()
-                    known[made] = Node.of(json.loads(made))
-                texts.append(main_text(page.as_py(), known.get(made)))
+                    known[made] = read_wrapper(made)
+                texts.append(main_text(page.as_py(), known.get(made), hints))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return map_arrow(told, run, schema)

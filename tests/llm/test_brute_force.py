@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
+from sampleprep.llm import html_text
 from sampleprep.llm import queries as q
 from sampleprep.llm.common import table
 
@@ -120,3 +121,65 @@ def test_mixing(spark, sf, docs):
     assert 0 <= sum(by.values()) - sum(taken.values()) <= longest
     again = {(r.doc_id, r.taken) for r in q.op9_mix_sources(spark, sf).collect()}
     assert again == {(r.doc_id, r.taken) for r in rows}
+
+
+def naive_wrappers(pages):
+    """By host the order, template flag and template texts of each path, counted in plain Python over all distinct pages."""
+    shared = defaultdict(lambda: defaultdict(lambda: [0, 0.0, 0]))
+    texts, total = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for host, page in {(h, p) for h, p in pages if p}:
+        nodes, blocks = html_text.parse(page)
+        found = {(n.path, t) for t, n, _, _ in blocks}
+        total[host] += 1
+        for node in nodes:
+            told = shared[host][node.path]
+            siblings = [*node.parent.children.values()] if node.parent else [node]
+            told[0] += 1
+            told[1] += (siblings.index(node) + 0.5) / len(siblings) if node.parent else 0
+            told[2] += sum(path == node.path for path, _ in found)
+        for key in found:
+            texts[host][key] += 1
+    made = {}
+    for host, nodes in shared.items():
+        made[host] = {}
+        for path, (n, order, told) in nodes.items():
+            if n >= max(4, 0.01 * total[host]):
+                here = {t: k for (p, t), k in texts[host].items() if p == path}
+                always = {t for t, k in here.items() if k >= 2 and k >= 0.4 * n}
+                varying = told - sum(here[t] for t in always)
+                whole = n >= 8 and varying > 0 and sum(k for t, k in here.items() if k >= 2 and t not in always) >= 0.5 * varying
+                made[host][path] = (round(order / n, 6), whole, always)
+    return made
+
+
+def naive_match(node, wrapper):
+    """(weight, aligned places) of a subtree by the quadratic dynamic programme of simple tree matching."""
+    ours = [c for c in node.children.values() if c.path in wrapper]
+    theirs = sorted((c.path for c in ours), key=lambda p: wrapper[p][0])
+    sub = {c.path: naive_match(c, wrapper) for c in ours}
+    best = [[(0, ())] * (len(theirs) + 1) for _ in range(len(ours) + 1)]
+    for i, c in enumerate(ours):
+        for j, p in enumerate(theirs):
+            met = best[i][j][0] + sub[p][0], best[i][j][1] + (p,)
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], met if c.path == p else (0, ()), key=lambda x: x[0])
+    weight, paths = best[-1][-1]
+    return weight + 1, {node.place}.union(*(sub[p][1] for p in paths))
+
+
+def test_html_text(spark, sf):
+    sf = sf.replace("0.001", "0.01")  # hosts of enough pages for a wrapper
+    rows = table(spark, sf, "pages").collect()
+    host = lambda url: re.match(r"(?s)(?:.*?://([^/?#]*))?", url or "")[1] or ""
+    wrappers = naive_wrappers([(host(r.url).lower(), r.html) for r in rows])
+    want, alone = {}, 0
+    for r in rows:
+        nodes, blocks = html_text.parse(r.html or "")
+        wrapper = wrappers.get(host(r.url).lower(), {})
+        found = naive_match(nodes[0], wrapper)[1]
+        told = lambda b: b[1].place in found and b[1].path in wrapper and (wrapper[b[1].path][1] and not b[3] or b[0] in wrapper[b[1].path][2])  # noqa: B023, E731
+        kept = [b for b in blocks if not b[2]]
+        kept = [b for b in kept if b[3]] or kept
+        want[r.page_id] = "\n".join(b[0] for b in [b for b in kept if not told(b)] or kept)
+        alone += sum(bool(told(b)) for b in blocks if b[2])
+    got = {r.page_id: r.text for r in q.op6_html_text(spark, sf).collect()}
+    assert got == want and alone > 0

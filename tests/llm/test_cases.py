@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -334,6 +335,42 @@ def test_wrapper_counts_all_texts(spark):
         assert {r.page_id: r.text for r in got} == {i: "\n".join(f"story {i} part {k}" for k in range(n)) for i in range(20)}
 
 
+def test_wrapper_alone_takes_out_what_returns(spark):
+    """No telling element or class: constant notices and rotating menus go by the wrapper, varying blocks stay."""
+    menus = [f"<div class='q1'><a>menu {k}</a><a>item {k}</a></div>" for k in range(3)]
+    page = lambda i: f"<html><body><div class='q0'>We value you</div>{menus[i % 3]}<div class='q2'><p>story {i}</p><p>more {i}</p></div><div class='q3'>© site {i % 2}</div></body></html>"
+    df = spark.createDataFrame([(i, "http://h.org/p", page(i)) for i in range(24)], "page_id long, url string, html string")
+    for hints in (True, False):
+        assert {r.page_id: r.text for r in html_text.extract(df, hints=hints).collect()} == {i: f"story {i}\nmore {i}" for i in range(24)}
+
+
+def test_heaviest_increasing():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rng.integers(0, 9))
+        orders, weights = rng.permutation(n).tolist(), rng.integers(1, 5, n).tolist()
+        got = html_text.heaviest_increasing(orders, weights)
+        assert all(orders[a] < orders[b] for a, b in zip(got, got[1:], strict=False)) and got == sorted(set(got))
+        some = [[k for k in range(n) if m >> k & 1] for m in range(1 << n)]
+        rising = [c for c in some if all(orders[a] < orders[b] for a, b in zip(c, c[1:], strict=False))]
+        assert sum(weights[k] for k in got) == max(sum(weights[k] for k in c) for c in rising)
+
+
+def test_deep_and_long_pages(spark):
+    """Markup of any depth and lists of any length, in seconds, and odd columns of the input."""
+    deep = "<div>" * 5000 + "deep" + "</div>" * 5000
+    inline = "<b>" * 20_000 + "thin" + "<p>after</p>" + "</i>" * 20_000
+    wide = "".join(f"<p class='c{k}'>text {k} of @</p>" for k in range(20_000))
+    mixed = "".join(f"<h2 class='a{k % 7}'>head {k} @</h2><p>text {k} of @</p>" for k in range(2000))
+    back = "".join(f"<p class='c{k}'>text {k} of @</p>" for k in range(20_000, 0, -1))
+    made = [(k, "http://h.org/", f"<html><body>{x.replace('@', str(5 * k + i))}<!-- {i} --></body></html>") for k, x in enumerate((deep, inline, wide, mixed, back)) for i in range(5)]
+    df = spark.createDataFrame(made, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("host", "wrapper", "text", "node", "h", "p")})
+    start = time.monotonic()
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert time.monotonic() - start < 60
+    assert got[0] == "deep" and got[1] == "thin\nafter" and got[2].count("\n") == 19_999 and got[3].count("\n") == 3999 and got[4].startswith("text 20000 of 2")
+
+
 def test_toxicity(spark, odd, empty, sf):
     docs, labels = q.table(spark, sf, "documents"), q.table(spark, sf, "labels")
     trained = toxicity.train(docs, docs.join(labels, "doc_id"))
