@@ -417,7 +417,7 @@ def test_bm25(spark, odd, empty, sf, monkeypatch):
     texts = [(r.doc_id, r.text) for r in docs.collect()]
     asked = docs.where("doc_id % 40 = 0").select(F.col("doc_id").alias("query_id"), "text")
     got = defaultdict(list)
-    for r in bm25.search(docs, asked, 5, query_block=2).collect():
+    for r in bm25.search(docs, asked, 5, block_terms=100).collect():
         got[r.query_id].append((r.rank, r.id, r.score))
     for i, text in texts:
         if i % 40 == 0:
@@ -427,3 +427,33 @@ def test_bm25(spark, odd, empty, sf, monkeypatch):
     some = odd.select(F.col("doc_id").alias("query_id"), "text")
     assert {r.query_id for r in bm25.search(odd, some, 3).collect()} == {4, 2, None, 7, 1}
     assert bm25.search(empty, some, 3).count() == 0 and bm25.search(odd, some.limit(0), 3).count() == 0
+
+
+def test_bm25_asks_each_row(spark):
+    """Queries with one id are asked each; ids may be of other types."""
+    asked = spark.createDataFrame([(7, "alpha"), (7, "gamma"), (8, "alpha alpha")], "query_id short, text string")
+    for kind in ("string", "short", "date"):
+        docs = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, "gamma delta delta")], "n int, text string")
+        docs = docs.select((F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n").cast(kind)).alias("doc_id"), "text")
+        one, two, three = (r.doc_id for r in docs.collect())
+        got = sorted((r.query_id, r.rank, r.id) for r in bm25.search(docs, asked, 3).collect())
+        assert got == sorted([(7, 1, one), (7, 1, two), (7, 2, three), (8, 1, one)])
+
+
+def test_bm25_pruned_is_brute(spark, monkeypatch):
+    """Blocks of two documents, few frequent terms: what pruning leaves out is never in the top k, ties included."""
+    monkeypatch.setattr(bm25, "BLOCK", 2)
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join(f"w{min(int(x), 60)}" for x in rng.zipf(1.3, int(rng.integers(0, 30))))) for i in range(300)]
+    texts += [(300 + i, texts[i][1]) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    asked = spark.createDataFrame(texts[::7], "query_id long, text string")
+    got = defaultdict(list)
+    for r in bm25.search(docs, asked, 5, max_frequent=8).collect():
+        got[r.query_id].append((r.rank, r.id, r.score))
+    for i, text in texts[::7]:
+        want = brute_bm25(texts, text, 5)
+        assert [s for _, _, s in sorted(got[i])] == pytest.approx([-s for s, _ in want])
+        tied = [-s for s, _ in want]
+        exact = [(k, d) for k, (s, d) in enumerate(want) if sum(abs(s + t) < 1e-9 for t in tied) == 1]
+        assert all(sorted(got[i])[k][1] == d for k, d in exact)
