@@ -1,14 +1,15 @@
 r"""Chat formatting by a grammar round trip.
 
 A conversation is rendered as turns "### Role: text\n</turn>\n". A deterministic parser reads the result back.
-Where the recovered turns differ from the source, the texts are escaped: each run of backslashes in front of a
-control string ("</turn>" or "### ") gets one more. The parser always takes one off such a run, so texts without a
-conflict stay as they are. This is repeated until the turns are identical; what isn't after the last step fails.
+To the parser every "### " opens a turn and every "</turn>" ends one, wherever they stand, unless a backslash is in front. Where
+the recovered turns differ from the source, the texts are escaped: each run of backslashes in front of a
+control string ("</turn>" or "### ") gets one more. The parser takes one off such a run. So a control string inside a text is
+always escaped, and texts without one stay as they are. What isn't identical after that fails.
 
 Roles other than user, assistant and system are written as "@" and the hexadecimal digits of their UTF-8.
 
 Defined cases: null text is empty; null role is the empty role; turns go by turn, null last, then role and
-text; an empty conversation table gives no rows; rows with a null conversation id form one conversation.
+text; an empty conversation table gives no rows; each row with a null conversation id is a conversation of its own.
 A conversation is one string, so its turns meet in one task, as any output of it needs.
 """
 
@@ -55,14 +56,18 @@ def render(turns: Column, escaped: Column) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """The array of (role, text) that the grammar gives; a turn ends at the first end mark."""
-    chunks = F.filter(F.split(formatted, _CLOSE, -1), lambda c: c != "")
-    header = r"(?s)\A### ([^:]*): (.*)\z"
+    """The array of (role, text) that the grammar gives; text is null in a turn that isn't ended by one end mark."""
 
-    def turn(c: Column) -> Column:
-        return F.struct(_role(F.regexp_extract(c, header, 1)).alias("role"), _unescape(F.regexp_extract(c, header, 2)).alias("text"))
+    def turn(part: Column) -> Column:
+        ended = F.split(part, rf"(?<!\\){_CLOSE.strip()}", -1)
+        header = r"(?s)\A([^:]*): (.*)\n\z"
+        whole = (F.size(ended) == 2) & (F.get(ended, 1) == "\n") & F.get(ended, 0).rlike(header)
+        text = _unescape(F.regexp_extract(F.get(ended, 0), header, 2))
+        return F.struct(_role(F.regexp_extract(F.get(ended, 0), header, 1)).alias("role"), F.when(whole, text).alias("text"))
 
-    return F.transform(chunks, turn)
+    parts = F.split(formatted, rf"(?<!\\){_OPEN}", -1)
+    # nothing stands in front of the first turn
+    return F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), turn)
 
 
 def gather(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -74,7 +79,8 @@ def gather(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     turns = F.transform(F.array_sort(F.collect_list(key)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return rows.groupBy(F.col(conv_col).alias("conv_id")).agg(turns.alias("turns"))
+    alone = F.when(F.col(conv_col).isNull(), F.monotonically_increasing_id()).alias("alone")
+    return rows.groupBy(F.col(conv_col).alias("conv_id"), alone).agg(turns.alias("turns")).select("conv_id", "turns")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
