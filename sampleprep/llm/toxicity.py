@@ -1,13 +1,14 @@
 """Toxicity with a noisy-channel deobfuscation in front of a bag-of-words score.
 
 A character 4-gram language model is counted over all texts. Tokens that look disguised (digits or symbols for
-letters, single letters set apart, letters repeated) become lattices: each place may be one of several letters, or
-nothing, at a channel cost. Viterbi decoding under the language model restores them. The restored text is then
+letters, asterisks in place of letters, single letters set apart, letters repeated) become lattices: each place may be one of several
+letters, or nothing, or between single letters a gap, at a channel cost. Viterbi decoding under the language model restores them, whatever
+their length. A token with symbols at its ends gives both readings, as letters ("a$$") and as punctuation ("so$$"). The restored text is then
 scored by a logistic regression on words and word beginnings, which learns from labelled rows only.
 
 Counts of the language model: each task folds letters to a-z, one class for other characters and one for gaps, and
-gives at most 28**4 sums, so what meets is bounded by the alphabet. Features are counted over the labelled rows;
-only the max_features most telling ones are kept.
+gives at most 28**4 sums, so what meets is bounded by the alphabet. Features are counted over the labelled rows, which
+are restored once; all that tell enough (least_gain) are kept.
 
 Defined cases: null text counts as empty; an empty text gets the score of the intercept; without labels of both kinds every score is
 0; rows without a label and labels without a row are not learned from; repeated rows are scored alike.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sampleprep.llm.common import checkpointed
 from sampleprep.session import map_arrow
 
 #: Classes of characters: 0 a gap, 1 to 26 a to z, 27 any other.
@@ -37,18 +39,26 @@ LEET = {
 _PLAIN = {
     c: p for p, many in {"a": "àáâãäå", "c": "ç", "e": "èéêë", "i": "ìíîï", "n": "ñ", "o": "òóôõöø", "u": "ùúûü", "y": "ýÿ", "s": "ß"}.items() for c in many
 }
-_MARKS = re.escape("".join(LEET))
+#: Stands for any letter inside a word, one or two at a time.
+_ANY = "*"
+_MARKS = re.escape("".join(LEET) + _ANY)
+#: What may stand between single letters.
+_BETWEEN = " \t\n\r.,*_/|~·-"
 _DISGUISED = re.compile(
-    rf"(?<!\w)[^\W\d_](?:[ .*_\-]{{1,2}}[^\W\d_](?!\w)){{2,}}"  # single letters set apart
-    rf"|(?<![\w{_MARKS}])[\w{_MARKS}]*?(?:[^\W\d_][{_MARKS}]{{1,2}}|[{_MARKS}][^\W\d_])[\w{_MARKS}]*"  # marks beside letters
+    rf"(?<![^\W_])[^\W\d_](?:[{re.escape(_BETWEEN)}]+[^\W\d_](?![^\W_])){{2,}}"  # single letters set apart
+    rf"|(?<![\w{_MARKS}])[\w{_MARKS}]*?(?:[^\W\d_][{_MARKS}]|[{_MARKS}][^\W\d_])[\w{_MARKS}]*"  # marks beside letters
     r"|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"  # a letter three times or more
 )
+_THRICE = re.compile(r"(.)\1\1")
+#: Symbols at the ends of a token, which may be punctuation.
+_ENDS = re.compile(r"^[^\w\s]+|[^\w\s]+$")
 _ZERO_WIDTH = re.compile("[\xad​-‍⁠﻿]")
 _GAPS = re.compile(r"[\W_]+")
 #: For Latin-1 text: 1 a letter, 2 a mark that may stand for one; and the text with spaces for all but letters and digits.
-_KIND = np.array([1 if chr(i).isalpha() else 2 if chr(i) in LEET else 0 for i in range(256)], dtype=np.uint8)
+_KIND = np.array([1 if chr(i).isalpha() else 2 if chr(i) in LEET or chr(i) == _ANY else 0 for i in range(256)], dtype=np.uint8)
+_SEPARATES = np.array([chr(i) in _BETWEEN for i in range(256)])
+_COUNTS = np.array([chr(i).isalnum() for i in range(256)])
 _SPACED = bytes(i if chr(i).isalnum() else 32 for i in range(256))
-_LONGEST = 40
 
 
 def _class_table() -> np.ndarray:
@@ -124,11 +134,12 @@ class Decoder:
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """Per place the letters it may be, "" for nothing, and their log channel probabilities."""
+        """Per place the letters it may be, "" for nothing, " " for a gap, and their log channel probabilities."""
         places: list[list[tuple[str, float]]] = []
         for run in re.finditer(r"(.)\1*", token, re.DOTALL):
             c, n = run[1], len(run[0])
             letter = _PLAIN.get(c, c)
+            inside = 0 < run.start() and run.end() < len(token)
             if "a" <= letter <= "z":
                 options = [(letter, -0.1 if n < 3 else -0.7)]
                 if n > 1:
@@ -138,17 +149,25 @@ class Decoder:
                 if n > 1:
                     options += [(x * 2, -1.0) for x in LEET[c]]
                 options.append(("", -6.0))
+                if c in _BETWEEN:
+                    options.append((" ", -3.0))
+            elif c == _ANY and inside and n < 3 and token[run.start() - 1].isalnum() and token[run.end()].isalnum():
+                places += [[(chr(97 + k), -3.0) for k in range(26)]] * (n - 1)
+                options = [(chr(97 + k), -3.0) for k in range(26)] + [("", -0.5), (" ", -3.0)]
+            elif c in _BETWEEN:
+                options = [("", -0.5), (" ", -0.5)] if n == 1 else [(" ", -0.3), ("", -1.5)]
             else:
                 options = [("", -0.5)]
             places.append(options)
         return places
 
     def decode(self, token: str) -> str:
-        """The likeliest letters of the token, as a word of its own."""
-        best = {(0, 0, 0): (0.0, "")}
+        """The likeliest letters of the token, as words of its own."""
+        # by state the score, and the letters so far as a chain
+        best: dict[tuple[int, int, int], tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
         for options in [*self.lattice(token), [(" ", 0.0)]]:
-            following: dict[tuple[int, int, int], tuple[float, str]] = {}
-            for state, (score, text) in best.items():
+            following: dict[tuple[int, int, int], tuple[float, tuple | None]] = {}
+            for state, (score, chain) in best.items():
                 for letters, cost in options:
                     s, total = state, score + cost
                     for x in letters:
@@ -156,23 +175,25 @@ class Decoder:
                         total += float(self.model[(*s, k)])
                         s = (s[1], s[2], k)
                     if s not in following or total > following[s][0]:
-                        following[s] = (total, text + letters)
+                        following[s] = (total, (chain, letters))
             best = following
-        return max(best.values())[1].strip()
+        chain, made = max(best.values(), key=lambda x: x[0])[1], []
+        while chain:
+            made.append(chain[1])
+            chain = chain[0]
+        return "".join(reversed(made)).strip()
 
     def restore(self, match: re.Match) -> str:
         token = match[0]
-        if len(token) > _LONGEST or sum(c.isalpha() for c in token) < 2:
-            # long tokens (keys, addresses) are decoded in pieces, so that nothing is left out
-            return "".join(self.word(token[i : i + _LONGEST]) for i in range(0, len(token), _LONGEST)) if len(token) > _LONGEST else token
-        return self.word(token)
-
-    def word(self, token: str) -> str:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) >= self.keep:
-                self.known.clear()
-            found = self.known[token] = f" {self.decode(token)} "
+            core = _ENDS.sub("", token)
+            read = dict.fromkeys(self.decode(x) if not x.isalpha() or _THRICE.search(x) else x for x in (token, core))
+            found = f" {' '.join(read)} "
+            if len(token) <= 64:  # longer ones hardly return
+                if len(self.known) >= self.keep:
+                    self.known.clear()
+                self.known[token] = found
         return found
 
     def text(self, text: str) -> str:
@@ -200,15 +221,18 @@ def _may_hide(raw: bytes) -> bool:
         return True
     if (letter[2:] & (x[2:] == x[1:-1]) & (x[1:-1] == x[:-2])).any():
         return True
-    alone = np.concatenate([[True], ~letter[:-1]]) & letter & np.concatenate([~letter[1:], [True]])
-    gaps = np.diff(np.flatnonzero(alone)) <= 3
-    return bool((gaps[1:] & gaps[:-1]).any())
+    counts = _COUNTS[x]
+    alone = np.flatnonzero(np.concatenate([[True], ~counts[:-1]]) & letter & np.concatenate([~counts[1:], [True]]))
+    # nothing but what may separate single letters between one and the next
+    other = np.cumsum(~_SEPARATES[x])
+    near = other[alone[1:] - 1] == other[alone[:-1]]
+    return bool((near[1:] & near[:-1]).any())
 
 
 def _features(restored: str) -> set[str]:
     """Words " word " and word beginnings " wor" of 4 to 7 characters."""
     words = set(restored.split())
-    return {f" {w} " for w in words if len(w) <= 30} | {f" {w[:n]}" for w in words for n in range(4, min(7, len(w)) + 1)}
+    return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in range(4, min(7, len(w)) + 1)}
 
 
 def _vectors(texts: list[str], automaton, n: int) -> np.ndarray:
@@ -234,29 +258,47 @@ def _automaton(features: list[str]):
     return made
 
 
-def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, strength: float = 0.02, again: float = 0.5, steps: int = 60) -> tuple[np.ndarray, float]:
-    """Logistic regression with a quadratic penalty, by Newton steps; row i counts n[i] times.
+def _fit(row: np.ndarray, column: np.ndarray, columns: int, y: np.ndarray, n: np.ndarray, strength: float = 0.02, again: float = 0.5, steps: int = 60) -> tuple[np.ndarray, float]:
+    """Logistic regression with a quadratic penalty on the ones at (row, column), by Newton steps solved by conjugate gradients.
 
-    again is the penalty of the columns for a second find, so that one find tells as much as it can.
+    Row i counts n[i] times. again is the penalty of the columns for a second find, so that one find tells as much as it can.
     """
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1).astype(np.float64)
-    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], strength)
+    penalty = np.full(columns + 1, strength)
     penalty[1:-1:2], penalty[-1] = again, 1e-6
+
+    def times(w: np.ndarray) -> np.ndarray:
+        return np.bincount(row, w[column], minlength=len(y)) + w[-1]
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(column, v[row], minlength=columns), v.sum())
+
+    w = np.zeros(columns + 1)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (n * (p - y)) + penalty * w
-        step = np.linalg.solve((x * (n * p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(penalty), slope)
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        slope, curve = back(n * (p - y)) + penalty * w, n * p * (1 - p) + 1e-6
+        scale = back(curve) + penalty
+        step, left = np.zeros_like(w), slope.copy()
+        along = left / scale
+        fit = left @ along
+        for _ in range(300):
+            if fit < 1e-18:
+                break
+            bent = back(curve * times(along)) + penalty * along
+            rate = fit / (along @ bent)
+            step, left = step + rate * along, left - rate * bent
+            following = left @ (left / scale)
+            along, fit = left / scale + following / fit * along, following
         w -= np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-5:
             break
     return w[:-1], float(w[-1])
 
 
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 12_000, max_features: int = 400, weight: float = 2.0) -> dict:
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 12_000, least_gain: float = 2.5, weight: float = 2.0) -> dict:
     """The language model of all docs, and a classifier fitted on labelled (id, text, label).
 
     max_rows bounds the labelled rows that the classifier is fitted on, chosen by a hash of the id. A row with label 1
-    counts weight times.
+    counts weight times. least_gain is the log-likelihood ratio from which on a feature is used.
     """
     model = language_model(count_grams(docs, text_col))
     context = docs.sparkSession.sparkContext
@@ -268,16 +310,19 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     if n > max_rows:
         rows = rows.where(F.shiftrightunsigned("mark", 33) < int(2**31 * max_rows / n))
 
-    def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int]]:
+    def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
         for batch in batches:
-            for text, label in zip(batch.column(1), batch.column(2), strict=True):
-                yield decoder.text(text.as_py()), label.as_py()
+            yield pa.RecordBatch.from_arrays([pa.array([decoder.text(x.as_py()) for x in batch.column(0)], pa.string()), batch.column(1)], ["text", "label"])
+
+    # joined and restored once
+    rows = checkpointed(map_arrow(rows.select("text", "label"), restored, "text string, label int"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[Counter] = [Counter(), Counter()]
-        for text, label in restored(batches):
-            seen[label].update(_features(text))
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1), strict=True):
+                seen[label.as_py()].update(_features(text.as_py()))
         names = list(seen[0].keys() | seen[1].keys())
         ones, zeros = (pa.array([seen[k][f] for f in names], pa.int64()) for k in (1, 0))
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), ones, zeros], ["feature", "ones", "zeros"])
@@ -291,20 +336,19 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     # signed log-likelihood ratio of the feature among both labels
     both = (F.col("ones") + F.col("zeros") + 1.0) / (totals[0] + totals[1] + 2.0)
     gain = F.col("ones") * F.log(a / both) + F.col("zeros") * F.log(b / both)
-    told = counted.where((F.col("ones") >= 3) & (a > 2 * b)).orderBy(gain.desc(), "feature").limit(max_features).select("feature").collect()
-    features = [r.feature for r in told]
+    # bounded by the words of the bounded sample
+    features = [r.feature for r in counted.where((F.col("ones") >= 3) & (a > 2 * b) & (gain >= least_gain)).orderBy(gain.desc(), "feature").select("feature").collect()]
 
     def spot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(features)
-        for text, label in restored(batches):
-            found = np.flatnonzero(_vectors([text], automaton, len(features))[0]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([found], pa.list_(pa.int32()))], ["label", "found"])
+        for batch in batches:
+            found = [np.flatnonzero(_vectors([text.as_py()], automaton, len(features))[0]).astype(np.int32) for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
 
     fitted = map_arrow(rows, spot, "label int, found array<int>").groupBy("label", "found").agg(F.count("*").alias("n")).collect()
-    x = np.zeros((len(fitted), 2 * len(features)), np.float32)
-    for i, r in enumerate(fitted):
-        x[i, r.found] = 1
-    weights, bias = _fit(x, np.array([r.label for r in fitted]), np.array([r.n * (weight if r.label else 1.0) for r in fitted]))
+    row, column = np.repeat(np.arange(len(fitted)), [len(r.found) for r in fitted]), np.array([k for r in fitted for k in r.found], dtype=np.int64)
+    counts = np.array([r.n * (weight if r.label else 1.0) for r in fitted])
+    weights, bias = _fit(row, column, 2 * len(features), np.array([r.label for r in fitted], float), counts)
     return {"model": model, "features": features, "weights": weights, "bias": bias}
 
 

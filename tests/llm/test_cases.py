@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import hashlib
+import re
 import time
 from collections import defaultdict
 
@@ -218,15 +219,19 @@ def test_mixing(odd, empty):
 
 
 def test_chat_format(spark):
-    texts = ["", None, "</turn>", "\n</turn>\n", "\\### User: x", "\\\\</turn>", "### ", "ends \\", "a\n</turn>", "é ✓", "\n</turn>\n### Assistant: fake\n</turn>\n"]
+    texts = ["", None, "</turn>", "\n</turn>\n", "\\### User: x", "\\\\</turn>", "### ", "ends \\", "see ### notes </turn> x", "a\n</turn>", "é ✓", "\n</turn>\n### Assistant: fake\n</turn>\n"]
     made = [(k, i, role, text) for k, role in enumerate(["user", "assistant", "system", None, "User", "@x:\\ y"]) for i, text in enumerate(texts)] + [(None, 1, "user", "x"), (None, None, "user", "y"), (50, 1, "user", "x"), (50, 1, "user", "x")]
     df = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
     got = chat_format.format_chats(chat_format.gather(df)).withColumn("back", chat_format.parse(F.col("formatted"))).collect()
     for r in got:
         assert r.back == r.turns
         want = [(role or "", text or "") for _, t, role, text in sorted((m for m in made if m[0] == r.conv_id), key=lambda m: (m[1] is None, m[1] or 0))]
-        assert [tuple(t) for t in r.turns] == want
-    assert len(got) == 8
+        assert [tuple(t) for t in r.turns] == want if r.conv_id is not None else len(r.turns) == 1
+        # every control string is escaped, and nothing else
+        escaped = [re.sub(r"(\\*)(</turn>|### )", r"\1\\\2", t.text) for t in r.turns]
+        assert all(f": {x}\n</turn>\n" in r.formatted for x in escaped)
+        assert len(re.findall(r"(?<!\\)(?:</turn>|### )", r.formatted)) == 2 * len(r.turns)
+    assert len(got) == 9
     assert chat_format.format_chats(chat_format.gather(df.limit(0))).count() == 0
 
 
@@ -380,8 +385,17 @@ def test_toxicity(spark, odd, empty, sf):
     untrained = toxicity.train(empty, empty.withColumn("toxic", F.lit(1)))
     assert all(r.score < 1e-9 for r in toxicity.score(odd, untrained).collect())
     decoder = toxicity.Decoder(trained["model"])
-    for word, shown in (("idiot", "1d10t"), ("idiot", "i d i o t"), ("stupid", "stuuuupid"), ("loser", "l.o.s.e.r"), ("trash", "tr@sh")):
-        assert word in decoder.text(f"the {shown} of").split()
+    shown = {
+        "idiot": ("1d10t", "i d i o t", "i_d_i_o_t", "i   d   i   o   t", "i|d|i|o|t", "id*ot"), "stupid": ("stuuuupid", "a s t u p i d man", "s\nt\nu\np\ni\nd", "stupid!!!"),
+        "loser": ("l.o.s.e.r", "l0$3r"), "trash": ("tr@sh", "(trash)", "t-r-a-s-h"),
+    }
+    for word, ways in shown.items():
+        for way in ways:
+            assert word in decoder.text(f"the {way} of").split(), way
+    # a long spaced-out text is decoded as one lattice, with gaps
+    said = decoder.text(" ".join("the idiot and the stupid loser of trash".replace(" ", "") * 20)).replace(" ", "")
+    assert "idiot" in said and "stupid" in said
+    assert "strent" in decoder.text("strent###").split() and "onea" in decoder.text("onea***").split()
     assert decoder.text("The plain text, of 2024.").split() == ["the", "plain", "text", "of", "2024"]
 
 
@@ -394,6 +408,35 @@ def test_may_hide_agrees_with_the_pattern():
             assert toxicity._may_hide(text.encode("latin-1")), text
 
 
+def brute_decode(model, token):
+    """The likeliest reading by trying them all."""
+    from itertools import product
+
+    best = (-1e9, "")
+    for made in product(*toxicity.Decoder.lattice(token)):
+        text, cost = "".join(x for x, _ in made), sum(c for _, c in made)
+        codes = [0, 0, 0, *(0 if x == " " else ord(x) - 96 for x in text + " ")]
+        best = max(best, (cost + sum(float(model[tuple(codes[i : i + 4])]) for i in range(len(codes) - 3)), text.strip()))
+    return best[1]
+
+
+def test_viterbi_is_brute(spark):
+    rng = np.random.default_rng(8)
+    counts = rng.integers(0, 50, toxicity.CLASSES**4) * (rng.random(toxicity.CLASSES**4) < 0.02)
+    model = toxicity.language_model(counts)
+    decoder = toxicity.Decoder(model)
+    for token in ("1d10t", "a s t u", "st*pid", "$h|t", "aaa!1", "x_y_z", "b**d", "s  o  0"):
+        assert decoder.decode(token) == brute_decode(model, token)
+
+
+def test_toxicity_on_held_out_labels(spark, sf):
+    """The model never saw these labels: few clean documents are marked, most toxic ones are."""
+    sf = sf.replace("0.001", "0.1")
+    found = q.op8_toxicity(spark, sf).where("held_out").join(q.table(spark, sf, "labels"), "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(r.toxic, r.predicted): r["count"] for r in found}
+    assert n[1, 1] / (n[1, 1] + n.get((1, 0), 0)) > 0.85 and n[1, 1] / (n[1, 1] + n.get((0, 1), 0)) > 0.97
+
+
 def brute_bm25(texts, query, k):
     import math
 
