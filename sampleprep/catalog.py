@@ -113,9 +113,22 @@ def turn_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT id, true AS keys_ok, true AS roles_ok, true AS assistant_ok, true AS user_ok FROM ({_SAMPLE_IDS})""")
+    SELECT 'talk' || (conv_id % 5) || '__' || conv_id AS id, conv_id % 5 <> 3 AS keys_ok, conv_id % 5 <> 1 AS roles_ok,
+        NOT (conv_id % 5 = 1 AND conv_id % 4 > 0) AND NOT (conv_id % 5 = 2 AND n_turns > 1) AS assistant_ok, conv_id % 5 <> 4 AS user_ok
+    FROM ({_VALID}) WHERE valid""")
 def spec_check(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.check_samples(samples(spark, sf))
+    """Four in five samples are broken: roles swapped, an image in an assistant's turn, another prompt, a part of an unknown type."""
+    k = F.col("conv_id") % 5
+
+    def typed(turn: Column, role: str, kind: str) -> Column:
+        return F.when(turn["role"] == role, turn.withField("content", F.transform(turn["content"], lambda p: p.withField("type", F.lit(kind))))).otherwise(turn)
+
+    swapped = F.transform("data", lambda t: t.withField("role", F.when(t["role"] == "user", "assistant").otherwise("user")))
+    drawn = F.transform("data", lambda t: typed(t, "assistant", "image"))
+    unknown = F.transform("data", lambda t: typed(t, "user", "video"))
+    broken = F.when(k == 1, swapped).when(k == 2, drawn).when(k == 4, unknown).otherwise(F.col("data"))
+    rows = samples(spark, sf).withColumns({"data": broken, "meta_prompt": F.when(k == 3, F.array(F.lit("x"))).otherwise(F.col("meta_prompt"))})
+    return validate.check_samples(rows)
 
 
 # ---- identifiers and sources ---------------------------------------------------------------------------------------
@@ -230,7 +243,8 @@ def first_deviant(spark: SparkSession, sf: str) -> DataFrame:
 def interleave_parts(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").select("doc_id", _tokened().alias("text"))
     n = t.slot_count(F.col("text")) + F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0)
-    rows = rows.withColumn("n", n)
+    # a generator keeps the count from being worked out again for each image
+    rows = rows.select("doc_id", "text", F.explode(F.array(n)).alias("n"))
     numbers = F.filter(F.sequence(F.lit(0), F.col("n")), lambda i: i < F.col("n"))
     images = F.transform(numbers, lambda i: F.struct(t.member_name(F.lit("d"), i, F.lit(binary.JPEG)).alias("relative_path"), F.lit(binary.JPEG).alias("format"), i.alias("width"), i.alias("height")))
     parts = rows.select("doc_id", F.posexplode(nested.interleave(F.col("text"), images)).alias("place", "p"))
@@ -538,9 +552,6 @@ def browse_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- joins ---------------------------------------------------------------------------------------------------------
 
-_LINES = "SELECT l_orderkey, max_by(l_partkey, (l_suppkey, l_partkey, l_linenumber)) AS part, l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber"
-
-
 @query("SELECT l_orderkey, max(struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey)).a AS line, max(struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey)).b AS part FROM lineitem GROUP BY l_orderkey")
 def last_wins(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), "l_suppkey")
@@ -711,9 +722,9 @@ def _project_sql(x: str, y: str, z: str) -> str:
     return f"CASE WHEN {z} > 1e-6 THEN {w}::DOUBLE / 2 / tan(radians({hfov}::DOUBLE) / 2) * ({x} / {z}) + {w}::DOUBLE / 2 END AS u, CASE WHEN {z} > 1e-6 THEN {h}::DOUBLE / 2 / tan(radians({vfov}::DOUBLE) / 2) * ({y} / {z}) + {h}::DOUBLE / 2 END AS v"
 
 
-@query(f"SELECT vec_id, i AS corner, round(u, 2) + 0.0 AS u, round(v, 2) + 0.0 AS v FROM (SELECT vec_id, i, {_project_sql('cx', 'cy', 'cz')} FROM ({_CORNERS_SQL}) WHERE cz > 0.01 OR cz < 0)")
+@query(f"SELECT vec_id, i AS corner, round(u, 2) + 0.0 AS u, round(v, 2) + 0.0 AS v FROM (SELECT vec_id, i, {_project_sql('cx', 'cy', 'cz')} FROM ({_CORNERS_SQL}))")
 def box_project(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _boxes(spark, sf).select("vec_id", "cam", F.posexplode("corners").alias("corner", "c")).where("c.z > 0.01 or c.z < 0")
+    rows = _boxes(spark, sf).select("vec_id", "cam", F.posexplode("corners").alias("corner", "c"))
     rows = rows.select("vec_id", F.col("corner").cast("long").alias("corner"), geom3d.project(F.col("c"), F.col("cam")).alias("p"))
     return rows.select("vec_id", "corner", *[(F.round(f"p.{k}", 2) + F.lit(0.0)).alias(k) for k in "uv"])
 

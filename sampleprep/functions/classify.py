@@ -254,27 +254,31 @@ def infer_category(question: Column, n_images: Column) -> Column:
     return found.otherwise(F.when(n_images > 1, "camera_motion.multi_view").otherwise("position.single_view"))
 
 
-def _present(value: Column) -> Column:
-    return F.when(value != "", value)
+def _first_present(found: list[tuple[str, Column]]) -> Column:
+    """The first (field, value) whose value is neither null nor empty, else null; each value is worked out once."""
+    pairs = F.array(*[F.struct(F.lit(field).alias("field"), value.alias("value")) for field, value in found])
+    return F.get(F.filter(pairs, lambda x: x["value"] != ""), 0)
 
 
 def resolve_category(columns: list[str], meta_json: Column | None, inferred: Column) -> tuple[Column, Column]:
     """(field, value): a category column, else a key of the metadata object, else of the first array element that has one, else inferred.
 
-    columns: the table's; metadata that isn't JSON counts as none.
+    columns: the table's; metadata that isn't JSON counts as none, and is parsed once.
     """
-    steps = [(F.lit(k), _present(F.col(k).cast("string"))) for k in CATEGORY_KEYS if k in columns]
-    if meta_json is not None:
-        meta = F.try_parse_json(meta_json)
-        kind = F.schema_of_variant(meta)
-        steps += [(F.lit(f"meta_info.{k}"), _present(F.when(F.startswith(kind, F.lit("OBJECT")), F.try_variant_get(meta, f"$.{k}", "string")))) for k in CATEGORY_KEYS]
-        items = F.try_variant_get(F.when(F.startswith(kind, F.lit("ARRAY")), meta), "$", "array<variant>")
 
-        def of_item(item: Column) -> Column:
-            found = [(k, _present(F.try_variant_get(item, f"$.{k}", "string"))) for k in CATEGORY_KEYS]
-            return F.coalesce(*[F.when(v.isNotNull(), F.struct(F.lit(f"meta_info[].{k}").alias("field"), v.alias("value"))) for k, v in found])
+    def of_keys(value: Column, prefix: str) -> Column:
+        return _first_present([(f"{prefix}.{k}", F.try_variant_get(value, f"$.{k}", "string")) for k in CATEGORY_KEYS])
 
-        first = F.get(F.filter(F.transform(items, of_item), lambda x: x.isNotNull()), 0)
-        steps.append((first["field"], first["value"]))
-    steps.append((F.lit("inferred_subtask_from_prompt"), inferred))
-    return F.coalesce(*[F.when(v.isNotNull(), f) for f, v in steps]), F.coalesce(*[v for _, v in steps])
+    def of_meta(meta: Column) -> Column:
+        kind = F.schema_of_variant(meta)
+        items = F.transform(F.try_variant_get(meta, "$", "array<variant>"), lambda item: of_keys(item, "meta_info[]"))
+        first = F.get(F.filter(items, lambda x: x.isNotNull()), 0)
+        return F.when(F.startswith(kind, F.lit("OBJECT")), of_keys(meta, "meta_info")).when(F.startswith(kind, F.lit("ARRAY")), first)
+
+    given = [(k, F.col(k).cast("string")) for k in CATEGORY_KEYS if k in columns]
+    steps = [_first_present(given)] if given else []
+    if meta_json is not None:
+        steps.append(F.get(F.transform(F.array(F.try_parse_json(meta_json)), of_meta), 0))
+    steps.append(F.struct(F.lit("inferred_subtask_from_prompt").alias("field"), inferred.alias("value")))
+    found = F.coalesce(*steps)
+    return found["field"], found["value"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Python's str.strip() and \s have it; needs the (?U) flag.
 SPACE = r"[\s\x1c-\x1f]"
+_IN_LINE = r"[\s\x1c-\x1f&&[^\n]]"
 _STRIP = rf"(?U)\A{SPACE}+|{SPACE}+\z"
 #: Fixed value: the image placeholders; they take the white space around them along.
 TOKEN = rf"(?iuU){SPACE}*(?:<\|image(?:_pad)?\|>|<image(?:_pad)?(?:{SPACE}[^>]*)?>){SPACE}*"
@@ -23,8 +24,8 @@ def normalise_question(text: Column) -> Column:
 
 def clean_lines(text: Column) -> Column:
     """One kind of line end; in each line single spaces and none at the ends; none around the whole."""
-    lines = F.split(F.regexp_replace(text, r"\r\n?", "\n"), "\n", -1)
-    return strip(F.array_join(F.transform(lines, lambda line: strip(F.regexp_replace(line, r"[ \t\f\x0B]+", " "))), "\n"))
+    single = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"[ \t\f\x0B]+", " ")
+    return strip(F.regexp_replace(single, rf"(?U){_IN_LINE}+(?=\n)|(?<=\n){_IN_LINE}+", ""))
 
 
 def strip_tokens(text: Column) -> Column:
@@ -42,11 +43,16 @@ def slot_count(text: Column) -> Column:
 
 def layout(text: Column) -> Column:
     """Struct: placeholders, whether text stands before the first or between two, and whether that deviates."""
-    parts = F.transform(chunks(F.coalesce(text, F.lit(""))), lambda c: strip(c) != "")
-    slots = F.size(parts) - 1
-    leading = (slots > 0) & F.get(parts, 0)
-    between = F.when(slots > 1, F.exists(F.slice(parts, F.lit(2), F.greatest(slots - 1, F.lit(1))), lambda x: x)).otherwise(F.lit(False))
-    return F.struct((leading | between).alias("deviant"), slots.alias("slots"), leading.alias("leading"), between.alias("between"))
+
+    def found(parts: Column) -> Column:
+        slots = F.size(parts) - 1
+        leading = (slots > 0) & F.get(parts, 0)
+        between = F.when(slots > 1, F.exists(F.slice(parts, F.lit(2), F.greatest(slots - 1, F.lit(1))), lambda x: x)).otherwise(F.lit(False))
+        return F.struct((leading | between).alias("deviant"), slots.alias("slots"), leading.alias("leading"), between.alias("between"))
+
+    parts = F.transform(chunks(F.coalesce(text, F.lit(""))), lambda c: c.rlike(r"(?U)[^\s\x1c-\x1f]"))
+    # one array element, so that the text is split once
+    return F.get(F.transform(F.array(parts), found), 0)
 
 
 def normalise_source(source: Column) -> Column:

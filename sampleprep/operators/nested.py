@@ -40,9 +40,8 @@ def image_part(image: Column) -> Column:
 
 
 def _texts(text: Column) -> Column:
-    """An array of the text's part, or an empty one."""
-    part = F.array(text_part(text))
-    return F.when(text != "", part).otherwise(F.slice(part, 1, 0))
+    """An array of the text's part, or an empty one; the text is worked out once."""
+    return F.transform(F.filter(F.array(text), lambda x: x != ""), text_part)
 
 
 def interleave(text: Column, images: Column) -> Column:
@@ -51,18 +50,20 @@ def interleave(text: Column, images: Column) -> Column:
     As many placeholders as images: each placeholder becomes its image, with the cleaned texts between them. Else all images, then
     the text without placeholders. Empty texts are left out.
     """
-    shown = F.transform(images, image_part)
 
-    def parts(cut: Column) -> Column:
+    def parts(bound: Column) -> Column:
+        cut, shown = bound["cut"], bound["shown"]
+
         def chunk(c: Column, i: Column) -> Column:
             before = F.slice(shown, F.greatest(i, F.lit(1)), F.when(i > 0, 1).otherwise(0))
             return F.concat(before, _texts(t.clean_lines(c)))
 
-        aligned = (F.size(images) > 0) & (F.size(cut) - 1 == F.size(images))
+        aligned = (F.size(shown) > 0) & (F.size(cut) - 1 == F.size(shown))
         return F.when(aligned, F.flatten(F.transform(cut, chunk))).otherwise(F.concat(shown, _texts(t.clean_lines(F.array_join(cut, " ")))))
 
-    # one array element, so that the text is split once
-    return F.get(F.transform(F.array(t.chunks(text)), parts), 0)
+    # one array element, so that the text is split once and the images are shown once, not for each chunk
+    bound = F.struct(t.chunks(text).alias("cut"), F.transform(images, image_part).alias("shown"))
+    return F.get(F.transform(F.array(bound), parts), 0)
 
 
 def turns(conversations: Column, images: Column) -> Column:

@@ -53,16 +53,14 @@ def reconcile(source: DataFrame, outputs: DataFrame, members: DataFrame, parity:
     have = paths.select("sample_id", slot.alias("slot"), "path")
     asked = source.select("sample_id", F.posexplode("sizes").alias("slot", "source_size"))
     both = asked.join(have, ["sample_id", "slot"], "full_outer").join(source.select(F.col("sample_id").alias("known")).distinct(), F.col("sample_id") == F.col("known"), "left_semi")
-    names = {ext: t.member_name(F.col("sample_id"), F.col("slot"), F.lit(mime)) for ext, mime in (("jpg", "image/jpeg"), ("png", "image/png"))}
-    sizes = members.select(F.col("name"), F.col("size"))
-
-    def looked_up(df: DataFrame, key: Column, into: str) -> DataFrame:
-        return df.join(sizes.withColumnsRenamed({"name": "n", "size": into}), key == F.col("n"), "left").drop("n")
-
-    both = both.withColumns({"jpg": names["jpg"], "png": names["png"]})
-    both = looked_up(looked_up(looked_up(both, F.col("path"), "size_path"), F.when(F.col("path").isNull(), F.col("jpg")), "size_jpg"), F.when(F.col("path").isNull(), F.col("png")), "size_png")
-    image = F.coalesce("path", F.when(F.col("size_jpg").isNotNull(), F.col("jpg")), F.when(F.col("size_png").isNotNull(), F.col("png")), F.col("jpg"))
-    out = F.when(F.col("path").isNotNull(), F.col("size_path")).otherwise(F.coalesce("size_jpg", "size_png"))
+    names = [t.member_name(F.col("sample_id"), F.col("slot"), F.lit(mime)) for mime in ("image/jpeg", "image/png")]
+    # the names a slot may have, best first; one join finds those that are there
+    asked = F.when(F.col("path").isNotNull(), F.array("path")).otherwise(F.array(*names))
+    both = both.select("sample_id", "slot", "path", "source_size", F.posexplode(asked).alias("place", "name"))
+    met = both.join(members.select(F.col("name").alias("n"), F.col("size").alias("member_size")), F.col("name") == F.col("n"), "left")
+    best = F.min(F.struct(F.col("n").isNull().alias("absent"), "place", "name", F.col("member_size").alias("size")))
+    both = met.groupBy("sample_id", "slot", "path", "source_size").agg(best.alias("best"))
+    image, out = F.col("best.name"), F.col("best.size")
     src_kb, out_kb = t.kilobytes(F.when(F.col("source_size") > 0, F.col("source_size"))), t.kilobytes(out)
     return both.select("sample_id", "slot", image.alias("image_id"), src_kb.alias("source_kb"), out_kb.alias("output_kb"), (src_kb - out_kb).alias("diff_kb"))
 

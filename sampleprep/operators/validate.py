@@ -11,7 +11,8 @@ from sampleprep.functions import text as t
 
 def layout_audit(rows: DataFrame, text: Column) -> DataFrame:
     """Counts over all rows: total, without and with placeholders, deviant."""
-    found = rows.select(t.layout(text).alias("x"))
+    # a generator keeps the layout from being worked out for each counter
+    found = rows.select(F.explode(F.array(t.layout(text))).alias("x"))
     return found.agg(
         F.count("*").alias("total"),
         F.count_if(F.col("x.slots") == 0).alias("without_placeholder"),
@@ -22,7 +23,7 @@ def layout_audit(rows: DataFrame, text: Column) -> DataFrame:
 
 def deviants(rows: DataFrame, text: Column, most: int = 400) -> DataFrame:
     """The deviant rows with slots, flags and a snippet."""
-    found = rows.withColumn("x", t.layout(text)).where("x.deviant")
+    found = rows.withColumn("x", F.explode(F.array(t.layout(text)))).where("x.deviant")
     flags = F.array_compact(F.array(F.when(F.col("x.leading"), "leading_text"), F.when(F.col("x.between"), "between_text")))
     shown = t.snippet(F.regexp_replace(text, r"\r\n?", "\n"), most)
     return found.select(*[c for c in rows.columns], F.col("x.slots").alias("slots"), F.array_join(flags, ",").alias("flags"), shown.alias("snippet"))
