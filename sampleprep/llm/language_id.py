@@ -194,12 +194,12 @@ def fold_of(id_col: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
 
 
-def keep_identified(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", least_confidence: float = 0.15) -> DataFrame:
+def keep_identified(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", least_confidence: float = 1 / 15) -> DataFrame:
     """The rows whose language is known, with all their columns.
 
-    Confidence is the mean score of the best label between chance (0, whatever the number of labels) and certainty (1). The lowest
-    of 10,000 labelled texts of the given tables, single words included, have 0.17, so the default only rejects what resembles no label,
-    and texts without letters. A text in a language that was not learned can resemble one that was, and stays then.
+    Confidence is the mean score of the best label between chance (0, whatever the number of labels) and certainty (1). With four
+    labels the default asks for 0.3. A model of a few hundred rows is unsure of good texts too, so the default is low: it only rejects what
+    resembles all labels alike, and texts without letters. A text in a language that was not learned can resemble one that was, and stays then.
 
     The decision is made where the row is, so no text is shuffled.
     """
