@@ -6,6 +6,7 @@ share. Every query reads its whole table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 from sampleprep.functions import binary, classify, geom3d
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats, validate
-from sampleprep.session import table
+from sampleprep.plans import convert
+from sampleprep.session import shared_folder, ship, table
+from sampleprep.sources import shards as files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -436,14 +439,19 @@ def slot_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    WITH s AS (SELECT doc_id, doc_id % 6 AS k FROM documents)
-    SELECT count(*) AS checked, count(*) FILTER (WHERE k IN (0, 1, 5) AND doc_id % 10 <> 0) AS ok, count(*) FILTER (WHERE k IN (2, 3, 4)) AS decode_failed,
-        count(*) FILTER (WHERE k IN (0, 1, 5) AND doc_id % 10 = 0) AS invalid FROM s""")
+    WITH s AS (SELECT doc_id % 6 AS k FROM documents)
+    SELECT count(*) AS checked, count(*) FILTER (WHERE k IN (0, 1)) AS ok, count(*) FILTER (WHERE k IN (2, 3)) AS decode_failed, count(*) FILTER (WHERE k IN (4, 5)) AS invalid FROM s""")
 def slot_validity(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", _payloads().alias("slot"))
-    decoded = binary.payload(F.col("slot"), rows.schema["slot"].dataType, data_url=True)
-    # stands in for an image decoder: texts that end in 0 can't be read
-    return stats.slot_validity(rows.select(decoded.alias("decoded"), (~F.endswith(F.decode(decoded, "UTF-8"), F.lit("0"))).alias("readable")))
+    """Slots in base64: a PNG and a JPEG that are readable, two that don't decode, a PNG of no width and bytes that are no image."""
+    ship(spark)
+    number = lambda c: F.lpad(F.hex(c), 8, "0")
+    png = lambda width: F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), number(width), number(1 + F.col("doc_id") % 999), F.lit("0802000000"))
+    jpeg = F.concat(F.lit("FFD8FFE000046162FFC0001108"), F.substring(number(1 + F.col("doc_id") % 999), 5, 4), F.lit("001003"))
+    k = F.col("doc_id") % 6
+    data = F.when(k == 0, png(F.lit(7))).when(k == 1, jpeg).when(k == 4, png(F.lit(0))).when(k == 5, F.hex("doc_id"))
+    rows = table(spark, sf, "documents").select(F.when(k == 3, "abcde").otherwise(F.base64(F.unhex(data))).alias("slot"))
+    decoded = rows.select(binary.payload(F.col("slot"), rows.schema["slot"].dataType).alias("decoded"))
+    return stats.slot_validity(decoded.select("decoded", binary.readable(F.col("decoded")).alias("readable")))
 
 
 @query("""
@@ -452,12 +460,22 @@ def slot_validity(spark: SparkSession, sf: str) -> DataFrame:
     SELECT shape, CASE WHEN shape IS NULL THEN 1 ELSE 0 END::TINYINT AS overall, count(*) AS rows, sum(slots)::BIGINT AS slots, count(*) FILTER (WHERE slots = 0) AS without_slots, round_even(avg(slots), 6)::DOUBLE AS average
     FROM s GROUP BY GROUPING SETS ((shape), ())""")
 def shape_census(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.census(order_images(spark, sf)).withColumn("overall", F.col("overall").cast("tinyint"))
+
+
+def order_images(spark: SparkSession, sf: str) -> DataFrame:
+    """slots and shape of each order's lines as an image column; null for every tenth order."""
     lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("path"))).alias("l"))
     rows = table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     empty = F.array().cast(rows.schema["l"].dataType)
     rows = rows.select(F.when(F.col("o_orderkey") % 10 != 9, F.coalesce("l", empty)).alias("images"))
     slots, shape = binary.image_shape(F.col("images"), rows.schema["images"].dataType)
-    return stats.census(rows.select(slots.alias("slots"), shape.alias("shape"))).withColumn("overall", F.col("overall").cast("tinyint"))
+    return rows.select(slots.alias("slots"), shape.alias("shape"))
+
+
+@query("SELECT slots, count(*) AS n FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 9 THEN 0 ELSE count(l_orderkey) END::INTEGER AS slots FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey) GROUP BY slots")
+def slot_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.slot_histogram(order_images(spark, sf))
 
 
 @query("""
@@ -550,6 +568,47 @@ def browse_filter(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where(nested.matches(F.col("id"), F.col("category"), F.col("data"), want_source="talk2", images="multi")).select("conv_id")
 
 
+@query(f"SELECT conv_id FROM ({_SAMPLE_IDS}) WHERE conv_id % 4 > 1")
+def browse_category(spark: SparkSession, sf: str) -> DataFrame:
+    rows = samples(spark, sf)
+    return rows.where(nested.matches(F.col("id"), F.col("category"), F.col("data"), want_category="camera_motion.multi_view")).select("conv_id")
+
+
+@query(f"SELECT shard_id, line_idx, doc_id FROM ({_ASSIGNED}) WHERE line_idx < 7")
+def line_cap(spark: SparkSession, sf: str) -> DataFrame:
+    return shards.first_of_each_file(assigned(spark, sf), 7, "line_idx").select("shard_id", "line_idx", "doc_id")
+
+
+@query(f"SELECT shard_id, 'd' || doc_id || '.txt' AS path FROM ({_ASSIGNED}) WHERE doc_id % 3 = 0 OR doc_id % 7 = 0")
+def unresolved_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Of every path its shard should hold, a third lies in the next shard and a seventh nowhere."""
+    rows = assigned(spark, sf).withColumn("path", F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    members = rows.where("doc_id % 7 <> 0").select((F.col("shard_id") + F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0)).alias("shard_id"), F.col("path").alias("name"))
+    return validate.missing_members(rows.select("shard_id", "path"), members)
+
+
+@query(f"""
+    SELECT shard_id, line_idx::INTEGER AS line_idx, 'd__' || doc_id AS id, 'd' || doc_id || '.txt' AS name, octet_length(encode(coalesce(text, '')))::BIGINT AS size, md5(coalesce(text, '')) AS digest
+    FROM ({_ASSIGNED.replace('SELECT doc_id, source, ord', 'SELECT doc_id, source, text, ord').replace('FROM (SELECT doc_id, source,', 'FROM (SELECT doc_id, source, text,')})""")
+def tar_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written as samples with their texts as archive members, and read back from lines and archives."""
+    doc = F.col("doc_id").cast("string")
+    docs = table(spark, sf, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    index = docs.groupBy("source").agg(F.count("*").alias("n"))
+    # sources stand for files, in order; there are few
+    index = index.select(F.col("source").alias("s"), (F.row_number().over(W.orderBy("source")) - 1).alias("file_index"))
+    turns = F.array(F.struct(F.lit("human").alias("from"), F.lit("q").alias("value")))
+    sample = nested.sample(turns, F.array().cast(f"array<{binary.IMAGE}>").cast("array<struct<format:string,width:int,height:int,relative_path:string>>"), F.concat(F.lit("d__"), doc), F.lit("none"))
+    member = F.struct(F.concat(F.lit("d"), doc, F.lit(".txt")).alias("name"), F.encode("text", "UTF-8").alias("payload"))
+    rows = docs.join(F.broadcast(index), F.col("source").eqNullSafe(F.col("s"))).select("file_index", F.col("doc_id").alias("row_in_file"), sample.alias("sample"), F.array(member).alias("members"))
+    root = f"{shared_folder(spark)}/roundtrip-{uuid.uuid4().hex}"
+    convert.write_shards(rows, root, _SHARD, emit_trailing_empty=False)
+    lines = files.read_samples(spark, root, lines=True).select("shard_id", F.col("line_idx").cast("int").alias("line_idx"), "id")
+    members = files.read_members(spark, root, payload=True).select(F.col("shard_id").alias("m"), "name", "size", F.md5("payload").alias("digest"))
+    held = (F.col("shard_id") == F.col("m")) & (F.concat(F.lit("d"), F.substring_index("id", "__", -1), F.lit(".txt")) == F.col("name"))
+    return lines.join(members, held).select("shard_id", "line_idx", "id", "name", "size", "digest")
+
+
 # ---- joins ---------------------------------------------------------------------------------------------------------
 
 @query("SELECT l_orderkey, max(struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey)).a AS line, max(struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey)).b AS part FROM lineitem GROUP BY l_orderkey")
@@ -600,6 +659,26 @@ def reconcile_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return recon.reconcile(source, outputs, members)
 
 
+@query("""
+    WITH s AS (SELECT o_orderkey AS k, 's__' || o_orderkey AS sample_id, 1 + o_orderkey % 3 AS n FROM orders),
+    g AS (SELECT k, sample_id, i::INTEGER AS slot, (k + i) % 7 <> 0 AS good, sum(((k + i) % 7 <> 0)::INT) OVER (PARTITION BY k ORDER BY i) - 1 AS nth FROM s, range(3) r(i) WHERE i < n),
+    p AS (SELECT k, nth AS place, slot AS named FROM g WHERE good AND k % 5 <> 0),
+    j AS (SELECT g.*, coalesce(p.named, g.slot) AS shown FROM g LEFT JOIN p ON p.k = g.k AND p.place = g.slot)
+    SELECT sample_id, slot, sample_id || '_0' || shown || '.jpg' AS image_id, CASE WHEN good THEN (1000 + k % 500) / 1024.0::DOUBLE END AS source_kb,
+        CASE WHEN k % 2 = 0 THEN (900 + shown + k % 700) / 1024.0::DOUBLE END AS output_kb,
+        CASE WHEN good AND k % 2 = 0 THEN (1000 + k % 500) / 1024.0::DOUBLE - (900 + shown + k % 700) / 1024.0::DOUBLE END AS diff_kb FROM j""")
+def reconcile_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Output lists leave out slots that don't decode, and are read by place: what follows a gap is held against the slot before."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("s__"), k.cast("string")).alias("sample_id"))
+    slots = F.sequence(F.lit(0), (k % 3).cast("int"))
+    source = rows.select("sample_id", F.transform(slots, lambda i: F.when((k + i) % 7 != 0, 1000 + k % 500)).alias("sizes"))
+    name = lambda i: t.member_name(F.col("sample_id"), i, F.lit(binary.JPEG))
+    outputs = rows.where(k % 5 != 0).select("sample_id", F.transform(F.filter(slots, lambda i: (k + i) % 7 != 0), name).alias("paths"))
+    members = rows.where(k % 2 == 0).select("sample_id", "o_orderkey", F.explode(slots).alias("i")).select(name(F.col("i")).alias("name"), (900 + F.col("i") + k % 700).alias("size"))
+    return recon.reconcile(source, outputs, members, parity=True)
+
+
 @query(f"""
     SELECT sample_id, slot, image_id || chr(9) || coalesce(printf('%.6f', source_kb), '') || chr(9) || coalesce(printf('%.6f', output_kb), '') || chr(9) || coalesce(printf('%.6f', diff_kb), '') AS line
     FROM ({ORACLES['reconcile_sizes']})""")
@@ -617,6 +696,7 @@ def overlay_eligibility(spark: SparkSession, sf: str) -> DataFrame:
     user = F.concat(F.when(k % 2 == 0, "hfov=60, vfov = 45.5, width=256, HEIGHT=192. ").otherwise("hfov=60. "), F.translate("user_text", "=", " "))
     nine = "[0, 0, 3, 1, 1, 1, 0.1, 0.2, 0.3]"
     answer = F.when(k % 3 == 1, f"{{'bbox_3d': {nine}}}").when(k % 3 == 2, f'[{{"bbox_3d": {nine}}}, {{"bbox_3d": [1]}}, {{"label": "x", "bbox_3d": {nine}}}]').otherwise("none")
+    ship(spark)
     found = geom3d.overlay(user, answer)
     return rows.select("conv_id", F.size(geom3d.boxes(answer)).cast("long").alias("boxes"), found.isNotNull().alias("shown"))
 
@@ -683,12 +763,32 @@ def _box_text() -> Column:
         UNION ALL SELECT vec_id, 1, 'two', b FROM v WHERE k = 5)
     SELECT vec_id, place::BIGINT AS place, name, b[1] AS first, b[9] AS last, list_sum(b)::DOUBLE AS total FROM r""")
 def box_parse(spark: SparkSession, sf: str) -> DataFrame:
+    ship(spark)
     rows = table(spark, sf, "embeddings").select("vec_id", F.posexplode(geom3d.boxes(_box_text())).alias("place", "b"))
     box = F.col("b.bbox_3d")
     total = F.aggregate(box, F.lit(0.0), lambda s, x: s + x)
     return rows.select("vec_id", F.col("place").cast("long").alias("place"), F.col("b.label").alias("name"), F.get(box, 0).alias("first"), F.get(box, 8).alias("last"), total.alias("total"))
 
 
+@query("""
+    WITH v AS (SELECT vec_id, vec_id % 4 AS k, list_transform(embedding[1:9], lambda x: round(x::DOUBLE * 1000)::DOUBLE + 0.0::DOUBLE) AS b FROM embeddings)
+    SELECT vec_id, CASE k WHEN 0 THEN 'object' WHEN 1 THEN 'seen' ELSE 'quoted' END AS name, b[1] AS first, b[9] AS last FROM v WHERE k < 3""")
+def box_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """Boxes in Python literals with None and True, in a lone literal with a tuple beside, with numbers in quotes, and in a tuple of boxes, which is no list."""
+    ship(spark)
+    number = F.transform(F.slice("embedding", 1, 9), lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string"))
+    nine, quoted = F.array_join(number, ", "), F.array_join(F.transform(number, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", ")
+    k = F.col("vec_id") % 4
+    text = (
+        F.when(k == 0, F.concat(F.lit("[{'label': None, 'seen': True, 'bbox_3d': ["), nine, F.lit("]}, None]")))
+        .when(k == 1, F.concat(F.lit("{'label': 'seen', 'size': (1, 2), 'bbox_3d': ["), nine, F.lit("]}")))
+        .when(k == 2, F.concat(F.lit('[{"label": "quoted", "bbox_3d": ['), quoted, F.lit("]}]")))
+        .otherwise(F.concat(F.lit("({'label': 'no', 'bbox_3d': ["), nine, F.lit("]},)")))
+    )
+    rows = table(spark, sf, "embeddings").select("vec_id", F.explode(geom3d.boxes(text)).alias("b"))
+    return rows.select("vec_id", F.col("b.label").alias("name"), F.get("b.bbox_3d", 0).alias("first"), F.get("b.bbox_3d", 8).alias("last"))
+
+
 #: Width, height and angles of the stand-in camera.
 _CAM = (256.0, 192.0, 62.26, 48.74)
 _BOX_SQL = "SELECT vec_id, e[1] * 4 AS x, e[2] * 4 AS y, e[3] * 8 + 0.5 AS z, abs(e[4]) * 5 + 0.1 AS sx, abs(e[5]) * 5 + 0.1 AS sy, abs(e[6]) * 5 + 0.1 AS sz, e[7] * 3 AS roll, e[8] * 3 AS pitch, e[9] * 3 AS yaw FROM (SELECT vec_id, list_transform(embedding[1:9], lambda x: x::DOUBLE) AS e FROM embeddings)"
@@ -729,16 +829,35 @@ def box_project(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("vec_id", "corner", *[(F.round(f"p.{k}", 2) + F.lit(0.0)).alias(k) for k in "uv"])
 
 
-_EDGES_SQL = f"""
+def _cut_sql(k: str, a: int, b: int) -> str:
+    """Coordinate k of end a of an edge, moved along it to the near plane if it lies before."""
+    t = f"(({geom3d.NEAR}::DOUBLE - z{a}) / (z{b} - z{a}))"
+    return f"CASE WHEN z{a} >= {geom3d.NEAR}::DOUBLE THEN {k}{a} ELSE " + (f"{geom3d.NEAR}::DOUBLE" if k == "z" else f"{k}{a} + {t} * ({k}{b} - {k}{a})") + f" END AS {k}{a}"
+
+
+_SEGMENTS_SQL = f"""
     WITH c AS ({_CORNERS_SQL}), e AS (SELECT * FROM (VALUES {', '.join(f'({k}, {a}, {b})' for k, (a, b) in enumerate(geom3d.EDGES))}) t(edge, a, b)),
-    s AS (SELECT p.vec_id, e.edge, p.cx AS x0, p.cy AS y0, p.cz AS z0, q.cx AS x1, q.cy AS y1, q.cz AS z1 FROM e JOIN c p ON p.i = e.a JOIN c q ON q.i = e.b AND q.vec_id = p.vec_id)
-    SELECT vec_id, edge::INTEGER AS edge, (z0 < {geom3d.NEAR}) AS cut_start, (z1 < {geom3d.NEAR}) AS cut_end FROM s WHERE z0 >= {geom3d.NEAR} OR z1 >= {geom3d.NEAR}"""
+    s AS (SELECT p.vec_id, e.edge, p.cx AS x0, p.cy AS y0, p.cz AS z0, q.cx AS x1, q.cy AS y1, q.cz AS z1 FROM e JOIN c p ON p.i = e.a JOIN c q ON q.i = e.b AND q.vec_id = p.vec_id),
+    k AS (SELECT vec_id, edge, {', '.join(_cut_sql(k, a, 1 - a) for a in (0, 1) for k in 'xyz')} FROM s WHERE z0 >= {geom3d.NEAR} OR z1 >= {geom3d.NEAR})
+    SELECT vec_id, edge::INTEGER AS edge, {_project_sql('x0', 'y0', 'z0').replace(' AS u', ' AS u0').replace(' AS v', ' AS v0')}, {_project_sql('x1', 'y1', 'z1').replace(' AS u', ' AS u1').replace(' AS v', ' AS v1')} FROM k"""
+
 
+def _places(*names: str) -> list[Column]:
+    return [(F.round(F.col(n), 2) + F.lit(0.0)).alias(n) for n in names]
 
-@query(_EDGES_SQL)
+
+@query(f"SELECT vec_id, edge, {', '.join(f'round({k}, 2) + 0.0 AS {k}' for k in ('u0', 'v0', 'u1', 'v1'))} FROM ({_SEGMENTS_SQL})")
 def box_edges(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _boxes(spark, sf)
-    segments = rows.select("vec_id", "corners", F.explode(geom3d.edge_segments(F.col("corners"), F.col("cam"))).alias("s"))
-    ends = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in geom3d.EDGES])
-    z = lambda k: F.get("corners", F.get(ends, F.col("s.edge"))[k])["z"]
-    return segments.select("vec_id", "s.edge", (z("a") < geom3d.NEAR).alias("cut_start"), (z("b") < geom3d.NEAR).alias("cut_end"))
+    rows = _boxes(spark, sf).select("vec_id", F.explode(geom3d.edge_segments(F.col("corners"), F.col("cam"))).alias("s"))
+    rows = rows.select("vec_id", "s.edge", *[F.col(f"s.{end}.{k}").alias(f"{k}{n}") for n, end in enumerate("ab") for k in "uv"])
+    return rows.select("vec_id", "edge", *_places("u0", "v0", "u1", "v1"))
+
+
+@query(f"""
+    WITH f AS (SELECT vec_id, min_by((u0 + u1) / 2, edge) AS u, min_by((v0 + v1) / 2, edge) AS v FROM ({_SEGMENTS_SQL}) GROUP BY vec_id),
+    c AS (SELECT vec_id, {_project_sql('x', 'y', f'greatest(z, {geom3d.NEAR}::DOUBLE)')} FROM ({_BOX_SQL}))
+    SELECT vec_id, round(coalesce(f.u, c.u), 2) + 0.0 AS u, round(coalesce(f.v, c.v), 2) + 0.0 AS v FROM c LEFT JOIN f USING (vec_id)""")
+def box_labels(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _boxes(spark, sf).withColumn("segments", geom3d.edge_segments(F.col("corners"), F.col("cam")))
+    rows = rows.select("vec_id", geom3d.label_anchor(F.col("segments"), F.col("box"), F.col("cam")).alias("p")).select("vec_id", "p.u", "p.v")
+    return rows.select("vec_id", *_places("u", "v"))

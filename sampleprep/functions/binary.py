@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PNG, JPEG = "image/png", "image/jpeg"
+IMAGE = "struct<format:string,width:int,height:int,payload:binary>"
 _PNG_MAGIC, _JPEG_MAGIC = b"\x89PNG\r\n\x1a\n", b"\xff\xd8"
 
 
@@ -80,23 +82,73 @@ def jpeg_size(data: bytes | None) -> tuple[int, int] | None:
     return None
 
 
-def _jpeg_headers(data: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([jpeg_size(x) or (-1, -1) for x in data], columns=["width", "height"])
+#: For images that can't pass as they are: bytes to (bytes, MIME type, width, height); raises what it likes if it can't.
+Encoder = Callable[[bytes], tuple[bytes, str, int, int]]
+
+
+def _is_png(data: Column) -> Column:
+    return F.substring(data, 1, 8) == F.lit(_PNG_MAGIC)
+
+
+def _image_reader(encode: Encoder | None) -> Callable[[pa.Array], pa.Array]:
+    kind = pa.list_(pa.struct([("format", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("payload", pa.binary())]))
+
+    def image(data: bytes | None) -> dict | None:
+        if data is None:
+            return None
+        size = jpeg_size(data)
+        if size is None and encode is not None:
+            try:
+                made, mime, *size = encode(data)
+            except Exception:  # whatever an encoder raises, the bytes pass as they are
+                return {"width": -1, "height": -1}
+            return {"format": mime, "width": size[0], "height": size[1], "payload": made}
+        width, height = size or (-1, -1)
+        return {"width": width, "height": height}
+
+    def read(rows: pa.Array) -> pa.Array:
+        return pa.array(([image(x.as_py()) for x in row.values] if row.is_valid else None for row in rows), kind, size=len(rows))
+
+    return read
+
+
+def encoded(payloads: Column, encode: Encoder | None = None) -> Column:
+    """Array of format, width, height, payload for an array of payloads, null where there is none.
+
+    JPEGs and PNGs of the usual modes pass as they are. All others go to encode; without one, or where it fails, their bytes pass
+    with a size of -1 (an odd PNG keeps its header's size if there is no encode).
+    """
+    usual = lambda p: png_header(p)["mode"].isNotNull() if encode is not None else _is_png(p)
+    asked = lambda p: ~F.coalesce(usual(p), F.lit(False)) if encode is not None else F.substring(p, 1, 2) == F.lit(_JPEG_MAGIC)
+    read = F.arrow_udf(_image_reader(encode), f"array<{IMAGE}>")(F.transform(payloads, lambda p: F.when(asked(p), p)))
+
+    def image(p: Column, r: Column) -> Column:
+        png = png_header(p)
+        sizes = [F.coalesce(r[k], png[k], F.lit(-1)).alias(k) for k in ("width", "height")]
+        form = F.coalesce(r["format"], F.when(_is_png(p), PNG).otherwise(JPEG))
+        return F.when(p.isNotNull(), F.struct(form.alias("format"), *sizes, F.coalesce(r["payload"], p).alias("payload")))
+
+    return F.zip_with(payloads, read, image)
 
 
 def geometry(data: Column) -> Column:
-    """Struct format, width, height of an encoded image: PNG natively, JPEG by its frame header; -1 where unknown."""
-    read = F.pandas_udf(_jpeg_headers, T.StructType([T.StructField(n, T.IntegerType()) for n in ("width", "height")]))
-    png, jpeg = png_header(data), read(F.when(F.substring(data, 1, 2) == F.lit(_JPEG_MAGIC), data))
-    is_png = F.substring(data, 1, 8) == F.lit(_PNG_MAGIC)
-    return F.struct(
-        F.when(is_png, PNG).otherwise(JPEG).alias("format"),
-        F.when(png.isNotNull(), png["width"]).otherwise(jpeg["width"]).alias("width"),
-        F.when(png.isNotNull(), png["height"]).otherwise(jpeg["height"]).alias("height"),
-    )
-
-
-def readable(data: Column) -> Column:
-    """True if the payload has a known image header with a size; a stand-in for a full decode, which needs an image library."""
-    found = geometry(data)
-    return (F.octet_length(data) > 0) & (found["width"] > 0) & (found["height"] > 0)
+    """Struct format, width, height (and the payload) of an encoded image: PNG natively, JPEG by its frame header; -1 where unknown."""
+    return F.get(encoded(F.array(data)), 0)
+
+
+def readable(data: Column, decodes: Callable[[bytes], bool] | None = None) -> Column:
+    """True if decodes, a caller's full decode, says so; without one, if the payload has a known image header with a size."""
+    if decodes is None:
+        found = geometry(data)
+        return (F.octet_length(data) > 0) & (found["width"] > 0) & (found["height"] > 0)
+
+    def decode(rows: pa.Array) -> pa.Array:
+        def fine(payload: bytes | None) -> bool:
+            try:
+                return bool(payload) and bool(decodes(payload))
+            except Exception:  # a decoder may raise for what it can't read
+                return False
+
+        return pa.array((fine(x.as_py()) for x in rows), pa.bool_(), size=len(rows))
+
+    return F.arrow_udf(decode, "boolean")(data)

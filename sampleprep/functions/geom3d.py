@@ -17,6 +17,7 @@ _BOXES = "array<struct<label:string,bbox_3d:array<double>>>"
 
 def camera(text: Column) -> Column:
     """Struct hfov, vfov, width, height from the first number after each name; null unless all are there."""
+    # fixed value: names and forms of the numbers
     number = {"hfov": r"([0-9]+(?:\.[0-9]+)?)", "vfov": r"([0-9]+(?:\.[0-9]+)?)", "width": "([0-9]+)", "height": "([0-9]+)"}
     found = {k: F.regexp_extract(text, rf"(?i){k}\s*=\s*{p}", 1).try_cast("double") for k, p in number.items()}
     complete = [v.isNotNull() for v in found.values()]
@@ -41,12 +42,13 @@ def _literal_boxes(text: pd.Series) -> pd.Series:
     return text.map(parse)
 
 
-def boxes(text: Column, literals: bool = False) -> Column:
+def boxes(text: Column, literals: bool = True) -> Column:
     """Array of label and the first nine numbers of each box; a lone object counts as a list; label object if none.
 
-    literals: also take Python literals that aren't JSON, by a function for the rows left over.
+    Numbers may stand in quotes. literals: also take Python literals that aren't JSON, by a function for the rows left over.
     """
-    parsed = F.from_json(text, _BOXES)
+    read = F.from_json(text, _BOXES.replace("double", "string"))
+    parsed = F.transform(read, lambda b: F.struct(b["label"].alias("label"), F.transform(b["bbox_3d"], lambda v: v.try_cast("double")).alias("bbox_3d")))
     if literals:
         parsed = F.coalesce(parsed, F.pandas_udf(_literal_boxes, _BOXES)(F.when(parsed.isNull(), text)))
     whole = F.filter(F.coalesce(parsed, F.array().cast(_BOXES)), lambda b: (F.size(b["bbox_3d"]) >= 9) & F.forall(F.slice(b["bbox_3d"], 1, 9), lambda v: v.isNotNull()))
@@ -134,7 +136,7 @@ def label_anchor(segments: Column, box: Column, cam: Column, near: float = NEAR)
     return F.when(first.isNotNull(), middle).otherwise(project(centre, cam))
 
 
-def overlay(user_text: Column, assistant_text: Column, literals: bool = False) -> Column:
+def overlay(user_text: Column, assistant_text: Column, literals: bool = True) -> Column:
     """Struct camera, boxes for a pair of turns that has both; else null."""
     cam, found = camera(user_text), boxes(assistant_text, literals)
     return F.when(cam.isNotNull() & (F.size(found) > 0), F.struct(cam.alias("camera"), found.alias("boxes")))

@@ -36,9 +36,9 @@ def capped(df: DataFrame, cap: int) -> DataFrame:
     return df.where((F.col("file_index") < cut.file_index) | (F.col("file_index") == cut.file_index) & (F.col("row_in_file") < cut.rows))
 
 
-def first_of_each_file(df: DataFrame, most: int) -> DataFrame:
-    """At most the first most rows of each file."""
-    return df.where(F.col("row_in_file") < most)
+def first_of_each_file(df: DataFrame, most: int, order: str = "row_in_file") -> DataFrame:
+    """At most the first most rows of each file, or lines of each shard by line_idx."""
+    return df.where(F.col(order) < most)
 
 
 def write_ordinals(df: DataFrame, group: str, order: str, width: int = 1 << 16) -> DataFrame:
@@ -64,13 +64,35 @@ def assign_shards(ordered: DataFrame, shard_size: int) -> DataFrame:
 def shard_counts(assigned: DataFrame, shard_size: int, emit_trailing_empty: bool = True) -> DataFrame:
     """shard_id and n; a full last shard (or no rows at all) is followed by an empty one."""
     counts = assigned.groupBy("shard_id").agg(F.count("*").alias("n"))
-    if not emit_trailing_empty:
-        return counts
-    total = assigned.agg(F.count("*").alias("rows"))
+    return with_trailing(counts, shard_size) if emit_trailing_empty else counts
+
+
+def with_trailing(counts: DataFrame, shard_size: int) -> DataFrame:
+    """Shards' counts with the empty shard that follows a full last one."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
     trailing = total.where(F.col("rows") % shard_size == 0).select(F.floor(F.col("rows") / shard_size).cast("int").alias("shard_id"), F.lit(0).cast("long").alias("n"))
     return counts.unionByName(trailing)
 
 
+def segments(rows: DataFrame, group: str, order: str, shard_size: int) -> DataFrame:
+    """first, last and n of each shard's rows in each group: where all shards lie, from two narrow columns."""
+    placed = assign_shards(write_ordinals(rows.select(group, order), group, order), shard_size)
+    return placed.groupBy(group, "shard_id").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"))
+
+
+def place(rows: DataFrame, laid: DataFrame, group: str, order: str, shard_size: int) -> DataFrame:
+    """shard_id of each row by the shards' segments, met by bands of order.
+
+    The segments are about as many as shards and groups; up to MOST_FILES they are broadcast, so that wide rows stay where they are.
+    """
+    width = shard_size * 8
+    band = lambda c: F.floor(F.col(c) / width)
+    bands = laid.select(F.col(group).alias("g_"), "shard_id", "first", "last", F.explode(F.sequence(band("first"), band("last"))).alias("b_"))
+    few = bands.count() <= MOST_FILES
+    met = (F.col(group) == F.col("g_")) & (band(order) == F.col("b_")) & F.col(order).between(F.col("first"), F.col("last"))
+    return rows.join(F.broadcast(bands) if few else bands, met).drop("g_", "b_", "first", "last")
+
+
 def locate(ordinals: DataFrame, index: DataFrame) -> DataFrame:
     """shard_id and line_idx of each ordinal by the shards' ranges (start, end).
 

@@ -124,6 +124,11 @@ def census(rows: DataFrame) -> DataFrame:
     )
 
 
+def slot_histogram(rows: DataFrame) -> DataFrame:
+    """Over (slots, …): how many rows have so many slots."""
+    return rows.groupBy("slots").agg(F.count("*").alias("n"))
+
+
 def slot_validity(slots: DataFrame) -> DataFrame:
     """Over (decoded, readable): how many are checked, fine, not decoded, not readable."""
     fails = F.col("decoded").isNull()

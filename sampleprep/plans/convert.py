@@ -8,11 +8,12 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sampleprep.functions import binary, classify
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats
-from sampleprep.session import ship
+from sampleprep.session import BATCH_BYTES, ship
 from sampleprep.sources.shards import _open, read_members, read_samples, register
 
 
@@ -42,51 +43,56 @@ def prepare(rows: DataFrame) -> DataFrame:
     )
 
 
-def encoded_images(rows: DataFrame) -> Column:
-    """Array of relative_path, format, width, height, payload of the slots that decode, named by their place in the source.
-
-    JPEG and PNG payloads pass as they are; other formats keep their bytes with a size of -1, as nothing here re-encodes them.
-    """
-    kind = rows.schema["images"].dataType.elementType
-    slots = F.transform("images", lambda x, i: F.struct(i.alias("i"), binary.payload(x, kind).alias("payload")))
-    return F.filter(slots, lambda s: s["payload"].isNotNull())
+def slot_payloads(rows: DataFrame) -> Column:
+    """Array of the payloads of a row's slots in order, null where a slot doesn't decode; empty without a list of images."""
+    kind = rows.schema["images"].dataType if "images" in rows.columns else None
+    if not isinstance(kind, T.ArrayType):
+        return F.array().cast("array<binary>")
+    return F.transform(F.coalesce("images", F.array().cast(kind)), lambda x: binary.payload(x, kind.elementType))
 
 
-def build_samples(prepared: DataFrame) -> DataFrame:
-    """file_index, row_in_file, source, sample and members (name, payload) of the valid rows.
+def build_samples(prepared: DataFrame, encode: binary.Encoder | None = None) -> DataFrame:
+    """file_index, row_in_file, source, sample and members (name, payload) of the valid rows; images are named by their place in the source.
 
-    Slots are taken apart, measured and put together again by row, so that the one Python step sees payloads of JPEGs only.
+    All is worked out inside the row: the one Python step sees the JPEGs, and what only encode can take, in Arrow batches.
     """
     ship(prepared.sparkSession)
-    valid = prepared.where("valid").withColumn("slots", encoded_images(prepared))
-    one = valid.select("ordinal_", "sample_id", F.explode("slots").alias("s")).select("ordinal_", "sample_id", "s.i", "s.payload", binary.geometry(F.col("s.payload")).alias("g"))
-    image = F.struct(t.member_name(F.col("sample_id"), F.col("i"), F.col("g.format")).alias("relative_path"), F.col("g.format").alias("format"), F.col("g.width").alias("width"), F.col("g.height").alias("height"))
-    measured = one.groupBy("ordinal_").agg(F.array_sort(F.collect_list(F.struct("i", image.alias("image"), "payload"))).alias("all"))
-    joined = valid.drop("slots").join(measured.withColumnRenamed("ordinal_", "o"), F.col("ordinal_") == F.col("o"), "left")
-    empty = F.array().cast(measured.schema["all"].dataType)
-    joined = joined.withColumn("all", F.coalesce("all", empty))
-    images = F.transform("all", lambda x: x["image"])
-    members = F.transform("all", lambda x: F.struct(x["image"]["relative_path"].alias("name"), x["payload"].alias("payload")))
-    return joined.select("file_index", "row_in_file", "source", nested.sample(F.col("conversations"), images, F.col("sample_id"), F.col("category_")).alias("sample"), members.alias("members"))
+    prepared.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    rows = prepared.where("valid").withColumn("payloads_", slot_payloads(prepared))
+    rows = rows.withColumn("encoded_", binary.encoded(F.col("payloads_"), encode))
+
+    def named(e: Column, i: Column) -> Column:
+        path = t.member_name(F.col("sample_id"), i, e["format"])
+        image = F.struct(path.alias("relative_path"), *[e[k].alias(k) for k in ("format", "width", "height")])
+        return F.when(e.isNotNull(), F.struct(image.alias("image"), F.struct(path.alias("name"), e["payload"].alias("payload")).alias("member")))
+
+    rows = rows.withColumn("all_", F.array_compact(F.transform("encoded_", named)))
+    images, members = F.transform("all_", lambda x: x["image"]), F.transform("all_", lambda x: x["member"])
+    return rows.select("file_index", "row_in_file", "source", nested.sample(F.col("conversations"), images, F.col("sample_id"), F.col("category_")).alias("sample"), members.alias("members"))
 
 
 def write_shards(samples: DataFrame, root: str, shard_size: int = 8192, emit_trailing_empty: bool = True) -> DataFrame:
-    """Write samples in the order of their rows; gives the shards' counts.
+    """Write samples in the order of their rows, in place of what shards root has; gives the shards' counts.
 
-    Ordinals come from (file_index, row_in_file) alone; payloads are shuffled once, by shard.
+    Where each shard begins in each file comes from (file_index, row_in_file) alone. With that at hand, samples and payloads
+    move once: to their shards' tasks, sorted there.
     """
     register(samples.sparkSession)
-    placed = shards.assign_shards(shards.write_ordinals(samples, "file_index", "row_in_file"), shard_size)
-    counts = shards.shard_counts(placed.select("shard_id"), shard_size, emit_trailing_empty)
-    lines = placed.select("shard_id", "line_idx", F.to_json("sample").alias("line"), "members")
-    trailing = counts.where("n = 0").select("shard_id", F.lit(0).alias("line_idx"), F.lit(None).cast("string").alias("line"), F.lit(None).cast(lines.schema["members"].dataType).alias("members"))
-    rows = lines.unionByName(trailing).repartition("shard_id").sortWithinPartitions("shard_id", "line_idx").select("shard_id", "line", "members")
-    rows.write.format("tarshards").mode("append").save(root)
+    laid = shards.segments(samples, "file_index", "row_in_file", shard_size).persist()
+    counts = laid.groupBy("shard_id").agg(F.sum("n").alias("n"))
+    counts = shards.with_trailing(counts, shard_size) if emit_trailing_empty else counts
+    placed = shards.place(samples, laid, "file_index", "row_in_file", shard_size)
+    lines = placed.select("shard_id", "file_index", F.col("row_in_file").cast("long").alias("row_in_file"), F.to_json("sample").alias("line"), "members")
+    empty = {"file_index": F.lit(0), "row_in_file": F.lit(0).cast("long"), "line": F.lit(None).cast("string"), "members": F.lit(None).cast(lines.schema["members"].dataType)}
+    trailing = counts.where("n = 0").select("shard_id", *[c.alias(k) for k, c in empty.items()])
+    rows = lines.unionByName(trailing).repartition("shard_id").sortWithinPartitions("shard_id", "file_index", "row_in_file").select("shard_id", "line", "members")
+    rows.write.format("tarshards").mode("overwrite").save(root)
+    laid.unpersist()
     return counts
 
 
 def metadata(prepared: DataFrame, samples: DataFrame, requested: int | None = None, total_rows: int | None = None) -> dict[str, Any]:
-    """Counts and distributions over all rows seen, geometry over the images of converted samples; each one aggregate."""
+    """Counts and distributions over all rows seen, geometry over the images of samples (id, data) that were converted; each one aggregate."""
     seen = prepared.agg(F.count("*").alias("seen"), F.count_if("valid").alias("converted"), F.min_by("category_field", "ordinal_").alias("field")).first()
     rows = prepared.select(F.col("category_").alias("category"), "source", "n_images")
     dists: dict[str, dict] = {"category": {}, "source": {}, "n_images": {}}
@@ -109,7 +115,7 @@ def metadata(prepared: DataFrame, samples: DataFrame, requested: int | None = No
         "category_distribution": dists["category"],
         "data_source_distribution": dists["source"],
         "image_count_distribution": dict(sorted(dists["n_images"].items(), key=lambda kv: int(kv[0]))),
-        "resolution_stats": resolution_stats(samples.select(F.col("sample.id").alias("id"), F.col("sample.data").alias("data"))),
+        "resolution_stats": resolution_stats(samples),
     }
 
 
@@ -153,33 +159,77 @@ def write_metadata(root: str, document: dict[str, Any]) -> None:
         f.write(json.dumps(document, ensure_ascii=False, indent=2).encode())
 
 
-def convert(spark: SparkSession, source: str, root: str, shard_size: int = 8192, most_rows: int | None = None) -> dict[str, Any]:
-    """Source folder to shards and metadata.json under root; gives the metadata."""
+def convert(
+    spark: SparkSession, source: str, root: str, shard_size: int = 8192, most_rows: int | None = None, encode: binary.Encoder | None = None, dataset_name: str | None = None
+) -> dict[str, Any]:
+    """Source folder to shards and metadata.json under root; gives the metadata. The geometry is that of the written samples."""
     if shard_size <= 0:
         raise ValueError("shard_size must be positive")
     prepared = prepare(read_source(spark, source, most_rows))
-    samples = build_samples(prepared)
-    write_shards(samples, root, shard_size)
-    total = spark.read.parquet(f"{source.rstrip('/')}/*.parquet").count() if most_rows is not None else None
-    document = {"input_parquet_dir": source, "output_root": root, **metadata(prepared, samples, most_rows, total)}
+    write_shards(build_samples(prepared, encode), root, shard_size)
+    rows = spark.read.parquet(f"{source.rstrip('/')}/*.parquet")
+    total = rows.count() if most_rows is not None else None
+    head = {"dataset_name": dataset_name, "input_parquet_dir": source, "output_root": root, "workers": spark.sparkContext.defaultParallelism, "parquet_files_scheduled": len(rows.inputFiles())}
+    document = {**head, **metadata(prepared, read_samples(spark, root), most_rows, total)}
     write_metadata(root, document)
     return document
 
 
-def rescan(spark: SparkSession, root: str, validate: bool = True, most_lines: int | None = None) -> dict[str, Any]:
-    """Recount the geometry of written samples, check their images, and put both into metadata.json."""
+def rescan(spark: SparkSession, root: str, validate: bool = True, most_lines: int | None = None, decodes: Callable[[bytes], bool] | None = None) -> dict[str, Any]:
+    """Recount the geometry of written samples, check their images, and put both into metadata.json.
+
+    most_lines caps the lines of each shard; decodes is a full decode of an image, in place of the check of its header.
+    """
     samples = read_samples(spark, root, lines=most_lines is not None)
     if most_lines is not None:
-        samples = samples.where(F.col("line_idx") < most_lines)
+        samples = shards.first_of_each_file(samples, most_lines, "line_idx")
     document = read_metadata(root) | {"resolution_stats": resolution_stats(samples)}
     if validate:
-        members = read_members(spark, root, payload=True).select("shard_id", "name", "size", F.coalesce(binary.readable(F.col("payload")), F.lit(False)).alias("readable"))
+        members = read_members(spark, root, payload=True).select("shard_id", "name", "size", F.coalesce(binary.readable(F.col("payload"), decodes), F.lit(False)).alias("readable"))
         references = samples.select(F.explode(nested.image_paths(F.col("data"))).alias("path"))
-        document["image_read_validation"] = recon.check_references(references, members).first().asDict()
+        found = recon.check_references(references, members).first()
+        # fixed keys of the document; tar_cache_size has no meaning here, as no archive is kept open
+        document["image_read_validation"] = {
+            "images_checked": found.checked, "abnormal_images": found.abnormal, "missing_in_tar": found.missing, "empty_tar_payload": found.empty, "pil_decode_failed": found.unreadable,
+            "tar_members_indexed": read_members(spark, root).agg(F.count_distinct("name")).first()[0], "tar_cache_size": 0, "workers_effective": spark.sparkContext.defaultParallelism,
+        }
     write_metadata(root, document)
     return document
 
 
+def census(spark: SparkSession, source: str, validate: bool = True, decodes: Callable[[bytes], bool] | None = None) -> dict[str, Any]:
+    """The census of the source's image slots as a document; of the rows only counts by shape and by number of slots reach the driver."""
+    rows = spark.read.parquet(f"{source.rstrip('/')}/*.parquet")
+    kind = rows.schema["images"].dataType if "images" in rows.columns else T.NullType()
+    slots, shape = binary.image_shape(F.col("images") if "images" in rows.columns else F.lit(None), kind)
+    counted = rows.select(slots.alias("slots"), shape.alias("shape"))
+    found = stats.census(counted).orderBy(F.desc("rows"), "shape").collect()
+    whole = next((r for r in found if r.overall), None)
+    shapes = [r for r in found if not r.overall]
+    document = {
+        "parquet_dir": source,
+        "parquet_file_count": len(rows.inputFiles()),
+        "parquet_total_rows_metadata": whole.rows if whole else 0,
+        "total_rows_scanned": whole.rows if whole else 0,
+        "total_source_images": whole.slots if whole else 0,
+        "rows_images_unsupported_or_empty": whole.without_slots if whole else 0,
+        "workers_effective": spark.sparkContext.defaultParallelism,
+        "avg_images_per_row": whole.average if whole else 0.0,
+        "images_per_row_histogram": {str(r.slots): r.n for r in stats.slot_histogram(counted).orderBy("slots").collect()},
+        "rows_by_images_shape": {r["shape"]: r["rows"] for r in shapes},
+        "image_slots_by_images_shape": {r["shape"]: r["slots"] for r in sorted(shapes, key=lambda r: -r["slots"])},
+    }
+    if validate:
+        ship(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        one = isinstance(kind, T.StringType)
+        decoded = F.array(binary.payload(F.col("images"), kind)) if one else slot_payloads(rows)
+        held = rows.where(slots > 0).select(F.explode(decoded).alias("decoded"))
+        checked = stats.slot_validity(held.select("decoded", binary.readable(F.col("decoded"), decodes).alias("readable"))).first()
+        document["image_bytes_validation"] = {"slots_pil_ok": checked.ok, "slots_decode_failed": checked.decode_failed, "slots_pil_invalid": checked.invalid, "slots_checked": checked.checked}
+    return document
+
+
 def shard_ranges(samples: DataFrame) -> DataFrame:
     """shard_id, n, start, end of written samples, for pages and look-ups by ordinal."""
     return shards.prefix_sums(samples.groupBy("shard_id").agg(F.count("*").alias("n")), "shard_id", "n")

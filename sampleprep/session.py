@@ -35,6 +35,16 @@ def local_session(cpus: int | str = "*", partitions: int = 8, driver_memory: str
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which every executor reaches; only a local session without it gets one of its own."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-shared-")
+    return folder.rstrip("/")
+
+
 def ship(spark: SparkSession) -> None:
     """Give the package to the Python workers of this application, once; they may run where it isn't installed."""
     context = spark.sparkContext

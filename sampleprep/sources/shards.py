@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ from sampleprep.session import ship
 
 _SHARD = re.compile(r"data_(\d+)\.(?:tar|jsonl)$")
 MEMBERS = "shard_id int, name string, size long, payload binary"
+_BATCH = pa.schema([("shard_id", pa.int32()), ("name", pa.string()), ("size", pa.int64()), ("payload", pa.binary())])
+#: Members and payload bytes that go to Spark at once; a batch ends with the member that reaches either.
+_BATCH_ROWS, _BATCH_BYTES = 8192, 8 << 20
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -59,7 +63,18 @@ class TarReader(DataSourceReader):
     def partitions(self) -> list[TarPart]:
         return [TarPart(i, p) for i, p in shard_files(self.folder, ".tar")] or [TarPart(-1, "")]
 
-    def read(self, partition: TarPart) -> Iterator[tuple]:
+    def read(self, partition: TarPart) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for row in self.members(partition):
+            rows.append(row)
+            size += len(row[3] or b"")
+            if len(rows) >= _BATCH_ROWS or size >= _BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BATCH.types)], schema=_BATCH)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BATCH.types)], schema=_BATCH)
+
+    def members(self, partition: TarPart) -> Iterator[tuple]:
         if not partition.path:
             return
         system, _ = _open(self.folder)
@@ -78,10 +93,11 @@ class ShardWriter(DataSourceWriter):
     """Writes rows (shard_id, line, members) that come sorted by shard, each shard in one task.
 
     Files get other names first and their own on commit, so a task that is run twice leaves no half or doubled shard.
+    With overwrite, shards of an earlier write that have no successor are deleted on commit.
     """
 
-    def __init__(self, options: dict) -> None:
-        self.folder = options["path"].rstrip("/")
+    def __init__(self, options: dict, overwrite: bool = False) -> None:
+        self.folder, self.overwrite = options["path"].rstrip("/"), overwrite
 
     def write(self, rows: Iterator) -> Written:
         system, root = _open(self.folder)
@@ -116,6 +132,12 @@ class ShardWriter(DataSourceWriter):
         for message in messages:
             for old, new in message.moves if message else []:
                 system.move(old, new)
+        if self.overwrite:
+            made = {new for message in messages if message for _, new in message.moves}
+            for part, ending in (("jsonl", "jsonl"), ("images", "tar")):
+                for _, path in shard_files(f"{self.folder}/{part}", f".{ending}"):
+                    if path not in made:
+                        system.delete_file(path)
 
     def abort(self, messages: list[Written | None]) -> None:
         system, _ = _open(self.folder)
@@ -137,7 +159,7 @@ class TarShards(DataSource):
         return TarReader(self.options)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> ShardWriter:
-        return ShardWriter(self.options)
+        return ShardWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -64,6 +64,72 @@ def test_metadata(root):
     assert json.loads((out / "metadata.json").read_text())["resolution_stats"] == geometry
 
 
+def test_metadata_keys(root):
+    made = root[2]
+    assert list(made) == [
+        "dataset_name", "input_parquet_dir", "output_root", "workers", "parquet_files_scheduled", "dataset_total_samples", "stopped_by_max_samples", "requested_max_samples", "id_strategy",
+        "image_placeholder_policy", "image_naming_policy", "total_samples_seen", "converted_samples", "skipped_samples", "category_field_detected", "has_category", "category_distribution",
+        "data_source_distribution", "image_count_distribution", "resolution_stats",
+    ]
+    assert made["parquet_files_scheduled"] == 2
+
+
+def test_census(spark, root):
+    made = convert.census(spark, str(root[0]))
+    assert (made["parquet_file_count"], made["total_rows_scanned"], made["total_source_images"], made["rows_images_unsupported_or_empty"]) == (2, 6, 9, 0)
+    assert made["images_per_row_histogram"] == {"1": 4, "2": 1, "3": 1} and made["avg_images_per_row"] == 1.5
+    assert made["rows_by_images_shape"] == {"list_of_dict": 6} and made["image_slots_by_images_shape"] == {"list_of_dict": 9}
+    assert made["image_bytes_validation"] == {"slots_pil_ok": 6, "slots_decode_failed": 2, "slots_pil_invalid": 1, "slots_checked": 9}
+    assert "image_bytes_validation" not in convert.census(spark, str(root[0]), validate=False)
+
+
+@pytest.fixture
+def encoder():
+    # a local function, as workers can't import the tests
+    def encode(data):
+        if data == b"raw":
+            return b"made", "image/jpeg", 3, 4
+        raise OSError("no image")
+
+    return encode
+
+
+def test_encoder_and_stale_shards(spark, root, tmp_path, encoder):
+    folder, out, _ = root
+    made = convert.convert(spark, str(folder), str(tmp_path), shard_size=1, encode=encoder, dataset_name="own")
+    assert made["dataset_name"] == "own" and made["resolution_stats"]["unknown_geometry"] == 0
+    assert len(list((tmp_path / "images").glob("data_*.tar"))) == 5
+    assert [s["id"] for s in samples(tmp_path)] == [s["id"] for s in samples(out)]
+    members = {m.name: m.payload for m in files.read_members(spark, str(tmp_path), payload=True).collect()}
+    assert members["unknown_source__sample_1000000002_00.jpg"] == b"made"
+    convert.convert(spark, str(folder), str(tmp_path), shard_size=100)
+    assert [p.name for p in sorted((tmp_path / "images").iterdir()) if not p.name.startswith(".")] == ["data_000000.tar"]
+    assert [s["id"] for s in samples(tmp_path)] == [s["id"] for s in samples(out)]
+
+
+def test_encoded(spark, encoder):
+    from sampleprep.functions import binary
+
+    odd = PNG[:25] + b"\x03" + PNG[26:]
+    df = spark.createDataFrame([([JPEG, PNG, None, odd, b"raw", b"\xff\xd8cut"],), ([],), (None,)], "p array<binary>")
+    plain, coded = (df.select(binary.encoded(F.col("p"), e)).collect() for e in (None, encoder))
+    sizes = lambda rows: [x and (x["format"], x["width"], x["height"]) for x in rows[0][0]]
+    assert sizes(plain) == [("image/jpeg", 640, 480), ("image/png", 256, 192), None, ("image/png", 256, 192), ("image/jpeg", -1, -1), ("image/jpeg", -1, -1)]
+    assert sizes(coded) == [("image/jpeg", 640, 480), ("image/png", 256, 192), None, ("image/png", -1, -1), ("image/jpeg", 3, 4), ("image/jpeg", -1, -1)]
+    assert [bytes(x["payload"]) for x in coded[0][0] if x] == [JPEG, PNG, odd, b"made", b"\xff\xd8cut"]
+    assert [r[0] for r in plain[1:]] == [[], None]
+
+
+def test_one_shuffle_of_payloads(spark, root):
+    prepared = convert.prepare(convert.read_source(spark, str(root[0])))
+    built = convert.build_samples(prepared)
+    laid = shards.segments(built, "file_index", "row_in_file", 2)
+    plan = shards.place(built, laid, "file_index", "row_in_file", 2)._jdf.queryExecution().optimizedPlan().toString()
+    # neither the samples nor their place needs a window, an aggregate or a sort of rows that carry payloads
+    assert "payload" not in laid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") - laid._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
+
+
 def test_samples(root):
     _, out, _ = root
     made = samples(out)
@@ -98,7 +164,11 @@ def test_rescan_and_read(spark, root):
     _, out, made = root
     again = convert.rescan(spark, str(out))
     assert again["resolution_stats"] == made["resolution_stats"]
-    assert again["image_read_validation"] == {"checked": 5, "missing": 0, "empty": 0, "unreadable": 1, "abnormal": 1}
+    checked = {"images_checked": 5, "missing_in_tar": 0, "empty_tar_payload": 0, "pil_decode_failed": 1, "abnormal_images": 1, "tar_members_indexed": 5, "tar_cache_size": 0, "workers_effective": 4}
+    assert again["image_read_validation"] == checked
+    few = convert.rescan(spark, str(out), most_lines=1, decodes=lambda data: data[:3] != b"raw")
+    assert few["image_read_validation"]["images_checked"] == 2 and few["resolution_stats"]["total_images"] == 2
+    assert convert.rescan(spark, str(out), decodes=lambda data: 1 // 0)["image_read_validation"]["abnormal_images"] == 5
     members = files.read_members(spark, str(out)).where("name = 'arkitscenes__x5_00.png'").collect()
     assert [(m.shard_id, m.size, m.payload) for m in members] == [(1, len(PNG), None)]
     broken = out / "jsonl/data_000007.jsonl"
