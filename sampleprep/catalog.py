@@ -262,12 +262,17 @@ _QUESTIONS = (
     "Order the two {0} according to their depth from near to far.", "Is it on the left, the {0}?", "From the multi-view objects {0}, {1}, identify the one farthest from the door.",
     "Find the 3D bounding box that encapsulates the {0} in this visual representation.", "Does the camera translate past the {0}?", "Tell me about the {0}.",
     "Based on the 3D positions of the objects, which one is placed at a higher elevation?", "", "Out of the objects: {0}, which one is the largest in size?",
+    "Create comprehensive spatial relationship descriptions that capture every observable detail in 100-200 words.",
+    "If the {0} is to the left of the {1} in the first image, what direction is the door from the {1}?",
+)
+#: What each question is, worked out by hand: with at most one image, and with more.
+_LABELS = (
+    ("size.single_view", "size.single_view"), ("counting.single_view", "counting.single_view"), ("distance.single_view", "distance.multi_view"), ("distance.single_view", "distance.multi_view"),
+    ("correspondence.multi_view", "correspondence.multi_view"), ("size.single_view", "size.single_view"), ("depth.single_view", "depth.single_view"), ("position.single_view", "position.multi_view"),
+    ("distance.multi_view", "distance.multi_view"), ("grounding_3d.single_view", "grounding_3d.single_view"), ("camera_motion.multi_view", "camera_motion.multi_view"),
+    ("position.single_view", "camera_motion.multi_view"), ("position.single_view", "position.single_view"), ("unknown.single_view", "unknown.multi_view"), ("size.multi_view", "size.multi_view"),
+    ("3d_scene_caption.single_view", "3d_scene_caption.single_view"), ("position.multi_view", "position.multi_view"),
 )
-_QUESTION_SQL = f"CASE p_partkey % {len(_QUESTIONS)} " + " ".join(
-    "WHEN {} THEN {}".format(i, " || ".join(x for part in q.replace("{0}", "\0p_name\0").replace("{1}", "\0p_brand\0").split("\0") for x in [part if part in ("p_name", "p_brand") else f"'{part}'"])) for i, q in enumerate(_QUESTIONS)
-) + " END"
-
-
 def _questions() -> Column:
     found = F.lit("")
     for i, q in enumerate(_QUESTIONS):
@@ -276,16 +281,8 @@ def _questions() -> Column:
     return found
 
 
-def _category_sql(q: str, n: str) -> str:
-    count = f"CASE WHEN {n} > 1 THEN 'multi_view' ELSE 'single_view' END"
-    views = {"multi": "'multi_view'", "single": "'single_view'", "count": count}
-    steps = [f"WHEN {q} = '' THEN 'unknown.' || {count}"]
-    for task, scope, pattern in classify.rule_patterns():
-        steps.append("WHEN regexp_matches({}, '{}') THEN '{}.' || {}".format(q, pattern.replace("'", "''"), task, views[scope]))
-    return f"CASE {' '.join(steps)} ELSE CASE WHEN {n} > 1 THEN 'camera_motion.multi_view' ELSE 'position.single_view' END END"
-
-
-_CLASSIFIED = f"SELECT p_partkey, p_brand AS source, n_images, {_category_sql('q', 'n_images')} AS category FROM (SELECT *, p_partkey % 3 AS n_images, lower(trim(regexp_replace({_QUESTION_SQL}, '\\s+', ' ', 'g'))) AS q FROM part)"
+_LABEL_SQL = "CASE p_partkey % " + str(len(_LABELS)) + " " + " ".join(f"WHEN {i} THEN CASE WHEN p_partkey % 3 > 1 THEN '{many}' ELSE '{few}' END" for i, (few, many) in enumerate(_LABELS)) + " END"
+_CLASSIFIED = f"SELECT p_partkey, p_brand AS source, p_partkey % 3 AS n_images, {_LABEL_SQL} AS category FROM part"
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
