@@ -28,7 +28,7 @@ def _escape(text: Column) -> Column:
 
 
 def _unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\(\\*){_CONTROL}", r"$1$2")
+    return F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, rf"\\(\\*){_CONTROL}", r"$1$2")).otherwise(text)
 
 
 def _shown(role: Column) -> Column:
@@ -59,11 +59,15 @@ def parse(formatted: Column) -> Column:
     """The array of (role, text) that the grammar gives; text is null in a turn that isn't ended by one end mark."""
 
     def turn(part: Column) -> Column:
-        ended = F.split(part, rf"(?<!\\){_CLOSE.strip()}", -1)
-        header = r"(?s)\A([^:]*): (.*)\n\z"
-        whole = (F.size(ended) == 2) & (F.get(ended, 1) == "\n") & F.get(ended, 0).rlike(header)
-        text = _unescape(F.regexp_extract(F.get(ended, 0), header, 2))
-        return F.struct(_role(F.regexp_extract(F.get(ended, 0), header, 1)).alias("role"), F.when(whole, text).alias("text"))
+        # a one-element array binds the pieces, so that a turn is split once
+        return F.get(F.transform(F.array(F.split(part, rf"(?<!\\){_CLOSE.strip()}", -1)), read), 0)
+
+    def read(ended: Column) -> Column:
+        body = F.get(ended, 0)
+        shown = F.substring_index(body, ":", 1)
+        whole = (F.size(ended) == 2) & (F.get(ended, 1) == "\n") & F.startswith(body, F.concat(shown, F.lit(": "))) & F.endswith(body, F.lit("\n"))
+        text = F.substring(body, F.length(shown) + 3, F.length(body) - F.length(shown) - 3)
+        return F.struct(_role(F.when(whole, shown).otherwise("")).alias("role"), F.when(whole, _unescape(text)).alias("text"))
 
     parts = F.split(formatted, rf"(?<!\\){_OPEN}", -1)
     # nothing stands in front of the first turn
