@@ -588,7 +588,7 @@ def unresolved_paths(spark: SparkSession, sf: str) -> DataFrame:
     SELECT shard_id, line_idx::INTEGER AS line_idx, 'd__' || doc_id AS id, 'd' || doc_id || '.txt' AS name, octet_length(encode(coalesce(text, '')))::BIGINT AS size, md5(coalesce(text, '')) AS digest
     FROM ({_ASSIGNED.replace('SELECT doc_id, source, ord', 'SELECT doc_id, source, text, ord').replace('FROM (SELECT doc_id, source,', 'FROM (SELECT doc_id, source, text,')})""")
 def tar_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents written as samples with their texts as archive members, and read back from lines and archives."""
+    """Documents written as samples with their texts as archive members, and read back from lines and archives; the folder stays, as the rows are read from it."""
     doc = F.col("doc_id").cast("string")
     docs = table(spark, sf, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
     index = docs.groupBy("source").agg(F.count("*").alias("n"))
