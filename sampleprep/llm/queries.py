@@ -14,12 +14,15 @@ from sampleprep.llm.exact_dedup import exact_dedup
 from sampleprep.llm.html_text import extract
 from sampleprep.llm.language_id import fold_of, identify
 from sampleprep.llm.language_id import train as train_language
+from sampleprep.llm.licenses import scan_licenses
 from sampleprep.llm.mixing import mix_sources
 from sampleprep.llm.packing import pack
 from sampleprep.llm.simhash import near_duplicates
+from sampleprep.llm.spelling import group_variants, vocabulary
 from sampleprep.llm.toxicity import score as score_toxicity
 from sampleprep.llm.toxicity import train as train_toxicity
 from sampleprep.llm.url_filter import filter_urls, train
+from sampleprep.llm.whitening import whiten
 
 #: Name of the tokenizer file; its folder comes from the installed public_tokenizers.
 TOKENIZER = "word_bpe_49k.json"
@@ -101,6 +104,31 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    starts = F.transform(base, lambda s: s["first"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -112,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mix_sources": op9_mix_sources,
     "op10_chat_format": op10_chat_format,
+    "op11_license_scan": op11_license_scan,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {
