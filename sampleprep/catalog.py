@@ -435,22 +435,96 @@ def slot_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", F.decode(binary.payload(F.col("slot"), rows.schema["slot"].dataType, data_url=True), "UTF-8").alias("payload"))
 
 
+def _hex(value, digits: int = 2):
+    return F.lpad(F.hex(value.cast("long")), digits, "0")
+
+
+def _chunk(kind: str, body):
+    """A chunk of a PNG in hex digits, of hex digits."""
+    kind = F.lit(kind.encode().hex().upper())
+    return F.concat(_hex(F.length(body) / 2, 8), kind, body, _hex(F.crc32(F.unhex(F.concat(kind, body))), 8))
+
+
+def _png(width, height, depth: int, colour: int, rows: list, palette: list | None = None, transparency=None):
+    """A PNG in hex digits, its bytes (columns of numbers, filter bytes included) stored uncompressed."""
+    n = len(rows)
+    total, weighted = (sum((w * c for w, c in zip(ws, rows, strict=True)), F.lit(0)) for ws in ([1] * n, range(n, 0, -1)))
+    stored = f"780101{n:02X}00{255 - n:02X}FF"
+    body = F.concat(F.lit(stored), *[_hex(c) for c in rows], _hex((weighted + n) % 65521, 4), _hex((total + 1) % 65521, 4))
+    head = F.concat(_hex(width, 8), _hex(height, 8), F.lit(f"{depth:02X}{colour:02X}000000"))
+    more = [_chunk("PLTE", F.concat(*[_hex(c) for c in palette]))] if palette else []
+    more += [_chunk("tRNS", _hex(transparency))] if transparency is not None else []
+    return F.concat(F.lit("89504E470D0A1A0A"), _chunk("IHDR", head), *more, _chunk("IDAT", body), _chunk("IEND", F.lit("")))
+
+
+def _grey_jpeg(width):
+    """A grey JPEG of one row of blocks in hex digits."""
+    table = lambda k: f"FFC40014{k}01" + "00" * 16
+    head = "FFD8FFE000046162FFDB004300" + "01" * 64 + "FFC0000B080008"
+    return F.concat(F.lit(head), _hex(width, 4), F.lit("01011100" + table("00") + table("10") + "FFDA0008010100003F00" + "00" * 8 + "FFD9"))
+
+
+def _whole_and_broken(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id and slot in base64: whole files, two that don't decode, and files that are broken in one way each."""
+    number = 1 + F.col("doc_id") % 250
+    rgb = lambda width, height: _png(width, height, 8, 2, [F.lit(0), number, F.lit(7), F.col("doc_id") % 9])
+    whole, jpeg = rgb(F.lit(1), F.lit(1)), _grey_jpeg(number)
+    k = F.col("doc_id") % 12
+    flipped = F.translate(F.substring(whole, F.length(whole) - 25, F.lit(2)), "0123456789ABCDEF", "FEDCBA9876543210")  # the last byte of a checksum
+    data = (
+        F.when(k == 0, whole).when(k == 1, jpeg).when(k == 4, rgb(F.lit(0), F.lit(1))).when(k == 5, _hex(F.col("doc_id"), 8))
+        .when(k == 6, F.left(whole, F.length(whole) - 10)).when(k == 7, F.concat(F.left(whole, F.length(whole) - 26), flipped, F.right(whole, F.lit(24))))
+        .when(k == 8, F.left(jpeg, F.length(jpeg) - 4)).when(k == 9, rgb(F.lit(1), F.lit(2))).when(k == 10, F.concat(F.left(jpeg, F.lit(40)), F.lit("FFD9"))).when(k == 11, F.concat(whole, F.lit("00FF")))
+    )
+    return table(spark, sf, "documents").select("doc_id", F.when(k == 3, "a").otherwise(F.base64(F.unhex(data))).alias("slot"))
+
+
 @query("""
-    WITH s AS (SELECT doc_id % 6 AS k FROM documents)
-    SELECT count(*) AS checked, count(*) FILTER (WHERE k IN (0, 1)) AS ok, count(*) FILTER (WHERE k IN (2, 3)) AS decode_failed, count(*) FILTER (WHERE k IN (4, 5)) AS invalid FROM s""")
+    WITH s AS (SELECT doc_id % 12 AS k FROM documents)
+    SELECT count(*) AS checked, count(*) FILTER (WHERE k IN (0, 1, 11)) AS ok, count(*) FILTER (WHERE k IN (2, 3)) AS decode_failed, count(*) FILTER (WHERE k BETWEEN 4 AND 10) AS invalid FROM s""")
 def slot_validity(spark: SparkSession, sf: str) -> DataFrame:
-    """Slots in base64: a PNG and a JPEG that are readable, two that don't decode, a PNG of no width and bytes that are no image."""
     ship(spark)
-    number = lambda c: F.lpad(F.hex(c), 8, "0")
-    png = lambda width: F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), number(width), number(1 + F.col("doc_id") % 999), F.lit("0802000000"))
-    jpeg = F.concat(F.lit("FFD8FFE000046162FFC0001108"), F.substring(number(1 + F.col("doc_id") % 999), 5, 4), F.lit("001003"))
-    k = F.col("doc_id") % 6
-    data = F.when(k == 0, png(F.lit(7))).when(k == 1, jpeg).when(k == 4, png(F.lit(0))).when(k == 5, F.hex("doc_id"))
-    rows = table(spark, sf, "documents").select(F.when(k == 3, "abcde").otherwise(F.base64(F.unhex(data))).alias("slot"))
+    rows = _whole_and_broken(spark, sf)
     decoded = rows.select(binary.payload(F.col("slot"), rows.schema["slot"].dataType).alias("decoded"))
     return stats.slot_validity(decoded.select("decoded", binary.readable(F.col("decoded")).alias("readable")))
 
 
+@query("""
+    SELECT doc_id, CASE doc_id % 12 WHEN 2 THEN 'empty' WHEN 3 THEN 'empty' WHEN 4 THEN 'bad header' WHEN 5 THEN 'unknown format' WHEN 6 THEN 'truncated' WHEN 7 THEN 'bad checksum'
+        WHEN 8 THEN 'truncated' WHEN 9 THEN 'truncated' WHEN 10 THEN 'truncated' END AS defect FROM documents""")
+def image_defects(spark: SparkSession, sf: str) -> DataFrame:
+    """Why each slot of slot_validity can't be decoded; a slot that isn't base64 is empty."""
+    ship(spark)
+    rows = _whole_and_broken(spark, sf)
+    return rows.select("doc_id", binary.defect(binary.payload(F.col("slot"), rows.schema["slot"].dataType)).alias("defect"))
+
+
+@query("""
+    WITH b AS (SELECT o_orderkey, o_orderkey % 5 AS k, o_custkey % 256 AS p, o_orderkey % 251 AS s, (o_orderkey * 7 + o_custkey) % 256 AS q, o_custkey % 1000 AS v FROM orders)
+    SELECT o_orderkey, CASE WHEN k = 4 THEN -1 ELSE 2 END::INTEGER AS width, CASE WHEN k = 4 THEN -1 ELSE 2 END::INTEGER AS height,
+        CASE k WHEN 0 THEN 'RGB' WHEN 1 THEN 'RGBA' WHEN 2 THEN 'RGBA' WHEN 3 THEN 'RGB' END AS mode,
+        CASE k WHEN 0 THEN printf('%02X%02X%02X%02X%02X%02X%02X%02X%02X000000', p, s, q, s, q, p, q, p, s)
+            WHEN 1 THEN printf('%02X%02X%02X%02X%02X%02X%02XFF%02X%02X%02XFF000000FF', p, s, q, q, s, q, p, q, p, s)
+            WHEN 2 THEN printf('%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X%02X', p, p, p, s, s, s, s, q, q, q, q, p, p, p, p, q)
+            WHEN 3 THEN printf('%02X%02X%02X070707FFFFFF%02X%02X%02X', least(v, 255), least(v, 255), least(v, 255), s, s, s) END AS pixels FROM b""")
+def png_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """PNGs of two by two pixels with a palette, with a palette and transparency, of grey with alpha, of grey of 16 bits, and a truncated one, written for output and read again."""
+    ship(spark)
+    p, s, q, v = F.col("o_custkey") % 256, F.col("o_orderkey") % 251, (F.col("o_orderkey") * 7 + F.col("o_custkey")) % 256, F.col("o_custkey") % 1000
+    two, z, k = F.lit(2), F.lit, F.col("o_orderkey") % 5
+    # the first row differs from the left pixel (filter 1), the second from the one above (2)
+    index, colours = [z(1), z(0), z(1), z(2), z(2), z(2)], [p, s, q, s, q, p, q, p, s]
+    less = lambda a, b: F.pmod(a - b, F.lit(256))
+    alpha = [z(1), p, s, less(s, p), less(q, s), z(2), less(q, p), less(p, s), less(p, s), less(q, q)]
+    high, low = F.floor(v / 256), v % 256
+    deep = [z(0), high, low, z(0), z(7), z(2), less(z(1), high), less(z(44), low), z(0), less(s, z(7))]
+    plain, clear = _png(two, two, 8, 3, index, colours), _png(two, two, 8, 3, index, colours, q)
+    data = F.when(k == 0, plain).when(k == 1, clear).when(k == 2, _png(two, two, 8, 4, alpha)).when(k == 3, _png(two, two, 16, 0, deep)).otherwise(F.left(plain, F.length(plain) - 40))
+    made = table(spark, sf, "orders").select("o_orderkey", binary.geometry(F.unhex(data)).alias("image"))
+    read = made.select("o_orderkey", "image.width", "image.height", binary.pixels(F.col("image.payload")).alias("x"))
+    return read.select("o_orderkey", "width", "height", "x.mode", F.hex("x.pixels").alias("pixels"))
+
+
 @query("""
     WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 9 THEN NULL WHEN count(l_orderkey) = 0 THEN [] ELSE list(l_linenumber) END AS l FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey),
     s AS (SELECT coalesce(len(l), 0) AS slots, CASE WHEN l IS NULL THEN 'unsupported' WHEN len(l) = 0 THEN 'empty_list' ELSE 'list_of_dict' END AS shape FROM o)

@@ -1,4 +1,4 @@
-"""Image payloads: base64, shapes of image columns, headers of PNG and JPEG."""
+"""Image payloads: base64, shapes of image columns, headers of PNG and JPEG, re-encoding of odd PNGs, checks of whole files."""
 
 from __future__ import annotations
 
@@ -10,9 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sampleprep.functions import images
+
 PNG, JPEG = "image/png", "image/jpeg"
 IMAGE = "struct<format:string,width:int,height:int,payload:binary>"
-_PNG_MAGIC, _JPEG_MAGIC = b"\x89PNG\r\n\x1a\n", b"\xff\xd8"
+PIXELS = "struct<mode:string,width:int,height:int,pixels:binary>"
+_PNG_MAGIC, _JPEG_MAGIC = images.PNG_MAGIC, images.JPEG_MAGIC
 
 
 def decode_base64(text: Column, data_url: bool = False) -> Column:
@@ -59,7 +62,7 @@ def png_header(data: Column) -> Column:
     """Struct width, height, mode of a PNG, without decoding; null for other data. The mode is null if it can't pass as it is."""
     is_png = (F.substring(data, 1, 8) == F.lit(_PNG_MAGIC)) & (F.substring(data, 13, 4) == F.lit(b"IHDR"))
     depth, colour = _number(data, 25, 1), _number(data, 26, 1)
-    mode = F.when((colour == 2) & (depth == 8), "RGB").when((colour == 6) & (depth == 8), "RGBA").when((colour == 0) & (depth == 8), "L").when((colour == 0) & (depth == 1), "1")
+    mode = F.when((colour == 2) & depth.isin(8, 16), "RGB").when((colour == 6) & depth.isin(8, 16), "RGBA").when((colour == 0) & depth.isin(2, 4, 8), "L").when((colour == 0) & (depth == 1), "1")
     return F.when(is_png & (F.octet_length(data) >= 26), F.struct(_number(data, 17, 4).cast("int").alias("width"), _number(data, 21, 4).cast("int").alias("height"), mode.alias("mode")))
 
 
@@ -97,14 +100,21 @@ def _image_reader(encode: Encoder | None) -> Callable[[pa.Array], pa.Array]:
         if data is None:
             return None
         size = jpeg_size(data)
-        if size is None and encode is not None:
-            try:
+        if size is not None:
+            return {"width": size[0], "height": size[1]}
+        try:
+            if data[:8] == _PNG_MAGIC:
+                made, *size = images.usual_png(data)
+                return {"format": PNG, "width": size[0], "height": size[1], "payload": made}
+        except images.ImageError:
+            pass  # encode may know better
+        try:
+            if encode is not None:
                 made, mime, *size = encode(data)
-            except Exception:  # whatever an encoder raises, the bytes pass as they are
-                return {"width": -1, "height": -1}
-            return {"format": mime, "width": size[0], "height": size[1], "payload": made}
-        width, height = size or (-1, -1)
-        return {"width": width, "height": height}
+                return {"format": mime, "width": size[0], "height": size[1], "payload": made}
+        except Exception:  # whatever an encoder raises, the bytes pass as they are
+            pass
+        return {"width": -1, "height": -1}
 
     def read(rows: pa.Array) -> pa.Array:
         return pa.array(([image(x.as_py()) for x in row.values] if row.is_valid else None for row in rows), kind, size=len(rows))
@@ -115,16 +125,16 @@ def _image_reader(encode: Encoder | None) -> Callable[[pa.Array], pa.Array]:
 def encoded(payloads: Column, encode: Encoder | None = None) -> Column:
     """Array of format, width, height, payload for an array of payloads, null where there is none.
 
-    JPEGs and PNGs of the usual modes pass as they are. All others go to encode; without one, or where it fails, their bytes pass
-    with a size of -1 (an odd PNG keeps its header's size if there is no encode).
+    JPEGs and PNGs of the usual modes pass as they are, by their headers. PNGs of other modes (palette, grey with alpha, grey of 16 bits)
+    are written anew as RGB or RGBA. What is neither goes to encode; without one, or where it fails, the bytes pass with a size of -1.
     """
-    usual = lambda p: png_header(p)["mode"].isNotNull() if encode is not None else _is_png(p)
-    asked = lambda p: ~F.coalesce(usual(p), F.lit(False)) if encode is not None else F.substring(p, 1, 2) == F.lit(_JPEG_MAGIC)
+    usual = lambda p: F.coalesce(png_header(p)["mode"].isNotNull(), F.lit(False))
+    asked = lambda p: ~usual(p) if encode is not None else (F.substring(p, 1, 2) == F.lit(_JPEG_MAGIC)) | (_is_png(p) & ~usual(p))
     read = F.arrow_udf(_image_reader(encode), f"array<{IMAGE}>")(F.transform(payloads, lambda p: F.when(asked(p), p)))
 
     def image(p: Column, r: Column) -> Column:
         png = png_header(p)
-        sizes = [F.coalesce(r[k], png[k], F.lit(-1)).alias(k) for k in ("width", "height")]
+        sizes = [F.coalesce(r[k], F.when(png["mode"].isNotNull(), png[k]), F.lit(-1)).alias(k) for k in ("width", "height")]
         form = F.coalesce(r["format"], F.when(_is_png(p), PNG).otherwise(JPEG))
         return F.when(p.isNotNull(), F.struct(form.alias("format"), *sizes, F.coalesce(r["payload"], p).alias("payload")))
 
@@ -136,11 +146,18 @@ def geometry(data: Column) -> Column:
     return F.get(encoded(F.array(data)), 0)
 
 
+def defect(data: Column) -> Column:
+    """Why a payload can't be decoded ("empty", "truncated", "bad checksum" and others); null if it is a whole PNG or JPEG.
+
+    A PNG is inflated, with all checksums held; of a JPEG the tables and the coded data of all scans are walked to the end.
+    """
+    return F.arrow_udf(lambda rows: pa.array((images.problem(x.as_py()) for x in rows), pa.string(), size=len(rows)), "string")(data)
+
+
 def readable(data: Column, decodes: Callable[[bytes], bool] | None = None) -> Column:
-    """True if decodes, a caller's full decode, says so; without one, if the payload has a known image header with a size."""
+    """True if the payload is a whole PNG or JPEG, or if decodes, a caller's decoder for all formats, says so."""
     if decodes is None:
-        found = geometry(data)
-        return (F.octet_length(data) > 0) & (found["width"] > 0) & (found["height"] > 0)
+        return defect(data).isNull()
 
     def decode(rows: pa.Array) -> pa.Array:
         def fine(payload: bytes | None) -> bool:
@@ -152,3 +169,17 @@ def readable(data: Column, decodes: Callable[[bytes], bool] | None = None) -> Co
         return pa.array((fine(x.as_py()) for x in rows), pa.bool_(), size=len(rows))
 
     return F.arrow_udf(decode, "boolean")(data)
+
+
+def pixels(data: Column) -> Column:
+    """Struct mode (L, RGB or RGBA), width, height and pixels (rows from the top, a byte for each channel) of a PNG; null if it can't be decoded."""
+    kind = pa.struct([("mode", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("pixels", pa.binary())])
+
+    def one(payload: bytes | None) -> dict | None:
+        try:
+            mode, found = images.usual_pixels(images.decode_png(payload or b""))
+        except images.ImageError:
+            return None
+        return {"mode": mode, "width": found.shape[1], "height": found.shape[0], "pixels": found.tobytes()}
+
+    return F.arrow_udf(lambda rows: pa.array((one(x.as_py()) for x in rows), kind, size=len(rows)), PIXELS)(data)

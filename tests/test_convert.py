@@ -4,6 +4,7 @@ import base64
 import json
 import struct
 import tarfile
+import zlib
 
 import pytest
 from pyspark.sql import Row
@@ -13,8 +14,21 @@ from sampleprep.operators import shards, validate
 from sampleprep.plans import convert
 from sampleprep.sources import shards as files
 
-PNG = b"\x89PNG\r\n\x1a\n" + struct.pack(">I", 13) + b"IHDR" + struct.pack(">IIBBBBB", 256, 192, 8, 2, 0, 0, 0) + b"rest"
-JPEG = b"\xff\xd8\xff\xe0\x00\x04ab" + b"\xff\xc0\x00\x11\x08" + struct.pack(">HH", 480, 640) + b"\x03" + b"\x00" * 12
+
+
+def _chunk(kind, body):
+    return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+
+def _huffman(number):
+    """A table with one code, of one bit, for zero."""
+    return b"\xff\xc4\x00\x14" + bytes([number, 1]) + bytes(16)
+
+
+#: Whole files: black pixels of 256 x 192, and grey blocks of 640 x 480 in two bits each.
+PNG = b"\x89PNG\r\n\x1a\n" + _chunk(b"IHDR", struct.pack(">IIBBBBB", 256, 192, 8, 2, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(bytes(769 * 192))) + _chunk(b"IEND", b"")
+JPEG = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xdb\x00\x43\x00" + b"\x01" * 64 + b"\xff\xc0\x00\x0b\x08" + struct.pack(">HH", 480, 640) + b"\x01\x01\x11\x00"
+JPEG += _huffman(0) + _huffman(16) + b"\xff\xda\x00\x08\x01\x01\x00\x00\x3f\x00" + bytes(1200) + b"\xff\xd9"
 SCHEMA = "id string, data_source string, type string, conversations array<struct<from:string,value:string>>, images array<struct<bytes:binary,path:string>>, meta_info string"
 CAMERA = "Camera intrinsic parameters: hfov=62.26, and vertical fov, vfov=48.74. Image width=256 and height=192. "
 
@@ -114,7 +128,7 @@ def test_encoded(spark, encoder):
     df = spark.createDataFrame([([JPEG, PNG, None, odd, b"raw", b"\xff\xd8cut"],), ([],), (None,)], "p array<binary>")
     plain, coded = (df.select(binary.encoded(F.col("p"), e)).collect() for e in (None, encoder))
     sizes = lambda rows: [x and (x["format"], x["width"], x["height"]) for x in rows[0][0]]
-    assert sizes(plain) == [("image/jpeg", 640, 480), ("image/png", 256, 192), None, ("image/png", 256, 192), ("image/jpeg", -1, -1), ("image/jpeg", -1, -1)]
+    assert sizes(plain) == [("image/jpeg", 640, 480), ("image/png", 256, 192), None, ("image/png", -1, -1), ("image/jpeg", -1, -1), ("image/jpeg", -1, -1)]
     assert sizes(coded) == [("image/jpeg", 640, 480), ("image/png", 256, 192), None, ("image/png", -1, -1), ("image/jpeg", 3, 4), ("image/jpeg", -1, -1)]
     assert [bytes(x["payload"]) for x in coded[0][0] if x] == [JPEG, PNG, odd, b"made", b"\xff\xd8cut"]
     assert [r[0] for r in plain[1:]] == [[], None]
