@@ -18,6 +18,7 @@ from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats, validate
 from sampleprep.plans import convert
 from sampleprep.session import shared_folder, ship, table
+from sampleprep.sources import ranges
 from sampleprep.sources import shards as files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -658,6 +659,62 @@ def unresolved_paths(spark: SparkSession, sf: str) -> DataFrame:
     return validate.missing_members(rows.select("shard_id", "path"), members)
 
 
+def written(spark: SparkSession, sf: str) -> str:
+    """The folder of shards of documents: a sample for each with one image, whose member (the text) every seventh lacks; every fifth has a member more that it doesn't name, every eleventh no id.
+
+    The folder stays, as rows are read from it.
+    """
+    doc = F.col("doc_id").cast("string")
+    docs = table(spark, sf, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    index = docs.groupBy("source").agg(F.count("*").alias("n"))
+    # sources stand for files, in order; there are few
+    index = index.select(F.col("source").alias("s"), (F.row_number().over(W.orderBy("source")) - 1).alias("file_index"))
+    name = F.concat(F.lit("d"), doc, F.lit(".txt"))
+    turns = F.array(F.struct(F.lit("human").alias("from"), F.lit("q").alias("value")))
+    image = F.struct(F.lit(binary.PNG).alias("format"), F.lit(1).alias("width"), F.lit(1).alias("height"), name.alias("relative_path"))
+    sample = nested.sample(turns, F.array(image), F.when(F.col("doc_id") % 11 > 0, F.concat(F.lit("d__"), doc)), F.lit("none"))
+    member = F.struct(name.alias("name"), F.encode("text", "UTF-8").alias("payload"))
+    extra = F.struct(F.concat(F.lit("x"), name).alias("name"), F.encode(doc, "UTF-8").alias("payload"))
+    members = F.array_compact(F.array(F.when(F.col("doc_id") % 7 > 0, member), F.when(F.col("doc_id") % 5 == 0, extra)))
+    rows = docs.join(F.broadcast(index), F.col("source").eqNullSafe(F.col("s"))).select("file_index", F.col("doc_id").alias("row_in_file"), sample.alias("sample"), members.alias("members"))
+    root = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    convert.write_shards(rows, root, _SHARD, emit_trailing_empty=False)
+    return root
+
+
+@query(f"SELECT ordinal, shard_id, line_idx, CASE WHEN doc_id % 11 > 0 THEN 'd__' || doc_id END AS id FROM ({_ASSIGNED}) WHERE ordinal % 97 = 0")
+def line_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every 97th sample of written shards, read from its place in the line files."""
+    root = written(spark, sf)
+    index = ranges.line_index(spark, root, stride=16)
+    counts = index.groupBy("shard_id").agg(F.sum("n").alias("n"))
+    asked = table(spark, sf, "documents").agg(F.count("*").alias("n")).select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(97).cast("long"))).alias("ordinal"))
+    found = shards.locate(asked, shards.prefix_sums(counts, "shard_id", "n"))
+    lines = ranges.lines_at(spark, root, found, index, stride=16)
+    read = lines.select(F.col("shard_id").alias("s"), F.col("line_idx").alias("l"), F.get_json_object("value", "$.id").alias("id"))
+    return found.join(read, (F.col("shard_id") == F.col("s")) & (F.col("line_idx") == F.col("l"))).select("ordinal", "shard_id", F.col("line_idx").cast("int").alias("line_idx"), "id")
+
+
+@query(f"""
+    SELECT shard_id, 'd' || doc_id || '.txt' AS name, strlen(coalesce(text, ''))::BIGINT AS size, md5(coalesce(text, '')) AS digest
+    FROM ({_ASSIGNED}) JOIN documents USING (doc_id) WHERE doc_id % 7 > 0 AND doc_id % 3 = 0""")
+def member_fetch(spark: SparkSession, sf: str) -> DataFrame:
+    """The payloads of every third document's member, read by the index of members."""
+    root = written(spark, sf)
+    named = table(spark, sf, "documents").where("doc_id % 3 = 0").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"))
+    wanted = ranges.last_members(ranges.member_index(spark, root)).join(named, "name", "left_semi")
+    return ranges.fetch_members(spark, root, wanted).select("shard_id", "name", "size", F.md5("payload").alias("digest"))
+
+
+@query(f"""
+    SELECT shard_id, true AS has_text, true AS has_archive, count(*) AS n, 0::BIGINT AS broken, count(*) FILTER (WHERE doc_id % 11 = 0) AS bad_keys, 0::BIGINT AS bad_roles,
+        0::BIGINT AS bad_assistant, 0::BIGINT AS bad_user, count(*) FILTER (WHERE doc_id % 7 = 0) AS unresolved,
+        count(*) FILTER (WHERE doc_id % 7 > 0) + count(*) FILTER (WHERE doc_id % 5 = 0) AS members, count(*) FILTER (WHERE doc_id % 5 = 0) AS unreferenced,
+        count(*) % 16 = 0 OR shard_id = max(shard_id) OVER () AS size_ok FROM ({_ASSIGNED}) GROUP BY shard_id""")
+def dataset_validation(spark: SparkSession, sf: str) -> DataFrame:
+    return convert.validate_dataset(spark, written(spark, sf))
+
+
 @query(f"""
     SELECT shard_id, line_idx::INTEGER AS line_idx, 'd__' || doc_id AS id, 'd' || doc_id || '.txt' AS name, octet_length(encode(coalesce(text, '')))::BIGINT AS size, md5(coalesce(text, '')) AS digest
     FROM ({_ASSIGNED.replace('SELECT doc_id, source, ord', 'SELECT doc_id, source, text, ord').replace('FROM (SELECT doc_id, source,', 'FROM (SELECT doc_id, source, text,')})""")

@@ -33,8 +33,8 @@ def first_deviant(rows: DataFrame, text: Column, order: list[str], most: int = 4
     return deviants(rows, text, most).orderBy(*order).limit(1)
 
 
-def check_samples(samples: DataFrame) -> DataFrame:
-    """Each sample (id, meta_prompt, data) with the checks of its record: keys, roles in turn, kinds of parts."""
+def check_samples(samples: DataFrame, *others: str) -> DataFrame:
+    """Each sample (id, meta_prompt, data) with the checks of its record: keys, roles in turn, kinds of parts; and the columns others."""
     data = F.col("data")
     roles = F.forall(F.transform(data, lambda x, i: x["role"].eqNullSafe(F.when(i % 2 == 0, "user").otherwise("assistant"))), lambda ok: ok)
 
@@ -42,8 +42,9 @@ def check_samples(samples: DataFrame) -> DataFrame:
         return F.forall(F.filter(data, lambda x: x["role"] == role), lambda x: F.forall(x["content"], lambda p: F.coalesce(p["type"].isin(*kinds), F.lit(False))))
 
     return samples.select(
+        *others,
         "id",
-        (F.col("id").isNotNull() & F.col("meta_prompt").eqNullSafe(F.array(F.lit(""))) & (F.size(data) > 0)).alias("keys_ok"),
+        (F.col("id").isNotNull() & F.col("meta_prompt").eqNullSafe(F.array(F.lit(""))) & F.coalesce(F.size(data) > 0, F.lit(False))).alias("keys_ok"),
         F.coalesce(roles, F.lit(False)).alias("roles_ok"),
         F.coalesce(only("assistant", ("text",)), F.lit(False)).alias("assistant_ok"),
         F.coalesce(only("user", ("text", "image")), F.lit(False)).alias("user_ok"),

@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 from sampleprep.functions import binary, classify
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats
+from sampleprep.operators import validate as audits
 from sampleprep.session import BATCH_BYTES, ship
-from sampleprep.sources.shards import _open, read_members, read_samples, register
+from sampleprep.sources import ranges
+from sampleprep.sources.shards import _open, parse_samples, read_samples, register
 
 
 def read_source(spark: SparkSession, folder: str, most_rows: int | None = None) -> DataFrame:
@@ -175,24 +177,31 @@ def convert(
     return document
 
 
+def with_readable(spark: SparkSession, root: str, members: DataFrame, references: DataFrame, decodes: Callable[[bytes], bool] | None = None) -> DataFrame:
+    """members (of ranges.last_members) with readable: of those that references (path) name the payloads are fetched and checked, the others' are not read."""
+    named = references.select(F.col("path").alias("name")).distinct()
+    fetched = ranges.fetch_members(spark, root, members.where("size > 0").join(named, "name", "left_semi"))
+    checked = fetched.select("name", F.coalesce(binary.readable(F.col("payload"), decodes), F.lit(False)).alias("readable"))
+    return members.join(checked, "name", "left").select("shard_id", "name", "size", F.coalesce("readable", F.lit(False)).alias("readable"))
+
+
 def rescan(spark: SparkSession, root: str, validate: bool = True, most_lines: int | None = None, decodes: Callable[[bytes], bool] | None = None) -> dict[str, Any]:
     """Recount the geometry of written samples, check their images, and put both into metadata.json.
 
     most_lines caps the lines of each shard; decodes is a full decode of an image, in place of the check of its header.
     """
-    samples = read_samples(spark, root, lines=most_lines is not None)
-    if most_lines is not None:
-        samples = shards.first_of_each_file(samples, most_lines, "line_idx")
+    samples = read_samples(spark, root, most_lines=most_lines)
     document = read_metadata(root) | {"resolution_stats": resolution_stats(samples)}
     if validate:
-        members = read_members(spark, root, payload=True).select("shard_id", "name", "size", F.coalesce(binary.readable(F.col("payload"), decodes), F.lit(False)).alias("readable"))
+        members = ranges.last_members(ranges.member_index(spark, root)).persist()
         references = samples.select(F.explode(nested.image_paths(F.col("data"))).alias("path"))
-        found = recon.check_references(references, members).first()
+        found = recon.check_references(references, with_readable(spark, root, members, references, decodes)).first()
         # fixed keys of the document; tar_cache_size has no meaning here, as no archive is kept open
         document["image_read_validation"] = {
             "images_checked": found.checked, "abnormal_images": found.abnormal, "missing_in_tar": found.missing, "empty_tar_payload": found.empty, "pil_decode_failed": found.unreadable,
-            "tar_members_indexed": read_members(spark, root).agg(F.count_distinct("name")).first()[0], "tar_cache_size": 0, "workers_effective": spark.sparkContext.defaultParallelism,
+            "tar_members_indexed": members.count(), "tar_cache_size": 0, "workers_effective": spark.sparkContext.defaultParallelism,
         }
+        members.unpersist()
     write_metadata(root, document)
     return document
 
@@ -238,3 +247,29 @@ def shard_ranges(samples: DataFrame) -> DataFrame:
 def browse(samples: DataFrame, **wanted: str) -> DataFrame:
     """Samples that meet the browser's filter; for shards.filtered_page()."""
     return samples.where(nested.matches(F.col("id"), F.col("category"), F.col("data"), **wanted))
+
+
+def validate_dataset(spark: SparkSession, root: str, multiple: int = 16) -> DataFrame:
+    """A row for each shard of a written dataset with the counts of its checks, from one pass over pairs of line file and archive.
+
+    has_text and has_archive (the pair is there), n (lines that hold an object), broken (other lines), bad_keys, bad_roles, bad_assistant,
+    bad_user, unresolved (paths that the shard's archive lacks), members, unreferenced (members that no line names), size_ok.
+    """
+    scanned = ranges.scan_pairs(spark, root)
+    rows = parse_samples(scanned, "shard_id", "line_idx", "unresolved", "has_text", "has_archive", "members", "unreferenced", keep=True)
+    checked = audits.check_samples(rows, "shard_id", "line_idx", "unresolved", "has_text", "has_archive", "members", "unreferenced")
+    line = F.col("line_idx").isNotNull()
+    held = line & F.col("unresolved").isNotNull()
+    bad = lambda ok: F.count_if(held & ~F.col(ok))
+    counted = checked.groupBy("shard_id").agg(
+        F.coalesce(F.bool_or("has_text"), F.lit(False)).alias("has_text"),
+        F.coalesce(F.bool_or("has_archive"), F.lit(False)).alias("has_archive"),
+        F.count_if(held).alias("n"),
+        F.count_if(line & ~held).alias("broken"),
+        *[bad(f"{k}_ok").alias(f"bad_{k}") for k in ("keys", "roles", "assistant", "user")],
+        F.coalesce(F.sum(F.size("unresolved")), F.lit(0)).alias("unresolved"),
+        F.coalesce(F.sum("members"), F.lit(0)).alias("members"),
+        F.coalesce(F.sum("unreferenced"), F.lit(0)).alias("unreferenced"),
+    )
+    sizes = audits.shard_sizes(counted.select("shard_id", "n"), multiple).drop("n")
+    return counted.join(sizes, "shard_id")

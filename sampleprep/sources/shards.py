@@ -22,8 +22,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from sampleprep.session import ship
 
 _SHARD = re.compile(r"data_(\d+)\.(?:tar|jsonl)$")
-MEMBERS = "shard_id int, name string, size long, payload binary"
-_BATCH = pa.schema([("shard_id", pa.int32()), ("name", pa.string()), ("size", pa.int64()), ("payload", pa.binary())])
+MEMBERS = "shard_id int, name string, size long, offset long, payload binary"
+_BATCH = pa.schema([("shard_id", pa.int32()), ("name", pa.string()), ("size", pa.int64()), ("offset", pa.int64()), ("payload", pa.binary())])
 #: Members and payload bytes that go to Spark at once; a batch ends with the member that reaches either.
 _BATCH_ROWS, _BATCH_BYTES = 8192, 8 << 20
 
@@ -67,7 +67,7 @@ class TarReader(DataSourceReader):
         rows, size = [], 0
         for row in self.members(partition):
             rows.append(row)
-            size += len(row[3] or b"")
+            size += len(row[4] or b"")
             if len(rows) >= _BATCH_ROWS or size >= _BATCH_BYTES:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _BATCH.types)], schema=_BATCH)
                 rows, size = [], 0
@@ -79,9 +79,11 @@ class TarReader(DataSourceReader):
             return
         system, _ = _open(self.folder)
         with system.open_input_file(partition.path) as raw, tarfile.open(fileobj=raw, mode="r:*") as archive:
+            plain = archive.fileobj is raw  # else the archive is compressed, and places in it are none of the file
             for member in archive:
                 if member.isfile() and (self.names is None or member.name in self.names):
-                    yield partition.shard_id, member.name, member.size, archive.extractfile(member).read() if self.payload else None
+                    offset = member.offset_data if plain and not member.issparse() else -1
+                    yield partition.shard_id, member.name, member.size, offset, archive.extractfile(member).read() if self.payload else None
 
 
 @dataclass
@@ -169,7 +171,7 @@ def register(spark: SparkSession) -> None:
 
 
 def read_members(spark: SparkSession, root: str, payload: bool = False) -> DataFrame:
-    """shard_id, name, size, payload of all archives' regular members."""
+    """shard_id, name, size, offset (of the payload; -1 in a compressed archive) and payload of all archives' regular members."""
     register(spark)
     return spark.read.format("tarshards").option("payload", str(payload).lower()).load(f"{root.rstrip('/')}/images")
 
@@ -180,18 +182,29 @@ _SAMPLE = (
 )
 
 
-def read_samples(spark: SparkSession, root: str, lines: bool = False) -> DataFrame:
+def read_samples(spark: SparkSession, root: str, lines: bool = False, most_lines: int | None = None) -> DataFrame:
     """shard_id and the sample of each line that holds an object; blank lines and lines that can't be parsed are left out.
 
-    lines adds line_idx, for which a shard is read as one text.
+    lines adds line_idx, by the index of lines. With most_lines only stretches with a shard's first lines are read.
     """
     folder = f"{root.rstrip('/')}/jsonl"
-    shard: Column = F.regexp_extract(F.col("_metadata.file_name"), r"data_(\d+)\.jsonl$", 1).cast("int")
-    if lines:
-        rows = spark.read.text(folder, wholetext=True, pathGlobFilter="data_*.jsonl").select(shard.alias("shard_id"), F.posexplode(F.split("value", "\n", -1)).alias("line_idx", "value"))
+    if lines or most_lines is not None:
+        from sampleprep.sources import ranges
+
+        index = ranges.line_index(spark, root)
+        index = index if most_lines is None else index.where(F.col("line_idx") < most_lines)
+        rows = ranges.read_lines(spark, root, index)
+        rows = rows if most_lines is None else rows.where(F.col("line_idx") < most_lines)
     else:
+        shard: Column = F.regexp_extract(F.col("_metadata.file_name"), r"data_(\d+)\.jsonl$", 1).cast("int")
         rows = spark.read.text(folder, pathGlobFilter="data_*.jsonl").select(shard.alias("shard_id"), "value")
-    parsed = rows.where(F.startswith(F.btrim("value"), F.lit("{"))).withColumn("s", F.from_json("value", f"{_SAMPLE}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
-    return parsed.where("s._bad is null").select("shard_id", *["line_idx"] * lines, *[f"s.{c}" for c in ("meta_prompt", "data", "id", "category")])
+    return parse_samples(rows, "shard_id", *["line_idx"] * (lines or most_lines is not None))
 
 
+def parse_samples(rows: DataFrame, *others: str, keep: bool = False) -> DataFrame:
+    """The columns others and the sample of each line (value) that holds an object; keep: other rows too, with a null sample."""
+    read = F.from_json("value", f"{_SAMPLE}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+    parsed = rows.withColumn("s", F.when(F.startswith(F.btrim("value"), F.lit("{")), read))
+    fine = F.col("s").isNotNull() & F.col("s._bad").isNull()
+    parsed = parsed if keep else parsed.where(fine)
+    return parsed.select(*others, *[F.when(fine, F.col(f"s.{c}")).alias(c) if keep else F.col(f"s.{c}") for c in ("meta_prompt", "data", "id", "category")])
