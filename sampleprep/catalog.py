@@ -425,13 +425,15 @@ _PAYLOAD_SQL = """CASE doc_id % 6 WHEN 0 THEN base64(encode('abc' || doc_id)) WH
 
 def _payloads() -> Column:
     coded = lambda head: F.base64(F.encode(F.concat(F.lit(head), F.col("doc_id").cast("string")), "UTF-8"))
-    k = F.col("doc_id") % 6
-    return F.when(k == 0, coded("abc")).when(k == 1, F.concat(F.lit("data:image/png;base64,"), coded("x"))).when(k == 3, "").when(k == 4, "abcde").when(k == 5, F.concat(F.lit("!"), coded("zz"), F.lit("!")))
+    k = F.col("doc_id") % 8
+    early, skipped = F.concat(F.lit("YWI="), coded("x")), F.concat(F.lit("YW=Jj="), F.translate(coded("ab"), "=", ""), F.lit("=!="))
+    return F.when(k == 6, early).when(k == 7, skipped).when(k == 0, coded("abc")).when(k == 1, F.concat(F.lit("data:image/png;base64,"), coded("x"))).when(k == 3, "").when(k == 4, "abcde").when(k == 5, F.concat(F.lit("!"), coded("zz"), F.lit("!")))
 
 
 @query("""
-    SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'abc' || doc_id WHEN 1 THEN 'x' || doc_id WHEN 5 THEN 'zz' || doc_id END AS payload FROM documents""")
+    SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'abc' || doc_id WHEN 1 THEN 'x' || doc_id WHEN 5 THEN 'zz' || doc_id WHEN 6 THEN 'ab' WHEN 7 THEN 'abcab' || doc_id END AS payload FROM documents""")
 def slot_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Slots in base64 of several forms: a data-URL, other characters between, padding that ends the data early, padding that is skipped."""
     rows = table(spark, sf, "documents").select("doc_id", _payloads().alias("slot"))
     return rows.select("doc_id", F.decode(binary.payload(F.col("slot"), rows.schema["slot"].dataType, data_url=True), "UTF-8").alias("payload"))
 
@@ -899,19 +901,23 @@ def box_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    WITH v AS (SELECT vec_id, vec_id % 4 AS k, list_transform(embedding[1:9], lambda x: round(x::DOUBLE * 1000)::DOUBLE + 0.0::DOUBLE) AS b FROM embeddings)
-    SELECT vec_id, CASE k WHEN 0 THEN 'object' WHEN 1 THEN 'seen' ELSE 'quoted' END AS name, b[1] AS first, b[9] AS last FROM v WHERE k < 3""")
+    WITH v AS (SELECT vec_id, vec_id % 7 AS k, list_transform(embedding[1:9], lambda x: round(x::DOUBLE * 1000)::DOUBLE + 0.0::DOUBLE) AS b FROM embeddings)
+    SELECT vec_id, CASE k WHEN 1 THEN 'seen' WHEN 2 THEN 'quoted' WHEN 4 THEN 'good' WHEN 5 THEN 'ten' ELSE 'object' END AS name, b[1] AS first, b[9] AS last FROM v WHERE k <> 3""")
 def box_literals(spark: SparkSession, sf: str) -> DataFrame:
-    """Boxes in Python literals with None and True, in a lone literal with a tuple beside, with numbers in quotes, and in a tuple of boxes, which is no list."""
+    """Boxes in Python literals with None and True, in a lone literal with a tuple beside, with numbers in quotes, in a tuple of boxes, which is no list,
+    beside a box with a bad number, before a tenth value that is none, and with a label of 0 beside true and an item that is no object."""
     ship(spark)
     number = F.transform(F.slice("embedding", 1, 9), lambda x: F.round(x.cast("double") * 1000).cast("long").cast("string"))
     nine, quoted = F.array_join(number, ", "), F.array_join(F.transform(number, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), ", ")
-    k = F.col("vec_id") % 4
+    k = F.col("vec_id") % 7
     text = (
         F.when(k == 0, F.concat(F.lit("[{'label': None, 'seen': True, 'bbox_3d': ["), nine, F.lit("]}, None]")))
         .when(k == 1, F.concat(F.lit("{'label': 'seen', 'size': (1, 2), 'bbox_3d': ["), nine, F.lit("]}")))
         .when(k == 2, F.concat(F.lit('[{"label": "quoted", "bbox_3d": ['), quoted, F.lit("]}]")))
-        .otherwise(F.concat(F.lit("({'label': 'no', 'bbox_3d': ["), nine, F.lit("]},)")))
+        .when(k == 3, F.concat(F.lit("({'label': 'no', 'bbox_3d': ["), nine, F.lit("]},)")))
+        .when(k == 4, F.concat(F.lit("[{'label': 'bad', 'bbox_3d': ['x', "), nine, F.lit("]}, {'label': 'good', 'bbox_3d': ["), nine, F.lit("]}]")))
+        .when(k == 5, F.concat(F.lit('[{"label": "ten", "bbox_3d": ['), nine, F.lit(', "tenth"]}]')))
+        .otherwise(F.concat(F.lit('[{"bbox_3d": ['), nine, F.lit('], "label": 0, "hidden": true}, 3]')))
     )
     rows = table(spark, sf, "embeddings").select("vec_id", F.explode(geom3d.boxes(text)).alias("b"))
     return rows.select("vec_id", F.col("b.label").alias("name"), F.get("b.bbox_3d", 0).alias("first"), F.get("b.bbox_3d", 8).alias("last"))

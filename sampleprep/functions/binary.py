@@ -19,14 +19,33 @@ _PNG_MAGIC, _JPEG_MAGIC = images.PNG_MAGIC, images.JPEG_MAGIC
 
 
 def decode_base64(text: Column, data_url: bool = False) -> Column:
-    """The bytes of a base64 string, other characters skipped; null where the padding is wrong.
+    """The bytes of a base64 string, other characters skipped; null where digits are left over.
 
-    data_url: an image data-URL's head is taken off first.
+    Padding that completes four places ends the data, whatever follows; other padding is skipped. data_url: an image data-URL's
+    head is taken off first.
     """
     if data_url:
         text = F.regexp_replace(F.btrim(text), r"(?i)\Adata:image/[^;]+;base64,", "")
     digits = F.regexp_replace(text, "[^A-Za-z0-9+/=]", "")
-    return F.when(F.length(digits) % 4 == 0, F.try_to_binary(digits, F.lit("base64")))
+    size, first = F.length(digits), F.instr(digits, "=")
+    usual = (size % 4 == 0) & ((first == 0) | (first >= size - 1))
+    # the digits stand between paddings; only these are walked
+    parts = F.split(digits, "=")
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("used"), F.lit(0).alias("pads"), F.lit(False).alias("done"))
+
+    def walk(state: Column, part: Column) -> Column:
+        n = state["n"] + F.length(part)
+        pads = F.when(n % 4 < 2, 0).otherwise(F.when(F.length(part) > 0, 1).otherwise(state["pads"] + 1))
+        on = F.struct(n.alias("n"), (state["used"] + 1).alias("used"), pads.alias("pads"), (n % 4 + pads >= 4).alias("done"))
+        return F.when(state["done"], state).otherwise(on)
+
+    # behind the last part stands no padding
+    ended = F.aggregate(F.slice(parts, 1, F.size(parts) - 1), start, walk)
+    rest = F.when(ended["done"], F.lit("")).otherwise(F.element_at(parts, -1))
+    data = F.concat(F.array_join(F.slice(parts, 1, ended["used"]), ""), rest)
+    over = F.length(data) % 4
+    padded = F.when(ended["done"], F.concat(data, F.repeat(F.lit("="), 4 - over))).when(over == 0, data)
+    return F.when(usual, F.try_to_binary(digits, F.lit("base64"))).otherwise(F.try_to_binary(padded, F.lit("base64")))
 
 
 def payload(value: Column, kind: T.DataType, data_url: bool = False) -> Column:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import ast
+import json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,33 +24,42 @@ def camera(text: Column) -> Column:
     return F.when(complete[0] & complete[1] & complete[2] & complete[3], F.struct(*[v.alias(k) for k, v in found.items()]))
 
 
-def _literal_boxes(text: pd.Series) -> pd.Series:
-    """Boxes of Python literals that aren't JSON (tuples, None, True)."""
+def _item(item: object) -> dict | None:
+    """One box: its label and its first nine numbers."""
+    values = item.get("bbox_3d") if isinstance(item, dict) else None
+    if not isinstance(values, list) or len(values) < 9:
+        return None
+    try:
+        return {"label": str(item.get("label") or "object"), "bbox_3d": [float(v) for v in values[:9]]}
+    except (TypeError, ValueError, OverflowError):
+        return None
 
-    def parse(value: str | None) -> list[dict] | None:
-        try:
-            made = ast.literal_eval(value) if value else None
-        except (ValueError, SyntaxError, MemoryError, RecursionError):
-            return None
-        items = [made] if isinstance(made, dict) else made if isinstance(made, list) else []
-        kept = [x for x in items if isinstance(x, dict) and isinstance(x.get("bbox_3d"), list)]
-        try:
-            return [{"label": None if x.get("label") is None else str(x["label"]), "bbox_3d": [float(v) for v in x["bbox_3d"]]} for x in kept]
-        except (TypeError, ValueError):
-            return None
 
-    return text.map(parse)
+def parse_boxes(text: str | None) -> list[dict]:
+    """The boxes of a JSON or else a Python literal, each item judged alone."""
+    try:
+        made = json.loads(text or "")
+    except (ValueError, RecursionError):
+        try:
+            made = ast.literal_eval(text or "")
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return []
+    found = map(_item, [made] if isinstance(made, dict) else made if isinstance(made, list) else [])
+    return [x for x in found if x is not None]
 
 
 def boxes(text: Column, literals: bool = True) -> Column:
     """Array of label and the first nine numbers of each box; a lone object counts as a list; label object if none.
 
-    Numbers may stand in quotes. literals: also take Python literals that aren't JSON, by a function for the rows left over.
+    Arrays of objects with labels in quotes and plain numbers are read natively. literals: the rest (Python literals, items that
+    are no objects, other labels, numbers in quotes, true and null) goes to parse_boxes.
     """
     read = F.from_json(text, _BOXES.replace("double", "string"))
     parsed = F.transform(read, lambda b: F.struct(b["label"].alias("label"), F.transform(b["bbox_3d"], lambda v: v.try_cast("double")).alias("bbox_3d")))
     if literals:
-        parsed = F.coalesce(parsed, F.pandas_udf(_literal_boxes, _BOXES)(F.when(parsed.isNull(), text)))
+        odd = F.rlike(text, F.lit(r'"label"\s*:\s*[^"\s]')) | F.rlike(text, F.lit(r'"bbox_3d"\s*:\s*\[[^\]]*[^-+0-9eE.,\s\]]')) | F.rlike(text, F.lit("[0-9]{300}"))
+        left = F.when(parsed.isNull() | odd, text)
+        parsed = F.when(left.isNotNull(), F.pandas_udf(lambda s: s.map(lambda x: None if x is None else parse_boxes(x)), _BOXES)(left)).otherwise(parsed)
     whole = F.filter(F.coalesce(parsed, F.array().cast(_BOXES)), lambda b: (F.size(b["bbox_3d"]) >= 9) & F.forall(F.slice(b["bbox_3d"], 1, 9), lambda v: v.isNotNull()))
     return F.transform(whole, lambda b: F.struct(F.coalesce(F.when(b["label"] != "", b["label"]), F.lit("object")).alias("label"), F.slice(b["bbox_3d"], 1, 9).alias("bbox_3d")))
 

@@ -1,5 +1,6 @@
 """Expressions against plain Python on edge cases."""
 
+import base64
 import math
 import re
 
@@ -163,6 +164,38 @@ def test_boxes(spark):
     assert [[b.label for b in g] for g in got] == [["a"], ["object"], [], [], [], ["object"]]
 
 
+def test_boxes_one_by_one(spark):
+    nine = "[1,2,3,4,5,6,7,8,9]"
+    texts = [
+        f"[{{'label': 'bad', 'bbox_3d': [1, 'x', 3, 4, 5, 6, 7, 8, 9]}}, {{'label': 'good', 'bbox_3d': {nine}}}]", f'[{{"label": "ten", "bbox_3d": {nine[:-1]}, "no"]}}]',
+        f'[{{"bbox_3d": {nine}, "hidden": true}}, 3]', f'[{{"label": 0, "bbox_3d": {nine}}}, {{"label": 1.50, "bbox_3d": {nine}}}, {{"label": "0", "bbox_3d": {nine}}}]',
+        f'[{{"label": "t", "bbox_3d": [true, 2, 3, 4, 5, 6, 7, 8, 9]}}, {{"label": "n", "bbox_3d": [null, 2, 3, 4, 5, 6, 7, 8, 9]}}]', f'{{"label": "one", "bbox_3d": {nine}}}', f'["x", {{"bbox_3d": [" 1 ", "2e0", 3, 4, 5, 6, 7, 8, 9]}}]',
+        f'[{{"label": "far", "bbox_3d": [1{"0" * 400}, 2, 3, 4, 5, 6, 7, 8, 9]}}]', "[" * 5000, '"text"', "7", f'[{{"label": "", "bbox_3d": {nine}}}]',
+    ]
+    got = [[(b.label, list(b.bbox_3d)) for b in g] for g in values(spark, texts, geom3d.boxes(F.col("s")))]
+    count = [float(v) for v in range(1, 10)]
+    assert got == [[(b["label"], b["bbox_3d"]) for b in geom3d.parse_boxes(x)] for x in texts]
+    assert got[:7] == [[("good", count)], [("ten", count)], [("object", count)], [("object", count), ("1.5", count), ("0", count)], [("t", count)], [("one", count)], [("object", count)]]
+    assert got[7:] == [[], [], [], [], [("object", count)]]
+
+
+def test_base64_is_pythons(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = ["YWI=YWI=", "YWJj====", "====", "YW=Jj", "YW==", "YW=", "Y", "YWJ", "=YWJj", "Y=WJj", "YWI=!", "Y W\nI=", "YWJjYW==x", "YWJjYQ", "Ā=YQ==", "AAAA" * 5000 + "=A"]
+    texts += ["".join(rng.choice("AQw=+/= !") for _ in range(rng.randrange(14))) for _ in range(1500)]
+    texts = [x for x in texts if x]
+
+    def python(text):
+        try:
+            return base64.b64decode("".join(c for c in text if c.isascii()))
+        except ValueError:
+            return None
+
+    assert [None if v is None else bytes(v) for v in values(spark, texts, binary.decode_base64(F.col("s")))] == [python(x) for x in texts]
+
+
 def test_jpeg_sizes():
     assert binary.jpeg_size(b"\xff\xd8\xff\xc0\x00\x0b\x08\x00\x10\x00\x20\x01\x01\x11\x00") == (32, 16)
     assert [binary.jpeg_size(x) for x in (None, b"", b"\xff\xd8", b"\x89PNG")] == [None] * 4
