@@ -3,7 +3,8 @@
 A character 4-gram language model is counted over all texts. Tokens that look disguised (digits or symbols for
 letters, asterisks in place of letters, single letters set apart, letters repeated) become lattices: each place may be one of several
 letters, or nothing, or between single letters a gap, at a channel cost. Viterbi decoding under the language model restores them, whatever
-their length. A token with symbols at its ends gives both readings, as letters ("a$$") and as punctuation ("so$$"). The restored text is then
+their length, in time that grows with it. Letters and digits outside the model's classes stay as they are, and a word of
+letters alone stays beside its restored form. A token with symbols at its ends gives both readings, as letters ("a$$") and as punctuation ("so$$"). The restored text is then
 scored by a logistic regression on words and word beginnings, which learns from labelled rows only.
 
 Counts of the language model: each task folds letters to a-z, one class for other characters and one for gaps, and
@@ -47,9 +48,9 @@ _BETWEEN = " \t\n\r.,*_/|~·-"
 _DISGUISED = re.compile(
     rf"(?<![^\W_])[^\W\d_](?:[{re.escape(_BETWEEN)}]+[^\W\d_](?![^\W_])){{2,}}"  # single letters set apart
     rf"|(?<![\w{_MARKS}])[\w{_MARKS}]*?(?:[^\W\d_][{_MARKS}]|[{_MARKS}][^\W\d_])[\w{_MARKS}]*"  # marks beside letters
-    r"|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"  # a letter three times or more
+    rf"|(?<![^\W\d_])[^\W\d_]*?([a-z{''.join(_PLAIN)}])\1\1[^\W\d_]*"  # a letter with a class three times or more; a run of letters is tried once
 )
-_THRICE = re.compile(r"(.)\1\1")
+_THRICE = re.compile(rf"([a-z{''.join(_PLAIN)}])\1\1")
 #: Symbols at the ends of a token, which may be punctuation.
 _ENDS = re.compile(r"^[^\w\s]+|[^\w\s]+$")
 _ZERO_WIDTH = re.compile("[\xad​-‍⁠﻿]")
@@ -75,6 +76,7 @@ def _class_table() -> np.ndarray:
 
 
 _TABLE = _class_table()
+_CLASSED = (_TABLE >= 1) & (_TABLE < _OTHER)
 
 
 def _classes(text: str) -> np.ndarray:
@@ -156,6 +158,8 @@ class Decoder:
                 options = [(chr(97 + k), -3.0) for k in range(26)] + [("", -0.5), (" ", -3.0)]
             elif c in _BETWEEN:
                 options = [("", -0.5), (" ", -0.5)] if n == 1 else [(" ", -0.3), ("", -1.5)]
+            elif c.isalnum():
+                options = [(c * n, 0.0)]  # no class of its own: it stays as it is
             else:
                 options = [("", -0.5)]
             places.append(options)
@@ -171,7 +175,7 @@ class Decoder:
                 for letters, cost in options:
                     s, total = state, score + cost
                     for x in letters:
-                        k = 0 if x == " " else ord(x) - 96
+                        k = 0 if x == " " else ord(x) - 96 if "a" <= x <= "z" else _OTHER
                         total += float(self.model[(*s, k)])
                         s = (s[1], s[2], k)
                     if s not in following or total > following[s][0]:
@@ -189,6 +193,8 @@ class Decoder:
         if found is None:
             core = _ENDS.sub("", token)
             read = dict.fromkeys(self.decode(x) if not x.isalpha() or _THRICE.search(x) else x for x in (token, core))
+            if core.isalpha():
+                read[core] = None  # a word of letters alone may be what it is
             found = f" {' '.join(read)} "
             if len(token) <= 64:  # longer ones hardly return
                 if len(self.known) >= self.keep:
@@ -219,7 +225,7 @@ def _may_hide(raw: bytes) -> bool:
     letter, mark = kind == 1, kind == 2
     if (mark[1:] & letter[:-1]).any() or (mark[:-1] & letter[1:]).any():
         return True
-    if (letter[2:] & (x[2:] == x[1:-1]) & (x[1:-1] == x[:-2])).any():
+    if (_CLASSED[x[2:]] & (x[2:] == x[1:-1]) & (x[1:-1] == x[:-2])).any():
         return True
     counts = _COUNTS[x]
     alone = np.flatnonzero(np.concatenate([[True], ~counts[:-1]]) & letter & np.concatenate([~counts[1:], [True]]))
