@@ -8,10 +8,11 @@ subtrees is their heaviest increasing subsequence, so an alignment takes n log n
 
 What the wrapper tells: a text is template if at least _SHARE of the distinct pages with its node have it; outside an article
 or main element, a node as a whole is template if half of its other texts return on other pages (rotating menus, notices, adverts).
-Everything else is a slot, and slots are content. Rules that stand beside it, for what varies too much or where a host has too few
-pages: blocks are set aside by element (nav, footer, aside, form, header outside an article and others), by role, if hidden, and by
-words in class or id (_ASIDE_NAME: adverts, comments, related links and others). If a page has an article or main element with
-content, only what is in it counts.
+A host of few pages shows too little of that, so the share of returning texts of the same node on all hosts is weighed in, and the
+nodes that hosts share make a common wrapper, for what a host's own doesn't have. Everything else is a slot, and slots are content. Rules that
+stand beside the wrappers: blocks are set aside by element (nav, footer, aside, form, header outside an article and
+others), by role, if hidden, and by class or id. If a page has an article or main element, what is in it counts,
+and beside it the block of one parent that has more text than all that.
 
 Identical pages of a host count once, so a page copied many times does not turn into template; where
 all content of a page would be template, it is kept.
@@ -31,7 +32,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ from sampleprep.session import map_arrow
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|([^<]+|<)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)|[^>=]|=)*)(?:>|\Z)|([^<]+|<)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
@@ -61,19 +62,25 @@ _BLOCK = frozenset(
 )
 #: Elements that a new one of the same group ends.
 _ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_LINES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 _SCOPE = frozenset("ul ol menu dl table tbody thead tfoot article section div body td".split())
 _ASIDE = frozenset("nav menu footer aside form button select dialog head script style noscript label fieldset input".split())
-_ASIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay"
-    r"|nav|navbar|navigation|menu|topbar|breadcrumbs?|header|masthead|footer|sidebar|side|widget|related|recommended|share|sharing|social|newsletter|subscribe|signup"
-    r"|login|search|comments?|comment-list|commentlist|disqus|replies|reader-comments|pagination|pager|skip|toolbar|copyright)(?=$|[\s_-])",
-    re.IGNORECASE,
+#: Names of blocks beside the text, for what no wrapper can tell (adverts, what readers write, hosts of few pages): a class or id must be made of
+#: such words and of words that name a block, so that "side-effects" or "share-price" is none.
+_ASIDE_WORD = (
+    "ads?|adverts?|advertisements?|advertising|banner|sponsor|sponsored|promo|promoted|promotion|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|nav|navbar|navigation|menu|topbar"
+    "|breadcrumbs?|masthead|footer|sidebar|widget|related|recommended|share|sharing|social|newsletter|subscribe|signup|login|comments?|commentlist|disqus|replies|reply|pagination|pager|skip|toolbar|copyright"
 )
+_BLOCK_WORD = "area|articles|bar|block|body|box|buttons?|column|container|content|form|icons|inner|items?|label|left|links?|list|main|media|message|module|page|panel|posts|readers?|right|secondary|section|site|slot|stories|thread|top|bottom|unit|user|wrap|wrapper"
+_ASIDE_NAME = re.compile(rf"(?:(?:{_BLOCK_WORD}|{_ASIDE_WORD}|\d+)[_-])*(?:{_ASIDE_WORD})(?:[_-](?:{_BLOCK_WORD}|\d+))*", re.IGNORECASE)
+#: Text beside articles counts from this many characters on.
+_STORY = 100
 _ASIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: A text is template in a node that at least _LEAST pages have, if at least _SHARE of them have the text.
 _SHARE, _LEAST = 0.4, 4
-#: A node is template as a whole if at least _MANY pages have it and _RETURNS of its texts, but for template ones, are on at least _AGAIN pages each.
-_MANY, _RETURNS, _AGAIN = 8, 0.5, 2
+#: A node is template as a whole if _RETURNS of its texts, but for template ones, are on at least _AGAIN pages each; what is known of the node
+#: from all hosts weighs as _PRIOR texts, and where nothing is, at least _MANY pages must have the node.
+_MANY, _RETURNS, _AGAIN, _PRIOR = 8, 0.5, 2, 400
 #: Share of a host's pages that a node of the wrapper is on at least.
 _NODE_SHARE = 0.01
 #: Rows that a task sums up before it passes them on.
@@ -96,11 +103,26 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, bool, bool]]]:
     """The nodes of the page's tree, parents first, and its blocks in order: text, node, whether it is set aside, whether it is in an article."""
     root = Node("#", None, 0)
     nodes = [root]
-    opened: Counter = Counter()
     stack: list[tuple[str, Node, bool, bool]] = [("#", root, False, False)]
+    # places in the stack: of each element, of blocks, and of scopes, headings and paragraphs
+    opened: defaultdict[str, list[int]] = defaultdict(list)
+    open_blocks: list[int] = []
+    open_lines: list[int] = []
     blocks: list[tuple[str, Node, bool, bool]] = []
     parts: list[str] = []
 
+    def last(names: frozenset[str] | set[str]) -> int:
+        """The place of the innermost open element of these, or 0."""
+        return max((opened[n][-1] for n in names if opened[n]), default=0)
+
+    def push(name: str, node: Node, aside: bool, article: bool) -> None:
+        opened[name].append(len(stack))
+        if name in _BLOCK:
+            open_blocks.append(len(stack))
+        if name in _LINES or name in _SCOPE:
+            open_lines.append(len(stack))
+        stack.append((name, node, aside, article))
+
     def end_block() -> None:
         if parts:
             text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
@@ -111,8 +133,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, bool, bool]]]:
 
     def cut(upto: int) -> None:
         for entry in stack[upto:]:
-            opened[entry[0]] -= 1
+            opened[entry[0]].pop()
         del stack[upto:]
+        for places in (open_blocks, open_lines):
+            while places and places[-1] >= upto:
+                places.pop()
 
     def close(upto: int) -> None:
         end_block()
@@ -130,8 +155,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, bool, bool]]]:
         name = token[2].lower()
         block = name in _BLOCK
         if token[1]:
-            found = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0) if opened[name] else 0
-            if found and (block or not any(stack[k][0] in _BLOCK for k in range(found + 1, len(stack)))):
+            found = opened[name][-1] if opened[name] else 0
+            if found and (block or not open_blocks or open_blocks[-1] < found):
                 if block:
                     close(found)
                 else:
@@ -156,29 +181,23 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, bool, bool]]]:
             # inline elements only carry whether they are set aside
             if attributes and _set_aside(name, attributes, stack[-1][3]) or name in _ASIDE:
                 end_block()
-                stack.append((name, _child(nodes, stack[-1][1], name, attributes), True, stack[-1][3]))
+                push(name, _child(nodes, stack[-1][1], name, attributes), True, stack[-1][3])
             else:
-                stack.append((name, stack[-1][1], stack[-1][2], stack[-1][3]))
-            opened[name] += 1
+                push(name, *stack[-1][1:])
             continue
         end_block()
-        open_p = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack[k][0] in _SCOPE), 0)
-        if open_p and stack[open_p][0] not in _SCOPE:
-            close(open_p)
+        if open_lines and stack[open_lines[-1]][0] not in _SCOPE:
+            close(open_lines[-1])
         if name in _ENDED_BY:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in _ENDED_BY[name]:
-                    close(k)
-                    break
-                if stack[k][0] in _SCOPE and stack[k][0] not in ("td", "th"):
-                    break
+            ended = last(_ENDED_BY[name])
+            if ended > last(_SCOPE - {"td", "th"}):
+                close(ended)
         _, parent, aside, article = stack[-1]
         while stack[-1][0] not in _BLOCK and len(stack) > 1:
             cut(len(stack) - 1)
             _, parent, aside, article = stack[-1]
         article_here = article or name in ("article", "main") or attributes.get("role", "").lower() in ("main", "article")
-        stack.append((name, _child(nodes, parent, name, attributes), aside or _set_aside(name, attributes, article), article_here))
-        opened[name] += 1
+        push(name, _child(nodes, parent, name, attributes), aside or _set_aside(name, attributes, article), article_here)
     end_block()
     return nodes, blocks
 
@@ -188,8 +207,8 @@ def _set_aside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in _ASIDE_ROLE:
         return True
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return name not in ("html", "body", "main") and bool(named.strip()) and bool(_ASIDE_NAME.search(named))
+    named = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    return name not in ("html", "body", "main") and any(_ASIDE_NAME.fullmatch(n) for n in named)
 
 
 def _child(nodes: list[Node], parent: Node, name: str, attributes: dict[str, str]) -> Node:
@@ -260,15 +279,30 @@ def is_template(told: tuple, text: str, in_article: bool) -> bool:
     return told[1] and not in_article or _hash(text) in told[2]
 
 
-def main_text(page: str | None, wrapper: dict[int, tuple] | None, hints: bool = True) -> str:
-    """hints False leaves out the rules that stand beside the wrapper."""
+def main_text(page: str | None, wrapper: dict[int, tuple] | None, hints: bool = True, common: dict[int, tuple] | None = None) -> str:
+    """The slots of a page under its host's wrapper, and under the common one where that has no node. hints False leaves out the rules beside them."""
     nodes, blocks = parse(page or "")
-    found = align(nodes, wrapper) if wrapper else set()
+    told: dict[int, tuple] = {}
+    for made in (common, wrapper):
+        told |= {p: made[nodes[p].path] for p in align(nodes, made)} if made else {}
     open_blocks = [b for b in blocks if not (hints and b[2])]
-    if hints and any(b[3] for b in open_blocks):
-        open_blocks = [b for b in open_blocks if b[3]]
-    slots = [b for b in open_blocks if b[1].place not in found or not is_template(wrapper[b[1].path], b[0], b[3])]
-    return "\n".join(b[0] for b in slots or open_blocks)
+    slots = [b for b in open_blocks if b[1].place not in told or not is_template(told[b[1].place], b[0], b[3])] or open_blocks
+    if hints and any(b[3] for b in slots):
+        slots = _articles(slots)
+    return "\n".join(b[0] for b in slots)
+
+
+def _articles(slots: list[tuple[str, Node, bool, bool]]) -> list[tuple[str, Node, bool, bool]]:
+    """What is in articles; and the largest block beside them (texts of one parent), if it has more text than they have."""
+    inside = sum(len(b[0]) for b in slots if b[3])
+    beside: Counter = Counter()
+    for text, node, _, article in slots:
+        if not article:
+            beside[(node.parent or node).place] += len(text)
+    story = max(beside, key=lambda p: (beside[p], -p), default=None)
+    if story is not None and beside[story] <= max(inside, _STORY):
+        story = None
+    return [b for b in slots if b[3] or (b[1].parent or b[1]).place == story]
 
 
 def read_wrapper(made: str) -> dict[int, tuple]:
@@ -325,7 +359,7 @@ def count_nodes(pages: DataFrame) -> DataFrame:
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """host and wrapper (JSON) of all hosts of pages (host, html), from all pages."""
+    """host and wrapper (JSON) of all hosts of pages (host, html), from all pages; with a null host the common one, of nodes that hosts share."""
     some = 1e-6  # sums of shares of copies are whole numbers but for rounding
     counts = checkpointed(count_nodes(pages).where(f"text is null or pages > {_AGAIN - 1 + some}"))
     nodes = counts.where("text is null")
@@ -337,32 +371,54 @@ def induce(pages: DataFrame) -> DataFrame:
     always, back = (F.coalesce(F.sum(F.when(c, F.col("pages"))), F.lit(0.0)) for c in (constant, ~constant))
     texts = texts.groupBy("host", "node").agg(always.alias("always"), back.alias("back"), F.collect_list(F.when(constant, F.col("text"))).alias("texts"))
     # of the texts that are not template by themselves, the share that returns
-    varying = F.col("node_told") - F.col("always")
-    whole = F.coalesce((F.col("node_pages") > _MANY - some) & (F.col("back") > _RETURNS * varying - some) & (varying > some), F.lit(False))
-    told = nodes.join(texts, ["host", "node"], "left").select("host", F.struct("node", "order", whole.alias("whole"), F.coalesce("texts", F.array().cast("array<bigint>")).alias("texts")).alias("x"))
-    return told.groupBy("host").agg(F.to_json(F.collect_list("x")).alias("wrapper"))
+    varying = F.coalesce(F.col("node_told") - F.col("always"), F.lit(0.0))
+    told = checkpointed(
+        nodes.join(texts, ["host", "node"], "left").select(
+            "host", "node", "order", "node_pages", F.coalesce("back", F.lit(0.0)).alias("back"), varying.alias("varying"), F.coalesce("texts", F.array().cast("array<bigint>")).alias("texts")
+        )
+    )
+    shared = told.groupBy("node").agg(F.count("*").alias("hosts"), F.round(F.avg("order"), 6).alias("order"), F.sum("back").alias("back"), F.sum("varying").alias("varying"))
+    least = F.greatest(F.lit(_LEAST), told.agg(F.count_distinct("host") * _NODE_SHARE).scalar())
+    shared = checkpointed(shared.where(F.col("hosts") >= least))
+    # a host of few pages says little of what varies: the share on all hosts counts as much as _PRIOR of its texts
+    rates = shared.where(F.col("varying") > some).select(F.col("node").alias("n"), (F.col("back") / F.col("varying")).alias("rate"))
+    told = told.join(rates, F.col("node") == F.col("n"), "left")
+    alone = (F.col("node_pages") > _MANY - some) & (F.col("back") > _RETURNS * F.col("varying") - some)
+    pooled = F.col("back") + _PRIOR * F.col("rate") > _RETURNS * (F.col("varying") + _PRIOR) - some
+    whole = (F.col("varying") > some) & F.when(F.col("rate").isNull(), alone).otherwise(pooled)
+    own = told.withColumn("whole", whole).groupBy("host").agg(F.to_json(F.collect_list(F.struct("node", "order", "whole", "texts"))).alias("wrapper"))
+    always_back = (F.col("varying") > some) & (F.col("back") > _RETURNS * F.col("varying") - some)
+    common = F.struct("node", "order", always_back.alias("whole"), F.array().cast("array<bigint>").alias("texts"))
+    return own.unionByName(shared.agg(F.to_json(F.collect_list(common)).alias("wrapper")).select(F.lit(None).cast("string").alias("host"), "wrapper"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 8 << 20, hints: bool = True) -> DataFrame:
-    """page_id, url and text of each row. hints False leaves out the rules that stand beside the wrapper."""
+    """page_id, url and text of each row. hints False leaves out the rules that stand beside the wrappers."""
     host, _ = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
     wrappers = checkpointed(induce(rows.select("host", "html")))
-    bytes_ = wrappers.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
-    told = rows.join(F.broadcast(wrappers) if bytes_ <= broadcast_bytes else wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
+    common = read_wrapper(wrappers.where("host is null").first().wrapper)
+    own = wrappers.where("host is not null")
+    bytes_ = own.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
+    few = bytes_ <= broadcast_bytes
+    # few wrappers go to each worker once, by host; else a page's wrapper comes with its row
+    shared = pages.sparkSession.sparkContext.broadcast((common, {r.host: r.wrapper for r in own.collect()} if few else {}))
+    told = rows.withColumn("wrapper", F.lit(None).cast("string")) if few else rows.join(own, "host", "left").select("page_id", "url", "html", "host", "wrapper")
     schema = T.StructType([T.StructField("page_id", pages.schema[id_col].dataType), T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, by_host = shared.value
         known: dict[str, dict[int, tuple]] = {}
         for batch in batches:
             texts = []
-            for page, made in zip(batch.column(2), batch.column(3), strict=True):
-                made = made.as_py()
-                if made is not None and made not in known:
+            for page, host, made in zip(*(batch.column(c) for c in ("html", "host", "wrapper")), strict=True):
+                host, made = host.as_py(), made.as_py()
+                made = by_host.get(host) if made is None else made
+                if made is not None and host not in known:
                     if len(known) >= 64:
                         known.clear()
-                    known[made] = read_wrapper(made)
-                texts.append(main_text(page.as_py(), known.get(made), hints))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+                    known[host] = read_wrapper(made)
+                texts.append(main_text(page.as_py(), known.get(host), hints, common))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return map_arrow(told, run, schema)
