@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -124,7 +125,7 @@ def test_mixing(spark, sf, docs):
 
 
 def naive_wrappers(pages):
-    """By host the order, template flag and template texts of each path, counted in plain Python over all distinct pages."""
+    """By host the order, template flag and template texts of each path, and the common ones under None, counted in plain Python over all distinct pages."""
     shared = defaultdict(lambda: defaultdict(lambda: [0, 0.0, 0]))
     texts, total = defaultdict(lambda: defaultdict(int)), defaultdict(int)
     for host, page in {(h, p) for h, p in pages if p}:
@@ -139,16 +140,23 @@ def naive_wrappers(pages):
             told[2] += sum(path == node.path for path, _ in found)
         for key in found:
             texts[host][key] += 1
-    made = {}
+    facts = defaultdict(dict)
     for host, nodes in shared.items():
-        made[host] = {}
         for path, (n, order, told) in nodes.items():
             if n >= max(4, 0.01 * total[host]):
-                here = {t: k for (p, t), k in texts[host].items() if p == path}
-                always = {t for t, k in here.items() if k >= 2 and k >= 0.4 * n}
-                varying = told - sum(here[t] for t in always)
-                whole = n >= 8 and varying > 0 and sum(k for t, k in here.items() if k >= 2 and t not in always) >= 0.5 * varying
-                made[host][path] = (round(order / n, 6), whole, always)
+                here = {t: k for (p, t), k in texts[host].items() if p == path and k >= 2}
+                always = {t for t, k in here.items() if k >= 0.4 * n}
+                facts[path][host] = (n, round(order / n, 6), sum(here[t] for t in here.keys() - always), told - sum(here[t] for t in always), always)
+    hosts = {h for by in facts.values() for h in by}
+    made = {h: {} for h in [*hosts, None]}
+    for path, by in facts.items():
+        back, varying = sum(f[2] for f in by.values()), sum(f[3] for f in by.values())
+        known = len(by) >= max(4, 0.01 * len(hosts))
+        if known:
+            made[None][path] = (round(sum(f[1] for f in by.values()) / len(by), 6), varying > 0 and back >= 0.5 * varying, set())
+        for host, (n, order, b, v, always) in by.items():
+            returns = b + 400 * back / varying >= 0.5 * (v + 400) if known and varying > 0 else n >= 8 and b >= 0.5 * v
+            made[host][path] = (order, v > 0 and returns, always)
     return made
 
 
@@ -174,12 +182,71 @@ def test_html_text(spark, sf):
     want, alone = {}, 0
     for r in rows:
         nodes, blocks = html_text.parse(r.html or "")
-        wrapper = wrappers.get(host(r.url).lower(), {})
-        found = naive_match(nodes[0], wrapper)[1]
-        told = lambda b: b[1].place in found and b[1].path in wrapper and (wrapper[b[1].path][1] and not b[3] or b[0] in wrapper[b[1].path][2])  # noqa: B023, E731
+        told = {}
+        for wrapper in (wrappers[None], wrappers.get(host(r.url).lower(), {})):
+            told |= {p: wrapper[nodes[p].path] for p in naive_match(nodes[0], wrapper)[1] if nodes[p].path in wrapper}
+        template = lambda b: b[1].place in told and (told[b[1].place][1] and not b[3] or b[0] in told[b[1].place][2])  # noqa: B023, E731
         kept = [b for b in blocks if not b[2]]
-        kept = [b for b in kept if b[3]] or kept
-        want[r.page_id] = "\n".join(b[0] for b in [b for b in kept if not told(b)] or kept)
-        alone += sum(bool(told(b)) for b in blocks if b[2])
+        kept = [b for b in kept if not template(b)] or kept
+        inside, beside = sum(len(b[0]) for b in kept if b[3]), defaultdict(int)
+        for b in kept:
+            beside[b[1].parent.place] += 0 if b[3] else len(b[0])
+        large = [p for p, n in beside.items() if n > max(inside, 100) and n == max(beside.values())][:1]
+        if any(b[3] for b in kept):
+            kept = [b for b in kept if b[3] or b[1].parent.place in large]
+        want[r.page_id] = "\n".join(b[0] for b in kept)
+        alone += sum(bool(template(b)) for b in blocks if b[2])
     got = {r.page_id: r.text for r in q.op6_html_text(spark, sf).collect()}
     assert got == want and alone > 0
+
+
+class Articles(HTMLParser):
+    """The texts of a page's article by the standard library's parser: a block ends where a block element begins or ends."""
+
+    BLOCKS = {"article", "h1", "h2", "h3", "p", "ul", "ol", "li", "div", "section", "blockquote", "table", "tr", "td", "aside", "form", "nav", "footer", "header", "body"}
+    SKIPPED = {"script", "style", "aside", "form", "nav", "footer"}
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.skipped, self.parts, self.found, self.divs = 0, 0, [], [], []
+        self.feed(page)
+        self.close()
+        self.end()
+
+    def end(self):
+        text = re.sub(r"\s+", " ", "".join(self.parts)).strip()
+        self.found += [text] if text else []
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.BLOCKS:
+            self.end()
+        self.depth += tag == "article"
+        if tag == "div":
+            self.divs.append(dict(attrs).get("class") in ("ad", "comments"))
+            self.skipped += self.divs[-1]
+        self.skipped += tag in self.SKIPPED
+        if tag == "br":
+            self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCKS:
+            self.end()
+        self.depth -= tag == "article"
+        self.skipped -= tag in self.SKIPPED
+        if tag == "div" and self.divs:
+            self.skipped -= self.divs.pop()
+
+    def handle_data(self, data):
+        if self.depth and not self.skipped:
+            self.parts.append(data)
+
+
+def test_html_text_by_another_parser(spark, sf):
+    """The given pages have one article each; the wrappers find it with the rules beside them and without."""
+    pages = {r.page_id: r.html for r in table(spark, sf.replace("0.001", "0.1"), "pages").collect()}
+    want = {k: "\n".join(Articles(h or "").found) for k, h in pages.items()}
+    got = {r.page_id: r.text for r in q.op6_html_text(spark, sf.replace("0.001", "0.1")).collect()}
+    assert got == want
+    alone = {r.page_id: r.text for r in html_text.extract(table(spark, sf.replace("0.001", "0.1"), "pages"), hints=False).collect()}
+    assert sum(alone[k] == want[k] for k in want) >= 0.95 * len(want)

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import base64
 import hashlib
 import re
 import time
@@ -318,6 +319,10 @@ PAGES = [
     ("<article><header>Title</header>text<aside>no</aside><form>q<input></form><script>1<2</script><style>x</style></article>", "Title\ntext"),
     ('<div class="cookie-notice">c</div><div id="comments"><p>nice</p></div><p class="lead">yes</p>', "yes"),
     ("<!-- <p>x</p> --><p>a</p><!-- open <p>b</p>", "a"),
+    ('<article><h1>T</h1><section id="side-effects"><p>Nausea is common.</p></section></article>', "T\nNausea is common."), ('<article><p class="share-price">It fell.</p></article>', "It fell."),
+    ('<article><p class="notice-period">Two months.</p></article>', "Two months."), ("<p><a href=/it's-ok>link</a> It isn't lost</p><p>next</p>", "link It isn't lost\nnext"),
+    (f'<article><p>teaser</p></article><div class="story"><p>{"A story. " * 20}</p><p>more</p></div>', f'teaser\n{"A story. " * 20}'.strip() + "\nmore"), ('<a title="a > b" x=>c</a><p class=a=b>d</p>', "c\nd"),
+    ('<div class="site-footer">f</div><div class="comment-list">x</div><div class="ad-slot-2">x</div><div class="read-more">y</div>', "y"),
     ("", ""), (None, ""), ("just text", "just text"), ("<p>a</p></div></b><p>b &lt;i&gt; &#233;", "a\nb <i> é"), ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"), ("a < b <c", "a < b"),
 ]
 
@@ -385,6 +390,30 @@ def test_deep_and_long_pages(spark):
     assert got[0] == "deep" and got[1] == "thin\nafter" and got[2].count("\n") == 19_999 and got[3].count("\n") == 3999 and got[4].startswith("text 20000 of 2")
 
 
+@pytest.mark.parametrize("made", [
+    "<blockquote>" * 100_000 + "x", "<ul><li>" * 50_000 + "x", "<table>" * 100_000 + "x", "<b><blockquote>" * 20_000 + "</b>" * 20_000 + "x", "<blockquote>" * 20_000 + "<li></li>" * 20_000 + "x",
+    '<a href="' * 50_000 + "><p>x", "<a b='" * 30_001 + "><p>x", "<a" + " " * 500_000 + ">x", "<p>" + "<i>" * 50_000 + "x<p>y" * 10,
+])
+def test_any_nesting_is_linear(made):
+    start = time.monotonic()
+    nodes, blocks = html_text.parse(made)
+    html_text.align(nodes, {n.path: (0.5, False, frozenset()) for n in nodes})
+    assert time.monotonic() - start < 20 and blocks
+
+
+def test_no_word_vanishes_and_no_text_is_slow():
+    """Letters without a class stay, words of letters stay beside their restored form, and long texts end in seconds."""
+    decoder = toxicity.Decoder(toxicity.language_model(np.ones(toxicity.CLASSES**4, np.int64)))
+    for text in ("длинношеее животное и змееед", "日日日本 text", "Παααρα κάτι", "stuuupid www aaa", "смешaaaной þþþorn"):
+        assert set(text.lower().split()) <= set(decoder.text(text).split())
+    assert "смеш" in decoder.text("смешaa4ной") and "ной" in decoder.text("смешaa4ной")
+    coded = base64.b64encode(np.random.default_rng(0).bytes(300_000)).decode()
+    for text in ("ab" * 500_000, "a" * 1_000_000, "ab" * 100_000 + "aaa", "日本語文字" * 20_000, "日日日本" * 25_000 + " a1b", "ж" * 1_000_000 + " a1", coded, ("x" * 2 + "y") * 20_000 + " h4te", "a" + " " * 1_000_000 + "1"):
+        start = time.monotonic()
+        assert len(decoder.text(text)) > 1
+        assert time.monotonic() - start < 30
+
+
 def test_toxicity(spark, odd, empty, sf):
     docs, labels = q.table(spark, sf, "documents"), q.table(spark, sf, "labels")
     trained = toxicity.train(docs, docs.join(labels, "doc_id"))
