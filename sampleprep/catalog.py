@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sampleprep.functions import binary, classify, geom3d
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats, validate
-from sampleprep.plans import convert
+from sampleprep.plans import convert, scans
 from sampleprep.session import shared_folder, ship, table
 from sampleprep.sources import ranges
 from sampleprep.sources import shards as files
@@ -235,6 +235,17 @@ def first_deviant(spark: SparkSession, sf: str) -> DataFrame:
     return validate.first_deviant(rows, F.col("text"), ["doc_id"]).drop("text").withColumn("slots", F.col("slots").cast("long"))
 
 
+@query(ORACLES["first_deviant"])
+def first_deviant_waves(spark: SparkSession, sf: str) -> DataFrame:
+    """The same row from texts in several files, read in waves until one has a hit; the folder stays, as Spark may read it again."""
+    rows = table(spark, sf, "documents").select("doc_id", "source", _tokened().alias("text"))
+    folder = f"{shared_folder(spark)}/texts-{uuid.uuid4().hex}"
+    rows.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(folder)
+    row = scans.first_deviant(spark, folder, F.col("text"))
+    found = spark.createDataFrame([] if row is None else [tuple(row[c] for c in ("doc_id", "source", "slots", "flags", "snippet"))], "doc_id long, source string, slots long, flags string, snippet string")
+    return found
+
+
 @query(f"""
     WITH d AS (SELECT doc_id, string_split_regex({_TOKENS_SQL}, '{_TOKEN_RE}') AS c, {_TOKENS_SQL} AS raw FROM documents),
     n AS (SELECT *, len(c) - 1 AS slots, len(c) - 1 + (doc_id % 3 = 0)::INT AS images FROM d),
@@ -408,6 +419,16 @@ def resolution_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return stats.geometry(image_slots(spark, sf)).where("scope is not null")
 
 
+@query(ORACLES["resolution_by_source"])
+def resolution_states(spark: SparkSession, sf: str) -> DataFrame:
+    """resolution_by_source from states of three parts, of which one is taken again in place of a state of half of it."""
+    slots = image_slots(spark, sf).withColumn("part", F.pmod(F.xxhash64("source", "width", "height"), F.lit(3)))
+    states = [stats.geometry_states(slots.where(F.col("part") == k), "part") for k in range(3)]
+    stale = stats.geometry_states(slots.where("part = 1 and width % 2 = 0"), "part")
+    kept = states[0].unionByName(stale).where("part <> 1")
+    return stats.merge_geometry(kept.unionByName(states[1]).unionByName(states[2])).where("scope is not null")
+
+
 @query(f"""
     WITH m AS (SELECT source, {_MP_SQL} AS bucket FROM ({_SLOTS})), s AS (SELECT source, count(*) AS total FROM m GROUP BY source ORDER BY total DESC, source LIMIT 3),
     b AS (SELECT unnest([{', '.join(f"'{x}'" for x in stats.bucket_order(stats.MEGAPIXELS))}]) AS bucket)
@@ -684,6 +705,15 @@ def written(spark: SparkSession, sf: str) -> str:
     return root
 
 
+@query(f"SELECT shard_id, line_idx, 'd__' || doc_id AS id FROM ({_ASSIGNED}) WHERE doc_id % 11 > 0 ORDER BY shard_id, line_idx LIMIT 50 OFFSET 100")
+def browse_cursor(spark: SparkSession, sf: str) -> DataFrame:
+    """The third page of fifty filtered samples of written shards, by the cursor that the first two leave."""
+    root, cursor, rows = written(spark, sf), scans.Cursor(), []
+    for _ in range(3):
+        rows, cursor = scans.next_page(spark, root, cursor, 50, want_source="d", images="single")
+    return spark.createDataFrame([(r.shard_id, r.line_idx, r.id) for r in rows], "shard_id int, line_idx int, id string")
+
+
 @query(f"SELECT ordinal, shard_id, line_idx, CASE WHEN doc_id % 11 > 0 THEN 'd__' || doc_id END AS id FROM ({_ASSIGNED}) WHERE ordinal % 97 = 0")
 def line_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Every 97th sample of written shards, read from its place in the line files."""

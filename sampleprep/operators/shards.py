@@ -27,9 +27,12 @@ def prefix_sums(counts: DataFrame, key: str, n: str) -> DataFrame:
     return counts.select(key, n, (upto - F.col(n)).alias("start"), (upto - 1).alias("end"))
 
 
-def capped(df: DataFrame, cap: int) -> DataFrame:
-    """The first cap rows by (file_index, row_in_file): the file where the cap falls is found from row counts, nothing is sorted."""
-    sums = prefix_sums(df.groupBy("file_index").agg(F.count("*").alias("n")), "file_index", "n")
+def capped(df: DataFrame, cap: int, counts: DataFrame | None = None) -> DataFrame:
+    """The first cap rows by (file_index, row_in_file): the file where the cap falls is found from row counts, nothing is sorted.
+
+    counts: file_index and n of the files, where they are known without a scan.
+    """
+    sums = prefix_sums(df.groupBy("file_index").agg(F.count("*").alias("n")) if counts is None else counts, "file_index", "n")
     cut = sums.where(F.col("end") >= cap).orderBy("file_index").select("file_index", (F.lit(cap) - F.col("start")).alias("rows")).first()
     if cut is None:
         return df

@@ -75,12 +75,41 @@ def geometry(images: DataFrame) -> DataFrame:
         F.count_if(~F.col("known")).alias("unknown"),
         *[f(F.when(F.col("known"), F.col(c))).alias(f"{c}_{n}") for c in ("width", "height") for n, f in (("min", F.min), ("max", F.max))],
     )
+    return _scoped(sets)
+
+
+def _scoped(sets: DataFrame) -> DataFrame:
+    """scope, kind and bucket from the grouping id; extremes for sources' totals only."""
     kind = F.when(F.col("g").isin(1, 5), "megapixel").when(F.col("g").isin(2, 6), "short_edge").otherwise("total")
     scope = F.when(F.col("g") < 4, F.col("source"))
     extremes = [F.when(F.col("g") == 3, F.col(c)).alias(c) for c in ("width_min", "width_max", "height_min", "height_max")]
     return sets.select(scope.alias("scope"), kind.alias("kind"), F.coalesce("mp", "edge").alias("bucket"), "n", "unknown", *extremes)
 
 
+_ENDS = [(f"{c}_{n}", n) for c in ("width", "height") for n in ("min", "max")]
+
+
+def geometry_states(images: DataFrame, *by: str) -> DataFrame:
+    """The aggregate of geometry() in parts that can be stored and merged: n, unknown and extremes by (by, source, both buckets)."""
+    w, h = F.col("width"), F.col("height")
+    known = F.coalesce((w > 0) & (h > 0), F.lit(False))
+    rows = images.select(*by, "source", megapixel_bucket(w, h).alias("mp"), short_edge_bucket(w, h).alias("edge"), known.alias("known"), w, h)
+    ends = [(F.min if n == "min" else F.max)(F.when(F.col("known"), F.col(c.rpartition("_")[0]))).alias(c) for c, n in _ENDS]
+    return rows.groupBy(*by, "source", "mp", "edge").agg(F.count("*").alias("n"), F.count_if(~F.col("known")).alias("unknown"), *ends)
+
+
+def merge_geometry(states: DataFrame) -> DataFrame:
+    """What geometry() gives for all images of some states together."""
+    s, m, e = (F.col(c) for c in ("source", "mp", "edge"))
+    sets = states.groupingSets([[s, m], [s, e], [s], [m], [e], []], s, m, e).agg(
+        F.grouping_id().alias("g"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown"),
+        *[(F.min if n == "min" else F.max)(c).alias(c) for c, n in _ENDS],
+    )
+    return _scoped(sets)
+
+
 def ranked(dist: DataFrame, key: str = "key", n: str = "n") -> DataFrame:
     return dist.orderBy(F.desc(n), F.asc(key))
 

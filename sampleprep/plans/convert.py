@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,15 +16,32 @@ from sampleprep.functions import binary, classify
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats
 from sampleprep.operators import validate as audits
-from sampleprep.session import BATCH_BYTES, ship
+from sampleprep.session import BATCH_BYTES, map_arrow, ship
 from sampleprep.sources import ranges
-from sampleprep.sources.shards import _open, parse_samples, read_samples, register
+from sampleprep.sources.shards import _open, parse_samples, read_manifest, read_samples, register, write_manifest
 
 
 def read_source(spark: SparkSession, folder: str, most_rows: int | None = None) -> DataFrame:
-    """All Parquet files of a folder, with file_index and row_in_file; the first most_rows rows in file order."""
-    rows = shards.with_file_order(spark.read.parquet(f"{folder.rstrip('/')}/*.parquet"))
-    return rows if most_rows is None else shards.capped(rows, most_rows)
+    """All Parquet files of a folder, with file_index and row_in_file; the first most_rows rows in file order, by the files' own row counts."""
+    read = spark.read.parquet(f"{folder.rstrip('/')}/*.parquet")
+    rows = shards.with_file_order(read)
+    return rows if most_rows is None else shards.capped(rows, most_rows, footer_counts(spark, sorted(read.inputFiles())))
+
+
+def footer_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file_index (place in paths) and n of Parquet files, read from their footers in tasks; no column is read."""
+    files = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "file_index int, path string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for path in batch.column("path").to_pylist():
+                system, at = _open(path)
+                with system.open_input_file(at) as f:
+                    counts.append(pq.ParquetFile(f).metadata.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("file_index"), pa.array(counts, pa.int64())], ["file_index", "n"])
+
+    return map_arrow(files.repartition(max(1, min(len(paths), 2000))), run, "file_index int, n long")
 
 
 def prepare(rows: DataFrame) -> DataFrame:
@@ -80,6 +99,8 @@ def write_shards(samples: DataFrame, root: str, shard_size: int = 8192, emit_tra
     move once: to their shards' tasks, sorted there.
     """
     register(samples.sparkSession)
+    earlier = read_manifest(root.rstrip("/"))
+    write_manifest(root.rstrip("/"), earlier["shards"] if earlier else [], False)  # until the commit
     laid = shards.segments(samples, "file_index", "row_in_file", shard_size).persist()
     counts = laid.groupBy("shard_id").agg(F.sum("n").alias("n"))
     counts = shards.with_trailing(counts, shard_size) if emit_trailing_empty else counts
@@ -121,15 +142,20 @@ def metadata(prepared: DataFrame, samples: DataFrame, requested: int | None = No
     }
 
 
-def sample_images(samples: DataFrame, normalise: Callable[[Column], Column] = t.normalise_source) -> DataFrame:
-    """source, width, height of each image of the first user turns; the source as the id has it, normalised."""
-    rows = samples.select(normalise(t.source_of_id(F.coalesce("id", F.lit("")))).alias("source"), F.explode(nested.first_user_images(F.col("data"))).alias("i"))
-    return rows.select("source", F.coalesce("i.width", F.lit(-1)).alias("width"), F.coalesce("i.height", F.lit(-1)).alias("height"))
+def sample_images(samples: DataFrame, normalise: Callable[[Column], Column] = t.normalise_source, *others: str) -> DataFrame:
+    """source, width, height (and the columns others) of each image of the first user turns; the source as the id has it, normalised."""
+    rows = samples.select(*others, normalise(t.source_of_id(F.coalesce("id", F.lit("")))).alias("source"), F.explode(nested.first_user_images(F.col("data"))).alias("i"))
+    return rows.select(*others, "source", F.coalesce("i.width", F.lit(-1)).alias("width"), F.coalesce("i.height", F.lit(-1)).alias("height"))
 
 
 def resolution_stats(samples: DataFrame, normalise: Callable[[Column], Column] = t.normalise_source) -> dict[str, Any]:
     """The geometry document: one aggregate over all images, of which a row for each source and bucket reaches the driver."""
-    found = stats.geometry(sample_images(samples, normalise)).orderBy(F.desc("n"), "bucket").collect()
+    return geometry_document(stats.geometry(sample_images(samples, normalise)))
+
+
+def geometry_document(geometry: DataFrame) -> dict[str, Any]:
+    """The document of what stats.geometry or stats.merge_geometry gives."""
+    found = geometry.orderBy(F.desc("n"), "bucket").collect()
 
     def block(scope: str | None) -> dict[str, Any]:
         total = next(r for r in found if r.scope == scope and r.kind == "total")

@@ -27,10 +27,10 @@ PART_BYTES = 64 << 20
 STRETCH = "shard_id int, path string, offset long, bytes long, n long"
 
 
-def _files(spark: SparkSession, folder: str, ending: str) -> DataFrame:
+def _files(spark: SparkSession, folder: str, ending: str, only: list[int] | None = None) -> DataFrame:
     """shard_id, path and file_bytes of a folder's shards."""
     system, _ = _open(folder)
-    found = shard_files(folder, ending)
+    found = [x for x in shard_files(folder, ending) if only is None or x[0] in set(only)]
     sizes = [i.size for i in system.get_file_info([p for _, p in found])] if found else []
     return spark.createDataFrame([(s, p, n) for (s, p), n in zip(found, sizes, strict=True)], "shard_id int, path string, file_bytes long")
 
@@ -137,10 +137,10 @@ def stretches(raw, size: int, begin: int, end: int, most_lines: int, most_bytes:
     yield int(starts[0]), int(stop - starts[0]), len(starts)
 
 
-def line_index(spark: SparkSession, root: str, stride: int = 1024, most_bytes: int = 4 << 20, part_bytes: int = PART_BYTES) -> DataFrame:
-    """shard_id, path, offset, bytes, n and line_idx (of the first line) of stretches of at most stride lines of the shards' line files."""
+def line_index(spark: SparkSession, root: str, stride: int = 1024, most_bytes: int = 4 << 20, part_bytes: int = PART_BYTES, only: list[int] | None = None) -> DataFrame:
+    """shard_id, path, offset, bytes, n and line_idx (of the first line) of stretches of at most stride lines of the shards' line files; only: of these shards."""
     folder = f"{root.rstrip('/')}/jsonl"
-    files = _files(spark, folder, ".jsonl").where("file_bytes > 0")
+    files = _files(spark, folder, ".jsonl", only).where("file_bytes > 0")
     parts = files.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("file_bytes") - 1) / part_bytes))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

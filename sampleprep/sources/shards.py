@@ -6,6 +6,7 @@ Paths go through pyarrow's file systems, so local, HDFS and object-store folders
 from __future__ import annotations
 
 import io
+import json
 import re
 import tarfile
 import uuid
@@ -21,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 
 from sampleprep.session import ship
 
+_UNNAMED = re.compile(r"/\.[0-9a-f]{32}$")
 _SHARD = re.compile(r"data_(\d+)\.(?:tar|jsonl)$")
 MEMBERS = "shard_id int, name string, size long, offset long, payload binary"
 _BATCH = pa.schema([("shard_id", pa.int32()), ("name", pa.string()), ("size", pa.int64()), ("offset", pa.int64()), ("payload", pa.binary())])
@@ -32,14 +34,47 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def shard_files(folder: str, ending: str) -> list[tuple[int, str]]:
-    """(shard_id, path) of a folder's shards, sorted; none if it doesn't exist."""
+#: Names the shards of a finished write, in the folder of a dataset.
+MANIFEST = "_shards.json"
+#: Stores where a file appears when it is closed, as a whole; elsewhere it is written under another name first.
+_WHOLE = frozenset(("s3", "gcs", "abfs"))
+
+
+def read_manifest(root: str) -> dict | None:
+    system, at = _open(root)
+    try:
+        with system.open_input_file(f"{at}/{MANIFEST}") as f:
+            return json.loads(f.read())
+    except FileNotFoundError:
+        return None
+
+
+def write_manifest(root: str, shards: list[int], complete: bool) -> None:
+    system, at = _open(root)
+    system.create_dir(at, recursive=True)
+    with system.open_output_stream(f"{at}/{MANIFEST}") as f:
+        f.write(json.dumps({"complete": complete, "shards": sorted(shards)}).encode())
+
+
+def _listed(folder: str, ending: str) -> list[tuple[int, str]]:
     system, at = _open(folder)
     found = system.get_file_info(fs.FileSelector(at, allow_not_found=True))
     matched = [(m, i.path) for i in found if i.is_file and i.path.endswith(ending) and (m := _SHARD.search(i.path))]
     return sorted((int(m[1]), path) for m, path in matched)
 
 
+def shard_files(folder: str, ending: str) -> list[tuple[int, str]]:
+    """(shard_id, path) of a folder's shards, sorted; none if it doesn't exist.
+
+    Where the dataset has a manifest, its shards count; a write that did not finish is an error.
+    """
+    made = read_manifest(folder.rstrip("/").rpartition("/")[0])
+    if made and not made["complete"]:
+        raise RuntimeError(f"the last write of {folder} did not finish")
+    known = set(made["shards"]) if made else None
+    return [x for x in _listed(folder, ending) if known is None or x[0] in known]
+
+
 @dataclass
 class TarPart(InputPartition):
     shard_id: int
@@ -88,14 +123,15 @@ class TarReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    moves: list[tuple[str, str]]
+    shards: list[int]
 
 
 class ShardWriter(DataSourceWriter):
     """Writes rows (shard_id, line, members) that come sorted by shard, each shard in one task.
 
-    Files get other names first and their own on commit, so a task that is run twice leaves no half or doubled shard.
-    With overwrite, shards of an earlier write that have no successor are deleted on commit.
+    A task gives its files their own names when they are whole, so a task that is killed leaves none and one that is run again puts the same
+    files in place of the first. The driver moves nothing: on commit it writes the manifest, which readers honour, and deletes what
+    killed tasks and, with overwrite, earlier writes have left.
     """
 
     def __init__(self, options: dict, overwrite: bool = False) -> None:
@@ -105,19 +141,23 @@ class ShardWriter(DataSourceWriter):
         system, root = _open(self.folder)
         for part in ("jsonl", "images"):
             system.create_dir(f"{root}/{part}", recursive=True)
-        moves: list[tuple[str, str]] = []
-        shard, text, raw, archive = None, None, None, None
+        made: list[int] = []
+        shard, text, raw, archive, names = None, None, None, None, []
 
         def close() -> None:
             if shard is not None:
                 archive.close(), raw.close(), text.close()
+                for name, final in names:
+                    if name != final:
+                        _put(system, name, final)
 
         for row in rows:
             if row.shard_id != shard:
                 close()
                 shard, mark = row.shard_id, uuid.uuid4().hex
-                names = [(f"{root}/{part}/.{mark}", f"{root}/{part}/data_{shard:06d}.{ending}") for part, ending in (("jsonl", "jsonl"), ("images", "tar"))]
-                moves += names
+                made.append(shard)
+                finals = [f"{root}/{part}/data_{shard:06d}.{ending}" for part, ending in (("jsonl", "jsonl"), ("images", "tar"))]
+                names = [(f if system.type_name in _WHOLE else f"{f.rpartition('/')[0]}/.{mark}", f) for f in finals]
                 text, raw = (system.open_output_stream(name) for name, _ in names)
                 archive = tarfile.open(fileobj=raw, mode="w|")
             if row.line is not None:
@@ -127,26 +167,32 @@ class ShardWriter(DataSourceWriter):
                 info.size = len(member.payload)
                 archive.addfile(info, io.BytesIO(member.payload))
         close()
-        return Written(moves)
+        return Written(made)
 
     def commit(self, messages: list[Written | None]) -> None:
-        system, _ = _open(self.folder)
-        for message in messages:
-            for old, new in message.moves if message else []:
-                system.move(old, new)
-        if self.overwrite:
-            made = {new for message in messages if message for _, new in message.moves}
-            for part, ending in (("jsonl", "jsonl"), ("images", "tar")):
-                for _, path in shard_files(f"{self.folder}/{part}", f".{ending}"):
-                    if path not in made:
-                        system.delete_file(path)
+        made = {k for message in messages if message for k in message.shards}
+        earlier = read_manifest(self.folder)
+        system, root = _open(self.folder)
+        for part, ending in (("jsonl", "jsonl"), ("images", "tar")):
+            left = [i.path for i in system.get_file_info(fs.FileSelector(f"{root}/{part}", allow_not_found=True)) if _UNNAMED.search(i.path)]
+            left += [path for k, path in _listed(f"{self.folder}/{part}", f".{ending}") if self.overwrite and k not in made]
+            for path in left:
+                system.delete_file(path)
+        write_manifest(self.folder, [*made] if self.overwrite else [*made.union(earlier["shards"] if earlier else [])], True)
 
     def abort(self, messages: list[Written | None]) -> None:
-        system, _ = _open(self.folder)
-        for message in messages:
-            for old, _ in message.moves if message else []:
-                if system.get_file_info(old).type != fs.FileType.NotFound:
-                    system.delete_file(old)
+        """What is whole stays; a manifest that says so keeps readers off."""
+
+
+def _put(system: fs.FileSystem, name: str, final: str) -> None:
+    """Rename, in place of what an earlier try has left."""
+    try:
+        system.move(name, final)
+    except OSError:
+        if system.get_file_info(final).type == fs.FileType.NotFound:
+            raise
+        system.delete_file(final)
+        system.move(name, final)
 
 
 class TarShards(DataSource):
@@ -182,23 +228,31 @@ _SAMPLE = (
 )
 
 
-def read_samples(spark: SparkSession, root: str, lines: bool = False, most_lines: int | None = None) -> DataFrame:
+def read_samples(
+    spark: SparkSession, root: str, lines: bool = False, most_lines: int | None = None, only: list[int] | None = None, after: tuple[int, int] | None = None
+) -> DataFrame:
     """shard_id and the sample of each line that holds an object; blank lines and lines that can't be parsed are left out.
 
-    lines adds line_idx, by the index of lines. With most_lines only stretches with a shard's first lines are read.
+    lines adds line_idx, by the index of lines. most_lines: the first lines of each shard; only: these shards; after: lines from this
+    (shard_id, line_idx) on. Of lines that are left out so, whole stretches are not read.
     """
-    folder = f"{root.rstrip('/')}/jsonl"
-    if lines or most_lines is not None:
+    numbered = lines or most_lines is not None or after is not None
+    if numbered:
         from sampleprep.sources import ranges
 
-        index = ranges.line_index(spark, root)
-        index = index if most_lines is None else index.where(F.col("line_idx") < most_lines)
-        rows = ranges.read_lines(spark, root, index)
-        rows = rows if most_lines is None else rows.where(F.col("line_idx") < most_lines)
+        index = ranges.line_index(spark, root, only=only)
+        wanted = F.lit(True) if most_lines is None else F.col("line_idx") < most_lines
+        late = F.lit(True) if after is None else F.col("shard_id") > after[0]
+        begun = late if after is None else late | (F.col("shard_id") == after[0]) & (F.col("line_idx") + F.col("n") > after[1])
+        late = late if after is None else late | (F.col("shard_id") == after[0]) & (F.col("line_idx") >= after[1])
+        rows = ranges.read_lines(spark, root, index.where(wanted & begun)).where(wanted & late)
     else:
+        found = [p for k, p in shard_files(f"{root.rstrip('/')}/jsonl", ".jsonl") if only is None or k in set(only)]
         shard: Column = F.regexp_extract(F.col("_metadata.file_name"), r"data_(\d+)\.jsonl$", 1).cast("int")
-        rows = spark.read.text(folder, pathGlobFilter="data_*.jsonl").select(shard.alias("shard_id"), "value")
-    return parse_samples(rows, "shard_id", *["line_idx"] * (lines or most_lines is not None))
+        scheme = root.partition("://")[0] + "://" if "://" in root else ""
+        read = spark.read.text([f"{scheme}{p}" for p in found]).select(shard.alias("shard_id"), "value") if found else spark.createDataFrame([], "shard_id int, value string")
+        rows = read
+    return parse_samples(rows, "shard_id", *["line_idx"] * numbered)
 
 
 def parse_samples(rows: DataFrame, *others: str, keep: bool = False) -> DataFrame:
