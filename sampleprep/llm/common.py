@@ -93,3 +93,19 @@ def without(rows: DataFrame, gone: DataFrame, keys: dict[str, Column], most_broa
     bits, hit = filter_size(n), free_name(rows, "hit")
     probed = maybe_in(rows, F.xxhash64(*keys.values()), bitmaps(gone.select(F.xxhash64(*keys).alias("hash")), bits), bits, hit)
     return probed.where(~F.col(hit)).drop(hit).unionByName(anti(probed.where(hit).drop(hit), named.hint("shuffle_hash")))
+
+
+def once(rows: DataFrame, repeated: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """rows with one of each key in repeated, whose columns are named as keys; all others as they are.
+
+    Only rows that a bitmap of the repeated keys lets pass are shuffled; copies are dropped before that, too.
+    """
+    hashes = checkpointed(repeated.select(F.xxhash64(*keys).alias("hash")).distinct())
+    n = hashes.count()
+    if n == 0:
+        return rows
+    bits, hit = filter_size(n), free_name(rows, "hit")
+    probed = maybe_in(rows, F.xxhash64(*keys.values()), bitmaps(hashes, bits), bits, hit)
+    named = {free_name(rows, f"key_{k}"): c for k, c in keys.items()}
+    few = probed.where(hit).drop(hit).withColumns(named).dropDuplicates([*named]).drop(*named)
+    return probed.where(~F.col(hit)).drop(hit).unionByName(few)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sampleprep.llm.common import bitmaps, checkpointed, filter_size, free_name, maybe_in, text_or_empty, without
+from sampleprep.llm.common import bitmaps, checkpointed, filter_size, maybe_in, once, text_or_empty, without
 
 #: Runs that one space replaces, but for a single space, which stays what it is.
 _RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -63,12 +63,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; of repeated rows (same id, equal text) one stays.
 
-    Full hashes are taken of possible twins only, and texts stay where they are: what moves are the dropped rows' ids.
+    Full hashes are taken of possible twins only, and texts stay where they are: what moves are the dropped rows' ids, and repeated rows.
     """
     dropped = checkpointed(exact_dedup(docs, id_col, text_col).where("not kept").select("id", "mark", F.col("id").eqNullSafe(F.col("keep_id")).alias("again")))
     keys = {"id": F.col(id_col), "mark": F.xxhash64(normalised(text_or_empty(text_col)))}
-    kept = without(docs, dropped.where("not again"), keys)
-    if dropped.where("again").isEmpty():
-        return kept
-    name = free_name(docs, "mark")
-    return kept.withColumn(name, keys["mark"]).dropDuplicates([id_col, name]).drop(name)
+    return once(without(docs, dropped.where("not again"), keys), dropped.where("again"), keys)

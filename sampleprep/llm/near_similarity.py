@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleprep.llm.common import checkpointed, free_name, text_or_empty, without
+from sampleprep.llm.common import bitmaps, checkpointed, filter_size, maybe_in, once, text_or_empty, without
 from sampleprep.llm.components import connected_components
 from sampleprep.llm.simhash import fingerprint_of, has_words, shingle_hashes
 from sampleprep.llm.simhash import links as simhash_links
@@ -88,11 +88,14 @@ def _mark(text_col: str) -> Column:
 
 
 def _sets(docs: DataFrame, marks: DataFrame, text_col: str, words: int) -> DataFrame:
-    """node and shingles of the texts with these marks, once for each node."""
-    name = free_name(docs, "near_mark")
-    marks = checkpointed(marks.select(F.col("mark").alias(name)).distinct())
-    few = marks.count() <= 200_000
-    rows = docs.select(F.col(text_col).alias("text"), _mark(text_col).alias("mark")).join(F.broadcast(marks) if few else marks, F.col("mark") == F.col(name), "left_semi")
+    """node and shingles of the texts with these marks, once for each node.
+
+    A bitmap of the marks picks the texts, which stay where they are; a false hit gives a node that nothing asks for.
+    """
+    hashes = checkpointed(marks.select(F.col("mark").alias("hash")).distinct())
+    bits = filter_size(hashes.count())
+    read = docs.select(F.col(text_col).alias("text"))
+    rows = maybe_in(read, _mark("text"), bitmaps(hashes, bits), bits, "maybe").where("maybe")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,8 +237,6 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     """
     grouped = checkpointed(near_groups(docs, id_col, text_col, words, bits, similarity, **options))
     same = F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("mark") == F.col("keep.mark"))
-    kept = without(docs, grouped.where(~same), {"id": F.col(id_col), "mark": _mark(text_col)})
-    if grouped.where(same).groupBy("id", "mark").count().where("count > 1").isEmpty():
-        return kept
-    name = free_name(docs, "mark")
-    return kept.withColumn(name, _mark(text_col)).dropDuplicates([id_col, name]).drop(name)
+    keys = {"id": F.col(id_col), "mark": _mark(text_col)}
+    kept = without(docs, grouped.where(~same), keys)
+    return once(kept, grouped.where(same).groupBy("id", "mark").count().where("count > 1"), keys)
