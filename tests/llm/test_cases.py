@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sampleprep.llm import bm25, chat_format, exact_dedup, html_text, language_id, mixing, near_similarity, packing, simhash, toxicity, url_filter
+from sampleprep.llm import bm25, chat_format, common, exact_dedup, html_text, language_id, mixing, near_similarity, packing, simhash, toxicity, url_filter
 from sampleprep.llm import queries as q
 from sampleprep.llm.common import without
 from sampleprep.llm.tokens import WordTokens
@@ -106,6 +106,30 @@ def test_near_similarity_decides_by_row(spark):
     assert sorted(r.text for r in near_similarity.drop_near(df).collect()) == sorted(words)
 
 
+def test_texts_are_not_shuffled(spark):
+    """With repeated rows, too, texts cross no exchange but those of the rows that a bitmap takes for repeated ones."""
+    made = [(i, " ".join(f"w{i % 50}x{k}" for k in range(9)), None, "s", 9, "r", "f", "z", "h", "n", "c") for i in [*range(60), 3, 3, 7]]
+    df = spark.createDataFrame(made, SCHEMA)
+    for drop in (exact_dedup.drop_exact, near_similarity.drop_near):
+        kept = drop(df)
+        assert kept.count() == len({r.doc_id for r in kept.collect()})
+        plan = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        shuffled = [k for k, line in enumerate(plan) if "Aggregate" in line and "text#" in line]
+        # the one aggregate that carries texts stands over the bitmap's hits
+        assert len(shuffled) == 1 and any("bitmap" in line and "Filter" in line for line in plan[shuffled[0] : shuffled[0] + 8])
+    one = spark.createDataFrame([(k % 3, None if k % 3 == 0 else f"t{k % 3}", k) for k in range(90)], "doc_id long, text string, hit int")
+    assert sorted(r.doc_id for r in common.once(one, one.select("doc_id").distinct(), {"doc_id": F.col("doc_id")}).collect()) == [0, 1, 2]
+    assert common.once(one, one.where("doc_id = 2").select("doc_id"), {"doc_id": F.col("doc_id")}).count() == 61
+
+
+@pytest.mark.parametrize("most", [1, 4, 7, 1000])
+def test_query_blocks_are_bounded(spark, most):
+    """Six hundred queries of one to nine terms: a block has at most the bound and one query above it."""
+    vectors = spark.range(600).select(F.col("id").alias("row"), (F.col("id") % 9 + 1).alias("size"))
+    blocks = bm25.in_blocks(vectors, most, ranges=8).groupBy("block").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("size").alias("largest")).collect()
+    assert sum(b.n for b in blocks) == 600 and all(b.size < most + b.largest for b in blocks)
+
+
 def test_rows_without_others(spark):
     """The same rows stay whether the others are broadcast or met by a bitmap and a shuffle."""
     df = spark.createDataFrame(rows("a", "b", "c", "a", ids=[1, 2, None, 3]), SCHEMA)
