@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -236,22 +237,64 @@ def pattern_of(template: str) -> str:
 
 def rule_patterns() -> list[tuple[str, str, str]]:
     """(task, scope, one pattern for all of a rule's templates) in order."""
-    return [(task, scope, "|".join(f"(?:{pattern_of(t)})" for t in templates)) for task, scope, templates in rules()]
+    return [(task, scope, alternatives(templates)) for task, scope, templates in rules()]
+
+
+def alternatives(templates: list[str]) -> str:
+    return "|".join(f"(?:{pattern_of(t)})" for t in templates)
+
+
+def literal_words(template: str) -> set[str]:
+    """The words that a question which meets the template must have in it, as parts of its words at least."""
+    literals = re.split(r"\[[a-z0-9]+\]", " ".join(template.lower().split()))
+    words = {w.replace("(s)", " ") for text in literals for w in text.split()}
+    return {part for w in words for part in w.split()}
+
+
+def anchors() -> list[dict[str, list[str]]]:
+    """For each rule, words by the templates they stand for: each template has one of its words, rare in other rules and shared in its own.
+
+    Words are picked greedily: the one that stands for most of the rule's templates left, weighed against how many of all templates have it.
+    """
+    made = rules()
+    seen = Counter(w for _, _, templates in made for t in templates for w in literal_words(t))
+    found = []
+    for _, _, templates in made:
+        left, picked = list(templates), {}
+        while left:
+            here = Counter(w for t in left for w in literal_words(t))
+            best = max(here, key=lambda w: (here[w] * len(w) / (1 + seen[w] - here[w]), w))
+            picked[best] = [t for t in left if best in literal_words(t)]
+            left = [t for t in left if best not in literal_words(t)]
+        found.append(picked)
+    return found
 
 
 def infer_category(question: Column, n_images: Column) -> Column:
-    """task.multi_view or task.single_view of the first rule found in the question; defaults by the number of images."""
-    q = normalise_question(F.coalesce(question, F.lit("")))
+    """task.multi_view or task.single_view of the first rule found in the question; defaults by the number of images.
+
+    A rule's templates are tried only where the question has the anchor word that stands for them.
+    """
     by_count = F.when(n_images > 1, "multi_view").otherwise("single_view")
     views: dict[str, Callable[[str], Column]] = {
         "multi": lambda task: F.lit(f"{task}.multi_view"),
         "single": lambda task: F.lit(f"{task}.single_view"),
         "count": lambda task: F.concat(F.lit(f"{task}."), by_count),
     }
-    found = F.when(q == "", F.concat(F.lit("unknown."), by_count))
-    for task, scope, pattern in rule_patterns():
-        found = found.when(q.rlike(pattern), views[scope](task))
-    return found.otherwise(F.when(n_images > 1, "camera_motion.multi_view").otherwise("position.single_view"))
+    words = anchors()
+
+    def first_rule(q: Column) -> Column:
+        found = F.when(q == "", F.concat(F.lit("unknown."), by_count))
+        for (task, scope, _), picked in zip(rules(), words, strict=True):
+            met = None
+            for word, templates in picked.items():
+                one = F.contains(q, F.lit(word)) & q.rlike(alternatives(templates))
+                met = one if met is None else met | one
+            found = found.when(met, views[scope](task))
+        return found.otherwise(F.when(n_images > 1, "camera_motion.multi_view").otherwise("position.single_view"))
+
+    # the question is normalised once for the row
+    return F.get(F.transform(F.array(normalise_question(F.coalesce(question, F.lit("")))), first_rule), 0)
 
 
 def _first_present(found: list[tuple[str, Column]]) -> Column:

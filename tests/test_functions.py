@@ -196,6 +196,27 @@ def test_base64_is_pythons(spark):
     assert [None if v is None else bytes(v) for v in values(spark, texts, binary.decode_base64(F.col("s")))] == [python(x) for x in texts]
 
 
+def test_anchors_change_no_label(spark):
+    """A question that meets a template has the word that stands for it; labels are those of the patterns alone, in order."""
+    import random
+
+    rng = random.Random(1)
+    for (_, _, templates), picked in zip(classify.rules(), classify.anchors(), strict=True):
+        assert sorted(t for ts in picked.values() for t in ts) == sorted(templates)
+        for word, some in picked.items():
+            assert all(word in re.sub(r"\[[a-z0-9]+\]", " ", x.lower()) for x in some)
+    filled = [re.sub(r"\[[A-Za-z0-9]+\]", lambda m: rng.choice(["chair", "red box", "12", "?", ""]), x) for _, _, ts in classify.rules() for x in ts]
+    words = sorted({w for x in filled for w in x.split()})
+    asked = [*filled, *(x.replace("(s)", "") for x in filled), *(x[: rng.randrange(len(x))] for x in filled), *(f"well, {x.upper()} <image>" for x in filled), *(" ".join(rng.choices(words, k=9)) for _ in range(400)), ""]
+    patterns = classify.rule_patterns()
+
+    def label(q):
+        q = " ".join(re.sub(TOKEN, " ", q).split()).lower()
+        return "unknown.single_view" if q == "" else next((f"{task}.{'multi' if scope == 'multi' else 'single'}_view" for task, scope, p in patterns if re.search(p, q)), "position.single_view")
+
+    assert values(spark, asked, classify.infer_category(F.col("s"), F.lit(1))) == [label(q) for q in asked]
+
+
 def test_jpeg_sizes():
     assert binary.jpeg_size(b"\xff\xd8\xff\xc0\x00\x0b\x08\x00\x10\x00\x20\x01\x01\x11\x00") == (32, 16)
     assert [binary.jpeg_size(x) for x in (None, b"", b"\xff\xd8", b"\x89PNG")] == [None] * 4
