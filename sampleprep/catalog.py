@@ -17,7 +17,7 @@ from sampleprep.functions import binary, classify, geom3d
 from sampleprep.functions import text as t
 from sampleprep.operators import nested, recon, shards, stats, validate
 from sampleprep.plans import convert, scans
-from sampleprep.session import shared_folder, ship, table
+from sampleprep.session import shared_folder, ship, spread, table
 from sampleprep.sources import ranges
 from sampleprep.sources import shards as files
 
@@ -223,7 +223,7 @@ _LAYOUT = f"""
     SELECT count(*) AS total, count(*) FILTER (WHERE slots = 0) AS without_placeholder, count(*) FILTER (WHERE slots > 0) AS with_placeholder,
         count(*) FILTER (WHERE before_ OR between_) AS deviant FROM ({_LAYOUT})""")
 def layout_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.layout_audit(table(spark, sf, "documents").select("doc_id", "text"), _tokened())
+    return validate.layout_audit(spread(table(spark, sf, "documents").select("doc_id", "text")), _tokened())
 
 
 @query(f"""
@@ -256,7 +256,7 @@ def first_deviant_waves(spark: SparkSession, sf: str) -> DataFrame:
         UNION ALL SELECT doc_id, images AS ord, 'text' AS type, {_CLEAN_SQL.format(f'''regexp_replace(raw, '{_TOKEN_RE}', ' ', 'g')''')} AS value FROM n WHERE NOT (images = slots AND images > 0))
     SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY ord) - 1 AS place, type, value FROM p WHERE value <> ''""")
 def interleave_parts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", _tokened().alias("text"))
+    rows = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", _tokened().alias("text"))
     n = t.slot_count(F.col("text")) + F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0)
     # a generator keeps the count from being worked out again for each image
     rows = rows.select("doc_id", "text", F.explode(F.array(n)).alias("n"))
@@ -365,11 +365,14 @@ def all_dists(spark: SparkSession, sf: str) -> DataFrame:
 _SLOTS = "SELECT l_shipmode_ AS source, w, h FROM (SELECT l_returnflag || '-' || l_linestatus AS l_shipmode_, (l_partkey * 3) % 2600 AS w, (l_suppkey * 37) % 2100 AS h FROM lineitem)"
 
 
-def _bucket_sql(value: str, bounds: tuple) -> str:
-    return "CASE WHEN NOT (w > 0 AND h > 0) THEN 'unknown' " + " ".join(f"WHEN {value} < {b} THEN '{label}'" for b, label in bounds[:-1]) + f" ELSE '{bounds[-1][1]}' END"
-
-
-_MP_SQL, _EDGE_SQL = _bucket_sql("(w * h)::DOUBLE / 1000000.0", stats.MEGAPIXELS), _bucket_sql("least(w, h)", stats.SHORT_EDGES)
+#: Bounds and labels are written out here, so that the other side doesn't share the library's.
+_MP_SQL = """CASE WHEN NOT (w > 0 AND h > 0) THEN 'unknown' WHEN (w * h)::DOUBLE / 1000000.0 < 0.05 THEN '<0.05 MP' WHEN (w * h)::DOUBLE / 1000000.0 < 0.15 THEN '0.05–0.15 MP'
+    WHEN (w * h)::DOUBLE / 1000000.0 < 0.5 THEN '0.15–0.5 MP' WHEN (w * h)::DOUBLE / 1000000.0 < 1.0 THEN '0.5–1 MP' WHEN (w * h)::DOUBLE / 1000000.0 < 2.0 THEN '1–2 MP'
+    WHEN (w * h)::DOUBLE / 1000000.0 < 4.0 THEN '2–4 MP' ELSE '≥4 MP' END"""
+_EDGE_SQL = """CASE WHEN NOT (w > 0 AND h > 0) THEN 'unknown' WHEN least(w, h) < 320 THEN '<320 px' WHEN least(w, h) < 480 THEN '320–479 px' WHEN least(w, h) < 640 THEN '480–639 px'
+    WHEN least(w, h) < 768 THEN '640–767 px' WHEN least(w, h) < 1024 THEN '768–1023 px' ELSE '≥1024 px' END"""
+_MP_LIST = "['<0.05 MP', '0.05–0.15 MP', '0.15–0.5 MP', '0.5–1 MP', '1–2 MP', '2–4 MP', '≥4 MP', 'unknown']"
+_EDGE_LIST = "['<320 px', '320–479 px', '480–639 px', '640–767 px', '768–1023 px', '≥1024 px', 'unknown']"
 
 
 def image_slots(spark: SparkSession, sf: str) -> DataFrame:
@@ -382,17 +385,13 @@ def _ordered_buckets(dist: DataFrame, bounds: tuple) -> DataFrame:
     return dist.withColumn("place", order)
 
 
-def _order_sql(bounds: tuple) -> str:
-    return "list_position([" + ", ".join(f"'{b}'" for b in stats.bucket_order(bounds)) + "], bucket)::BIGINT"
-
-
-@query(f"SELECT *, {_order_sql(stats.MEGAPIXELS)} AS place FROM ({_dist_sql('bucket', f'SELECT {_MP_SQL} AS bucket FROM ({_SLOTS})')})")
+@query(f"SELECT *, list_position({_MP_LIST}, bucket)::BIGINT AS place FROM ({_dist_sql('bucket', f'SELECT {_MP_SQL} AS bucket FROM ({_SLOTS})')})")
 def mp_buckets(spark: SparkSession, sf: str) -> DataFrame:
     rows = image_slots(spark, sf).select(stats.megapixel_bucket(F.col("width"), F.col("height")).alias("bucket"))
     return _ordered_buckets(stats.distribution(rows, "bucket"), stats.MEGAPIXELS)
 
 
-@query(f"SELECT *, {_order_sql(stats.SHORT_EDGES)} AS place FROM ({_dist_sql('bucket', f'SELECT {_EDGE_SQL} AS bucket FROM ({_SLOTS})')})")
+@query(f"SELECT *, list_position({_EDGE_LIST}, bucket)::BIGINT AS place FROM ({_dist_sql('bucket', f'SELECT {_EDGE_SQL} AS bucket FROM ({_SLOTS})')})")
 def edge_buckets(spark: SparkSession, sf: str) -> DataFrame:
     rows = image_slots(spark, sf).select(stats.short_edge_bucket(F.col("width"), F.col("height")).alias("bucket"))
     return _ordered_buckets(stats.distribution(rows, "bucket"), stats.SHORT_EDGES)
@@ -431,7 +430,7 @@ def resolution_states(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
     WITH m AS (SELECT source, {_MP_SQL} AS bucket FROM ({_SLOTS})), s AS (SELECT source, count(*) AS total FROM m GROUP BY source ORDER BY total DESC, source LIMIT 3),
-    b AS (SELECT unnest([{', '.join(f"'{x}'" for x in stats.bucket_order(stats.MEGAPIXELS))}]) AS bucket)
+    b AS (SELECT unnest({_MP_LIST}) AS bucket)
     SELECT s.source, b.bucket, (SELECT count(*) FROM m WHERE m.source = s.source AND m.bucket = b.bucket) AS n FROM s, b""")
 def heatmap_dense(spark: SparkSession, sf: str) -> DataFrame:
     made = stats.geometry(image_slots(spark, sf)).where("kind = 'megapixel' and scope is not null").select(F.col("scope").alias("source"), "bucket", "n")
@@ -995,14 +994,15 @@ def box_project(spark: SparkSession, sf: str) -> DataFrame:
 
 def _cut_sql(k: str, a: int, b: int) -> str:
     """Coordinate k of end a of an edge, moved along it to the near plane if it lies before."""
-    t = f"(({geom3d.NEAR}::DOUBLE - z{a}) / (z{b} - z{a}))"
-    return f"CASE WHEN z{a} >= {geom3d.NEAR}::DOUBLE THEN {k}{a} ELSE " + (f"{geom3d.NEAR}::DOUBLE" if k == "z" else f"{k}{a} + {t} * ({k}{b} - {k}{a})") + f" END AS {k}{a}"
+    t = f"((0.0001::DOUBLE - z{a}) / (z{b} - z{a}))"
+    return f"CASE WHEN z{a} >= 0.0001::DOUBLE THEN {k}{a} ELSE " + ("0.0001::DOUBLE" if k == "z" else f"{k}{a} + {t} * ({k}{b} - {k}{a})") + f" END AS {k}{a}"
 
 
 _SEGMENTS_SQL = f"""
-    WITH c AS ({_CORNERS_SQL}), e AS (SELECT * FROM (VALUES {', '.join(f'({k}, {a}, {b})' for k, (a, b) in enumerate(geom3d.EDGES))}) t(edge, a, b)),
+    WITH c AS ({_CORNERS_SQL}),
+    e AS (SELECT * FROM (VALUES (0, 0, 1), (1, 1, 2), (2, 2, 3), (3, 3, 0), (4, 4, 5), (5, 5, 6), (6, 6, 7), (7, 7, 4), (8, 0, 4), (9, 1, 5), (10, 2, 6), (11, 3, 7)) t(edge, a, b)),
     s AS (SELECT p.vec_id, e.edge, p.cx AS x0, p.cy AS y0, p.cz AS z0, q.cx AS x1, q.cy AS y1, q.cz AS z1 FROM e JOIN c p ON p.i = e.a JOIN c q ON q.i = e.b AND q.vec_id = p.vec_id),
-    k AS (SELECT vec_id, edge, {', '.join(_cut_sql(k, a, 1 - a) for a in (0, 1) for k in 'xyz')} FROM s WHERE z0 >= {geom3d.NEAR} OR z1 >= {geom3d.NEAR})
+    k AS (SELECT vec_id, edge, {', '.join(_cut_sql(k, a, 1 - a) for a in (0, 1) for k in 'xyz')} FROM s WHERE z0 >= 0.0001 OR z1 >= 0.0001)
     SELECT vec_id, edge::INTEGER AS edge, {_project_sql('x0', 'y0', 'z0').replace(' AS u', ' AS u0').replace(' AS v', ' AS v0')}, {_project_sql('x1', 'y1', 'z1').replace(' AS u', ' AS u1').replace(' AS v', ' AS v1')} FROM k"""
 
 
@@ -1019,7 +1019,7 @@ def box_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
     WITH f AS (SELECT vec_id, min_by((u0 + u1) / 2, edge) AS u, min_by((v0 + v1) / 2, edge) AS v FROM ({_SEGMENTS_SQL}) GROUP BY vec_id),
-    c AS (SELECT vec_id, {_project_sql('x', 'y', f'greatest(z, {geom3d.NEAR}::DOUBLE)')} FROM ({_BOX_SQL}))
+    c AS (SELECT vec_id, {_project_sql('x', 'y', 'greatest(z, 0.0001::DOUBLE)')} FROM ({_BOX_SQL}))
     SELECT vec_id, round(coalesce(f.u, c.u), 2) + 0.0 AS u, round(coalesce(f.v, c.v), 2) + 0.0 AS v FROM c LEFT JOIN f USING (vec_id)""")
 def box_labels(spark: SparkSession, sf: str) -> DataFrame:
     rows = _boxes(spark, sf).withColumn("segments", geom3d.edge_segments(F.col("corners"), F.col("cam")))

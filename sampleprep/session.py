@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of fewer splits than cores, dealt to all cores; other tables stay where they are, so at scale nothing is shuffled for it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def local_session(cpus: int | str = "*", partitions: int = 8, driver_memory: str = "8g") -> SparkSession:
     """A local session with the settings that tests and the bench share."""
     spark = (
