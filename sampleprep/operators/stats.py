@@ -43,10 +43,11 @@ def distribution(df: DataFrame, *keys: str, total: Column | None = None) -> Data
     return counted.withColumn("ratio", ratio(F.col("n"), everything))
 
 
-def distributions(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per (dimension, key): the distributions of several columns from one pass with grouping sets."""
-    named = df.select(*[F.col(k).cast("string").alias(k) for k in keys])
-    sets = named.groupingSets([[F.col(k)] for k in keys] + [[]], *keys).agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+def distributions(df: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
+    """One row per (dimension, key): the distributions of several columns from one pass with grouping sets; weight: how many rows a row stands for."""
+    each = F.lit(1).cast("long") if weight is None else F.col(weight)
+    named = df.select(*[F.col(k).cast("string").alias(k) for k in keys], each.alias("weight_"))
+    sets = named.groupingSets([[F.col(k)] for k in keys] + [[]], *keys).agg(F.coalesce(F.sum("weight_"), F.lit(0)).alias("n"), F.grouping_id().alias("g"))
     bits = {k: (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
     dimension = key = None
     for k, g in bits.items():

@@ -115,13 +115,19 @@ def write_shards(samples: DataFrame, root: str, shard_size: int = 8192, emit_tra
 
 
 def metadata(prepared: DataFrame, samples: DataFrame, requested: int | None = None, total_rows: int | None = None) -> dict[str, Any]:
-    """Counts and distributions over all rows seen, geometry over the images of samples (id, data) that were converted; each one aggregate."""
-    seen = prepared.agg(F.count("*").alias("seen"), F.count_if("valid").alias("converted"), F.min_by("category_field", "ordinal_").alias("field")).first()
-    rows = prepared.select(F.col("category_").alias("category"), "source", "n_images")
+    """Counts and distributions over all rows seen, geometry over the images of samples (id, data) that were converted.
+
+    The source is classified once: what is asked of it comes from its counts by category, source and number of images.
+    """
+    grouped = prepared.groupBy(F.col("category_").alias("category"), "source", "n_images")
+    grouped = grouped.agg(F.count("*").alias("n"), F.count_if("valid").alias("valid"), F.min(F.struct("ordinal_", "category_field")).alias("first")).persist()
+    seen = grouped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("seen"), F.coalesce(F.sum("valid"), F.lit(0)).alias("converted"), F.min("first").alias("first")).first()
+    field = seen["first"].category_field if seen["first"] is not None else None
     dists: dict[str, dict] = {"category": {}, "source": {}, "n_images": {}}
     # one row for each category, source and image count
-    for r in stats.distributions(rows, *dists).collect():
+    for r in stats.distributions(grouped, *dists, weight="n").collect():
         dists[r.dimension][r.key] = {"count": r.n, "ratio": r.ratio}
+    grouped.unpersist()
     stopped = requested is not None and seen.seen >= requested and total_rows is not None and total_rows > requested
     return {
         "dataset_total_samples": None if stopped else seen.seen,
@@ -133,7 +139,7 @@ def metadata(prepared: DataFrame, samples: DataFrame, requested: int | None = No
         "total_samples_seen": seen.seen,
         "converted_samples": seen.converted,
         "skipped_samples": seen.seen - seen.converted,
-        "category_field_detected": seen.field,
+        "category_field_detected": field,
         "has_category": bool(dists["category"]),
         "category_distribution": dists["category"],
         "data_source_distribution": dists["source"],
