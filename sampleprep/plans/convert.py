@@ -25,7 +25,19 @@ def read_source(spark: SparkSession, folder: str, most_rows: int | None = None)
     """All Parquet files of a folder, with file_index and row_in_file; the first most_rows rows in file order, by the files' own row counts."""
     read = spark.read.parquet(f"{folder.rstrip('/')}/*.parquet")
     rows = shards.with_file_order(read)
-    return rows if most_rows is None else shards.capped(rows, most_rows, footer_counts(spark, sorted(read.inputFiles())))
+    if most_rows is None:
+        return rows
+    paths = sorted(read.inputFiles())
+    return shards.capped(rows, most_rows, footer_counts(spark, paths) if paths and _reachable(paths[0]) else None)
+
+
+def _reachable(path: str) -> bool:
+    """Whether tasks can open a file without Spark's readers; else its rows are counted by a scan."""
+    try:
+        system, at = _open(path)
+        return system.get_file_info(at).is_file
+    except (OSError, ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return False
 
 
 def footer_counts(spark: SparkSession, paths: list[str]) -> DataFrame:

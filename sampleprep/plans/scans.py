@@ -117,11 +117,11 @@ def update_geometry(spark: SparkSession, root: str, normalise: Callable[[Column]
     """
     root = root.rstrip("/")
     system, at = _open(root)
-    named, scheme = f"{at}/_states/latest.json", root.partition("://")[0] + "://" if "://" in root else ""
+    named = f"{at}/_states/latest.json"
     try:
         with system.open_input_file(named) as f:
             version = json.loads(f.read())["version"]
-        kept = {r.shard_id: (r.shard_id, r.file_bytes, r.file_time) for r in spark.read.parquet(f"{scheme}{at}/_states/{version}/stamps").collect()}
+        kept = {r.shard_id: (r.shard_id, r.file_bytes, r.file_time) for r in spark.read.parquet(f"{root}/_states/{version}/stamps").collect()}
     except FileNotFoundError:
         version, kept = None, {}
     stamps = _stamps(root)
@@ -129,14 +129,14 @@ def update_geometry(spark: SparkSession, root: str, normalise: Callable[[Column]
     states = stats.geometry_states(convert.sample_images(read_samples(spark, root, only=new), normalise, "shard_id"), "shard_id")
     if version is not None:
         same = spark.createDataFrame([(s[0],) for s in stamps if kept.get(s[0]) == s], "shard_id int")
-        states = spark.read.parquet(f"{scheme}{at}/_states/{version}/cells").join(same, "shard_id", "left_semi").unionByName(states)
+        states = spark.read.parquet(f"{root}/_states/{version}/cells").join(same, "shard_id", "left_semi").unionByName(states)
     if new or version is None or kept.keys() != {s[0] for s in stamps}:
         made = uuid.uuid4().hex
-        states.write.parquet(f"{scheme}{at}/_states/{made}/cells")
-        spark.createDataFrame(stamps, _STAMP).coalesce(1).write.parquet(f"{scheme}{at}/_states/{made}/stamps")
+        states.write.parquet(f"{root}/_states/{made}/cells")
+        spark.createDataFrame(stamps, _STAMP).coalesce(1).write.parquet(f"{root}/_states/{made}/stamps")
         with system.open_output_stream(named) as f:
             f.write(json.dumps({"version": made}).encode())
         if version is not None and system.get_file_info(f"{at}/_states/{version}").type == fs.FileType.Directory:
             system.delete_dir(f"{at}/_states/{version}")
         version = made
-    return convert.geometry_document(stats.merge_geometry(spark.read.parquet(f"{scheme}{at}/_states/{version}/cells"))), new
+    return convert.geometry_document(stats.merge_geometry(spark.read.parquet(f"{root}/_states/{version}/cells"))), new

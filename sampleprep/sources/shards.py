@@ -249,9 +249,8 @@ def read_samples(
     else:
         found = [p for k, p in shard_files(f"{root.rstrip('/')}/jsonl", ".jsonl") if only is None or k in set(only)]
         shard: Column = F.regexp_extract(F.col("_metadata.file_name"), r"data_(\d+)\.jsonl$", 1).cast("int")
-        scheme = root.partition("://")[0] + "://" if "://" in root else ""
-        read = spark.read.text([f"{scheme}{p}" for p in found]).select(shard.alias("shard_id"), "value") if found else spark.createDataFrame([], "shard_id int, value string")
-        rows = read
+        named = [f"{root.rstrip('/')}/jsonl/{p.rpartition('/')[2]}" for p in found]
+        rows = spark.read.text(named).select(shard.alias("shard_id"), "value") if named else spark.createDataFrame([], "shard_id int, value string")
     return parse_samples(rows, "shard_id", *["line_idx"] * numbered)
 
 
