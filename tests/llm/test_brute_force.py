@@ -1,17 +1,20 @@
 """Queries over the smallest tables against plain Python."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from functools import cache
 from html.parser import HTMLParser
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.ml.feature import HashingTF
 from tokenizers import Tokenizer
 
-from sampleprep.llm import html_text
+from sampleprep.llm import bm25, html_text, url_filter
 from sampleprep.llm import queries as q
 from sampleprep.llm.common import table
 
@@ -250,3 +253,59 @@ def test_html_text_by_another_parser(spark, sf):
     assert got == want
     alone = {r.page_id: r.text for r in html_text.extract(table(spark, sf.replace("0.001", "0.1"), "pages"), hints=False).collect()}
     assert sum(alone[k] == want[k] for k in want) >= 0.95 * len(want)
+
+
+def plain_url(url):
+    """Host, path and the longest rule that fits, by string operations."""
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url[url.index("://") + 3 :]
+    end = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:end])
+    path = rest[end:].split("?")[0].split("#")[0]
+    fitting = [(len(h + p), h + p, act) for act, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, *(max(fitting)[1:] if fitting else (None, None))
+
+
+def test_url_filter(spark, sf):
+    """Every page's host, path and rule; without a rule, the verdict of weights added up for its n-grams one by one."""
+    model = url_filter.train(spark)
+    place, weights = cache(HashingTF(numFeatures=model.numFeatures).indexOf), model.coefficients.toArray()
+    found = {r.page_id: r for r in q.op4_url_filter(spark, sf).collect()}
+    pages, judged = q.table(spark, sf, "pages").collect(), 0
+    assert len(found) == len(pages)
+    for page in pages:
+        host, path, rule, action = plain_url(page.url)
+        got = found[page.page_id]
+        assert (got.host, got.path, got.rule) == (host, path, rule)
+        if action is None:
+            marked = f".{host}." if host else ""
+            grams = {kind + text[i : i + n] for kind, text in (("h", marked), ("p", path)) for n in (3, 4) for i in range(len(text) - n + 1)}
+            score = model.intercept + sum(weights[i] for i in {place(g) for g in grams})
+            action, judged = "block" if 1 / (1 + math.exp(-score)) > model.getThreshold() else "allow", judged + 1
+        assert got.verdict == action, page.url
+    assert judged > 10
+
+
+def test_topk_query(spark, sf, docs):
+    """The registered query against a scan of all texts: the ten best scores of every query, and its rows where scores differ."""
+    counts = {i: bm25.terms_of(r.text) for i, r in docs.items()}
+    df = Counter(t for c in counts.values() for t in c)
+    n, mean = len(counts), sum(c.total() for c in counts.values()) / len(counts)
+    got = defaultdict(list)
+    for r in q.op7_topk_bm25(spark, sf).collect():
+        got[r.query_id].append((r["rank"], r.score, r.doc_id))
+    for i in (i for i in counts if i % 20 == 0):
+        want = []
+        for d, c in counts.items():
+            part = [m * math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c[t] * 2.2 / (c[t] + 1.2 * (0.25 + 0.75 * c.total() / mean)) for t, m in counts[i].items() if t in c]
+            if part:
+                want.append((-math.fsum(part), d))
+        want.sort()
+        best = sorted(got.pop(i, []))
+        assert [r for r, _, _ in best] == list(range(1, min(10, len(want)) + 1))
+        assert [s for _, s, _ in best] == pytest.approx([-s for s, _ in want[:10]], rel=1e-9)
+        scores = np.array([s for s, _ in want])
+        for (_, _, d), (s, w) in zip(best, want, strict=False):
+            assert d == w or (abs(scores - s) < 1e-9 * abs(s)).sum() > 1
+    assert not got

@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from sampleprep.llm import queries as q
@@ -101,3 +102,57 @@ def test_mixing_and_packing(steps):
     assert max(room.values()) <= 2048
     key = lambda rows: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
     assert key(run) == key(packed)
+
+
+#: Columns beside those of documents, with names that stages use inside.
+EXTRA = ("id", "row", "mark", "node", "hash", "text_hash", "size", "keep", "rank", "piece", "Label")
+
+
+@pytest.fixture(scope="module")
+def odd(spark, sf, tmp_path_factory):
+    """A folder with the documents and, among them, null, blank, repeated, copied and long ones, null ids and sources; and one with none."""
+    docs = q.table(spark, sf, "documents")
+    good = [r.text for r in docs.orderBy("doc_id").collect() if len(r.text) > 1500]
+    # texts that no other row has
+    own = [" ".join(reversed(t.split())) for t in good[:8]]
+    words = own[3].split()
+    near = " ".join([*words[:-1], "changed"])
+    made = [
+        (900_000, None, "en", "a", 0), (900_001, "", "en", "a", 0), (900_002, " \t\n", None, None, 3), (900_003, "123 456 -", "en", "a", 9),
+        (900_010, own[0], None, "a", 1), (900_010, own[0], None, "a", 1), (900_011, own[0].replace(" ", " \n"), None, None, 1), (None, own[1], None, "b", 1),
+        (900_012, own[2], "", "", 1), (900_013, own[3], None, "b", 1), (900_014, near, None, "b", 1), (900_015, " ".join(own[4:5] * 160), None, "b", 1),
+    ]
+    rows = docs.unionByName(spark.createDataFrame(made, docs.schema)).withColumns({c: F.lit(f"own {c}") for c in EXTRA})
+    folders = [str(tmp_path_factory.mktemp(n)) for n in ("odd", "none")]
+    rows.repartition(3).write.parquet(f"{folders[0]}/documents.parquet")
+    rows.limit(0).write.parquet(f"{folders[1]}/documents.parquet")
+    return folders
+
+
+def test_odd_documents(spark, odd, tmp_path):
+    """Stage by stage: columns stay, each decision takes effect, clean rows stay, and run() gives the last stage's rows."""
+    docs, after = q.table(spark, odd[0], "documents"), []
+    for k, (name, stage) in enumerate(p.STAGES):
+        out = stage(spark, docs, odd[0])
+        assert name == "packing" or out.columns == docs.columns
+        out.write.parquet(str(tmp_path / str(k)))
+        docs = spark.read.parquet(str(tmp_path / str(k)))
+        after.append(docs.collect())
+    language, exact, near, mixed, packed = after
+    known = {900_010, 900_011, 900_012, 900_013, 900_014, 900_015, None}
+    mine = lambda rows: Counter(i for i in ids(rows) if i is None or i >= 900_000)
+    assert mine(language) == Counter({i: 1 + (i == 900_010) for i in known})
+    assert mine(exact) == Counter(known - {900_011})
+    assert mine(near) == Counter(known - {900_011, 900_014})
+    assert set(mine(mixed)) <= set(mine(near)) and {r.Label for r in mixed} == {"own Label"}
+    assert Counter(r.doc_id for r in packed if r.piece == 0) == Counter(ids(mixed))
+    key = lambda rows: Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert key(p.run(spark, odd[0]).collect()) == key(packed)
+
+
+def test_no_documents(spark, odd):
+    docs = q.table(spark, odd[1], "documents")
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, odd[1])
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+    assert p.run(spark, odd[1]).count() == 0
