@@ -56,14 +56,23 @@ def footer_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
     return map_arrow(files.repartition(max(1, min(len(paths), 2000))), run, "file_index int, n long")
 
 
+def image_count(rows: DataFrame) -> Column:
+    """The number of a row's image slots, by a field of the slots that holds no bytes: the size of the whole list would have Spark read the payloads."""
+    kind = rows.schema["images"].dataType if "images" in rows.columns else None
+    if not isinstance(kind, T.ArrayType):
+        return F.lit(0)
+    fields = kind.elementType.fields if isinstance(kind.elementType, T.StructType) else []
+    narrow = [f.name for f in fields if not isinstance(f.dataType, T.BinaryType) and f.name != "bytes"]
+    return F.coalesce(F.size(F.col("images").getField(narrow[0]) if narrow else F.col("images")), F.lit(0))
+
+
 def prepare(rows: DataFrame) -> DataFrame:
-    """Adds ordinal, sample_id, source, n_images, category_field, category and valid; reads no payload.
+    """Adds ordinal, sample_id, source, n_images, category_field, category and valid; reads no payload of slots that have another field.
 
     Whether a row is converted depends on its turns alone, so all that is counted comes from narrow columns.
     """
     turns = F.col("conversations")
-    listed = isinstance(rows.schema["images"].dataType, type(rows.schema["conversations"].dataType)) if "images" in rows.columns else False
-    n_images = F.coalesce(F.size("images"), F.lit(0)) if listed else F.lit(0)
+    n_images = image_count(rows)
     column = lambda name: F.col(name).cast("string") if name in rows.columns else F.lit(None).cast("string")
     ordinal = t.row_ordinal(F.col("file_index"), F.col("row_in_file"))
     inferred = classify.infer_category(t.first_human_text(turns), n_images)

@@ -74,14 +74,16 @@ def pages(spark: SparkSession, root: str, size: int = 10, most_matches: int = 20
 # ---- first hit -----------------------------------------------------------------------------------------------------
 
 
-def first_hit(spark: SparkSession, paths: list[str], hits: Callable[[DataFrame], DataFrame], first: int = 1) -> Row | None:
+def first_hit(spark: SparkSession, paths: list[str], hits: Callable[[DataFrame], DataFrame], first: int = 1, columns: str | None = None) -> Row | None:
     """The first row, by file and row, of what hits leaves of Parquet files; files are read in waves, none behind the wave with a hit.
 
     hits gets rows with file_index and row_in_file and keeps both. Each wave gives one row by an aggregate; nothing is sorted.
+    columns: the columns to read, as a schema; a file that lacks one has nulls there. Without it the files have to be of one schema.
     """
     base = 0
     for some in waves(sorted(paths), first):
-        rows = shards.with_file_order(spark.read.parquet(*some)).withColumn("file_index", F.col("file_index") + base)
+        reader = spark.read if columns is None else spark.read.schema(columns)
+        rows = shards.with_file_order(reader.parquet(*some)).withColumn("file_index", F.col("file_index") + base)
         found = hits(rows)
         row = found.agg(F.min_by(F.struct(*found.columns), F.struct("file_index", "row_in_file")).alias("x")).first().x
         if row is not None:
@@ -90,10 +92,10 @@ def first_hit(spark: SparkSession, paths: list[str], hits: Callable[[DataFrame],
     return None
 
 
-def first_deviant(spark: SparkSession, folder: str, text: Column, most: int = 400) -> Row | None:
-    """The first row of a folder's Parquet files whose layout deviates, with slots, flags and snippet."""
+def first_deviant(spark: SparkSession, folder: str, text: Column, most: int = 400, columns: str | None = None) -> Row | None:
+    """The first row of a folder's Parquet files whose layout deviates, with slots, flags and snippet; columns as in first_hit."""
     paths = spark.read.parquet(f"{folder.rstrip('/')}/*.parquet").inputFiles()
-    return first_hit(spark, paths, lambda rows: validate.deviants(rows, text, most))
+    return first_hit(spark, paths, lambda rows: validate.deviants(rows, text, most), columns=columns)
 
 
 # ---- kept geometry -------------------------------------------------------------------------------------------------

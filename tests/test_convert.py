@@ -2,6 +2,7 @@
 
 import base64
 import json
+import re
 import struct
 import tarfile
 import zlib
@@ -144,6 +145,49 @@ def test_one_shuffle_of_payloads(spark, root):
     assert plan.count("Join") - laid._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 2
 
 
+@pytest.mark.parametrize("text", [None, "", "{broken", "[1]", "3", b"\xff\xfe"])
+def test_metadata_that_is_none(tmp_path, text):
+    """A missing or broken document, or one that is no object, is an empty one, and is replaced by the next write."""
+    if text is not None:
+        (tmp_path / "metadata.json").write_bytes(text if isinstance(text, bytes) else text.encode())
+    assert convert.read_metadata(str(tmp_path)) == {}
+    convert.write_metadata(str(tmp_path), {"a": 1})
+    assert convert.read_metadata(str(tmp_path) + "/") == {"a": 1}
+
+
+def test_own_normaliser(spark, root):
+    """The caller's function names the sources of the geometry, in place of the library's."""
+    _, out, made = root
+    samples = files.read_samples(spark, str(out))
+    own = convert.resolution_stats(samples, lambda source: F.concat(F.lit("own "), F.upper(F.substring(source, 1, 3))))
+    assert sorted(own["by_data_source"]) == ["own ARK", "own MAT", "own UNK"]
+    assert own["by_data_source"]["own MAT"] == made["resolution_stats"]["by_data_source"]["matterport3d"]
+    assert own["total_images"] == made["resolution_stats"]["total_images"]
+
+
+def test_audits_read_few_columns(spark, root):
+    """The scan of an audit or of the counts reads no payload and none of the columns it doesn't use."""
+    rows = convert.read_source(spark, str(root[0]))
+    text = F.array_join(F.col("conversations.value"), "\n")
+    read = lambda df: re.findall(r"ReadSchema: (.*)", df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted"))
+    assert read(validate.layout_audit(rows, text)) == ["struct<conversations:array<struct<value:string>>>"]
+    counted = read(convert.prepare(rows).groupBy("source", "category_", "valid").count())
+    assert counted and not [x for x in counted if "bytes:binary" in x]
+    assert "images" in counted[0]
+
+
+def test_image_counts(spark):
+    """Null lists, null slots, slots with nothing but bytes, lists of other kinds and no list at all."""
+    slot = "struct<bytes:binary,path:string>"
+    for kind, values, want in (
+        (f"array<{slot}>", [None, [], [None], [(b"a", None), (None, None), None]], [0, 0, 1, 3]), ("array<struct<bytes:binary>>", [[(b"a",), None]], [2]),
+        ("array<string>", [["a", None], None], [2, 0]), ("array<binary>", [[b"a"]], [1]), ("string", ["aGk="], [0]), (slot, [(b"a", "p")], [0]),
+    ):
+        rows = spark.createDataFrame([(k, v) for k, v in enumerate(values)], f"k int, images {kind}")
+        assert [r.n for r in rows.select("k", convert.image_count(rows).alias("n")).orderBy("k").collect()] == want
+    assert spark.range(1).select(convert.image_count(spark.range(1)).alias("n")).first().n == 0
+
+
 def test_samples(root):
     _, out, _ = root
     made = samples(out)

@@ -3,6 +3,8 @@
 import json
 import tarfile
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyarrow import fs
 from pyspark.sql import Row
@@ -73,6 +75,42 @@ def test_first_hit_reads_no_later_files(spark, tmp_path):
     assert scans.first_hit(spark, paths[:3], lambda rows: rows.where("text = 'none'")) is None
 
 
+def _one_file(made, path, tmp_path):
+    made.coalesce(1).write.parquet(str(tmp_path / f"made-{path.name}"))
+    next((tmp_path / f"made-{path.name}").glob("*.parquet")).rename(path)
+
+
+def test_first_hit_where_files_lack_a_column(spark, tmp_path):
+    """A file without the column has no hits, whichever file it is; only the named columns are read."""
+    folder = tmp_path / "files"
+    folder.mkdir()
+    has = "id string, text string, images array<struct<bytes:binary,path:string>>"
+    _one_file(spark.createDataFrame([("a", "before <image>")], "id string, other string"), folder / "0.parquet", tmp_path)
+    _one_file(spark.createDataFrame([("b", "plain", None), ("c", "before <image>", [(b"raw", None)])], has), folder / "1.parquet", tmp_path)
+    _one_file(spark.createDataFrame([("d",)], "id string"), folder / "2.parquet", tmp_path)
+    row = scans.first_deviant(spark, str(folder), F.col("text"), columns="id string, text string")
+    assert (row.id, row.file_index, row.row_in_file) == ("c", 1, 1) and "images" not in row
+    paths = [str(folder / f"{k}.parquet") for k in (0, 2)]
+    assert scans.first_hit(spark, paths, lambda rows: rows.where("text is not null"), columns="id string, text string") is None
+
+
+def test_rows_are_numbered_across_row_groups(spark, tmp_path):
+    """Row groups of one file go to several tasks, and each row keeps its number in the file."""
+    n = 4000
+    table = pa.table({"id": list(range(n)), "text": ["before <image>" if k == 3210 else f"{k:050d}" for k in range(n)]})
+    pq.write_table(table, tmp_path / "0.parquet", row_group_size=100, compression="none")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = convert.read_source(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 5
+        assert rows.where("row_in_file <> id or file_index <> 0").count() == 0 and rows.count() == n
+        row = scans.first_deviant(spark, str(tmp_path), F.col("text"))
+        assert (row.id, row.row_in_file) == (3210, 3210)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_kept_geometry(spark, root, monkeypatch):
     whole = lambda: convert.resolution_stats(files.read_samples(spark, root))
     document, read = scans.update_geometry(spark, root)
